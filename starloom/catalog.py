@@ -181,3 +181,168 @@ def q_lookup_current(spark, sf):
 def q_star_lookup(spark, sf):
     return lookup.star_lookup(fx.stage_full(spark, sf, "facttrip"), dims_for_fact_full(spark, sf),
                               FACTTRIP.lookups, "TripDate")
+
+
+# --- A1-A5, A8: extraction ------------------------------------------------------------------
+
+@register("extract_full", O.stage_full_sql("product"))
+def q_extract_full(spark, sf):
+    return fx.stage_full(spark, sf, "product")
+
+
+@register("extract_delta_bounded", O.stage_delta_sql("product"))
+def q_extract_delta_bounded(spark, sf):
+    return fx.stage_delta(spark, sf, "product")
+
+
+@register("extract_delta_unbounded", O.stage_sql("customer", fx.FULL_CUTOFF, None))
+def q_extract_delta_unbounded(spark, sf):
+    return fx.stage_customer(spark, sf, fx.FULL_CUTOFF, None)
+
+
+@register("extract_file_formats", O.stage_full_sql("product"))
+def q_extract_file_formats(spark, sf):
+    """Stage as CSV, read back through the explicit staging schema (FAILFAST)."""
+    from .session import scratch_dir
+    from .sources.extract import read_source
+    path = scratch_dir(spark, "csv-stage")
+    fx.stage_full(spark, sf, "product").write.mode("overwrite").option("header", "true").csv(path)
+    return read_source(spark, path, "csv", PRODUCT.staging_schema())
+
+
+@register("stage_reload", O.stage_full_sql("customer"))
+def q_stage_reload(spark, sf):
+    """TRUNCATE + copy into a staging folder, then load from it."""
+    from .session import scratch_dir
+    from .sources.extract import stage
+    return stage(fx.stage_full(spark, sf, "customer"), scratch_dir(spark, "stage"))
+
+
+@register("backfill_by_year",
+          f"SELECT *, CAST(year(ModifiedDate) AS INTEGER) AS load_year FROM "
+          f"({O.stage_sql('facttrip', keep_modified=True)}) s WHERE ModifiedDate IS NOT NULL")
+def q_backfill_by_year(spark, sf):
+    """Year-sliced historical load written with dynamic partition overwrite, read back."""
+    from .session import scratch_dir
+    from .sources.extract import backfill_by_year, write_backfill
+    path = scratch_dir(spark, "backfill")
+    write_backfill(backfill_by_year(fx.stage_facttrip(spark, sf, keep_modified=True), "ModifiedDate"), path)
+    df = spark.read.parquet(path)
+    return df.withColumn("load_year", F.col("load_year").cast("int"))
+
+
+# --- B2, E1, B3, B4, C5, D1, D2, E3 ----------------------------------------------------------
+
+@register("rownum_filter", O.latest_sql(O.stage_full_sql("driver"), DRIVER))
+def q_rownum_filter(spark, sf):
+    return scd1.latest_per_key(fx.stage_full(spark, sf, "driver"), DRIVER)
+
+
+@register("latest_per_key", O.latest_sql(O.stage_sql("employee"), EMPLOYEE))
+def q_latest_per_key(spark, sf):
+    return scd1.latest_per_key(fx.stage_employee(spark, sf), EMPLOYEE)
+
+
+@register("current_rows", f"SELECT * FROM ({dim_full_sql(CUSTOMER)}) d WHERE IsCurrent")
+def q_current_rows(spark, sf):
+    return dim_full(spark, sf, CUSTOMER).filter(F.col("IsCurrent"))
+
+
+def _changed(spark, sf, spec):
+    return scd2.changed_rows(fx.stage_delta(spark, sf, spec.staging), dim_full(spark, sf, spec), spec)
+
+
+def _changed_sql(spec):
+    return O.changed_sql(O.stage_delta_sql(spec.staging), dim_full_sql(spec), spec)
+
+
+@register("mutation_filter", _changed_sql(CUSTOMER))
+def q_mutation_filter(spark, sf):
+    return _changed(spark, sf, CUSTOMER)
+
+
+@register("scd2_first_change", O.first_change_sql(_changed_sql(PRODUCT), PRODUCT))
+def q_first_change(spark, sf):
+    return scd2.first_change(_changed(spark, sf, PRODUCT), PRODUCT)
+
+
+@register("scd2_close_out", O.close_out_sql(dim_full_sql(VENDOR), _changed_sql(VENDOR), VENDOR))
+def q_close_out(spark, sf):
+    target = dim_full(spark, sf, VENDOR)
+    first = scd2.first_change(_changed(spark, sf, VENDOR), VENDOR)
+    return scd2.close_out(target.filter(F.col("IsCurrent")), first, VENDOR)
+
+
+@register("next_watermark",
+          f"SELECT 'CUSTOMER' AS TABLENAME, COALESCE(MAX(ModifiedDate), {O.ts(fx.LOAD_TS)}) AS NEXT_WATERMARK "
+          f"FROM ({O.stage_delta_sql('customer')}) s")
+def q_next_watermark(spark, sf):
+    from .plans.control import next_watermark
+    return next_watermark(fx.stage_delta(spark, sf, "customer"), "ModifiedDate", fx.LOAD_TS) \
+        .select(F.lit("CUSTOMER").alias("TABLENAME"), "NEXT_WATERMARK")
+
+
+@register("scd2_timeline", O.timeline_sql(O.stage_full_sql("vendor"), VENDOR))
+def q_timeline(spark, sf):
+    return scd2.scd2_timeline(fx.stage_full(spark, sf, "vendor"), VENDOR)
+
+
+# --- W1: dense keys ------------------------------------------------------------------------------
+
+@register("dense_key",
+          "SELECT CAST(ROW_NUMBER() OVER (ORDER BY l_orderkey ASC NULLS FIRST, l_linenumber ASC NULLS FIRST, "
+          "l_partkey ASC NULLS FIRST, l_suppkey ASC NULLS FIRST) AS BIGINT) AS LineKey, "
+          "l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem")
+def q_dense_key(spark, sf):
+    li = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return dense_key(li, "LineKey", [F.col(c).asc_nulls_first() for c in li.columns])
+
+
+# --- V1-V3, V5: quality checks -------------------------------------------------------------------
+
+@register("check_unique_bk",
+          f"SELECT CustomerID, COUNT(*) AS rows_per_key FROM ({dim_inc_sql(CUSTOMER)}) d WHERE IsCurrent "
+          f"GROUP BY CustomerID HAVING COUNT(*) > 1")
+def q_check_unique_bk(spark, sf):
+    from .operators.quality import check_unique_bk
+    return check_unique_bk(dim_inc(spark, sf, CUSTOMER), CUSTOMER)
+
+
+_NN = ["TripID", "EmployeeID", "DriverID", "TruckID", "CustomerID", "ProductID", "VendorID"]
+
+
+@register("check_not_null",
+          "SELECT *, COALESCE(" + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in _NN)
+          + f") AS failed_column FROM ({O.stage_sql('facttrip')}) s WHERE "
+          + " OR ".join(f"{c} IS NULL" for c in _NN))
+def q_check_not_null(spark, sf):
+    from .operators.quality import check_not_null
+    return check_not_null(fx.stage_facttrip(spark, sf), _NN)
+
+
+def _check_fk_sql():
+    parts = []
+    dims = dims_for_fact_full_sql()
+    for _, d in FACTTRIP.lookups:
+        parts.append(f"SELECT f.TripFactKey, '{d.table}' AS dimension, f.{d.sk} AS missing_key FROM fact f "
+                     f"WHERE NOT EXISTS (SELECT 1 FROM ({dims[d.table]}) x WHERE x.{d.sk} = f.{d.sk})")
+    return f"WITH fact AS ({fact_full_sql()}) " + " UNION ALL ".join(parts)
+
+
+@register("check_fk", _check_fk_sql())
+def q_check_fk(spark, sf):
+    from .operators.quality import check_fk
+    dims = dims_for_fact_full(spark, sf)
+    f = fact_ops.fact_full(fx.stage_full(spark, sf, "facttrip"), dims, FACTTRIP, fx.LOAD_TS)
+    return check_fk(f, dims, FACTTRIP)
+
+
+@register("check_overlap",
+          f"SELECT CustomerKey, CustomerID, RowStartDateTime, RowEndDateTime, next_key, next_start FROM ("
+          f"SELECT *, LEAD(RowStartDateTime) OVER w AS next_start, LEAD(CustomerKey) OVER w AS next_key "
+          f"FROM ({dim_inc_sql(CUSTOMER)}) d WINDOW w AS (PARTITION BY CustomerID ORDER BY "
+          f"RowStartDateTime ASC NULLS FIRST, CustomerKey ASC NULLS FIRST)) x "
+          f"WHERE next_start IS NOT NULL AND next_start <= COALESCE(RowEndDateTime, {O.ts(OPEN_END)})")
+def q_check_overlap(spark, sf):
+    from .operators.quality import check_overlap
+    return check_overlap(dim_inc(spark, sf, CUSTOMER), CUSTOMER)

@@ -23,6 +23,7 @@ REQUIRED_CONF = {
 # Tuning defaults for local runs; a cluster sets its own.
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
