@@ -346,3 +346,350 @@ def q_check_fk(spark, sf):
 def q_check_overlap(spark, sf):
     from .operators.quality import check_overlap
     return check_overlap(dim_inc(spark, sf, CUSTOMER), CUSTOMER)
+
+
+# --- multi-star marts (S5-S7, C8-C11, G2, D4-D10, T3-T5) -------------------------------------
+
+from .operators import marts as M  # noqa: E402
+from .schemas import CUSTOMER_DOC, DRIVER_HISTORY, FLEET_ASSET, VENDOR_DOC  # noqa: E402
+
+
+def _dk(x):
+    return f"CAST(year({x}) * 10000 + month({x}) * 100 + day({x}) AS INTEGER)"
+
+
+def _fy(x, m=4):
+    return f"CAST(year({x}) + CASE WHEN month({x}) >= {m} THEN 1 ELSE 0 END AS INTEGER)"
+
+
+def _fq(x, m=4):
+    return f"CAST(((month({x}) - {m} + 12) % 12) // 3 + 1 AS INTEGER)"
+
+
+def _div_half_up(n, d):
+    return (f"(CASE WHEN ({n}) < 0 THEN -1 ELSE 1 END * ((2 * ABS(CAST({n} AS BIGINT)) + ({d})) // (2 * ({d}))))")
+
+
+def _scaled(units, scale, precision=18):
+    return f"CAST(CAST({units} AS DECIMAL(20,0)) * CAST('{10 ** -scale:.{scale}f}' AS DECIMAL({scale + 1},{scale})) AS DECIMAL({precision},{scale}))"
+
+
+def _ratio(num, den, scale=4):
+    n, d = f"CAST(({num}) * 100 AS BIGINT)", f"CAST(({den}) * 100 AS BIGINT)"
+    q = _div_half_up(f"{n} * {10 ** scale} * sign({d})", f"ABS({d})")
+    return f"CASE WHEN {d} = 0 THEN NULL ELSE {_scaled(q, scale)} END"
+
+
+@register("dim_date",
+          f"SELECT {_dk('d')} AS Date_SKey, d AS Full_Date, CAST(day(d) AS INTEGER) AS Day_Of_Month, "
+          f"CAST(dayofweek(d) + 1 AS INTEGER) AS Day_Of_Week, dayname(d) AS Day_Name, "
+          f"CAST(weekofyear(d) AS INTEGER) AS Week_Of_Year, CAST(month(d) AS INTEGER) AS Month, "
+          f"monthname(d) AS Month_Name, CAST(quarter(d) AS INTEGER) AS Quarter, CAST(year(d) AS INTEGER) AS Year, "
+          f"{_fy('d')} AS Fiscal_Year, {_fq('d')} AS Fiscal_Quarter, dayofweek(d) IN (0, 6) AS Is_Weekend "
+          f"FROM (SELECT CAST(g AS DATE) AS d FROM generate_series("
+          f"(SELECT CAST(CAST(MIN(o_orderdate) AS DATE) AS TIMESTAMP) FROM orders), "
+          f"(SELECT CAST(CAST(MAX(o_orderdate) AS DATE) AS TIMESTAMP) FROM orders), INTERVAL 1 DAY) t(g)) x")
+def q_dim_date(spark, sf):
+    return M.dim_date_from(fx.table(spark, sf, "orders"), "o_orderdate")
+
+
+_NODES_SQL = ("SELECT 'R' || CAST(r_regionkey AS VARCHAR) AS Branch_ID, r_name AS Branch_Name, "
+              "CAST(NULL AS VARCHAR) AS Parent_Branch_ID, 'HUB' AS Branch_Level FROM region UNION ALL "
+              "SELECT 'N' || CAST(n_nationkey AS VARCHAR), n_name, 'R' || CAST(n_regionkey AS VARCHAR), "
+              "'SUB_LOCATION' FROM nation")
+
+
+@register("dim_geography",
+          f"WITH nodes AS ({_NODES_SQL}) SELECT CAST(ROW_NUMBER() OVER (ORDER BY c.Branch_ID ASC NULLS FIRST) "
+          f"AS BIGINT) AS Location_SKey, c.Branch_ID, c.Branch_Name, c.Branch_Level, c.Parent_Branch_ID, "
+          f"p.Branch_Name AS Parent_Branch_Name, COALESCE(p.Branch_Name, c.Branch_Name) AS Hub_Name "
+          f"FROM nodes c LEFT JOIN nodes p ON c.Parent_Branch_ID = p.Branch_ID")
+def q_dim_geography(spark, sf):
+    r = fx.table(spark, sf, "region").select(
+        F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("Branch_ID"),
+        F.col("r_name").alias("Branch_Name"), F.lit(None).cast("string").alias("Parent_Branch_ID"),
+        F.lit("HUB").alias("Branch_Level"))
+    n = fx.table(spark, sf, "nation").select(
+        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("Branch_ID"),
+        F.col("n_name").alias("Branch_Name"),
+        F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("Parent_Branch_ID"),
+        F.lit("SUB_LOCATION").alias("Branch_Level"))
+    return M.dim_geography(r, n)
+
+
+def _derived_sql(expr, src, name, key):
+    return (f"SELECT CAST(ROW_NUMBER() OVER (ORDER BY v ASC NULLS FIRST) AS BIGINT) AS {key}, v AS {name} "
+            f"FROM (SELECT DISTINCT {expr} AS v FROM {src}) d")
+
+
+_TRIP_TYPE_SQL = _derived_sql("o_orderpriority", "orders", "Trip_Type", "Trip_Type_Key")
+_COMMODITY_SQL = _derived_sql("p_type", "part", "Commodity", "Commodity_Key")
+
+
+@register("dim_trip_type", _TRIP_TYPE_SQL)
+def q_dim_trip_type(spark, sf):
+    return M.derived_dimension(fx.table(spark, sf, "orders"), "o_orderpriority", "Trip_Type", "Trip_Type_Key")
+
+
+@register("dim_commodity", _COMMODITY_SQL)
+def q_dim_commodity(spark, sf):
+    return M.derived_dimension(fx.table(spark, sf, "part"), "p_type", "Commodity", "Commodity_Key")
+
+
+_CUST_ENT_SQL = ("SELECT CAST(ROW_NUMBER() OVER (ORDER BY Customer_ID ASC NULLS FIRST) AS BIGINT) AS Customer_SKey, * "
+                 "FROM (SELECT CAST(c_custkey AS INTEGER) AS Customer_ID, c_name AS Customer_Name, "
+                 "c_mktsegment AS Customer_Type, CAST(c_acctbal AS DECIMAL(18,2)) AS Credit_Limit, "
+                 "n_name AS Nation_Name, r_name AS Region_Name FROM customer "
+                 "LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey) c")
+
+
+def _cust_ent(spark, sf):
+    return M.dim_customer_enterprise(fx.table(spark, sf, "customer"), fx.table(spark, sf, "nation"),
+                                     fx.table(spark, sf, "region"))
+
+
+@register("dim_customer_enterprise", _CUST_ENT_SQL)
+def q_dim_customer_enterprise(spark, sf):
+    return _cust_ent(spark, sf)
+
+
+@register("dim_fleet_asset",
+          f"SELECT TruckKey AS Fleet_SKey, TruckID AS Vehicle_ID, TruckNumber AS Truck_Number, Model, "
+          f"CAST(p_size AS DECIMAL(10,2)) AS Capacity_Tons, p_brand AS Permit_Class, "
+          f"CAST(p_retailprice AS DECIMAL(18,2)) AS Insured_Value FROM ({dim_full_sql(TRUCK)}) t "
+          f"LEFT JOIN part ON TruckID = p_partkey")
+def q_dim_fleet_asset(spark, sf):
+    return M.dim_fleet_asset(dim_full(spark, sf, TRUCK),
+                             fx.table(spark, sf, "part").select("p_partkey", "p_size", "p_brand", "p_retailprice"))
+
+
+_DRV_COMP_SQL = (f"SELECT DriverKey AS Driver_SKey, DriverID AS Driver_ID, DriverName AS Driver_Name, "
+                 f"LicenseNumber AS License_Number, s_nationkey AS Branch_Nation, "
+                 f"ModifiedDate + INTERVAL 2 YEAR AS License_Expiry_Date FROM ({dim_full_sql(DRIVER)}) d "
+                 f"JOIN supplier ON DriverID = s_suppkey")
+
+
+def _drv_comp(spark, sf):
+    return M.dim_driver_compliance(dim_full(spark, sf, DRIVER),
+                                   fx.table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"))
+
+
+@register("dim_driver_compliance", _DRV_COMP_SQL)
+def q_dim_driver_compliance(spark, sf):
+    return _drv_comp(spark, sf)
+
+
+def _doc_scd2_sql(spec):
+    inc = O.scd2_inc_sql(O.scd2_full_sql(O.stage_full_sql(spec.staging), spec), O.stage_delta_sql(spec.staging), spec)
+    attrs = ", ".join(spec.attr_names)
+    return (f"SELECT {spec.sk}, {spec.bk}, {attrs}, RowStartDateTime AS SCD_Row_Start_Date, "
+            f"RowEndDateTime AS SCD_Row_End_Date, IsCurrent AS SCD_Row_Active_Flag FROM ({inc}) d")
+
+
+def _doc_scd2(spark, sf, spec):
+    full = scd2.scd2_full(fx.stage_full(spark, sf, spec.staging), spec)
+    return M.scd2_doc_columns(scd2.scd2_inc(full, fx.stage_delta(spark, sf, spec.staging), spec), spec)
+
+
+@register("scd2_fleet_asset", _doc_scd2_sql(FLEET_ASSET))
+def q_scd2_fleet_asset(spark, sf):
+    return _doc_scd2(spark, sf, FLEET_ASSET)
+
+
+@register("scd2_driver_compliance", _doc_scd2_sql(DRIVER_HISTORY))
+def q_scd2_driver_compliance(spark, sf):
+    return _doc_scd2(spark, sf, DRIVER_HISTORY)
+
+
+def _doc_scd1_sql(spec):
+    return O.scd1_merge_sql(O.scd1_full_sql(O.stage_full_sql(spec.staging), spec),
+                            O.stage_delta_sql(spec.staging), spec)
+
+
+def _doc_scd1(spark, sf, spec):
+    full = scd1.scd1_full(fx.stage_full(spark, sf, spec.staging), spec)
+    return scd1.scd1_merge(full, fx.stage_delta(spark, sf, spec.staging), spec)
+
+
+@register("scd1_vendor_doc", _doc_scd1_sql(VENDOR_DOC))
+def q_scd1_vendor_doc(spark, sf):
+    return _doc_scd1(spark, sf, VENDOR_DOC)
+
+
+@register("scd1_customer_doc", _doc_scd1_sql(CUSTOMER_DOC))
+def q_scd1_customer_doc(spark, sf):
+    return _doc_scd1(spark, sf, CUSTOMER_DOC)
+
+
+# D4 / D10 / D5 / D6 / D7 / D8 / D9
+
+_RUN = _scaled(f"LEAST({_div_half_up('CAST(Distance_KM_Daily * 100 AS BIGINT)', M.AVG_SPEED_KMH)}, 2400)", 2, 10)
+_UTIL_SQL = (f"SELECT Date_SKey, Vehicle_ID, Trips_Count_Daily, Distance_KM_Daily, {_RUN} AS Running_Hours, "
+             f"CAST(CAST(24 AS DECIMAL(10,2)) - {_RUN} AS DECIMAL(10,2)) AS Idle_Hours, "
+             f"{_ratio('load', f'Trips_Count_Daily * {M.CAPACITY_TONS}')} AS Load_Factor_Ratio FROM ("
+             f"SELECT CAST(l_suppkey AS INTEGER) AS Vehicle_ID, {_dk('l_shipdate')} AS Date_SKey, "
+             f"COUNT(*) AS Trips_Count_Daily, "
+             f"CAST(SUM(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS Distance_KM_Daily, "
+             f"CAST(SUM(CAST(l_quantity AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS load "
+             f"FROM lineitem GROUP BY 1, 2) g")
+
+
+def _util(spark, sf):
+    li = fx.table(spark, sf, "lineitem")
+    km = F.col("l_extendedprice").cast("decimal(18,2)") * F.lit("0.01").cast("decimal(3,2)")
+    return M.fact_fleet_utilization(li, "l_suppkey", "l_shipdate", km, F.col("l_quantity"))
+
+
+@register("fact_fleet_utilization", _UTIL_SQL)
+def q_fact_fleet_utilization(spark, sf):
+    return _util(spark, sf)
+
+
+@register("uptime_ratio",
+          f"SELECT Vehicle_ID, Month_Key, Running_Hours, Idle_Hours, "
+          f"{_ratio('Running_Hours', 'Running_Hours + Idle_Hours')} AS Uptime_Ratio FROM ("
+          f"SELECT Vehicle_ID, CAST(Date_SKey // 100 AS INTEGER) AS Month_Key, "
+          f"CAST(SUM(Running_Hours) AS DECIMAL(18,2)) AS Running_Hours, CAST(SUM(Idle_Hours) AS DECIMAL(18,2)) AS Idle_Hours "
+          f"FROM ({_UTIL_SQL}) u GROUP BY 1, 2) g")
+def q_uptime_ratio(spark, sf):
+    return M.uptime_ratio(_util(spark, sf))
+
+
+_P = "CAST(l_extendedprice AS DECIMAL(18,2))"
+_Q = "CAST(l_quantity AS DECIMAL(10,2))"
+_COSTS_SQL = (f"SELECT l_orderkey, CAST(SUM({_P} * CAST(l_tax AS DECIMAL(4,2))) AS DECIMAL(18,2)) AS Fuel_Cost_INR, "
+              f"CAST(SUM({_P} * CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2)) AS Driver_Cost_INR, "
+              f"CAST(SUM({_Q} * CAST({M.MAINTENANCE_PER_TON} AS DECIMAL(6,2))) AS DECIMAL(18,2)) AS Maintenance_Cost_INR, "
+              f"CAST(COUNT(*) * CAST({M.TOLL_PER_STOP} AS DECIMAL(6,2)) AS DECIMAL(18,2)) AS Toll_Cost_INR, "
+              f"CAST(SUM({_Q} * CAST({M.HANDLING_PER_TON} AS DECIMAL(6,2))) AS DECIMAL(18,2)) AS Other_Cost_INR "
+              f"FROM lineitem GROUP BY l_orderkey")
+_Z = "CAST(0 AS DECIMAL(18,2))"
+_PROFIT_SQL = (f"SELECT *, CAST(Gross_Revenue_INR - (" + " + ".join(M.COST_COLS) + ") AS DECIMAL(18,2)) AS Net_Profit_INR "
+               f"FROM (SELECT o_orderkey AS DD_Trip_ID, {_dk('o_orderdate')} AS Date_SKey, "
+               f"CAST(o_custkey AS INTEGER) AS Customer_ID, CAST(o_totalprice AS DECIMAL(18,2)) AS Gross_Revenue_INR, "
+               + ", ".join(f"COALESCE(c.{c}, {_Z}) AS {c}" for c in M.COST_COLS)
+               + f" FROM orders LEFT JOIN ({_COSTS_SQL}) c ON o_orderkey = c.l_orderkey) p")
+
+
+def _profit(spark, sf):
+    return M.fact_operational_profitability(
+        fx.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice"),
+        fx.table(spark, sf, "lineitem"))
+
+
+@register("fact_operational_profitability", _PROFIT_SQL)
+def q_fact_operational_profitability(spark, sf):
+    return _profit(spark, sf)
+
+
+_OWN = "CASE WHEN l_linestatus = 'F' THEN 'OWN' ELSE 'VENDOR' END"
+
+
+@register("trip_profit_by",
+          f"SELECT *, CAST(Revenue - Cost AS DECIMAL(18,2)) AS Margin, "
+          f"{_ratio('CAST(Revenue - Cost AS DECIMAL(18,2))', 'Revenue')} AS Margin_Pct FROM ("
+          f"SELECT p_type AS Commodity, {_OWN} AS Ownership_Type, COUNT(*) AS Trips, "
+          f"CAST(SUM({_P}) AS DECIMAL(18,2)) AS Revenue, "
+          f"CAST(SUM({_P} * (CAST(l_discount AS DECIMAL(4,2)) + CAST(l_tax AS DECIMAL(4,2)))) AS DECIMAL(18,2)) AS Cost "
+          f"FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2) g")
+def q_trip_profit_by(spark, sf):
+    li = fx.table(spark, sf, "lineitem")
+    pa = fx.table(spark, sf, "part").select("p_partkey", "p_type")
+    return M.trip_profit_by(li.join(pa, li.l_partkey == pa.p_partkey))
+
+
+def _li_orders(spark, sf):
+    li = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice")
+    o = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    return li.join(o, li.l_orderkey == o.o_orderkey)
+
+
+@register("calendar_rollup",
+          f"SELECT Fiscal_Year, Fiscal_Quarter, Month_Key, Full_Date, "
+          f"GROUPING(Fiscal_Year, Fiscal_Quarter, Month_Key, Full_Date) AS Grouping_Level, COUNT(*) AS Trips, "
+          f"CAST(SUM({_P}) AS DECIMAL(18,2)) AS Revenue FROM (SELECT {_fy('d')} AS Fiscal_Year, {_fq('d')} AS Fiscal_Quarter, "
+          f"CAST(year(d) * 100 + month(d) AS INTEGER) AS Month_Key, d AS Full_Date, l_extendedprice FROM "
+          f"(SELECT CAST(o_orderdate AS DATE) AS d, l_extendedprice FROM lineitem JOIN orders ON l_orderkey = o_orderkey) a) b "
+          f"GROUP BY ROLLUP(Fiscal_Year, Fiscal_Quarter, Month_Key, Full_Date)")
+def q_calendar_rollup(spark, sf):
+    return M.calendar_rollup(_li_orders(spark, sf), "o_orderdate", "l_extendedprice")
+
+
+@register("calendar_week_rollup",
+          f"SELECT ISO_Year, Week_Of_Year, Full_Date, GROUPING(ISO_Year, Week_Of_Year, Full_Date) AS Grouping_Level, "
+          f"COUNT(*) AS Trips, CAST(SUM({_P}) AS DECIMAL(18,2)) AS Revenue FROM (SELECT CAST(isoyear(d) AS INTEGER) AS ISO_Year, "
+          f"CAST(weekofyear(d) AS INTEGER) AS Week_Of_Year, d AS Full_Date, l_extendedprice FROM "
+          f"(SELECT CAST(o_orderdate AS DATE) AS d, l_extendedprice FROM lineitem JOIN orders ON l_orderkey = o_orderkey) a) b "
+          f"GROUP BY ROLLUP(ISO_Year, Week_Of_Year, Full_Date)")
+def q_calendar_week_rollup(spark, sf):
+    return M.calendar_week_rollup(_li_orders(spark, sf), "o_orderdate", "l_extendedprice")
+
+
+@register("drill_across",
+          f"SELECT COALESCE(u.Month_Key, p.Month_Key) AS Month_Key, Vehicle_Trips, Distance_KM, Running_Hours, "
+          f"Billed_Trips, Gross_Revenue_INR, Net_Profit_INR FROM "
+          f"(SELECT CAST(Date_SKey // 100 AS INTEGER) AS Month_Key, CAST(SUM(Trips_Count_Daily) AS BIGINT) AS Vehicle_Trips, "
+          f"CAST(SUM(Distance_KM_Daily) AS DECIMAL(18,2)) AS Distance_KM, CAST(SUM(Running_Hours) AS DECIMAL(18,2)) AS Running_Hours "
+          f"FROM ({_UTIL_SQL}) x GROUP BY 1) u FULL OUTER JOIN "
+          f"(SELECT CAST(Date_SKey // 100 AS INTEGER) AS Month_Key, COUNT(*) AS Billed_Trips, "
+          f"CAST(SUM(Gross_Revenue_INR) AS DECIMAL(18,2)) AS Gross_Revenue_INR, CAST(SUM(Net_Profit_INR) AS DECIMAL(18,2)) AS Net_Profit_INR "
+          f"FROM ({_PROFIT_SQL}) y GROUP BY 1) p ON u.Month_Key = p.Month_Key")
+def q_drill_across(spark, sf):
+    return M.drill_across(_util(spark, sf), _profit(spark, sf))
+
+
+@register("volume_by_commodity",
+          f"SELECT p_type AS Commodity, CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS Month_Key, "
+          f"CAST(SUM({_Q}) AS DECIMAL(18,2)) AS Tonnage, COUNT(*) AS Trips FROM lineitem JOIN part ON l_partkey = p_partkey "
+          f"GROUP BY 1, 2")
+def q_volume_by_commodity(spark, sf):
+    li = fx.table(spark, sf, "lineitem").select("l_partkey", "l_quantity", "l_shipdate")
+    pa = fx.table(spark, sf, "part").select("p_partkey", "p_type")
+    return M.volume_by_commodity(li.join(pa, li.l_partkey == pa.p_partkey), "l_shipdate")
+
+
+_DURATION = _scaled(_div_half_up("date_diff('second', o_orderdate, l_shipdate) * 100", 3600), 2)
+_LOGI_SQL = (f"SELECT l_orderkey AS DD_Trip_ID, l_linenumber AS Trip_Line, {_dk('o_orderdate')} AS Date_SKey, "
+             f"CAST(o_custkey AS INTEGER) AS Customer_ID, CAST(l_suppkey AS INTEGER) AS Vehicle_ID, "
+             f"{_Q} AS Cargo_Weight_Tons, CAST({_P} * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS Trip_Distance_KM, "
+             f"{_DURATION} AS Trip_Duration_Hours, "
+             f"CAST(COALESCE(ce.Customer_SKey, -1) AS BIGINT) AS Customer_SKey, "
+             f"CAST(COALESCE(tt.Trip_Type_Key, -1) AS BIGINT) AS Trip_Type_Key, "
+             f"CAST(COALESCE(cm.Commodity_Key, -1) AS BIGINT) AS Commodity_Key "
+             f"FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey "
+             f"LEFT JOIN ({_CUST_ENT_SQL}) ce ON CAST(o_custkey AS INTEGER) = ce.Customer_ID "
+             f"LEFT JOIN ({_TRIP_TYPE_SQL}) tt ON o_orderpriority = tt.Trip_Type "
+             f"LEFT JOIN ({_COMMODITY_SQL}) cm ON p_type = cm.Commodity")
+
+
+def _logistics(spark, sf):
+    return M.fact_logistics_operations(
+        fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                               "l_quantity", "l_extendedprice", "l_shipdate"),
+        fx.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_orderpriority"),
+        fx.table(spark, sf, "part").select("p_partkey", "p_type"),
+        _cust_ent(spark, sf).select("Customer_ID", "Customer_SKey"),
+        q_dim_trip_type(spark, sf), q_dim_commodity(spark, sf))
+
+
+@register("fact_logistics_operations", _LOGI_SQL)
+def q_fact_logistics_operations(spark, sf):
+    return _logistics(spark, sf)
+
+
+DRILL_TRIP_ID = 7   # the trip a drill-through report opens
+
+
+@register("trip_drill_through", f"SELECT * FROM ({_LOGI_SQL}) f WHERE DD_Trip_ID = {DRILL_TRIP_ID}")
+def q_trip_drill_through(spark, sf):
+    """Degenerate-dimension drill-through: every activity line of one trip."""
+    return _logistics(spark, sf).filter(F.col("DD_Trip_ID") == DRILL_TRIP_ID)
+
+
+@register("licence_expiry_check",
+          f"SELECT s.TripID, s.DriverID, s.TripDate, d.License_Number, d.License_Expiry_Date "
+          f"FROM ({O.stage_sql('facttrip')}) s JOIN ({_DRV_COMP_SQL}) d ON s.DriverID = d.Driver_ID "
+          f"WHERE s.TripDate > d.License_Expiry_Date")
+def q_licence_expiry_check(spark, sf):
+    from .operators.marts import licence_expiry_check
+    return licence_expiry_check(fx.stage_facttrip(spark, sf), _drv_comp(spark, sf))

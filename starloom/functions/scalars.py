@@ -28,20 +28,39 @@ def minus_one_second(c) -> Column:
     return col_of(c) - F.expr("INTERVAL 1 SECOND")
 
 
+def div_half_up(n, d) -> Column:
+    """Integer ``n / d`` rounded half away from zero, in exact long arithmetic (``d > 0``).
+
+    Used instead of double division so every engine produces the same digits at .5 ties.
+    """
+    n, d = col_of(n).cast(T.LongType()), col_of(d).cast(T.LongType())
+    q = F.call_function("div", F.abs(n) * 2 + d, d * 2)
+    return F.when(n < 0, -q).otherwise(q)
+
+
+def scaled_to_decimal(units, scale: int, precision: int = 18) -> Column:
+    """Long count of 10^-scale units -> decimal(precision, scale), exactly."""
+    step = F.lit(f"{10 ** -scale:.{scale}f}").cast(T.DecimalType(scale + 1, scale))
+    return (col_of(units).cast(T.DecimalType(20, 0)) * step).cast(T.DecimalType(precision, scale))
+
+
 def hours_between(start, end, scale: int = 2) -> Column:
-    """Hours from ``start`` to ``end`` as decimal(18, scale); whole seconds, like DATEDIFF."""
+    """Hours from ``start`` to ``end`` (whole seconds / 3600), rounded half-up to ``scale``."""
     secs = F.timestamp_diff("SECOND", col_of(start), col_of(end))
-    return (secs.cast(T.DecimalType(38, 6)) / F.lit(3600)).cast(T.DecimalType(18, scale))
+    return scaled_to_decimal(div_half_up(secs * (10 ** scale), F.lit(3600)), scale)
 
 
-def safe_ratio(num, den, scale: int = 4) -> Column:
-    """``num / den`` rounded to ``scale`` decimals; zero or NULL denominator gives NULL.
+def safe_ratio(num, den, scale: int = 4, in_scale: int = 2) -> Column:
+    """``num / den`` rounded half-up to ``scale`` decimals; zero or NULL denominator gives NULL.
 
-    Divides in double (IEEE, identical in every engine) and rounds half-up once.
+    Both inputs are exact decimals with at most ``in_scale`` digits; the quotient is computed
+    on their unscaled longs, so no binary floating point is involved.
     """
-    n = col_of(num).cast(T.DoubleType())
-    d = col_of(den).cast(T.DoubleType())
-    return F.when(d == 0, F.lit(None)).otherwise(n / d).cast(T.DecimalType(18, scale))
+    k = 10 ** in_scale
+    n = (col_of(num) * k).cast(T.LongType())
+    d = (col_of(den) * k).cast(T.LongType())
+    q = div_half_up(n * (10 ** scale) * F.signum(d).cast(T.LongType()), F.abs(d))
+    return F.when(d == 0, F.lit(None)).otherwise(scaled_to_decimal(q, scale))
 
 
 def date_key(c) -> Column:

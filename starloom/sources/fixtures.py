@@ -119,10 +119,32 @@ def stage_facttrip(spark, sf_dir, lo=None, hi=None, keep_modified=False) -> Data
     return li.join(o, li.l_orderkey == o.o_orderkey).select(*cols)
 
 
+def stage_fleet_asset(spark, sf_dir, lo=None, hi=None) -> DataFrame:
+    """Vehicle history (documented SCD2 fleet dimension): model and ownership per change."""
+    li = _lineitem(spark, sf_dir, lo, hi, ["l_partkey", "l_linestatus", "l_shipdate"])
+    pa = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    return li.join(pa, li.l_partkey == pa.p_partkey).select(
+        F.col("l_partkey").cast(INT).alias("Vehicle_ID"),
+        F.col("p_type").alias("Model"),
+        F.when(F.col("l_linestatus") == "F", F.lit("OWN")).otherwise(F.lit("VENDOR")).alias("Ownership_Type"),
+        F.col("l_shipdate").cast(TS).alias("ModifiedDate"))
+
+
+def stage_driver_history(spark, sf_dir, lo=None, hi=None) -> DataFrame:
+    """Driver history (documented SCD2 driver dimension): licence and branch per change."""
+    li = _lineitem(spark, sf_dir, lo, hi, ["l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate"])
+    su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return li.join(su, li.l_suppkey == su.s_suppkey).select(
+        F.col("l_suppkey").cast(INT).alias("Driver_ID"),
+        F.concat(F.lit("LIC-"), F.col("l_returnflag"), F.col("l_linestatus")).alias("License_Number"),
+        F.concat(F.lit("NATION-"), F.col("s_nationkey").cast(STR)).alias("Branch"),
+        F.col("l_shipdate").cast(TS).alias("ModifiedDate"))
+
+
 STAGERS = {
     "employee": stage_employee, "driver": stage_driver, "truck": stage_truck,
     "customer": stage_customer, "product": stage_product, "vendor": stage_vendor,
-    "facttrip": stage_facttrip,
+    "facttrip": stage_facttrip, "fleet_asset": stage_fleet_asset, "driver_history": stage_driver_history,
 }
 
 
