@@ -693,3 +693,78 @@ def q_trip_drill_through(spark, sf):
 def q_licence_expiry_check(spark, sf):
     from .operators.marts import licence_expiry_check
     return licence_expiry_check(fx.stage_facttrip(spark, sf), _drv_comp(spark, sf))
+
+
+# --- W3-W5: publishing, watermarks, the tier runner ------------------------------------------
+
+from .plans import loads as L  # noqa: E402
+from .plans import publish as P  # noqa: E402
+
+# Per-table cutoffs of the fixture runs.  The bulk run loads employees up to the end of the
+# event stream (the fact's full load joins employees built from all events).
+BULK_CUTOFFS = {"EMPLOYEE": fx.EMP_DELTA_HI, **{t: fx.FULL_CUTOFF for t in
+                ("DRIVER", "TRUCK", "CUSTOMER", "PRODUCT", "VENDOR", "FACTTRIP")}}
+INC_CUTOFFS = {"EMPLOYEE": fx.EMP_DELTA_HI, **{t: fx.DELTA_HI for t in
+               ("DRIVER", "TRUCK", "CUSTOMER", "PRODUCT", "VENDOR", "FACTTRIP")}}
+
+
+def fixture_extractor(spark, sf) -> L.Extractor:
+    """Bind the staging fixtures to the runner's ``extract(name, lo, hi)`` contract.
+
+    Full loads (``lo is None``) of the truck fixture take every row: its dates are NULL and
+    a bounded window would drop them all."""
+    def extract(name, lo, hi):
+        if name == "truck" and lo is None:
+            return fx.stage_truck(spark, sf)
+        return fx.STAGERS[name](spark, sf, lo, hi)
+    return extract
+
+
+def _warehouse(spark):
+    from .session import scratch_dir
+    return scratch_dir(spark, "warehouse")
+
+
+@register("bulk_load_all", fact_full_sql())
+def q_bulk_load_all(spark, sf):
+    """Full run of all seven tables through the control table; returns the published fact."""
+    root = _warehouse(spark)
+    L.bulk_load_all(spark, fixture_extractor(spark, sf), root, BULK_CUTOFFS, fx.LOAD_TS)
+    return P.read_table(spark, root, "FACTTRIP")
+
+
+@register("incremental_load_all",
+          O.fact_inc_sql(fact_full_sql(), O.stage_delta_sql("facttrip"),
+                         {**dims_after_inc_sql(), "EMPLOYEE": dims_for_fact_full_sql()["EMPLOYEE"]}))
+def q_incremental_load_all(spark, sf):
+    """Full run, then the incremental run from the stored watermarks; returns the fact."""
+    root = _warehouse(spark)
+    ex = fixture_extractor(spark, sf)
+    L.bulk_load_all(spark, ex, root, BULK_CUTOFFS, fx.LOAD_TS)
+    L.incremental_load_all(spark, ex, root, INC_CUTOFFS, fx.LOAD_TS)
+    return P.read_table(spark, root, "FACTTRIP")
+
+
+@register("publish", dim_inc_sql(CUSTOMER))
+def q_publish(spark, sf):
+    """Publish a full SCD2 version, then an increment (history append-only), read back."""
+    root = _warehouse(spark)
+    P.publish_scd2_full(dim_full(spark, sf, CUSTOMER), root, CUSTOMER, fx.FULL_CUTOFF, fx.LOAD_TS)
+    target = P.read_table(spark, root, "CUSTOMER")
+    closed, inserted = scd2.scd2_inc_parts(target, fx.stage_delta(spark, sf, "customer"), CUSTOMER,
+                                           base=P.read_manifest(spark, root, "CUSTOMER")["max_key"])
+    P.publish_scd2_increment(closed, inserted, root, CUSTOMER, fx.DELTA_HI, fx.LOAD_TS)
+    return P.read_table(spark, root, "CUSTOMER")
+
+
+@register("watermark_advance",
+          f"SELECT 'CUSTOMER' AS TABLENAME, {O.ts(fx.DELTA_HI)} AS LAST_WATERMARK_DATE, "
+          f"{O.ts(fx.LOAD_TS)} AS LAST_UPDATETIME FROM (SELECT COUNT(*) FROM ({O.stage_delta_sql('customer')}) s) x")
+def q_watermark_advance(spark, sf):
+    """Full load then increment of CUSTOMER; the watermark table afterwards."""
+    root = _warehouse(spark)
+    ex = fixture_extractor(spark, sf)
+    row = {"TABLENAME": "CUSTOMER", "STAGINGTABLENAME": "customer", "LOADTYPE": "SCD2"}
+    L.full_load_table(spark, row, ex, root, fx.FULL_CUTOFF, fx.LOAD_TS)
+    L.inc_load_table(spark, row, ex, root, fx.DELTA_HI, fx.LOAD_TS)
+    return P.read_watermarks(spark, root, ["CUSTOMER"])

@@ -90,18 +90,30 @@ def close_out(current: DataFrame, first: DataFrame, spec: DimSpec) -> DataFrame:
         F.when(hit, F.lit(False)).otherwise(F.col("IsCurrent")).alias("IsCurrent"))
 
 
-def scd2_inc(target: DataFrame, stg: DataFrame, spec: DimSpec, collation: str | None = None) -> DataFrame:
-    """Increment: change filter -> close current versions -> append the batch's own timeline.
+def scd2_inc_parts(target: DataFrame, stg: DataFrame, spec: DimSpec, base: int | None = None,
+                   collation: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows an increment produces: (former current versions, closed or not; new versions).
 
-    Only current versions are joined; historical versions pass through untouched (with the
-    gold layout split by IsCurrent, they are never rewritten).  New versions get keys after
-    ``greatest(max(key), 0)``; old keys never change.
+    Only current versions are read and joined.  ``base`` is the highest key ever issued (the
+    publish manifest stores it); without it ``greatest(max(key), 0)`` is computed.
     """
     delta = changed_rows(stg, target, spec, collation)
-    history = target.filter(~F.col("IsCurrent"))
     current = target.filter(F.col("IsCurrent"))
     closed = close_out(current, first_change(delta, spec), spec)
-    base = next_key_base(target, spec.sk)
+    if base is None:
+        base = next_key_base(target, spec.sk)
     inserted = dense_key(scd2_timeline(delta, spec), spec.sk, version_key_order(spec), start=base)
     cols = spec.gold_columns()
-    return history.select(*cols).unionByName(closed.select(*cols)).unionByName(inserted.select(*cols))
+    return closed.select(*cols), inserted.select(*cols)
+
+
+def scd2_inc(target: DataFrame, stg: DataFrame, spec: DimSpec, collation: str | None = None) -> DataFrame:
+    """Increment: change filter -> close current versions -> append the batch's own timeline.
+
+    Historical versions pass through untouched (with the gold layout split by IsCurrent they
+    are never rewritten).  New versions get keys after ``greatest(max(key), 0)``; old keys
+    never change.
+    """
+    closed, inserted = scd2_inc_parts(target, stg, spec, collation=collation)
+    history = target.filter(~F.col("IsCurrent")).select(*spec.gold_columns())
+    return history.unionByName(closed).unionByName(inserted)
