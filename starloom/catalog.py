@@ -38,8 +38,8 @@ def dim_full(spark, sf, spec: DimSpec, all_rows: bool = False) -> DataFrame:
     return scd1.scd1_full(stg, spec) if spec.scd == 1 else scd2.scd2_full(stg, spec)
 
 
-def dim_inc(spark, sf, spec: DimSpec) -> DataFrame:
-    target = dim_full(spark, sf, spec)
+def dim_inc(spark, sf, spec: DimSpec, target: DataFrame | None = None) -> DataFrame:
+    target = target if target is not None else dim_full(spark, sf, spec)
     delta = fx.stage_delta(spark, sf, spec.staging)
     return scd1.scd1_merge(target, delta, spec) if spec.scd == 1 else scd2.scd2_inc(target, delta, spec)
 
@@ -49,8 +49,12 @@ def dims_for_fact_full(spark, sf) -> dict[str, DataFrame]:
     return {s.table: dim_full(spark, sf, s, all_rows=(s is EMPLOYEE)) for s in SCD1_DIMS + SCD2_DIMS}
 
 
-def dims_after_inc(spark, sf) -> dict[str, DataFrame]:
-    return {s.table: dim_inc(spark, sf, s) for s in SCD1_DIMS + SCD2_DIMS}
+def dims_after_inc(spark, sf, full: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Every dimension after its increment; ``full`` reuses already built full loads (the
+    employee full load of the fact's run covers all events, so it is rebuilt on its window)."""
+    full = full or {}
+    return {s.table: dim_inc(spark, sf, s, None if s is EMPLOYEE else full.get(s.table))
+            for s in SCD1_DIMS + SCD2_DIMS}
 
 
 def fact_full_df(spark, sf) -> DataFrame:
@@ -114,8 +118,10 @@ def q_fact_full(spark, sf):
 
 @register("fact_inc", O.fact_inc_sql(fact_full_sql(), O.stage_delta_sql("facttrip"), dims_after_inc_sql()))
 def q_fact_inc(spark, sf):
-    return fact_ops.fact_inc(fact_full_df(spark, sf), fx.stage_delta(spark, sf, "facttrip"),
-                             dims_after_inc(spark, sf), FACTTRIP, fx.LOAD_TS)
+    dims = dims_for_fact_full(spark, sf)
+    target = fact_ops.fact_full(fx.stage_full(spark, sf, "facttrip"), dims, FACTTRIP, fx.LOAD_TS)
+    return fact_ops.fact_inc(target, fx.stage_delta(spark, sf, "facttrip"),
+                             dims_after_inc(spark, sf, dims), FACTTRIP, fx.LOAD_TS)
 
 
 @register("fact_delete_matching",

@@ -1,51 +1,28 @@
 """Surrogate keys (IDENTITY) and unknown members.
 
 ``dense_key`` numbers rows 1..n (plus an offset) in a given total order without a
-one-partition window:
-
-1. range-partition on the full order (Spark samples the *whole* sort key, so a hot leading
-   value is split across partitions by the following columns) and sort inside partitions;
-2. tag each row with its partition id and ``monotonically_increasing_id`` and cut lineage with a
-   reliable ``checkpoint`` - a recomputation after executor loss re-reads the same rows in
-   the same partitions, so counts and numbering can never disagree;
-3. count rows per partition (one row per partition), turn the counts into running offsets,
-   and join them back by broadcast - that table is bounded by the partition count, not the data.
-
-The result equals ``row_number() OVER (ORDER BY order)`` whenever the order is total up to rows
-identical in every output column, which is how every caller builds its order.
+one-partition window: a range layout (see ``ordered``) plus per-partition offsets, which are
+bounded by the partition count.  The result equals ``row_number() OVER (ORDER BY order)``
+whenever the order is total up to rows identical in every output column, which is how every
+caller builds its order.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import ts_lit
 from ..schemas import EPOCH, LONG, UNKNOWN_END, UNKNOWN_KEY, DimSpec
-from ..session import ensure_checkpoint_dir
-
-_PID, _MID = "__sl_pid", "__sl_mid"
+from .ordered import number_rows, range_layout, release_materialized  # noqa: F401
 
 
 def dense_key(df: DataFrame, key_col: str, order: list[Column], start: int = 0,
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, materialize: str = "persist") -> DataFrame:
     """Add ``key_col`` = start + row number in ``order`` (1-based), as bigint."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
-              else df.repartitionByRange(*order))
-    tagged = (ranged.sortWithinPartitions(*order)
-                    .withColumn(_PID, F.spark_partition_id())
-                    .withColumn(_MID, F.monotonically_increasing_id())
-                    .checkpoint(eager=True))
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__sl_n"))
-    running = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        _PID, F.coalesce(F.sum("__sl_n").over(running), F.lit(0)).alias("__sl_off"))
-    local = F.col(_MID) - F.shiftleft(F.col(_PID).cast(LONG), 33)
+    layout = range_layout(df, order, num_partitions=num_partitions, materialize=materialize)
     cols = [c for c in df.columns if c != key_col]
-    return (tagged.join(F.broadcast(offsets), _PID)
-                  .select((F.lit(start).cast(LONG) + F.col("__sl_off") + local + 1).alias(key_col), *cols))
+    return number_rows(layout, key_col, start).select(key_col, *cols)
 
 
 def next_key_base(target: DataFrame, key_col: str) -> int:

@@ -61,12 +61,15 @@ def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str
     ``"equi"`` (key join + interval residual), ``"bucketed"`` or ``"auto"``.
     """
     side = _pit_side(dim, spec)
+    # One pass over the (small) lookup side gives both bounds the plan depends on.
+    stats = side.groupBy("__lk").count().agg(F.sum("count").alias("rows"), F.max("count").alias("mx")).first()
+    rows, mx = int(stats.rows or 0), int(stats.mx or 0)
     if strategy == "auto":
-        stats = side.groupBy("__lk").count().agg(F.max("count").alias("mx")).first()
-        strategy = "bucketed" if (stats.mx or 0) > max_versions_per_key else "equi"
+        strategy = "bucketed" if mx > max_versions_per_key else "equi"
     t = F.col(time_col)
     if strategy == "equi":
-        side, _ = broadcast_if_small(side, max_broadcast_rows)
+        if rows <= max_broadcast_rows:
+            side = F.broadcast(side)
         cond = (fact[fact_bk] == side["__lk"]) & (t >= side["__ls"]) & (t <= side["__le"])
         j = fact.join(side, cond, "left")
         drop = ["__lk", "__lsk", "__ls", "__le"]
@@ -80,6 +83,9 @@ def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str
         last = F.least(_month_index(F.col("__le")), F.lit(hi_m))
         exploded = side.withColumn(
             "__lb", F.explode(F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))))
+        n_exploded = exploded.count()
+        if n_exploded <= max_broadcast_rows:      # measured: no shuffle of the fact at all
+            exploded = F.broadcast(exploded)
         f = fact.withColumn("__fb", _month_index(t))
         cond = ((f[fact_bk] == exploded["__lk"]) & (f["__fb"] == exploded["__lb"])
                 & (t >= exploded["__ls"]) & (t <= exploded["__le"]))

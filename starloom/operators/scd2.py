@@ -1,12 +1,13 @@
 """SCD type 2: version timelines, full rebuild and increment with change detection."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import isnull_default, minus_one_second, ts_lit
 from ..schemas import EPOCH, DimSpec
-from .keys import dense_key, next_key_base, with_unknown
+from .keys import next_key_base, with_unknown
+from .ordered import lead_in_key, range_layout
 
 
 def timeline_order(spec: DimSpec) -> list[Column]:
@@ -14,37 +15,42 @@ def timeline_order(spec: DimSpec) -> list[Column]:
     return [F.col(spec.date_col).asc_nulls_first()] + [F.col(a).asc_nulls_first() for a in spec.attr_names]
 
 
-def version_key_order(spec: DimSpec) -> list[Column]:
-    """Order in which new versions receive keys.  RowEnd is part of it: two versions equal in
-    everything else (same date, same attributes) differ in their end."""
-    return ([F.col(spec.bk).asc_nulls_first(), F.col("RowStartDateTime").asc_nulls_first()]
-            + [F.col(a).asc_nulls_first() for a in spec.attr_names]
-            + [F.col("RowEndDateTime").asc_nulls_last(), F.col("IsCurrent").asc_nulls_first()])
+def _versions(layout_rows: DataFrame, spec: DimSpec, nxt: str) -> list[Column]:
+    return [spec.bk, *spec.attr_names,
+            F.coalesce(F.col(spec.date_col), ts_lit(EPOCH)).alias("RowStartDateTime"),
+            F.when(F.col(nxt).isNull(), F.lit(None)).otherwise(minus_one_second(nxt)).alias("RowEndDateTime"),
+            F.col(nxt).isNull().alias("IsCurrent")]
 
 
-def scd2_timeline(rows: DataFrame, spec: DimSpec) -> DataFrame:
+def scd2_timeline(rows: DataFrame, spec: DimSpec, key_start: int | None = None) -> DataFrame:
     """One version per input row: start = ISNULL(date, 1900-01-01), end = next date - 1 s,
-    current when there is no next date.
+    current when there is no next date; with ``key_start`` also surrogate keys.
 
     ``LEAD`` over a NULL date cannot be told from "no next row": two NULL-dated rows of a key
     both stay current (kept on purpose; ``check_unique_bk`` reports it).  Equal dates give
     end = start - 1 s (kept).
+
+    Runs on one range layout of (key, date NULLS FIRST, attributes): the LEAD is a window per
+    range partition with a boundary fix-up (a key with a third of all rows is spread over many
+    tasks), and the keys are the positions in the same order - rows equal in key, date and
+    attributes come out identical except the last of such a run, which ends at the following
+    version and takes the highest key of the run.
     """
-    w = Window.partitionBy(spec.bk).orderBy(*timeline_order(spec))
-    nxt = F.lead(spec.date_col).over(w)
-    return (rows.select(spec.bk, *spec.attr_names, spec.date_col)
-                .withColumn("__next", nxt)
-                .select(spec.bk, *spec.attr_names,
-                        F.coalesce(F.col(spec.date_col), ts_lit(EPOCH)).alias("RowStartDateTime"),
-                        F.when(F.col("__next").isNull(), F.lit(None))
-                         .otherwise(minus_one_second("__next")).alias("RowEndDateTime"),
-                        F.col("__next").isNull().alias("IsCurrent")))
+    layout = range_layout(rows.select(spec.bk, *spec.attr_names, spec.date_col),
+                          [F.col(spec.bk).asc_nulls_first()] + timeline_order(spec),
+                          first_cols=[spec.bk, spec.date_col])
+    with_lead = lead_in_key(layout, spec.bk, spec.date_col, "__next",
+                            with_row_number="__rn" if key_start is not None else None)
+    cols = _versions(with_lead, spec, "__next")
+    if key_start is None:
+        return with_lead.select(*cols)
+    key = (F.lit(key_start).cast("long") + F.col("__rn")).alias(spec.sk)
+    return with_lead.select(key, *cols)
 
 
 def scd2_full(stg: DataFrame, spec: DimSpec, add_unknown: bool = True) -> DataFrame:
     """TRUNCATE + rebuild every version from staging; unchanged rows are *not* collapsed."""
-    versions = scd2_timeline(stg, spec)
-    dim = dense_key(versions, spec.sk, version_key_order(spec)).select(*spec.gold_columns())
+    dim = scd2_timeline(stg, spec, key_start=0).select(*spec.gold_columns())
     return with_unknown(dim, spec) if add_unknown else dim
 
 
@@ -102,7 +108,7 @@ def scd2_inc_parts(target: DataFrame, stg: DataFrame, spec: DimSpec, base: int |
     closed = close_out(current, first_change(delta, spec), spec)
     if base is None:
         base = next_key_base(target, spec.sk)
-    inserted = dense_key(scd2_timeline(delta, spec), spec.sk, version_key_order(spec), start=base)
+    inserted = scd2_timeline(delta, spec, key_start=base)
     cols = spec.gold_columns()
     return closed.select(*cols), inserted.select(*cols)
 

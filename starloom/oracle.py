@@ -143,18 +143,22 @@ def scd1_merge_sql(target: str, stg: str, spec: DimSpec) -> str:
 
 # --- SCD2 --------------------------------------------------------------------------------
 
-def timeline_sql(rows: str, spec: DimSpec) -> str:
+def timeline_sql(rows: str, spec: DimSpec, internal: bool = False) -> str:
+    """Versions from LEAD; with ``internal`` also the raw date and whether the row ends a run
+    of rows equal in key, date and attributes (the key order's last tie-break)."""
     attrs = ", ".join(spec.attr_names)
-    order = f"{spec.date_col} ASC NULLS FIRST, {_asc(spec.attr_names)}"
+    same = " AND ".join([f"LEAD({c}) OVER w IS NOT DISTINCT FROM {c}" for c in [spec.date_col, *spec.attr_names]])
+    extra = ", __m, NOT __cont AS __term" if internal else ""
     return (f"SELECT {spec.bk}, {attrs}, COALESCE({spec.date_col}, {ts(EPOCH)}) AS RowStartDateTime, "
             f"CASE WHEN nxt IS NULL THEN NULL ELSE nxt - INTERVAL 1 SECOND END AS RowEndDateTime, "
-            f"nxt IS NULL AS IsCurrent FROM (SELECT {spec.bk}, {attrs}, {spec.date_col}, "
-            f"LEAD({spec.date_col}) OVER (PARTITION BY {spec.bk} ORDER BY {order}) AS nxt FROM ({rows}) r) x")
+            f"nxt IS NULL AS IsCurrent{extra} FROM (SELECT {spec.bk}, {attrs}, {spec.date_col}, {spec.date_col} AS __m, "
+            f"LEAD({spec.date_col}) OVER w AS nxt, (LEAD(1) OVER w IS NOT NULL AND {same}) AS __cont "
+            f"FROM ({rows}) r WINDOW w AS (PARTITION BY {spec.bk} ORDER BY {spec.date_col} ASC NULLS FIRST, "
+            f"{_asc(spec.attr_names)})) x")
 
 
 def version_order_sql(spec: DimSpec) -> str:
-    return (f"{spec.bk} ASC NULLS FIRST, RowStartDateTime ASC NULLS FIRST, {_asc(spec.attr_names)}, "
-            f"RowEndDateTime ASC NULLS LAST, IsCurrent ASC NULLS FIRST")
+    return f"{spec.bk} ASC NULLS FIRST, __m ASC NULLS FIRST, {_asc(spec.attr_names)}, __term ASC"
 
 
 def gold_cols(spec: DimSpec) -> str:
@@ -164,7 +168,7 @@ def gold_cols(spec: DimSpec) -> str:
 def scd2_full_sql(stg: str, spec: DimSpec, add_unknown: bool = True) -> str:
     attrs = ", ".join(spec.attr_names)
     q = (f"SELECT CAST(ROW_NUMBER() OVER (ORDER BY {version_order_sql(spec)}) AS BIGINT) AS {spec.sk}, "
-         f"{spec.bk}, {attrs}, RowStartDateTime, RowEndDateTime, IsCurrent FROM ({timeline_sql(stg, spec)}) v")
+         f"{spec.bk}, {attrs}, RowStartDateTime, RowEndDateTime, IsCurrent FROM ({timeline_sql(stg, spec, True)}) v")
     return f"{q} UNION ALL {unknown_sql(spec)}" if add_unknown else q
 
 
@@ -198,7 +202,7 @@ def scd2_inc_sql(target: str, stg: str, spec: DimSpec) -> str:
     attrs = ", ".join(spec.attr_names)
     hist = f"SELECT {gold_cols(spec)} FROM ({target}) h WHERE NOT IsCurrent"
     ins = (f"SELECT CAST({base_sql(target, spec.sk)} + ROW_NUMBER() OVER (ORDER BY {version_order_sql(spec)}) AS BIGINT) "
-           f"AS {spec.sk}, {spec.bk}, {attrs}, RowStartDateTime, RowEndDateTime, IsCurrent FROM ({timeline_sql(delta, spec)}) v")
+           f"AS {spec.sk}, {spec.bk}, {attrs}, RowStartDateTime, RowEndDateTime, IsCurrent FROM ({timeline_sql(delta, spec, True)}) v")
     return f"{hist} UNION ALL {close_out_sql(target, delta, spec)} UNION ALL {ins}"
 
 
