@@ -52,9 +52,15 @@ def _pit_side(dim: DataFrame, spec: DimSpec) -> DataFrame:
                       F.coalesce(F.col("RowEndDateTime"), ts_lit(OPEN_END)).alias("__le"))
 
 
+def time_bounds(df: DataFrame, time_col: str):
+    """(min, max) of the event time: one global aggregate over a single column."""
+    b = df.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
+    return b.lo, b.hi
+
+
 def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str, spec: DimSpec,
                     strategy: str = "auto", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-                    max_versions_per_key: int = PIT_MAX_VERSIONS_PER_KEY) -> DataFrame:
+                    max_versions_per_key: int = PIT_MAX_VERSIONS_PER_KEY, bounds=None) -> DataFrame:
     """LEFT join on key and ``start <= t <= ISNULL(end, 9999-12-31 23:59:59)``; a miss is -1.
 
     Overlapping versions multiply the fact row, as the SQL join does.  ``strategy`` is
@@ -74,18 +80,19 @@ def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str
         j = fact.join(side, cond, "left")
         drop = ["__lk", "__lsk", "__ls", "__le"]
     else:
-        bounds = fact.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
-        if bounds.lo is None:          # no fact row has a time: nothing can match
+        lo, hi = bounds if bounds is not None else time_bounds(fact, time_col)
+        if lo is None:                 # no fact row has a time: nothing can match
             return fact.withColumn(spec.sk, F.lit(UNKNOWN_KEY).cast("bigint"))
-        lo_m = bounds.lo.year * 12 + bounds.lo.month - 1
-        hi_m = bounds.hi.year * 12 + bounds.hi.month - 1
+        lo_m = lo.year * 12 + lo.month - 1
+        hi_m = hi.year * 12 + hi.month - 1
         first = F.greatest(_month_index(F.col("__ls")), F.lit(lo_m))
         last = F.least(_month_index(F.col("__le")), F.lit(hi_m))
         exploded = side.withColumn(
             "__lb", F.explode(F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))))
-        n_exploded = exploded.count()
-        if n_exploded <= max_broadcast_rows:      # measured: no shuffle of the fact at all
-            exploded = F.broadcast(exploded)
+        # Proven bound first (each version lands in at most every month of the fact's span);
+        # count only when that bound is too loose.
+        if rows * (hi_m - lo_m + 1) <= max_broadcast_rows or exploded.count() <= max_broadcast_rows:
+            exploded = F.broadcast(exploded)          # the fact is not shuffled at all
         f = fact.withColumn("__fb", _month_index(t))
         cond = ((f[fact_bk] == exploded["__lk"]) & (f["__fb"] == exploded["__lb"])
                 & (t >= exploded["__ls"]) & (t <= exploded["__le"]))
@@ -101,10 +108,29 @@ def star_lookup(fact: DataFrame, dims: dict[str, DataFrame], lookups, time_col:
     ``dims`` maps table name -> gold DataFrame; ``lookups`` is ``[(fact_bk, DimSpec), ...]``.
     """
     out = fact
+    bounds = []                                  # computed once, on the staged fact, if needed
+
+    def fact_bounds():
+        if not bounds:
+            bounds.append(time_bounds(fact, time_col))
+        return bounds[0]
+
     for fact_bk, spec in lookups:
         dim = dims[spec.table]
         if spec.scd == 1:
             out = lookup_scd1(out, dim, fact_bk, spec, max_broadcast_rows)
         else:
-            out = lookup_scd2_pit(out, dim, fact_bk, time_col, spec, pit_strategy, max_broadcast_rows)
+            out = lookup_scd2_pit(out, dim, fact_bk, time_col, spec, pit_strategy, max_broadcast_rows,
+                                  bounds=_Lazy(fact_bounds))
     return out
+
+
+class _Lazy(tuple):
+    """A (lo, hi) pair computed on first use."""
+    def __new__(cls, fn):
+        obj = super().__new__(cls)
+        obj._fn = fn
+        return obj
+
+    def __iter__(self):
+        return iter(self._fn())
