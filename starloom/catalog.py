@@ -774,3 +774,38 @@ def q_watermark_advance(spark, sf):
     L.full_load_table(spark, row, ex, root, fx.FULL_CUTOFF, fx.LOAD_TS)
     L.inc_load_table(spark, row, ex, root, fx.DELTA_HI, fx.LOAD_TS)
     return P.read_watermarks(spark, root, ["CUSTOMER"])
+
+
+# --- streaming form of the increments (file landing -> foreachBatch) --------------------------
+
+LANDING_YEARS = (1999, 2000, 2001)
+
+
+def _year_window(y):
+    lo = fx.FULL_CUTOFF if y == LANDING_YEARS[0] else f"{y - 1}-12-31 23:59:59.999999"
+    return lo, (fx.DELTA_HI if y == LANDING_YEARS[-1] else f"{y}-12-31 23:59:59.999999")
+
+
+def _streamed_sql(spec):
+    q = dim_full_sql(spec)
+    for y in LANDING_YEARS:
+        lo, hi = _year_window(y)
+        q = O.scd2_inc_sql(q, O.stage_sql(spec.staging, lo, hi), spec)
+    return q
+
+
+@register("streaming_scd2_increments", _streamed_sql(CUSTOMER))
+def q_streaming_scd2_increments(spark, sf):
+    """Full load, then the delta landed as one file set per year and applied by a
+    Structured Streaming query (one micro-batch per file set, in arrival order)."""
+    from .session import scratch_dir
+    from .streaming.landing import dimension_batch_loader, run_landing_stream
+    root = _warehouse(spark)
+    landing = scratch_dir(spark, "landing")
+    P.publish_scd2_full(dim_full(spark, sf, CUSTOMER), root, CUSTOMER, fx.FULL_CUTOFF, fx.LOAD_TS)
+    for y in LANDING_YEARS:             # the daily landing: one file per arrival, written in order
+        lo, hi = _year_window(y)
+        fx.stage_customer(spark, sf, lo, hi).coalesce(1).write.parquet(f"{landing}/arrival_{y}")
+    run_landing_stream(spark, landing, CUSTOMER.staging_schema(), dimension_batch_loader(root, CUSTOMER, fx.LOAD_TS),
+                       scratch_dir(spark, "stream-ckpt"), max_files_per_trigger=1)
+    return P.read_table(spark, root, "CUSTOMER")

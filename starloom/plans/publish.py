@@ -141,7 +141,7 @@ def _max_key(df: DataFrame, key: str) -> int:
 # --- publish operations -------------------------------------------------------------------
 
 def publish_full(df: DataFrame, root: str, table: str, key: str, watermark: str, now: str,
-                 partition_by: list[str] | None = None) -> dict:
+                 partition_by: list[str] | None = None, extra: dict | None = None) -> dict:
     """TRUNCATE + INSERT + watermark, atomically: new version, then the manifest."""
     spark = df.sparkSession
     version = new_version(root, table)
@@ -150,7 +150,7 @@ def publish_full(df: DataFrame, root: str, table: str, key: str, watermark: str,
         w = w.partitionBy(*partition_by)
     w.parquet(version)
     written = spark.read.parquet(version)
-    m = _manifest(table, version, [version], df.columns, watermark, now, _max_key(written, key))
+    m = _manifest(table, version, [version], df.columns, watermark, now, _max_key(written, key), **(extra or {}))
     write_manifest(spark, root, table, m)
     return m
 
@@ -169,7 +169,7 @@ def publish_scd2_full(dim: DataFrame, root: str, spec: DimSpec, watermark: str,
 
 
 def publish_scd2_increment(closed: DataFrame, inserted: DataFrame, root: str, spec: DimSpec,
-                           watermark: str, now: str) -> dict:
+                           watermark: str, now: str, extra: dict | None = None) -> dict:
     """Publish an increment without rewriting history.
 
     ``closed``/``inserted`` come from ``scd2_inc_parts``.  Versions that end now (closed
@@ -186,7 +186,7 @@ def publish_scd2_increment(closed: DataFrame, inserted: DataFrame, root: str, sp
     rows.filter(F.col("IsCurrent")).write.mode("errorifexists").parquet(cur)
     mk = max(_max_key(inserted, spec.sk), old.get("max_key", 0))
     paths = {**old_hist, f"hist{len(old_hist)}": hist, "cur": cur}
-    m = _manifest(spec.table, version, paths, old["columns"], watermark, now, mk)
+    m = _manifest(spec.table, version, paths, old["columns"], watermark, now, mk, **(extra or {}))
     write_manifest(spark, root, spec.table, m)
     return m
 
