@@ -16,6 +16,7 @@ from ..functions.scalars import (date_key, div_half_up, fiscal_quarter, fiscal_y
 from ..schemas import DEC10_2, DEC18_2, INT, DimSpec
 from .keys import dense_key
 from .lookup import lookup_scd1
+from .sizing import broadcast_if_small
 
 
 # ------------------------------------------------------------------------------------------
@@ -280,6 +281,7 @@ def licence_expiry_check(trips: DataFrame, drivers: DataFrame, trip_driver: str
                          trip_time: str = "TripDate") -> DataFrame:
     """Trips driven after the driver's licence expired (join on driver, then filter)."""
     d = drivers.select("Driver_ID", "License_Number", "License_Expiry_Date")
+    d, _ = broadcast_if_small(d)
     j = trips.join(d, trips[trip_driver] == d["Driver_ID"])
     return j.filter(F.col(trip_time) > F.col("License_Expiry_Date")) \
             .select("TripID", trip_driver, trip_time, "License_Number", "License_Expiry_Date")

@@ -5,11 +5,13 @@ quarantine table, and ``assert_empty`` turns one into a load failure.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import LOAD_TYPES, OPEN_END, DimSpec, FactSpec
 from ..functions.scalars import ts_lit
+from ..schemas import LOAD_TYPES, OPEN_END, DimSpec, FactSpec
+from .ordered import lead_in_key, range_layout
+from .sizing import broadcast_if_small
 
 
 class QualityError(RuntimeError):
@@ -38,6 +40,7 @@ def check_fk(fact: DataFrame, dims: dict[str, DataFrame], spec: FactSpec) -> Dat
     out = None
     for _, d in spec.lookups:
         keys = dims[d.table].select(F.col(d.sk).alias("__k")).distinct()
+        keys, _ = broadcast_if_small(keys)
         miss = (fact.join(keys, fact[d.sk] == keys["__k"], "left_anti")
                     .select(spec.sk, F.lit(d.table).alias("dimension"), F.col(d.sk).alias("missing_key")))
         out = miss if out is None else out.unionByName(miss)
@@ -50,17 +53,18 @@ def check_domain(df: DataFrame, col: str = "LOADTYPE", allowed=LOAD_TYPES) -> Da
 
 
 def check_overlap(dim: DataFrame, spec: DimSpec) -> DataFrame:
-    """Versions of a key whose successor (by start) starts at or before this version's end.
-
-    The window is per business key; versions per key are few in a dimension.
-    """
+    """Versions of a key whose successor (by start, then key) starts at or before this
+    version's end.  The successor comes from the range layout's LEAD, so a key with very many
+    versions is spread over many tasks."""
     end = F.coalesce(F.col("RowEndDateTime"), ts_lit(OPEN_END))
-    w = Window.partitionBy(spec.bk).orderBy(F.col("RowStartDateTime").asc_nulls_first(),
-                                            F.col(spec.sk).asc_nulls_first())
-    return (dim.withColumn("next_start", F.lead("RowStartDateTime").over(w))
-               .withColumn("next_key", F.lead(spec.sk).over(w))
-               .filter(F.col("next_start").isNotNull() & (F.col("next_start") <= end))
-               .select(spec.sk, spec.bk, "RowStartDateTime", "RowEndDateTime", "next_key", "next_start"))
+    rows = dim.select(spec.sk, spec.bk, "RowStartDateTime", "RowEndDateTime",
+                      F.struct(F.col("RowStartDateTime").alias("s"), F.col(spec.sk).alias("k")).alias("__v"))
+    layout = range_layout(rows, [F.col(spec.bk).asc_nulls_first(), F.col("RowStartDateTime").asc_nulls_first(),
+                                 F.col(spec.sk).asc_nulls_first()], first_cols=[spec.bk, "__v"])
+    nxt = lead_in_key(layout, spec.bk, "__v", "__next")
+    return (nxt.filter(F.col("__next").isNotNull() & (F.col("__next.s") <= end))
+               .select(spec.sk, spec.bk, "RowStartDateTime", "RowEndDateTime",
+                       F.col("__next.k").alias("next_key"), F.col("__next.s").alias("next_start")))
 
 
 def assert_empty(violations: DataFrame, what: str) -> None:

@@ -8,6 +8,7 @@ from ..functions.scalars import isnull_default, minus_one_second, ts_lit
 from ..schemas import EPOCH, DimSpec
 from .keys import next_key_base, with_unknown
 from .ordered import lead_in_key, range_layout
+from .sizing import broadcast_if_small
 
 
 def timeline_order(spec: DimSpec) -> list[Column]:
@@ -65,6 +66,7 @@ def changed_rows(stg: DataFrame, target: DataFrame, spec: DimSpec, collation: st
     cur = target.filter(F.col("IsCurrent")).select(
         F.col(spec.bk).alias("__bk"), F.col(spec.sk).alias("__sk"),
         *[F.col(a).alias(f"__t_{a}") for a in spec.attr_names])
+    cur, _ = broadcast_if_small(cur)          # the current set, if measured small; else shuffled
     j = stg.select(spec.bk, *spec.attr_names, spec.date_col).join(
         cur, F.col(spec.bk) == F.col("__bk"), "left")
     differs = F.lit(False)
@@ -88,6 +90,7 @@ def close_out(current: DataFrame, first: DataFrame, spec: DimSpec) -> DataFrame:
     A touched key whose delta dates are all NULL gets end NULL and current = false (kept).
     """
     f = first.select(F.col(spec.bk).alias("__bk"), "FirstNewDate", F.lit(True).alias("__hit"))
+    f, _ = broadcast_if_small(f)              # keys touched by the batch
     j = current.join(f, F.col(spec.bk) == F.col("__bk"), "left")
     hit = F.col("__hit").isNotNull() & F.col("IsCurrent")
     return j.select(

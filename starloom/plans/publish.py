@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ts_lit
+from ..operators.sizing import broadcast_if_small
 from ..schemas import WATERMARK_SCHEMA, DimSpec, FactSpec
 
 MANIFEST = "_manifest.json"
@@ -227,6 +228,7 @@ def publish_fact_increment(stg: DataFrame, new_rows: DataFrame, root: str, spec:
     old = read_manifest(spark, root, spec.table)
     current = read_table(spark, root, spec.table)
     ids = stg.select(F.col(spec.id_col).alias("__id")).filter(F.col("__id").isNotNull()).distinct()
+    ids, _ = broadcast_if_small(ids)          # measured; else a shuffle semi join
     hit = current.join(ids, current[spec.id_col] == ids["__id"], "left_semi")
     hit_months = {r[0] for r in _with_month(hit, spec.time_col).select(MONTH_COL).distinct().collect()}
     new_months = {r[0] for r in _with_month(new_rows, spec.time_col).select(MONTH_COL).distinct().collect()}

@@ -134,3 +134,13 @@ def test_scd2_hot_key_matches_brute_force(spark):
         by_row.setdefault(x[1:], set()).add(x[0])
     for x in g:
         assert x[0] in by_row[x[1:]]
+
+
+def test_overlap_check_reports_open_closed_version(spark):
+    from starloom.operators.quality import check_overlap, check_unique_bk
+    tgt = scd2.scd2_full(stg(spark, VENDOR, [(2, "A", ts("2024-05-01 00:00:00"))]), VENDOR)
+    out = scd2.scd2_inc(tgt, stg(spark, VENDOR, [(2, "B", None)]), VENDOR)
+    bad = check_overlap(out, VENDOR).collect()
+    # the closed version kept an open end (all delta dates NULL) and overlaps the new one
+    assert len(bad) == 1 and bad[0].VendorID == 2
+    assert check_unique_bk(out, VENDOR).count() == 0
