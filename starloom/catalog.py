@@ -174,6 +174,17 @@ def q_pit_bucketed(spark, sf):
                                   CUSTOMER, strategy="bucketed")
 
 
+@register("lookup_scd2_pit_half_open",
+          _lookup_one_sql(PRODUCT).replace(f"s.TripDate <= COALESCE(d.RowEndDateTime, {O.ts(OPEN_END)})",
+                                           f"s.TripDate < COALESCE(d.RowEndDateTime, {O.ts(OPEN_END)}) + INTERVAL 1 SECOND"))
+def q_pit_half_open(spark, sf):
+    """Point-in-time lookup, option: a time in the last second before the next version
+    belongs to the earlier version (Q10 fixed)."""
+    stg = fx.stage_full(spark, sf, "facttrip")
+    return lookup.lookup_scd2_pit(stg, dim_full(spark, sf, PRODUCT), "ProductID", "TripDate", PRODUCT,
+                                  half_open=True)
+
+
 @register("lookup_scd2_current",
           f"SELECT s.*, CAST(COALESCE(d.CustomerKey, -1) AS BIGINT) AS CustomerKey "
           f"FROM ({O.stage_delta_sql('customer')}) s LEFT JOIN "
@@ -267,6 +278,22 @@ def q_mutation_filter(spark, sf):
     return _changed(spark, sf, CUSTOMER)
 
 
+@register("mutation_filter_chain",
+          O.changed_sql(O.stage_delta_sql("customer"), dim_full_sql(CUSTOMER), CUSTOMER, chain=True))
+def q_mutation_filter_chain(spark, sf):
+    """Change filter, option: each row against its predecessor in the batch (Q11 fixed)."""
+    return scd2.changed_rows(fx.stage_delta(spark, sf, "customer"), dim_full(spark, sf, CUSTOMER), CUSTOMER,
+                             chain_compare=True)
+
+
+@register("scd2_inc_chain_product",
+          O.scd2_inc_sql(dim_full_sql(PRODUCT), O.stage_delta_sql("product"), PRODUCT, chain=True))
+def q_scd2_inc_chain(spark, sf):
+    """SCD2 increment with the chained change filter."""
+    return scd2.scd2_inc(dim_full(spark, sf, PRODUCT), fx.stage_delta(spark, sf, "product"), PRODUCT,
+                         chain_compare=True)
+
+
 @register("scd2_first_change", O.first_change_sql(_changed_sql(PRODUCT), PRODUCT))
 def q_first_change(spark, sf):
     return scd2.first_change(_changed(spark, sf, PRODUCT), PRODUCT)

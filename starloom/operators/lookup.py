@@ -52,6 +52,10 @@ def _pit_side(dim: DataFrame, spec: DimSpec) -> DataFrame:
                       F.coalesce(F.col("RowEndDateTime"), ts_lit(OPEN_END)).alias("__le"))
 
 
+def _before_end(t, end, half_open: bool):
+    return (t < end + F.expr("INTERVAL 1 SECOND")) if half_open else (t <= end)
+
+
 def time_bounds(df: DataFrame, time_col: str):
     """(min, max) of the event time: one global aggregate over a single column."""
     b = df.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
@@ -60,11 +64,14 @@ def time_bounds(df: DataFrame, time_col: str):
 
 def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str, spec: DimSpec,
                     strategy: str = "auto", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-                    max_versions_per_key: int = PIT_MAX_VERSIONS_PER_KEY, bounds=None) -> DataFrame:
+                    max_versions_per_key: int = PIT_MAX_VERSIONS_PER_KEY, bounds=None,
+                    half_open: bool = False) -> DataFrame:
     """LEFT join on key and ``start <= t <= ISNULL(end, 9999-12-31 23:59:59)``; a miss is -1.
 
     Overlapping versions multiply the fact row, as the SQL join does.  ``strategy`` is
-    ``"equi"`` (key join + interval residual), ``"bucketed"`` or ``"auto"``.
+    ``"equi"`` (key join + interval residual), ``"bucketed"`` or ``"auto"``.  A time between
+    a version's end (next start - 1 s) and the next start matches nothing; ``half_open=True``
+    matches it to the earlier version (``t < end + 1 s``).
     """
     side = _pit_side(dim, spec)
     # One pass over the (small) lookup side gives both bounds the plan depends on.
@@ -76,7 +83,7 @@ def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str
     if strategy == "equi":
         if rows <= max_broadcast_rows:
             side = F.broadcast(side)
-        cond = (fact[fact_bk] == side["__lk"]) & (t >= side["__ls"]) & (t <= side["__le"])
+        cond = (fact[fact_bk] == side["__lk"]) & (t >= side["__ls"]) & _before_end(t, side["__le"], half_open)
         j = fact.join(side, cond, "left")
         drop = ["__lk", "__lsk", "__ls", "__le"]
     else:
@@ -95,7 +102,7 @@ def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str
             exploded = F.broadcast(exploded)          # the fact is not shuffled at all
         f = fact.withColumn("__fb", _month_index(t))
         cond = ((f[fact_bk] == exploded["__lk"]) & (f["__fb"] == exploded["__lb"])
-                & (t >= exploded["__ls"]) & (t <= exploded["__le"]))
+                & (t >= exploded["__ls"]) & _before_end(t, exploded["__le"], half_open))
         j = f.join(exploded, cond, "left")
         drop = ["__lk", "__lsk", "__ls", "__le", "__lb", "__fb"]
     return j.withColumn(spec.sk, F.coalesce(F.col("__lsk"), F.lit(UNKNOWN_KEY).cast("bigint"))).drop(*drop)

@@ -55,28 +55,48 @@ def scd2_full(stg: DataFrame, spec: DimSpec, add_unknown: bool = True) -> DataFr
     return with_unknown(dim, spec) if add_unknown else dim
 
 
-def changed_rows(stg: DataFrame, target: DataFrame, spec: DimSpec, collation: str | None = None) -> DataFrame:
+def _differs(spec: DimSpec, left: str, right: str, collation: str | None):
+    out = F.lit(False)
+    for a in spec.attrs:
+        t = isnull_default(f"{left}{a.name}", a.null_default, a.dtype)
+        s = isnull_default(f"{right}{a.name}", a.null_default, a.dtype)
+        if collation and a.null_default == "":
+            t, s = F.collate(t, collation), F.collate(s, collation)
+        out = out | (t != s)
+    return out
+
+
+def changed_rows(stg: DataFrame, target: DataFrame, spec: DimSpec, collation: str | None = None,
+                 chain_compare: bool = False) -> DataFrame:
     """Staging rows that are new keys or differ from a current version in any attribute.
 
     NULL is equal to the attribute's default ('' for text, 0 for price).  Each staging row is
-    compared with the *pre-load* current version, not with its predecessor in the batch.  A key
-    with two current versions joins twice, so a row can appear twice (kept, as in the procedure).
+    compared with the *pre-load* current version, not with its predecessor in the batch, so
+    A -> B -> A in one batch drops the last A (kept, as in the procedure).  A key with two
+    current versions joins twice, so a row can appear twice (kept).
+    ``chain_compare=True`` instead compares each row with the previous row of its key in the
+    batch (by date, then attributes) and only the first one with the current version; the
+    previous row comes from a LAG on the range layout (hot keys spread over tasks).
     ``collation`` (e.g. ``UTF8_LCASE_RTRIM``) switches text compares from binary.
     """
     cur = target.filter(F.col("IsCurrent")).select(
         F.col(spec.bk).alias("__bk"), F.col(spec.sk).alias("__sk"),
         *[F.col(a).alias(f"__t_{a}") for a in spec.attr_names])
     cur, _ = broadcast_if_small(cur)          # the current set, if measured small; else shuffled
-    j = stg.select(spec.bk, *spec.attr_names, spec.date_col).join(
-        cur, F.col(spec.bk) == F.col("__bk"), "left")
-    differs = F.lit(False)
-    for a in spec.attrs:
-        t = isnull_default(f"__t_{a.name}", a.null_default, a.dtype)
-        s = isnull_default(a.name, a.null_default, a.dtype)
-        if collation and a.null_default == "":
-            t, s = F.collate(t, collation), F.collate(s, collation)
-        differs = differs | (t != s)
-    return j.filter(F.col("__sk").isNull() | differs).select(spec.bk, *spec.attr_names, spec.date_col)
+    rows = stg.select(spec.bk, *spec.attr_names, spec.date_col)
+    if chain_compare:
+        rows = rows.withColumn("__v", F.struct(*[F.col(a).alias(a) for a in spec.attr_names]))
+        backwards = ([F.col(spec.bk).asc_nulls_first(), F.col(spec.date_col).desc_nulls_last()]
+                     + [F.col(a).desc_nulls_last() for a in spec.attr_names])
+        layout = range_layout(rows, backwards, first_cols=[spec.bk, "__v"])
+        rows = lead_in_key(layout, spec.bk, "__v", "__prev").select(
+            spec.bk, *spec.attr_names, spec.date_col,
+            *[F.col(f"__prev.{a}").alias(f"__p_{a}") for a in spec.attr_names], F.col("__prev").isNotNull().alias("__hasp"))
+    j = rows.join(cur, F.col(spec.bk) == F.col("__bk"), "left")
+    vs_current = F.col("__sk").isNull() | _differs(spec, "__t_", "", collation)
+    keep = (F.when(F.col("__hasp"), _differs(spec, "__p_", "", collation)).otherwise(vs_current)
+            if chain_compare else vs_current)
+    return j.filter(keep).select(spec.bk, *spec.attr_names, spec.date_col)
 
 
 def first_change(delta: DataFrame, spec: DimSpec) -> DataFrame:
@@ -100,13 +120,13 @@ def close_out(current: DataFrame, first: DataFrame, spec: DimSpec) -> DataFrame:
 
 
 def scd2_inc_parts(target: DataFrame, stg: DataFrame, spec: DimSpec, base: int | None = None,
-                   collation: str | None = None) -> tuple[DataFrame, DataFrame]:
+                   collation: str | None = None, chain_compare: bool = False) -> tuple[DataFrame, DataFrame]:
     """The rows an increment produces: (former current versions, closed or not; new versions).
 
     Only current versions are read and joined.  ``base`` is the highest key ever issued (the
     publish manifest stores it); without it ``greatest(max(key), 0)`` is computed.
     """
-    delta = changed_rows(stg, target, spec, collation)
+    delta = changed_rows(stg, target, spec, collation, chain_compare)
     current = target.filter(F.col("IsCurrent"))
     closed = close_out(current, first_change(delta, spec), spec)
     if base is None:
@@ -116,13 +136,14 @@ def scd2_inc_parts(target: DataFrame, stg: DataFrame, spec: DimSpec, base: int |
     return closed.select(*cols), inserted.select(*cols)
 
 
-def scd2_inc(target: DataFrame, stg: DataFrame, spec: DimSpec, collation: str | None = None) -> DataFrame:
+def scd2_inc(target: DataFrame, stg: DataFrame, spec: DimSpec, collation: str | None = None,
+             chain_compare: bool = False) -> DataFrame:
     """Increment: change filter -> close current versions -> append the batch's own timeline.
 
     Historical versions pass through untouched (with the gold layout split by IsCurrent they
     are never rewritten).  New versions get keys after ``greatest(max(key), 0)``; old keys
     never change.
     """
-    closed, inserted = scd2_inc_parts(target, stg, spec, collation=collation)
+    closed, inserted = scd2_inc_parts(target, stg, spec, collation=collation, chain_compare=chain_compare)
     history = target.filter(~F.col("IsCurrent")).select(*spec.gold_columns())
     return history.unionByName(closed).unionByName(inserted)

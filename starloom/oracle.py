@@ -176,12 +176,20 @@ def _default_sql(a) -> str:
     return "''" if a.null_default == "" else str(a.null_default)
 
 
-def changed_sql(stg: str, target: str, spec: DimSpec) -> str:
-    diffs = " OR ".join(f"COALESCE(t.{a.name}, {_default_sql(a)}) <> COALESCE(s.{a.name}, {_default_sql(a)})"
-                        for a in spec.attrs)
+def changed_sql(stg: str, target: str, spec: DimSpec, chain: bool = False) -> str:
+    def diffs(left):
+        return " OR ".join(f"COALESCE({left}{a.name}, {_default_sql(a)}) <> COALESCE(s.{a.name}, {_default_sql(a)})"
+                           for a in spec.attrs)
     cols = ", ".join(f"s.{c}" for c in [spec.bk, *spec.attr_names, spec.date_col])
-    return (f"SELECT {cols} FROM ({stg}) s LEFT JOIN (SELECT * FROM ({target}) c WHERE IsCurrent) t "
-            f"ON s.{spec.bk} = t.{spec.bk} WHERE t.{spec.sk} IS NULL OR {diffs}")
+    src = f"({stg}) s"
+    keep = f"t.{spec.sk} IS NULL OR {diffs('t.')}"
+    if chain:
+        lags = ", ".join(f"LAG({a}) OVER w AS __p_{a}" for a in spec.attr_names)
+        src = (f"(SELECT *, {lags}, LAG(1) OVER w IS NOT NULL AS __hasp FROM ({stg}) r WINDOW w AS "
+               f"(PARTITION BY {spec.bk} ORDER BY {spec.date_col} ASC NULLS FIRST, {_asc(spec.attr_names)})) s")
+        keep = f"CASE WHEN s.__hasp THEN ({diffs('s.__p_')}) ELSE ({keep}) END"
+    return (f"SELECT {cols} FROM {src} LEFT JOIN (SELECT * FROM ({target}) c WHERE IsCurrent) t "
+            f"ON s.{spec.bk} = t.{spec.bk} WHERE {keep}")
 
 
 def first_change_sql(delta: str, spec: DimSpec) -> str:
@@ -197,8 +205,8 @@ def close_out_sql(target: str, delta: str, spec: DimSpec) -> str:
             f"ON t.{spec.bk} = f.{spec.bk}")
 
 
-def scd2_inc_sql(target: str, stg: str, spec: DimSpec) -> str:
-    delta = changed_sql(stg, target, spec)
+def scd2_inc_sql(target: str, stg: str, spec: DimSpec, chain: bool = False) -> str:
+    delta = changed_sql(stg, target, spec, chain)
     attrs = ", ".join(spec.attr_names)
     hist = f"SELECT {gold_cols(spec)} FROM ({target}) h WHERE NOT IsCurrent"
     ins = (f"SELECT CAST({base_sql(target, spec.sk)} + ROW_NUMBER() OVER (ORDER BY {version_order_sql(spec)}) AS BIGINT) "

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import fact as fact_ops
 from ..operators import scd1, scd2
@@ -25,38 +26,60 @@ def _cutoff(cutoffs: dict[str, str] | str, table: str) -> str:
     return cutoffs if isinstance(cutoffs, str) else cutoffs[table]
 
 
-def _check_keys(stg: DataFrame, cols: list[str], table: str) -> None:
-    """NOT NULL business keys: a NULL key fails the load, as the gold table would refuse it."""
-    assert_empty(check_not_null(stg.select(*cols), cols), f"{table}: NOT NULL business key")
+def _check_keys(stg: DataFrame, cols: list[str], table: str, root: str | None = None,
+                on_null_key: str = "fail") -> DataFrame:
+    """NOT NULL business keys.  ``fail``: a NULL key fails the load, as the gold table would
+    refuse it.  ``quarantine``: the offending rows are written under ``<root>/_quarantine``
+    and the load goes on with the rest."""
+    bad = check_not_null(stg, cols)
+    if on_null_key == "fail":
+        assert_empty(bad.select(*cols), f"{table}: NOT NULL business key")
+        return stg
+    bad.write.mode("append").parquet(f"{root.rstrip('/')}/_quarantine/{table}")
+    keep = F.lit(True)
+    for c in cols:
+        keep = keep & F.col(c).isNotNull()
+    return stg.filter(keep)
 
 
-def full_load_table(spark: SparkSession, row: dict, extract: Extractor, root: str, cutoff: str, now: str) -> dict:
+def _advance_watermark_only(spark, root, table, old, cutoff, now) -> dict:
+    """An empty delta publishes no data: only the watermark moves (the EXISTS gate)."""
+    m = dict(old, watermark=cutoff, updated_at=now)
+    P.write_manifest(spark, root, table, m)
+    return m
+
+
+def full_load_table(spark: SparkSession, row: dict, extract: Extractor, root: str, cutoff: str, now: str,
+                    on_null_key: str = "fail") -> dict:
     table, kind = row["TABLENAME"], row["LOADTYPE"]
     stg = extract(row["STAGINGTABLENAME"], None, cutoff)
     if kind == "SCD1":
         spec = DIMS[table]
-        _check_keys(stg, [spec.bk], table)
+        stg = _check_keys(stg, [spec.bk], table, root, on_null_key)
         return P.publish_full(scd1.scd1_full(stg, spec), root, table, spec.sk, cutoff, now)
     if kind == "SCD2":
         spec = DIMS[table]
-        _check_keys(stg, [spec.bk], table)
+        stg = _check_keys(stg, [spec.bk], table, root, on_null_key)
         return P.publish_scd2_full(scd2.scd2_full(stg, spec), root, spec, cutoff, now)
     if kind == "FACT":
         dims = {s.table: P.read_table(spark, root, s.table) for _, s in FACTTRIP.lookups}
-        _check_keys(stg, [FACTTRIP.id_col], table)
+        stg = _check_keys(stg, [FACTTRIP.id_col], table, root, on_null_key)
         f = fact_ops.fact_full(stg, dims, FACTTRIP, now)
         return P.publish_fact_full(f, root, FACTTRIP, cutoff, now)
     raise ValueError(f"unknown LOADTYPE {kind!r} for {table}")
 
 
-def inc_load_table(spark: SparkSession, row: dict, extract: Extractor, root: str, cutoff: str, now: str) -> dict:
+def inc_load_table(spark: SparkSession, row: dict, extract: Extractor, root: str, cutoff: str, now: str,
+                   on_null_key: str = "fail") -> dict:
     table, kind = row["TABLENAME"], row["LOADTYPE"]
     old = P.read_manifest(spark, root, table)
     lo = old["watermark"] if old else None
     stg = extract(row["STAGINGTABLENAME"], lo, cutoff)
+    if old is not None and stg.isEmpty():
+        return _advance_watermark_only(spark, root, table, old, cutoff, now)
     if kind in ("SCD1", "SCD2"):
         spec: DimSpec = DIMS[table]
-        _check_keys(stg, [spec.bk], table)
+        stg = _check_keys(stg, [spec.bk], table, root, on_null_key)
         target = P.read_table(spark, root, table)
         if kind == "SCD1":
             return P.publish_full(scd1.scd1_merge(target, stg, spec), root, table, spec.sk, cutoff, now)
@@ -64,7 +87,7 @@ def inc_load_table(spark: SparkSession, row: dict, extract: Extractor, root: str
         return P.publish_scd2_increment(closed, inserted, root, spec, cutoff, now)
     if kind == "FACT":
         dims = {s.table: P.read_table(spark, root, s.table) for _, s in FACTTRIP.lookups}
-        _check_keys(stg, [FACTTRIP.id_col], table)
+        stg = _check_keys(stg, [FACTTRIP.id_col], table, root, on_null_key)
         base = old["max_key"]
         rows = fact_ops.resolve_keys(stg, dims, FACTTRIP, now)
         from ..operators.keys import dense_key
@@ -74,14 +97,14 @@ def inc_load_table(spark: SparkSession, row: dict, extract: Extractor, root: str
 
 
 def bulk_load_all(spark: SparkSession, extract: Extractor, root: str, cutoffs, now: str,
-                  max_parallel: int = 3) -> list[dict]:
+                  max_parallel: int = 3, on_null_key: str = "fail") -> list[dict]:
     control = control_seed(spark, "full")
-    return run_tiers(control, lambda r: full_load_table(spark, r, extract, root, _cutoff(cutoffs, r["TABLENAME"]), now),
-                     max_parallel)
+    return run_tiers(control, lambda r: full_load_table(spark, r, extract, root, _cutoff(cutoffs, r["TABLENAME"]),
+                                                        now, on_null_key), max_parallel)
 
 
 def incremental_load_all(spark: SparkSession, extract: Extractor, root: str, cutoffs, now: str,
-                         max_parallel: int = 3) -> list[dict]:
+                         max_parallel: int = 3, on_null_key: str = "fail") -> list[dict]:
     control = control_seed(spark, "incremental")
-    return run_tiers(control, lambda r: inc_load_table(spark, r, extract, root, _cutoff(cutoffs, r["TABLENAME"]), now),
-                     max_parallel)
+    return run_tiers(control, lambda r: inc_load_table(spark, r, extract, root, _cutoff(cutoffs, r["TABLENAME"]),
+                                                       now, on_null_key), max_parallel)

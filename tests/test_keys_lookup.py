@@ -74,3 +74,10 @@ def test_pit_lookup_hot_key_bucketed_equals_equi(spark):
     assert a == b
     auto = lookup.lookup_scd2_pit(facts, dim, "CustomerID", "TripDate", CUSTOMER)   # picks bucketed (400 versions)
     assert {r.TripID: r.CustomerKey for r in auto.collect()} == a
+
+
+def test_pit_half_open_option(spark):
+    facts = spark.createDataFrame([(12, 1, ts("2024-01-31 23:59:59.500000"))], "TripID int, CustomerID int, TripDate timestamp_ntz")
+    for strategy in ("equi", "bucketed"):
+        out = lookup.lookup_scd2_pit(facts, _dim(spark), "CustomerID", "TripDate", CUSTOMER, strategy=strategy, half_open=True)
+        assert [r.CustomerKey for r in out.collect()] == [1]

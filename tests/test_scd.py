@@ -144,3 +144,27 @@ def test_overlap_check_reports_open_closed_version(spark):
     # the closed version kept an open end (all delta dates NULL) and overlaps the new one
     assert len(bad) == 1 and bad[0].VendorID == 2
     assert check_unique_bk(out, VENDOR).count() == 0
+
+
+def test_chain_compare_option_keeps_revert(spark):
+    # Q11 option: compare with the predecessor in the batch -> A -> B -> A ends with A current
+    tgt = scd2.scd2_full(stg(spark, VENDOR, [(1, "A", ts("2024-01-01 00:00:00"))]), VENDOR)
+    delta = stg(spark, VENDOR, [(1, "B", ts("2024-02-01 00:00:00")), (1, "A", ts("2024-03-01 00:00:00")),
+                                (1, "A", ts("2024-04-01 00:00:00"))])
+    out = scd2.scd2_inc(tgt, delta, VENDOR, chain_compare=True)
+    cur = [(r.VendorName, r.RowStartDateTime) for r in out.filter("IsCurrent AND VendorID = 1").collect()]
+    assert cur == [("A", ts("2024-03-01 00:00:00"))]
+    assert out.filter("VendorID = 1").count() == 3
+
+
+def test_quarantine_mode_loads_the_rest(spark, tmp_path):
+    from starloom.plans import loads as L
+    from starloom.plans import publish as P
+
+    def ex(name, lo, hi):
+        return spark.createDataFrame([(None, "x", "y", None), (5, "e", "d", None)], EMPLOYEE.staging_schema())
+    root = str(tmp_path / "wh")
+    row = {"TABLENAME": "EMPLOYEE", "STAGINGTABLENAME": "employee", "LOADTYPE": "SCD1"}
+    L.full_load_table(spark, row, ex, root, "2024-01-01 00:00:00", "2024-01-02 00:00:00", on_null_key="quarantine")
+    assert spark.read.parquet(f"{root}/_quarantine/EMPLOYEE").count() == 1
+    assert sorted(r.EmployeeID for r in P.read_table(spark, root, "EMPLOYEE").collect()) == [-1, 5]
