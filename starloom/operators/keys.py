@@ -18,7 +18,7 @@ from .ordered import number_rows, range_layout, release_materialized  # noqa: F4
 
 
 def dense_key(df: DataFrame, key_col: str, order: list[Column], start: int = 0,
-              num_partitions: int | None = None, materialize: str = "persist") -> DataFrame:
+              num_partitions: int | None = None, materialize: str = "checkpoint") -> DataFrame:
     """Add ``key_col`` = start + row number in ``order`` (1-based), as bigint."""
     layout = range_layout(df, order, num_partitions=num_partitions, materialize=materialize)
     cols = [c for c in df.columns if c != key_col]

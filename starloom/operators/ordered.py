@@ -12,12 +12,14 @@ bounded by the number of partitions, not by the data.  On top of it:
   partition (so every window group is one balanced partition), plus a fix-up for the last row
   of a partition whose key continues in the next non-empty partition.
 
-Materialisation is ``persist`` by default: the cached relation is bound to one physical plan,
-so a block lost with an executor is recomputed through the same range partitioner (bounds are
-sampled once per plan); a row's partition depends only on its values and rows inside a
-partition are sorted on the full order, so a recomputed partition holds the same rows in the
-same order (rows equal in every sort column are interchangeable).  ``materialize="checkpoint"``
-writes the layout to ``spark.checkpoint.dir`` instead and cuts the lineage.
+Materialisation is a reliable ``checkpoint`` into ``spark.checkpoint.dir`` by default (the
+layout is cached first, so writing it does not recompute the shuffle, and the cache is
+dropped right after).  The partition ids the offsets refer to then live in files: whatever
+the consumer does later - re-running the result, losing executors - it re-reads the same rows
+in the same partitions, so counts and numbering always agree.  ``materialize="persist"``
+keeps the layout in the cache only (faster; correct under executor loss because a lost block
+is recomputed through the same physical range partitioner, but the caller must not
+``release_materialized()`` before its last action on the result).
 """
 from __future__ import annotations
 
@@ -49,7 +51,7 @@ class RangeLayout:
 
 
 def range_layout(df: DataFrame, order: list[Column], first_cols: list[str] | None = None,
-                 num_partitions: int | None = None, materialize: str = "persist") -> RangeLayout:
+                 num_partitions: int | None = None, materialize: str = "checkpoint") -> RangeLayout:
     ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
               else df.repartitionByRange(*order))
     tagged = (ranged.sortWithinPartitions(*order)

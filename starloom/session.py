@@ -30,6 +30,7 @@ LOCAL_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
