@@ -29,7 +29,7 @@ def fact_full(stg: DataFrame, dims: dict[str, DataFrame], spec: FactSpec, load_t
               pit_strategy: str = "auto") -> DataFrame:
     """TRUNCATE + INSERT: keys restart at 1."""
     rows = resolve_keys(stg, dims, spec, load_ts, pit_strategy)
-    return dense_key(rows, spec.sk, fact_key_order(spec)).select(*spec.gold_columns())
+    return dense_key(rows, spec.sk, fact_key_order(spec), cache_input=True).select(*spec.gold_columns())
 
 
 def delete_matching(target: DataFrame, stg: DataFrame, spec: FactSpec,
@@ -51,6 +51,6 @@ def fact_inc(target: DataFrame, stg: DataFrame, dims: dict[str, DataFrame], spec
     base = next_key_base(target, spec.sk)
     kept = delete_matching(target, stg, spec)
     rows = resolve_keys(stg, dims, spec, load_ts, pit_strategy)
-    new = dense_key(rows, spec.sk, fact_key_order(spec), start=base)
+    new = dense_key(rows, spec.sk, fact_key_order(spec), start=base, cache_input=True)
     cols = spec.gold_columns()
     return kept.select(*cols).unionByName(new.select(*cols))

@@ -18,9 +18,11 @@ from .ordered import number_rows, range_layout, release_materialized  # noqa: F4
 
 
 def dense_key(df: DataFrame, key_col: str, order: list[Column], start: int = 0,
-              num_partitions: int | None = None, materialize: str = "checkpoint") -> DataFrame:
+              num_partitions: int | None = None, materialize: str = "checkpoint",
+              cache_input: bool = False) -> DataFrame:
     """Add ``key_col`` = start + row number in ``order`` (1-based), as bigint."""
-    layout = range_layout(df, order, num_partitions=num_partitions, materialize=materialize)
+    layout = range_layout(df, order, num_partitions=num_partitions, materialize=materialize,
+                          cache_input=cache_input)
     cols = [c for c in df.columns if c != key_col]
     return number_rows(layout, key_col, start).select(key_col, *cols)
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import ts_lit
 from ..schemas import OPEN_END, UNKNOWN_KEY, DimSpec
+from .ordered import cache_deterministic
 from .sizing import BROADCAST_MAX_ROWS, broadcast_if_small
 
 # Above this many versions for one key, point-in-time lookups use the month-bucketed plan.
@@ -33,7 +34,7 @@ def _month_index(c):
 def lookup_scd1(fact: DataFrame, dim: DataFrame, fact_bk: str, spec: DimSpec,
                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """LEFT join on the business key; a miss becomes -1."""
-    side = dim.select(F.col(spec.bk).alias("__lk"), F.col(spec.sk).alias("__lsk"))
+    side = cache_deterministic(dim.select(F.col(spec.bk).alias("__lk"), F.col(spec.sk).alias("__lsk")))
     side, _ = broadcast_if_small(side, max_broadcast_rows)
     j = fact.join(side, fact[fact_bk] == side["__lk"], "left")
     return j.withColumn(spec.sk, F.coalesce(F.col("__lsk"), F.lit(UNKNOWN_KEY).cast("bigint"))) \
@@ -73,7 +74,7 @@ def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str
     a version's end (next start - 1 s) and the next start matches nothing; ``half_open=True``
     matches it to the earlier version (``t < end + 1 s``).
     """
-    side = _pit_side(dim, spec)
+    side = cache_deterministic(_pit_side(dim, spec))
     # One pass over the (small) lookup side gives both bounds the plan depends on.
     stats = side.groupBy("__lk").count().agg(F.sum("count").alias("rows"), F.max("count").alias("mx")).first()
     rows, mx = int(stats.rows or 0), int(stats.mx or 0)

@@ -43,6 +43,15 @@ def release_materialized() -> None:
         _MATERIALIZED.pop().unpersist()
 
 
+def cache_deterministic(df: DataFrame) -> DataFrame:
+    """Persist a DataFrame whose *content* is deterministic (no ids, no sampling), so several
+    small actions and the final job share one computation.  Releasing it is always safe: a
+    re-run recomputes the same rows."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _MATERIALIZED.append(df)
+    return df
+
+
 @dataclass
 class RangeLayout:
     rows: DataFrame            # input columns + PID + POS, sorted by the order inside PID
@@ -51,7 +60,12 @@ class RangeLayout:
 
 
 def range_layout(df: DataFrame, order: list[Column], first_cols: list[str] | None = None,
-                 num_partitions: int | None = None, materialize: str = "checkpoint") -> RangeLayout:
+                 num_partitions: int | None = None, materialize: str = "checkpoint",
+                 cache_input: bool = False) -> RangeLayout:
+    """``cache_input``: the range partitioner's sampling pass computes the whole input once
+    more; cache an expensive input (joins upstream) so that pass reads the cache."""
+    if cache_input:
+        df = cache_deterministic(df)
     ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
               else df.repartitionByRange(*order))
     tagged = (ranged.sortWithinPartitions(*order)

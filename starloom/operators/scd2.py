@@ -39,7 +39,7 @@ def scd2_timeline(rows: DataFrame, spec: DimSpec, key_start: int | None = None)
     """
     layout = range_layout(rows.select(spec.bk, *spec.attr_names, spec.date_col),
                           [F.col(spec.bk).asc_nulls_first()] + timeline_order(spec),
-                          first_cols=[spec.bk, spec.date_col])
+                          first_cols=[spec.bk, spec.date_col], cache_input=True)
     with_lead = lead_in_key(layout, spec.bk, spec.date_col, "__next",
                             with_row_number="__rn" if key_start is not None else None)
     cols = _versions(with_lead, spec, "__next")

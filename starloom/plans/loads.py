@@ -91,7 +91,7 @@ def inc_load_table(spark: SparkSession, row: dict, extract: Extractor, root: str
         base = old["max_key"]
         rows = fact_ops.resolve_keys(stg, dims, FACTTRIP, now)
         from ..operators.keys import dense_key
-        new = dense_key(rows, FACTTRIP.sk, fact_ops.fact_key_order(FACTTRIP), start=base)
+        new = dense_key(rows, FACTTRIP.sk, fact_ops.fact_key_order(FACTTRIP), start=base, cache_input=True)
         return P.publish_fact_increment(stg, new.select(*FACTTRIP.gold_columns()), root, FACTTRIP, cutoff, now)
     raise ValueError(f"unknown LOADTYPE {kind!r} for {table}")
 
