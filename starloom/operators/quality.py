@@ -35,16 +35,19 @@ def check_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def check_fk(fact: DataFrame, dims: dict[str, DataFrame], spec: FactSpec) -> DataFrame:
-    """Fact rows whose surrogate key is missing from its dimension: one left-anti join per
-    dimension on the distinct keys, unioned as (fact key, dimension, missing key)."""
-    out = None
-    for _, d in spec.lookups:
-        keys = dims[d.table].select(F.col(d.sk).alias("__k")).distinct()
+    """Fact rows whose surrogate key is missing from its dimension, as (fact key, dimension,
+    missing key).  One pass over the fact: each dimension's distinct keys are joined (broadcast
+    when measured small) with a presence flag, and missing flags are exploded at the end."""
+    out = fact.select(spec.sk, *[d.sk for _, d in spec.lookups])
+    for i, (_, d) in enumerate(spec.lookups):
+        keys = dims[d.table].select(F.col(d.sk).alias(f"__k{i}")).distinct().withColumn(f"__hit{i}", F.lit(True))
         keys, _ = broadcast_if_small(keys)
-        miss = (fact.join(keys, fact[d.sk] == keys["__k"], "left_anti")
-                    .select(spec.sk, F.lit(d.table).alias("dimension"), F.col(d.sk).alias("missing_key")))
-        out = miss if out is None else out.unionByName(miss)
-    return out
+        out = out.join(keys, out[d.sk] == keys[f"__k{i}"], "left").drop(f"__k{i}")
+    misses = F.array(*[F.when(F.col(f"__hit{i}").isNull(),
+                              F.struct(F.lit(d.table).alias("dimension"), F.col(d.sk).alias("missing_key")))
+                       for i, (_, d) in enumerate(spec.lookups)])
+    return (out.select(spec.sk, F.explode(F.filter(misses, lambda m: m.isNotNull())).alias("__m"))
+               .select(spec.sk, "__m.dimension", "__m.missing_key"))
 
 
 def check_domain(df: DataFrame, col: str = "LOADTYPE", allowed=LOAD_TYPES) -> DataFrame:

@@ -84,3 +84,26 @@ def test_null_business_key_fails_load(spark, tmp_path):
     row = {"TABLENAME": "EMPLOYEE", "STAGINGTABLENAME": "employee", "LOADTYPE": "SCD1"}
     with pytest.raises(Q.QualityError):
         L.full_load_table(spark, row, ex, str(tmp_path / "wh"), "2024-01-01 00:00:00", fx.LOAD_TS)
+
+
+def test_check_fk_reports_each_missing_key(spark):
+    dims = C.dims_for_fact_full(spark, SF)
+    f = fact_ops.fact_full(fx.stage_full(spark, SF, "facttrip"), dims, FACTTRIP, fx.LOAD_TS)
+    broken = f.withColumn("CustomerKey", F.when(F.col("TripFactKey") <= 3, F.lit(10 ** 9)).otherwise(F.col("CustomerKey"))) \
+              .withColumn("VendorKey", F.when(F.col("TripFactKey") == 1, F.lit(None)).otherwise(F.col("VendorKey")))
+    bad = sorted((r.TripFactKey, r.dimension) for r in Q.check_fk(broken, dims, FACTTRIP).collect())
+    assert bad == [(1, "CUSTOMER"), (1, "VENDOR"), (2, "CUSTOMER"), (3, "CUSTOMER")]
+
+
+def test_streaming_loader_skips_replayed_batch(spark, tmp_path):
+    from starloom.schemas import VENDOR
+    from starloom.streaming.landing import dimension_batch_loader
+    root = str(tmp_path / "wh")
+    P.publish_scd2_full(C.dim_full(spark, SF, VENDOR), root, VENDOR, fx.FULL_CUTOFF, fx.LOAD_TS)
+    apply = dimension_batch_loader(root, VENDOR, fx.LOAD_TS)
+    batch = fx.stage_delta(spark, SF, "vendor")
+    apply(batch, 0)
+    once = P.read_manifest(spark, root, "VENDOR")
+    apply(batch, 0)                                # replay after a failure: no change
+    assert P.read_manifest(spark, root, "VENDOR") == once
+    assert once["last_batch"] == 0
