@@ -836,3 +836,37 @@ def q_streaming_scd2_increments(spark, sf):
     run_landing_stream(spark, landing, CUSTOMER.staging_schema(), dimension_batch_loader(root, CUSTOMER, fx.LOAD_TS),
                        scratch_dir(spark, "stream-ckpt"), max_files_per_trigger=1)
     return P.read_table(spark, root, "CUSTOMER")
+
+
+# --- W2: unknown members as loaded ------------------------------------------------------------
+
+def _unknown_cols(spec):
+    first = spec.attr_names[0]
+    if spec.scd == 1:
+        return [F.lit(spec.table).alias("Dimension"), F.col(spec.sk).alias("SurrogateKey"),
+                F.col(spec.bk).alias("BusinessKey"), F.col(first).alias("Name"),
+                F.lit(None).cast("timestamp_ntz").alias("RowStartDateTime"),
+                F.lit(None).cast("timestamp_ntz").alias("RowEndDateTime"), F.lit(None).cast("boolean").alias("IsCurrent")]
+    return [F.lit(spec.table).alias("Dimension"), F.col(spec.sk).alias("SurrogateKey"),
+            F.col(spec.bk).alias("BusinessKey"), F.col(first).alias("Name"),
+            "RowStartDateTime", "RowEndDateTime", "IsCurrent"]
+
+
+def _unknown_sql():
+    parts = []
+    for s in SCD1_DIMS + SCD2_DIMS:
+        tail = ("CAST(NULL AS TIMESTAMP) AS RowStartDateTime, CAST(NULL AS TIMESTAMP) AS RowEndDateTime, "
+                "CAST(NULL AS BOOLEAN) AS IsCurrent") if s.scd == 1 else "RowStartDateTime, RowEndDateTime, IsCurrent"
+        parts.append(f"SELECT '{s.table}' AS Dimension, {s.sk} AS SurrogateKey, {s.bk} AS BusinessKey, "
+                     f"{s.attr_names[0]} AS Name, {tail} FROM ({dim_full_sql(s)}) d WHERE {s.sk} = -1")
+    return " UNION ALL ".join(parts)
+
+
+@register("unknown_member", _unknown_sql())
+def q_unknown_member(spark, sf):
+    """The -1 member of every dimension after its full load from the given tables."""
+    out = None
+    for s in SCD1_DIMS + SCD2_DIMS:
+        rows = dim_full(spark, sf, s).filter(F.col(s.sk) == -1).select(*_unknown_cols(s))
+        out = rows if out is None else out.unionByName(rows)
+    return out
