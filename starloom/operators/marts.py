@@ -57,7 +57,7 @@ def dim_date_from(df: DataFrame, date_col: str, fy_start_month: int = 4) -> Data
 def derived_dimension(values: DataFrame, value_col: str, name: str, key: str) -> DataFrame:
     """Distinct values with dense keys in value order."""
     distinct = values.select(F.col(value_col).alias(name)).distinct()
-    return dense_key(distinct, key, [F.col(name).asc_nulls_first()]).select(key, name)
+    return dense_key(distinct, key, [F.col(name).asc_nulls_first()], unique=True).select(key, name)
 
 
 def dim_geography(parents: DataFrame, children: DataFrame) -> DataFrame:

@@ -55,13 +55,14 @@ def cache_deterministic(df: DataFrame) -> DataFrame:
 @dataclass
 class RangeLayout:
     rows: DataFrame            # input columns + PID + POS, sorted by the order inside PID
-    offsets: DataFrame         # PID, rows before this partition, next non-empty partition's first row
+    offsets: DataFrame         # PID, rows (or weight) before this partition, next partition's first row
     first_cols: list[str]
+    max_weight: int = 1        # largest per-row weight (copies of one row), when weighted
 
 
 def range_layout(df: DataFrame, order: list[Column], first_cols: list[str] | None = None,
                  num_partitions: int | None = None, materialize: str = "checkpoint",
-                 cache_input: bool = False) -> RangeLayout:
+                 cache_input: bool = False, weight_col: str | None = None) -> RangeLayout:
     """``cache_input``: the range partitioner's sampling pass computes the whole input once
     more; cache an expensive input (joins upstream) so that pass reads the cache."""
     if cache_input:
@@ -80,7 +81,8 @@ def range_layout(df: DataFrame, order: list[Column], first_cols: list[str] | Non
     else:
         _MATERIALIZED.append(tagged)
     first_cols = first_cols or []
-    aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs = ([F.sum(weight_col).alias("__n"), F.max(weight_col).alias("__w")] if weight_col
+            else [F.count(F.lit(1)).alias("__n")])
     if first_cols:
         aggs.append(F.min_by(F.struct(*[F.col(c) for c in first_cols]), F.col(POS)).alias("__first"))
     per_part = tagged.groupBy(PID).agg(*aggs).collect()     # one row per non-empty partition
@@ -94,7 +96,8 @@ def range_layout(df: DataFrame, order: list[Column], first_cols: list[str] | Non
     dtypes = dict(df.dtypes)
     schema += [f"`__nf_{c}` {dtypes[c]}" for c in first_cols]
     offsets = df.sparkSession.createDataFrame(rows, ", ".join(schema))
-    return RangeLayout(tagged, offsets, first_cols)
+    max_w = max((int(r["__w"]) for r in per_part), default=1) if weight_col else 1
+    return RangeLayout(tagged, offsets, first_cols, max_w)
 
 
 def number_rows(layout: RangeLayout, key_col: str, start: int = 0, rank_in_partition: Column | None = None) -> DataFrame:
@@ -105,13 +108,15 @@ def number_rows(layout: RangeLayout, key_col: str, start: int = 0, rank_in_parti
     return j.withColumn(key_col, F.lit(start).cast("long") + F.col("__off") + local)
 
 
-def lead_in_key(layout: RangeLayout, key: str, value: str, out: str, with_row_number: str | None = None) -> DataFrame:
+def lead_in_key(layout: RangeLayout, key: str, value: str, out: str, with_row_number: str | None = None,
+                weight_col: str | None = None) -> DataFrame:
     """``LEAD(value) OVER (PARTITION BY key ORDER BY <layout order>)`` as column ``out``.
 
     The layout must have been built with ``first_cols=[key, value]``.  The window runs per
     range partition (bounded, balanced groups); the last row of a partition takes the first
     row of the next non-empty partition when that row has the same key (null-safe, as SQL
-    groups NULL keys together).  ``with_row_number`` also adds the global row number.
+    groups NULL keys together).  ``with_row_number`` also adds the global row number; with
+    ``weight_col`` it is instead the number of weighted rows *before* this one (exclusive).
     """
     w = Window.partitionBy(PID).orderBy(POS)
     j = layout.rows.join(F.broadcast(layout.offsets), PID)
@@ -121,6 +126,39 @@ def lead_in_key(layout: RangeLayout, key: str, value: str, out: str, with_row_nu
     lead = (F.when(has_next, F.when(nk.eqNullSafe(F.col(key)), nv))
              .otherwise(F.when(cross, F.col(f"__nf_{value}"))))
     res = j.withColumn(out, lead)
-    if with_row_number:
+    if with_row_number and weight_col:
+        before = F.sum(weight_col).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        res = res.withColumn(with_row_number, F.col("__off") + F.coalesce(before, F.lit(0)))
+    elif with_row_number:
         res = res.withColumn(with_row_number, F.col("__off") + F.row_number().over(w))
     return res
+
+
+def rows_before(layout: RangeLayout, weight_col: str, out: str) -> DataFrame:
+    """Weighted rows before each row in the layout's order (exclusive prefix sum)."""
+    w = (Window.partitionBy(PID).orderBy(POS).rowsBetween(Window.unboundedPreceding, -1))
+    j = layout.rows.join(F.broadcast(layout.offsets), PID)
+    return j.withColumn(out, F.col("__off") + F.coalesce(F.sum(weight_col).over(w), F.lit(0)))
+
+
+# Copies of one row are re-created in chunks of this many; a chunk is one output task's work.
+COPY_CHUNK = 1 << 16
+
+
+def expand_copies(df: DataFrame, n_col: str, max_n: int, out: str = "__copy",
+                  chunk: int | None = None) -> DataFrame:
+    """Turn each row with multiplicity ``n`` back into ``n`` rows numbered 0..n-1 in ``out``.
+
+    When some row has more than ``chunk`` copies, it is first split into chunk rows that are
+    spread over the cluster (hash on the row and chunk number), so a group of copies holding a
+    third of all rows is re-created by many tasks, not one."""
+    chunk = chunk or COPY_CHUNK
+    n = F.col(n_col)
+    if max_n <= chunk:
+        return df.withColumn(out, F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
+    n_chunks = F.ceil(n / F.lit(chunk)).cast("long")
+    parts = df.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1)))
+    parts = parts.repartition(*[F.col(c) for c in df.columns if not c.startswith("__sl_")], F.col("__chunk"))
+    lo = F.col("__chunk") * chunk
+    hi = F.least(lo + chunk, n) - 1
+    return parts.withColumn(out, F.explode(F.sequence(lo, hi))).drop("__chunk")

@@ -35,7 +35,7 @@ def key_order(spec: DimSpec) -> list[Column]:
 def scd1_full(stg: DataFrame, spec: DimSpec, add_unknown: bool = True) -> DataFrame:
     """TRUNCATE + INSERT latest per key; keys restart at 1 in business-key order."""
     latest = latest_per_key(stg, spec)
-    dim = dense_key(latest, spec.sk, key_order(spec)).select(*spec.gold_columns())
+    dim = dense_key(latest, spec.sk, key_order(spec), unique=True).select(*spec.gold_columns())
     return with_unknown(dim, spec) if add_unknown else dim
 
 
@@ -66,5 +66,5 @@ def scd1_merge(target: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
         *[F.col(f"__s_{a}").alias(a) for a in spec.attr_names],
         F.col("__s_m").alias(spec.date_col))
     base = next_key_base(target, spec.sk)
-    inserted = dense_key(inserted_rows, spec.sk, key_order(spec), start=base)
+    inserted = dense_key(inserted_rows, spec.sk, key_order(spec), start=base, unique=True)
     return updated.unionByName(inserted.select(*spec.gold_columns()))

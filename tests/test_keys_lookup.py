@@ -81,3 +81,30 @@ def test_pit_half_open_option(spark):
     for strategy in ("equi", "bucketed"):
         out = lookup.lookup_scd2_pit(facts, _dim(spark), "CustomerID", "TripDate", CUSTOMER, strategy=strategy, half_open=True)
         assert [r.CustomerKey for r in out.collect()] == [1]
+
+
+def test_group_of_copies_is_chunked_and_exact(spark, monkeypatch):
+    """A third of the rows are copies of one row: keys and timelines stay exact when the copies
+    are re-created in chunks (chunk size lowered so the chunked path runs)."""
+    import datetime as dt
+    from starloom.operators import ordered, scd2
+    from starloom.schemas import VENDOR
+    monkeypatch.setattr(ordered, "COPY_CHUNK", 50)
+    rows = [(7, 7)] * 1000 + [(i % 50, i % 7) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(5)
+    out = dense_key(df, "k", [F.col("a").asc_nulls_first(), F.col("b").asc_nulls_first()]).collect()
+    got = sorted((r.k, r.a, r.b) for r in out)
+    assert [g[0] for g in got] == list(range(1, len(rows) + 1))
+    assert [(g[1], g[2]) for g in got] == sorted(rows)
+
+    stg = [(1, "x", dt.datetime(2020, 1, 1))] * 300 + [(1, "y", dt.datetime(2020, 2, 1))] + [(1, "x", None)] * 120
+    v = scd2.scd2_timeline(spark.createDataFrame(stg, VENDOR.staging_schema()), VENDOR, key_start=0).collect()
+    by_key = {r.VendorKey: r for r in v}
+    assert sorted(by_key) == list(range(1, 422))
+    # 120 NULL-dated copies first: 119 stay open (current), the last ends before 2020-01-01
+    nulls = [by_key[k] for k in range(1, 121)]
+    assert sum(r.IsCurrent for r in nulls) == 119 and by_key[120].RowEndDateTime == dt.datetime(2019, 12, 31, 23, 59, 59)
+    # 300 dated copies: 299 end one second before their own start, the last before 2020-02-01
+    assert by_key[420].RowEndDateTime == dt.datetime(2020, 1, 31, 23, 59, 59)
+    assert by_key[121].RowEndDateTime == dt.datetime(2019, 12, 31, 23, 59, 59)
+    assert by_key[421].IsCurrent and by_key[421].VendorName == "y"
