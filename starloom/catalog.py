@@ -132,10 +132,6 @@ def q_fact_delete_matching(spark, sf):
 
 # --- C1 / C3 / C4: lookups -----------------------------------------------------------------
 
-def _one_dim_sql(spec: DimSpec) -> dict[str, str]:
-    return {spec.table: dims_for_fact_full_sql()[spec.table]}
-
-
 def _lookup_one_sql(spec: DimSpec) -> str:
     stg = O.stage_full_sql("facttrip")
     bk = dict((d.table, b) for b, d in FACTTRIP.lookups)[spec.table]

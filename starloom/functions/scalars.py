@@ -81,11 +81,3 @@ def fiscal_quarter(c, start_month: int = 4) -> Column:
     d = col_of(c)
     shifted = (F.month(d) - start_month + 12) % 12
     return (F.floor(shifted / 3) + 1).cast(T.IntegerType())
-
-
-def iso_week(c) -> Column:
-    return F.weekofyear(col_of(c))
-
-
-def month_start(c) -> Column:
-    return F.date_trunc("month", col_of(c)).cast(T.TimestampNTZType())

@@ -24,7 +24,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import ts_lit
 from ..operators.sizing import broadcast_if_small
 from ..schemas import WATERMARK_SCHEMA, DimSpec, FactSpec
 
@@ -251,8 +250,3 @@ def publish_fact_increment(stg: DataFrame, new_rows: DataFrame, root: str, spec:
     m = _manifest(spec.table, version, paths, old["columns"], watermark, now, mk)
     write_manifest(spark, root, spec.table, m)
     return m
-
-
-def watermark_row(spark: SparkSession, table: str, watermark: str, now: str) -> DataFrame:
-    return spark.range(1).select(F.lit(table).alias("TABLENAME"), ts_lit(watermark).alias("LAST_WATERMARK_DATE"),
-                                 ts_lit(now).alias("LAST_UPDATETIME"))
