@@ -168,3 +168,21 @@ def test_quarantine_mode_loads_the_rest(spark, tmp_path):
     L.full_load_table(spark, row, ex, root, "2024-01-01 00:00:00", "2024-01-02 00:00:00", on_null_key="quarantine")
     assert spark.read.parquet(f"{root}/_quarantine/EMPLOYEE").count() == 1
     assert sorted(r.EmployeeID for r in P.read_table(spark, root, "EMPLOYEE").collect()) == [-1, 5]
+
+
+def test_empty_deltas_change_nothing(spark):
+    from starloom.operators import fact as fact_ops
+    from starloom.schemas import FACTTRIP, STAGING_FACT_SCHEMA
+    from starloom import catalog as C
+    from starloom.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    empty_v = spark.createDataFrame([], VENDOR.staging_schema())
+    tgt = C.dim_full(spark, sf, VENDOR)
+    assert rows_of(scd2.scd2_inc(tgt, empty_v, VENDOR), VENDOR.gold_columns()) == rows_of(tgt, VENDOR.gold_columns())
+    emp = C.dim_full(spark, sf, EMPLOYEE)
+    empty_e = spark.createDataFrame([], EMPLOYEE.staging_schema())
+    assert rows_of(scd1.scd1_merge(emp, empty_e, EMPLOYEE), EMPLOYEE.gold_columns()) == rows_of(emp, EMPLOYEE.gold_columns())
+    dims = C.dims_for_fact_full(spark, sf)
+    f = fact_ops.fact_full(fx.stage_full(spark, sf, "facttrip"), dims, FACTTRIP, fx.LOAD_TS)
+    out = fact_ops.fact_inc(f, spark.createDataFrame([], STAGING_FACT_SCHEMA), dims, FACTTRIP, fx.LOAD_TS)
+    assert out.count() == f.count()
