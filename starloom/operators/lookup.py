@@ -27,10 +27,18 @@ from .sizing import BROADCAST_MAX_ROWS, broadcast_if_small
 PIT_MAX_VERSIONS_PER_KEY = 64
 
 
+# Largest day-bucketed lookup side the bucketed plan will build (rows after copying).
+DAY_BUCKET_MAX_ROWS = 200_000_000
+
+
 def _month_index(c):
     return (F.year(c) * 12 + F.month(c) - 1).cast(T.IntegerType())
 
 
+def _day_index(c):
+    return F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast(T.IntegerType())
+
+
 def lookup_scd1(fact: DataFrame, dim: DataFrame, fact_bk: str, spec: DimSpec,
                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """LEFT join on the business key; a miss becomes -1."""
@@ -66,13 +74,15 @@ def time_bounds(df: DataFrame, time_col: str):
 def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str, spec: DimSpec,
                     strategy: str = "auto", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
                     max_versions_per_key: int = PIT_MAX_VERSIONS_PER_KEY, bounds=None,
-                    half_open: bool = False) -> DataFrame:
+                    half_open: bool = False, bucket: str = "auto") -> DataFrame:
     """LEFT join on key and ``start <= t <= ISNULL(end, 9999-12-31 23:59:59)``; a miss is -1.
 
     Overlapping versions multiply the fact row, as the SQL join does.  ``strategy`` is
     ``"equi"`` (key join + interval residual), ``"bucketed"`` or ``"auto"``.  A time between
     a version's end (next start - 1 s) and the next start matches nothing; ``half_open=True``
-    matches it to the earlier version (``t < end + 1 s``).
+    matches it to the earlier version (``t < end + 1 s``).  ``bucket`` (month / day / auto)
+    is the time unit of the bucketed plan; auto uses days when one key crowds more than
+    ``max_versions_per_key`` versions into a month and the day-copied side stays bounded.
     """
     side = cache_deterministic(_pit_side(dim, spec))
     # One pass over the (small) lookup side gives both bounds the plan depends on.
@@ -91,17 +101,27 @@ def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str
         lo, hi = bounds if bounds is not None else time_bounds(fact, time_col)
         if lo is None:                 # no fact row has a time: nothing can match
             return fact.withColumn(spec.sk, F.lit(UNKNOWN_KEY).cast("bigint"))
-        lo_m = lo.year * 12 + lo.month - 1
-        hi_m = hi.year * 12 + hi.month - 1
-        first = F.greatest(_month_index(F.col("__ls")), F.lit(lo_m))
-        last = F.least(_month_index(F.col("__le")), F.lit(hi_m))
-        exploded = side.withColumn(
-            "__lb", F.explode(F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))))
-        # Proven bound first (each version lands in at most every month of the fact's span);
-        # count only when that bound is too loose.
-        if rows * (hi_m - lo_m + 1) <= max_broadcast_rows or exploded.count() <= max_broadcast_rows:
-            exploded = F.broadcast(exploded)          # the fact is not shuffled at all
-        f = fact.withColumn("__fb", _month_index(t))
+        def explode(index):
+            first = F.greatest(index(F.col("__ls")), index(ts_lit(lo.isoformat(sep=" "))))
+            last = F.least(index(F.col("__le")), index(ts_lit(hi.isoformat(sep=" "))))
+            spans = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+            return side.withColumn("__lb", F.explode(spans)), F.greatest(last - first + 1, F.lit(0))
+
+        index = _month_index
+        exploded, span = explode(index)
+        # Versions of one key crowded into one month: day buckets, if their total size is
+        # measured and stays bounded (open-ended versions span every day of the fact's range).
+        crowd = exploded.groupBy("__lk", "__lb").count().agg(F.max("count")).first()[0] or 0
+        if bucket == "day" or (bucket == "auto" and crowd > max_versions_per_key):
+            day_ex, day_span = explode(_day_index)
+            day_rows = side.agg(F.sum(day_span)).first()[0] or 0
+            if bucket == "day" or day_rows <= DAY_BUCKET_MAX_ROWS:
+                index, exploded, span = _day_index, day_ex, day_span
+        # Proven bound (sum of spans) before broadcasting: the fact is then not shuffled at all.
+        n_exploded = side.agg(F.sum(span)).first()[0] or 0
+        if n_exploded <= max_broadcast_rows:
+            exploded = F.broadcast(exploded)
+        f = fact.withColumn("__fb", index(t))
         cond = ((f[fact_bk] == exploded["__lk"]) & (f["__fb"] == exploded["__lb"])
                 & (t >= exploded["__ls"]) & _before_end(t, exploded["__le"], half_open))
         j = f.join(exploded, cond, "left")

@@ -108,3 +108,24 @@ def test_group_of_copies_is_chunked_and_exact(spark, monkeypatch):
     assert by_key[420].RowEndDateTime == dt.datetime(2020, 1, 31, 23, 59, 59)
     assert by_key[121].RowEndDateTime == dt.datetime(2019, 12, 31, 23, 59, 59)
     assert by_key[421].IsCurrent and by_key[421].VendorName == "y"
+
+
+def test_pit_day_buckets_match_equi(spark):
+    """Hundreds of versions of one key inside one month switch the bucketed plan to days;
+    matches stay those of the plain join."""
+    rnd = random.Random(5)
+    vers, k, t = [], 0, dt.datetime(2021, 3, 1)
+    for _ in range(300):
+        nxt = t + dt.timedelta(minutes=rnd.randint(5, 120))
+        k += 1
+        vers.append((k, 1, "n", "r", t, nxt - dt.timedelta(seconds=1), False))
+        t = nxt
+    vers.append((k + 1, 1, "n", "r", t, None, True))
+    dim = spark.createDataFrame(vers, _dim(spark).schema)
+    facts = spark.createDataFrame(
+        [(i, 1, dt.datetime(2021, 3, 1) + dt.timedelta(minutes=rnd.randint(-60, 20000))) for i in range(2000)],
+        "TripID int, CustomerID int, TripDate timestamp_ntz")
+    a = {r.TripID: r.CustomerKey for r in lookup.lookup_scd2_pit(facts, dim, "CustomerID", "TripDate", CUSTOMER, "equi").collect()}
+    for bucket in ("auto", "day", "month"):
+        b = lookup.lookup_scd2_pit(facts, dim, "CustomerID", "TripDate", CUSTOMER, "bucketed", bucket=bucket)
+        assert {r.TripID: r.CustomerKey for r in b.collect()} == a, bucket
