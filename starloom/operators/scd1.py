@@ -39,13 +39,15 @@ def scd1_full(stg: DataFrame, spec: DimSpec, add_unknown: bool = True) -> DataFr
     return with_unknown(dim, spec) if add_unknown else dim
 
 
-def scd1_merge(target: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
+def scd1_merge(target: DataFrame, stg: DataFrame, spec: DimSpec, base: int | None = None) -> DataFrame:
     """MERGE on the business key.
 
     * matched and the source date strictly newer: attributes and date replaced together;
       a NULL on either side never compares newer, so a target with NULL date is never updated;
     * not matched by target: inserted with keys ``greatest(max(key), 0) + rank`` in key order;
     * not matched by source: kept (the procedure has no delete branch).
+
+    ``base`` is the highest key ever issued when known (the publish manifest stores it).
     """
     src = latest_per_key(stg, spec)
     s = src.select(F.col(spec.bk).alias("__bk"),
@@ -65,6 +67,7 @@ def scd1_merge(target: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
         F.col("__bk").alias(spec.bk),
         *[F.col(f"__s_{a}").alias(a) for a in spec.attr_names],
         F.col("__s_m").alias(spec.date_col))
-    base = next_key_base(target, spec.sk)
+    if base is None:
+        base = next_key_base(target, spec.sk)
     inserted = dense_key(inserted_rows, spec.sk, key_order(spec), start=base, unique=True)
     return updated.unionByName(inserted.select(*spec.gold_columns()))

@@ -83,7 +83,8 @@ def inc_load_table(spark: SparkSession, row: dict, extract: Extractor, root: str
         stg = _check_keys(stg, [spec.bk], table, root, on_null_key)
         target = P.read_table(spark, root, table)
         if kind == "SCD1":
-            return P.publish_full(scd1.scd1_merge(target, stg, spec), root, table, spec.sk, cutoff, now)
+            merged = scd1.scd1_merge(target, stg, spec, base=old["max_key"])
+            return P.publish_full(merged, root, table, spec.sk, cutoff, now)
         closed, inserted = scd2.scd2_inc_parts(target, stg, spec, base=old["max_key"])
         return P.publish_scd2_increment(closed, inserted, root, spec, cutoff, now)
     if kind == "FACT":

@@ -55,7 +55,7 @@ def dimension_batch_loader(root: str, spec: DimSpec, now: str) -> Callable[[Data
             closed, inserted = scd2.scd2_inc_parts(target, batch, spec, base=old["max_key"])
             P.publish_scd2_increment(closed, inserted, root, spec, watermark, now, extra)
         else:
-            P.publish_full(scd1.scd1_merge(target, batch, spec), root, spec.table, spec.sk, watermark, now,
-                           extra=extra)
+            P.publish_full(scd1.scd1_merge(target, batch, spec, base=old["max_key"]), root, spec.table, spec.sk,
+                           watermark, now, extra=extra)
         release_materialized()
     return apply
