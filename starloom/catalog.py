@@ -5,6 +5,7 @@ and runs the library's operators over the whole tables.
 """
 from __future__ import annotations
 
+import concurrent.futures as cf
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,17 +45,23 @@ def dim_inc(spark, sf, spec: DimSpec, target: DataFrame | None = None) -> DataFr
     return scd1.scd1_merge(target, delta, spec) if spec.scd == 1 else scd2.scd2_inc(target, delta, spec)
 
 
+def _build_all(fn, specs) -> dict[str, DataFrame]:
+    """Build independent dimensions concurrently (each is its own Spark jobs)."""
+    with cf.ThreadPoolExecutor(max_workers=len(specs)) as ex:
+        return dict(zip([s.table for s in specs], ex.map(fn, specs)))
+
+
 def dims_for_fact_full(spark, sf) -> dict[str, DataFrame]:
     # The fact's full load joins the employee dimension built from all events.
-    return {s.table: dim_full(spark, sf, s, all_rows=(s is EMPLOYEE)) for s in SCD1_DIMS + SCD2_DIMS}
+    return _build_all(lambda s: dim_full(spark, sf, s, all_rows=(s is EMPLOYEE)), SCD1_DIMS + SCD2_DIMS)
 
 
 def dims_after_inc(spark, sf, full: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Every dimension after its increment; ``full`` reuses already built full loads (the
     employee full load of the fact's run covers all events, so it is rebuilt on its window)."""
     full = full or {}
-    return {s.table: dim_inc(spark, sf, s, None if s is EMPLOYEE else full.get(s.table))
-            for s in SCD1_DIMS + SCD2_DIMS}
+    return _build_all(lambda s: dim_inc(spark, sf, s, None if s is EMPLOYEE else full.get(s.table)),
+                      SCD1_DIMS + SCD2_DIMS)
 
 
 def fact_full_df(spark, sf) -> DataFrame:

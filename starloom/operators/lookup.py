@@ -14,6 +14,8 @@ spread over many join keys.
 """
 from __future__ import annotations
 
+import concurrent.futures as cf
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,11 +41,18 @@ def _day_index(c):
     return F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast(T.IntegerType())
 
 
-def lookup_scd1(fact: DataFrame, dim: DataFrame, fact_bk: str, spec: DimSpec,
-                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """LEFT join on the business key; a miss becomes -1."""
+def prepare_scd1_side(dim: DataFrame, spec: DimSpec, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """The (key, surrogate key) lookup side, broadcast when measured small."""
     side = cache_deterministic(dim.select(F.col(spec.bk).alias("__lk"), F.col(spec.sk).alias("__lsk")))
     side, _ = broadcast_if_small(side, max_broadcast_rows)
+    return side
+
+
+def lookup_scd1(fact: DataFrame, dim: DataFrame, fact_bk: str, spec: DimSpec,
+                max_broadcast_rows: int = BROADCAST_MAX_ROWS, side: DataFrame | None = None) -> DataFrame:
+    """LEFT join on the business key; a miss becomes -1."""
+    if side is None:
+        side = prepare_scd1_side(dim, spec, max_broadcast_rows)
     j = fact.join(side, fact[fact_bk] == side["__lk"], "left")
     return j.withColumn(spec.sk, F.coalesce(F.col("__lsk"), F.lit(UNKNOWN_KEY).cast("bigint"))) \
             .drop("__lk", "__lsk")
@@ -71,10 +80,18 @@ def time_bounds(df: DataFrame, time_col: str):
     return b.lo, b.hi
 
 
+def prepare_pit_side(dim: DataFrame, spec: DimSpec):
+    """The point-in-time lookup side with its row count and most versions on one key - one
+    pass over the (small) side gives both bounds the plan depends on."""
+    side = cache_deterministic(_pit_side(dim, spec))
+    stats = side.groupBy("__lk").count().agg(F.sum("count").alias("rows"), F.max("count").alias("mx")).first()
+    return side, int(stats.rows or 0), int(stats.mx or 0)
+
+
 def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str, spec: DimSpec,
                     strategy: str = "auto", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
                     max_versions_per_key: int = PIT_MAX_VERSIONS_PER_KEY, bounds=None,
-                    half_open: bool = False, bucket: str = "auto") -> DataFrame:
+                    half_open: bool = False, bucket: str = "auto", prepared=None) -> DataFrame:
     """LEFT join on key and ``start <= t <= ISNULL(end, 9999-12-31 23:59:59)``; a miss is -1.
 
     Overlapping versions multiply the fact row, as the SQL join does.  ``strategy`` is
@@ -84,10 +101,7 @@ def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str
     is the time unit of the bucketed plan; auto uses days when one key crowds more than
     ``max_versions_per_key`` versions into a month and the day-copied side stays bounded.
     """
-    side = cache_deterministic(_pit_side(dim, spec))
-    # One pass over the (small) lookup side gives both bounds the plan depends on.
-    stats = side.groupBy("__lk").count().agg(F.sum("count").alias("rows"), F.max("count").alias("mx")).first()
-    rows, mx = int(stats.rows or 0), int(stats.mx or 0)
+    side, rows, mx = prepared if prepared is not None else prepare_pit_side(dim, spec)
     if strategy == "auto":
         strategy = "bucketed" if mx > max_versions_per_key else "equi"
     t = F.col(time_col)
@@ -143,13 +157,22 @@ def star_lookup(fact: DataFrame, dims: dict[str, DataFrame], lookups, time_col:
             bounds.append(time_bounds(fact, time_col))
         return bounds[0]
 
-    for fact_bk, spec in lookups:
+    # The side checks are independent small jobs: submit them together.
+    def prepare(item):
+        _, spec = item
+        dim = dims[spec.table]
+        return (prepare_scd1_side(dim, spec, max_broadcast_rows) if spec.scd == 1
+                else prepare_pit_side(dim, spec))
+    with cf.ThreadPoolExecutor(max_workers=max(1, len(lookups))) as ex:
+        prepared = list(ex.map(prepare, lookups))
+
+    for (fact_bk, spec), prep in zip(lookups, prepared):
         dim = dims[spec.table]
         if spec.scd == 1:
-            out = lookup_scd1(out, dim, fact_bk, spec, max_broadcast_rows)
+            out = lookup_scd1(out, dim, fact_bk, spec, max_broadcast_rows, side=prep)
         else:
             out = lookup_scd2_pit(out, dim, fact_bk, time_col, spec, pit_strategy, max_broadcast_rows,
-                                  bounds=_Lazy(fact_bounds))
+                                  bounds=_Lazy(fact_bounds), prepared=prep)
     return out
 
 
