@@ -5,15 +5,18 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, packing, token_counts
-from .common import table
+from . import bpe, language, line_dedup, packing, quality, token_counts, topk
+from .common import id_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 #: Tokens of one packed sequence.
 CONTEXT = 2048
+#: Least score of a document of good quality.
+QUALITY_THRESHOLD = 0.3
 
 
 def register(fn):
@@ -31,6 +34,69 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("word_bpe_49k.json"), CONTEXT)
 
 
+@register
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT doc_id, line, pos,
+         translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+marked AS (
+  SELECT doc_id, line, pos, length(key) >= 10 AND doc_id > min(doc_id) OVER (PARTITION BY key) AS dropped
+  FROM keyed)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE dropped)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@register
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_bucket(F.col("doc_id"), 4) == 2
+    model = language.learn(docs, ~held_out)
+    return language.predict(docs.select("doc_id", "text"), model) \
+        .select("doc_id", held_out.alias("held_out"), "lang_id.lang_pred", "lang_id.score")
+
+
+@register
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+ORACLE["op5_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+         vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@register
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = id_bucket(F.col("doc_id"), 5) == 0
+    model = quality.learn(docs, labels, ~held_out)
+    return quality.score(docs.select("doc_id", "text"), model, "score").select(
+        "doc_id", held_out.alias("held_out"), "score",
+        F.when(F.col("score") >= QUALITY_THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 @register
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), byte_ranks(), public_tokenizers.PATTERN)
