@@ -31,7 +31,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     partition rows differently."""
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
 
 
 def id_bucket(doc_id: Column, modulus: int) -> Column:
@@ -65,3 +67,10 @@ def text_chunks(texts: list[str], limit: int = 1 << 20, overlap: int = 0):
             pos -= overlap
     if rows:
         yield rows, parts
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete a staged table that no later job reads."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(df._staged_at)
+    path.getFileSystem(conf).delete(path, True)

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, line_dedup, packing, quality, token_counts, topk
+from . import bpe, fingerprints, language, line_dedup, lm, near_dedup, packing, quality, token_counts, topk
 from .common import id_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", held_out.alias("held_out"), "lang_id.lang_pred", "lang_id.score")
 
 
+@register
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.report(table(spark, sf_dir, "documents"))
+
+
 @register
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
@@ -97,6 +102,16 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= QUALITY_THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+@register
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), id_bucket(F.col("doc_id"), 5) == 1)
+
+
+@register
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.report(table(spark, sf_dir, "documents"))
+
+
 @register
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), byte_ranks(), public_tokenizers.PATTERN)
