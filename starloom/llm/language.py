@@ -228,8 +228,9 @@ def learn(docs: DataFrame, usable: Column, sample_rows: int = SAMPLE_ROWS) -> La
     """Learn from at most ``sample_rows`` rows of ``docs`` that are ``usable`` and have a
     language, the same number of each language, those of the lowest hash of the id."""
     small_batches(docs.sparkSession)
-    labelled = docs.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")) \
-        .where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    docs = docs.select("doc_id", "lang", "text")
+    labelled = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()) \
+        .select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
     n_langs = labelled.select("lang").distinct().count()
     if not n_langs:
         return LanguageModel([], {}, [], {})
