@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import concurrent.futures as cf
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,13 +35,18 @@ def register(name: str, sql: str | None = None):
 
 # --- shared builders (Spark) --------------------------------------------------------------
 
-def dim_full(spark, sf, spec: DimSpec, all_rows: bool = False) -> DataFrame:
+def dim_full(spark, sf, spec: DimSpec, all_rows: bool = True) -> DataFrame:
+    """Full load of the whole source, or of its state beneath an increment (``dim_base``)."""
     stg = fx.STAGERS[spec.staging](spark, sf) if all_rows else fx.stage_full(spark, sf, spec.staging)
     return scd1.scd1_full(stg, spec) if spec.scd == 1 else scd2.scd2_full(stg, spec)
 
 
+def dim_base(spark, sf, spec: DimSpec) -> DataFrame:
+    return dim_full(spark, sf, spec, all_rows=False)
+
+
 def dim_inc(spark, sf, spec: DimSpec, target: DataFrame | None = None) -> DataFrame:
-    target = target if target is not None else dim_full(spark, sf, spec)
+    target = target if target is not None else dim_base(spark, sf, spec)
     delta = fx.stage_delta(spark, sf, spec.staging)
     return scd1.scd1_merge(target, delta, spec) if spec.scd == 1 else scd2.scd2_inc(target, delta, spec)
 
@@ -52,38 +58,51 @@ def _build_all(fn, specs) -> dict[str, DataFrame]:
 
 
 def dims_for_fact_full(spark, sf) -> dict[str, DataFrame]:
-    # The fact's full load joins the employee dimension built from all events.
-    return _build_all(lambda s: dim_full(spark, sf, s, all_rows=(s is EMPLOYEE)), SCD1_DIMS + SCD2_DIMS)
+    return _build_all(lambda s: dim_full(spark, sf, s), SCD1_DIMS + SCD2_DIMS)
+
+
+def dims_for_fact_base(spark, sf) -> dict[str, DataFrame]:
+    return _build_all(lambda s: dim_base(spark, sf, s), SCD1_DIMS + SCD2_DIMS)
 
 
 def dims_after_inc(spark, sf, full: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Every dimension after its increment; ``full`` reuses already built full loads (the
-    employee full load of the fact's run covers all events, so it is rebuilt on its window)."""
+    """Every dimension after its increment; ``full`` reuses already built base loads."""
     full = full or {}
-    return _build_all(lambda s: dim_inc(spark, sf, s, None if s is EMPLOYEE else full.get(s.table)),
-                      SCD1_DIMS + SCD2_DIMS)
+    return _build_all(lambda s: dim_inc(spark, sf, s, full.get(s.table)), SCD1_DIMS + SCD2_DIMS)
 
 
 def fact_full_df(spark, sf) -> DataFrame:
-    return fact_ops.fact_full(fx.stage_full(spark, sf, "facttrip"), dims_for_fact_full(spark, sf),
+    return fact_ops.fact_full(fx.stage_facttrip(spark, sf), dims_for_fact_full(spark, sf), FACTTRIP, fx.LOAD_TS)
+
+
+def fact_base_df(spark, sf, dims=None) -> DataFrame:
+    return fact_ops.fact_full(fx.stage_full(spark, sf, "facttrip"), dims or dims_for_fact_base(spark, sf),
                               FACTTRIP, fx.LOAD_TS)
 
 
 # --- shared builders (SQL) ----------------------------------------------------------------
 
-def dim_full_sql(spec: DimSpec, all_rows: bool = False) -> str:
+def dim_base_sql(spec: DimSpec) -> str:
+    return dim_full_sql(spec, all_rows=False)
+
+
+def dim_full_sql(spec: DimSpec, all_rows: bool = True) -> str:
     stg = O.stage_sql(spec.staging) if all_rows else O.stage_full_sql(spec.staging)
     return O.scd1_full_sql(stg, spec) if spec.scd == 1 else O.scd2_full_sql(stg, spec)
 
 
 def dim_inc_sql(spec: DimSpec) -> str:
-    target = dim_full_sql(spec)
+    target = dim_base_sql(spec)
     delta = O.stage_delta_sql(spec.staging)
     return O.scd1_merge_sql(target, delta, spec) if spec.scd == 1 else O.scd2_inc_sql(target, delta, spec)
 
 
 def dims_for_fact_full_sql() -> dict[str, str]:
-    return {s.table: dim_full_sql(s, all_rows=(s is EMPLOYEE)) for s in SCD1_DIMS + SCD2_DIMS}
+    return {s.table: dim_full_sql(s) for s in SCD1_DIMS + SCD2_DIMS}
+
+
+def dims_for_fact_base_sql() -> dict[str, str]:
+    return {s.table: dim_base_sql(s) for s in SCD1_DIMS + SCD2_DIMS}
 
 
 def dims_after_inc_sql() -> dict[str, str]:
@@ -91,7 +110,11 @@ def dims_after_inc_sql() -> dict[str, str]:
 
 
 def fact_full_sql() -> str:
-    return O.fact_full_sql(O.stage_full_sql("facttrip"), dims_for_fact_full_sql())
+    return O.fact_full_sql(O.stage_sql("facttrip"), dims_for_fact_full_sql())
+
+
+def fact_base_sql() -> str:
+    return O.fact_full_sql(O.stage_full_sql("facttrip"), dims_for_fact_base_sql())
 
 
 # --- S1 / S4: full dimension loads --------------------------------------------------------
@@ -108,8 +131,17 @@ for _s in SCD1_DIMS + SCD2_DIMS:
 # --- S2 / S3: incremental dimension loads -------------------------------------------------
 
 def _reg_inc(spec: DimSpec):
-    name = f"scd1_merge_{spec.staging}" if spec.scd == 1 else f"scd2_inc_{spec.staging}"
-    register(name, dim_inc_sql(spec))(lambda spark, sf, spec=spec: dim_inc(spark, sf, spec))
+    if spec.scd == 2:
+        register(f"scd2_inc_{spec.staging}", dim_inc_sql(spec))(lambda spark, sf, spec=spec: dim_inc(spark, sf, spec))
+        return
+    base_sql, delta_sql = O.stage_merge_sql(spec.staging)
+
+    def merge(spark, sf, spec=spec):
+        """The delta overlaps the base: it holds new keys, newer rows and stale ones."""
+        base, delta = fx.merge_windows(spec.staging)
+        stager = fx.STAGERS[spec.staging]
+        return scd1.scd1_merge(scd1.scd1_full(stager(spark, sf, *base), spec), stager(spark, sf, *delta), spec)
+    register(f"scd1_merge_{spec.staging}", O.scd1_merge_sql(O.scd1_full_sql(base_sql, spec), delta_sql, spec))(merge)
 
 
 for _s in SCD1_DIMS + SCD2_DIMS:
@@ -123,24 +155,24 @@ def q_fact_full(spark, sf):
     return fact_full_df(spark, sf)
 
 
-@register("fact_inc", O.fact_inc_sql(fact_full_sql(), O.stage_delta_sql("facttrip"), dims_after_inc_sql()))
+@register("fact_inc", O.fact_inc_sql(fact_base_sql(), O.stage_delta_sql("facttrip"), dims_after_inc_sql()))
 def q_fact_inc(spark, sf):
-    dims = dims_for_fact_full(spark, sf)
-    target = fact_ops.fact_full(fx.stage_full(spark, sf, "facttrip"), dims, FACTTRIP, fx.LOAD_TS)
+    dims = dims_for_fact_base(spark, sf)
+    target = fact_base_df(spark, sf, dims)
     return fact_ops.fact_inc(target, fx.stage_delta(spark, sf, "facttrip"),
                              dims_after_inc(spark, sf, dims), FACTTRIP, fx.LOAD_TS)
 
 
 @register("fact_delete_matching",
-          O.delete_matching_sql(fact_full_sql(), O.stage_delta_sql("facttrip")))
+          O.delete_matching_sql(fact_base_sql(), O.stage_delta_sql("facttrip")))
 def q_fact_delete_matching(spark, sf):
-    return fact_ops.delete_matching(fact_full_df(spark, sf), fx.stage_delta(spark, sf, "facttrip"), FACTTRIP)
+    return fact_ops.delete_matching(fact_base_df(spark, sf), fx.stage_delta(spark, sf, "facttrip"), FACTTRIP)
 
 
 # --- C1 / C3 / C4: lookups -----------------------------------------------------------------
 
 def _lookup_one_sql(spec: DimSpec) -> str:
-    stg = O.stage_full_sql("facttrip")
+    stg = O.stage_sql("facttrip")
     bk = dict((d.table, b) for b, d in FACTTRIP.lookups)[spec.table]
     d = dims_for_fact_full_sql()[spec.table]
     if spec.scd == 1:
@@ -157,8 +189,8 @@ def _reg_lookup(spec: DimSpec):
     name = f"lookup_scd1_{spec.staging}" if spec.scd == 1 else f"lookup_scd2_pit_{spec.staging}"
 
     def q(spark, sf, spec=spec, bk=bk):
-        stg = fx.stage_full(spark, sf, "facttrip")
-        dim = dim_full(spark, sf, spec, all_rows=(spec is EMPLOYEE))
+        stg = fx.stage_facttrip(spark, sf)
+        dim = dim_full(spark, sf, spec)
         if spec.scd == 1:
             return lookup.lookup_scd1(stg, dim, bk, spec)
         return lookup.lookup_scd2_pit(stg, dim, bk, "TripDate", spec)
@@ -172,18 +204,33 @@ for _s in SCD1_DIMS + SCD2_DIMS:
 @register("lookup_scd2_pit_bucketed", _lookup_one_sql(CUSTOMER))
 def q_pit_bucketed(spark, sf):
     """The month-bucketed point-in-time plan, forced, on the customer lookup."""
-    stg = fx.stage_full(spark, sf, "facttrip")
+    stg = fx.stage_facttrip(spark, sf)
     return lookup.lookup_scd2_pit(stg, dim_full(spark, sf, CUSTOMER), "CustomerID", "TripDate",
                                   CUSTOMER, strategy="bucketed")
 
 
-@register("lookup_scd2_pit_half_open",
-          _lookup_one_sql(PRODUCT).replace(f"s.TripDate <= COALESCE(d.RowEndDateTime, {O.ts(OPEN_END)})",
-                                           f"s.TripDate < COALESCE(d.RowEndDateTime, {O.ts(OPEN_END)}) + INTERVAL 1 SECOND"))
+_HALF_OPEN_SQL = _lookup_one_sql(PRODUCT).replace(
+    f"s.TripDate <= COALESCE(d.RowEndDateTime, {O.ts(OPEN_END)})",
+    f"s.TripDate < COALESCE(d.RowEndDateTime, {O.ts(OPEN_END)}) + INTERVAL 1 SECOND")
+
+
+@register("lookup_scd2_pit_half_open_bucketed",
+          _HALF_OPEN_SQL.replace(f"({O.stage_sql('facttrip')}) s",
+                                 f"(SELECT * REPLACE (TripDate - INTERVAL 500 MILLISECOND AS TripDate) "
+                                 f"FROM ({O.stage_sql('facttrip')}) x) s"))
+def q_pit_half_open_bucketed(spark, sf):
+    """The half-open option under the month-bucketed plan, with trips half a second before
+    midnight: at the end of a month they fall into a version's last, open second."""
+    stg = fx.stage_facttrip(spark, sf).withColumn("TripDate", F.col("TripDate") - F.expr("INTERVAL 0.5 SECOND"))
+    return lookup.lookup_scd2_pit(stg, dim_full(spark, sf, PRODUCT), "ProductID", "TripDate", PRODUCT,
+                                  strategy="bucketed", half_open=True)
+
+
+@register("lookup_scd2_pit_half_open", _HALF_OPEN_SQL)
 def q_pit_half_open(spark, sf):
     """Point-in-time lookup, option: a time in the last second before the next version
     belongs to the earlier version (Q10 fixed)."""
-    stg = fx.stage_full(spark, sf, "facttrip")
+    stg = fx.stage_facttrip(spark, sf)
     return lookup.lookup_scd2_pit(stg, dim_full(spark, sf, PRODUCT), "ProductID", "TripDate", PRODUCT,
                                   half_open=True)
 
@@ -191,23 +238,41 @@ def q_pit_half_open(spark, sf):
 @register("lookup_scd2_current",
           f"SELECT s.*, CAST(COALESCE(d.CustomerKey, -1) AS BIGINT) AS CustomerKey "
           f"FROM ({O.stage_delta_sql('customer')}) s LEFT JOIN "
-          f"(SELECT * FROM ({dim_full_sql(CUSTOMER)}) c WHERE IsCurrent) d ON s.CustomerID = d.CustomerID")
+          f"(SELECT * FROM ({dim_base_sql(CUSTOMER)}) c WHERE IsCurrent) d ON s.CustomerID = d.CustomerID")
 def q_lookup_current(spark, sf):
-    return lookup.lookup_scd2_current(fx.stage_delta(spark, sf, "customer"), dim_full(spark, sf, CUSTOMER),
+    """A delta against the current versions of the load before it."""
+    return lookup.lookup_scd2_current(fx.stage_delta(spark, sf, "customer"), dim_base(spark, sf, CUSTOMER),
                                       "CustomerID", CUSTOMER)
 
 
-@register("star_lookup", O.star_sql(O.stage_full_sql("facttrip"), dims_for_fact_full_sql(), keep_staging=True))
+@register("star_lookup", O.star_sql(O.stage_sql("facttrip"), dims_for_fact_full_sql(), keep_staging=True))
 def q_star_lookup(spark, sf):
-    return lookup.star_lookup(fx.stage_full(spark, sf, "facttrip"), dims_for_fact_full(spark, sf),
+    return lookup.star_lookup(fx.stage_facttrip(spark, sf), dims_for_fact_full(spark, sf),
                               FACTTRIP.lookups, "TripDate")
 
 
 # --- A1-A5, A8: extraction ------------------------------------------------------------------
 
-@register("extract_full", O.stage_full_sql("product"))
+@register("extract_full", O.stage_sql("product"))
 def q_extract_full(spark, sf):
-    return fx.stage_full(spark, sf, "product")
+    return fx.stage_product(spark, sf)
+
+
+@register("full_load_null_dates", O.scd1_full_sql(
+    "SELECT EmployeeID, EmployeeName, Department, CASE WHEN Department <> 'purchase' AND EmployeeID % 3 > 0 "
+    f"THEN ModifiedDate END AS ModifiedDate FROM ({O.stage_sql('employee')}) e", EMPLOYEE))
+def q_full_load_null_dates(spark, sf):
+    """Full load of a source with rows without a change date, through the runner: none is lost."""
+    from .plans import loads, publish
+
+    def extract(name, lo, hi):
+        rows = fx.stage_employee(spark, sf).withColumn(
+            "ModifiedDate", F.when((F.col("Department") != "purchase") & (F.col("EmployeeID") % 3 > 0), F.col("ModifiedDate")))
+        return rows if lo is None and hi is None else rows.filter(fx.window_predicate("ModifiedDate", lo, hi))
+    root = _warehouse(spark)
+    row = {"TABLENAME": "EMPLOYEE", "STAGINGTABLENAME": "employee", "LOADTYPE": "SCD1"}
+    loads.full_load_table(spark, row, extract, root, fx.EMP_FULL_CUTOFF, fx.LOAD_TS)
+    return publish.read_table(spark, root, "EMPLOYEE")
 
 
 @register("extract_delta_bounded", O.stage_delta_sql("product"))
@@ -220,22 +285,22 @@ def q_extract_delta_unbounded(spark, sf):
     return fx.stage_customer(spark, sf, fx.FULL_CUTOFF, None)
 
 
-@register("extract_file_formats", O.stage_full_sql("product"))
+@register("extract_file_formats", O.stage_sql("product"))
 def q_extract_file_formats(spark, sf):
     """Stage as CSV, read back through the explicit staging schema (FAILFAST)."""
     from .session import scratch_dir
     from .sources.extract import read_source
     path = scratch_dir(spark, "csv-stage")
-    fx.stage_full(spark, sf, "product").write.mode("overwrite").option("header", "true").csv(path)
+    fx.stage_product(spark, sf).write.mode("overwrite").option("header", "true").csv(path)
     return read_source(spark, path, "csv", PRODUCT.staging_schema())
 
 
-@register("stage_reload", O.stage_full_sql("customer"))
+@register("stage_reload", O.stage_sql("customer"))
 def q_stage_reload(spark, sf):
     """TRUNCATE + copy into a staging folder, then load from it."""
     from .session import scratch_dir
     from .sources.extract import stage
-    return stage(fx.stage_full(spark, sf, "customer"), scratch_dir(spark, "stage"))
+    return stage(fx.stage_customer(spark, sf), scratch_dir(spark, "stage"))
 
 
 @register("backfill_by_year",
@@ -253,9 +318,9 @@ def q_backfill_by_year(spark, sf):
 
 # --- B2, E1, B3, B4, C5, D1, D2, E3 ----------------------------------------------------------
 
-@register("rownum_filter", O.latest_sql(O.stage_full_sql("driver"), DRIVER))
+@register("rownum_filter", O.latest_sql(O.stage_sql("driver"), DRIVER))
 def q_rownum_filter(spark, sf):
-    return scd1.latest_per_key(fx.stage_full(spark, sf, "driver"), DRIVER)
+    return scd1.latest_per_key(fx.stage_driver(spark, sf), DRIVER)
 
 
 @register("latest_per_key", O.latest_sql(O.stage_sql("employee"), EMPLOYEE))
@@ -269,11 +334,11 @@ def q_current_rows(spark, sf):
 
 
 def _changed(spark, sf, spec):
-    return scd2.changed_rows(fx.stage_delta(spark, sf, spec.staging), dim_full(spark, sf, spec), spec)
+    return scd2.changed_rows(fx.stage_delta(spark, sf, spec.staging), dim_base(spark, sf, spec), spec)
 
 
 def _changed_sql(spec):
-    return O.changed_sql(O.stage_delta_sql(spec.staging), dim_full_sql(spec), spec)
+    return O.changed_sql(O.stage_delta_sql(spec.staging), dim_base_sql(spec), spec)
 
 
 @register("mutation_filter", _changed_sql(CUSTOMER))
@@ -282,18 +347,18 @@ def q_mutation_filter(spark, sf):
 
 
 @register("mutation_filter_chain",
-          O.changed_sql(O.stage_delta_sql("customer"), dim_full_sql(CUSTOMER), CUSTOMER, chain=True))
+          O.changed_sql(O.stage_delta_sql("customer"), dim_base_sql(CUSTOMER), CUSTOMER, chain=True))
 def q_mutation_filter_chain(spark, sf):
     """Change filter, option: each row against its predecessor in the batch (Q11 fixed)."""
-    return scd2.changed_rows(fx.stage_delta(spark, sf, "customer"), dim_full(spark, sf, CUSTOMER), CUSTOMER,
+    return scd2.changed_rows(fx.stage_delta(spark, sf, "customer"), dim_base(spark, sf, CUSTOMER), CUSTOMER,
                              chain_compare=True)
 
 
 @register("scd2_inc_chain_product",
-          O.scd2_inc_sql(dim_full_sql(PRODUCT), O.stage_delta_sql("product"), PRODUCT, chain=True))
+          O.scd2_inc_sql(dim_base_sql(PRODUCT), O.stage_delta_sql("product"), PRODUCT, chain=True))
 def q_scd2_inc_chain(spark, sf):
     """SCD2 increment with the chained change filter."""
-    return scd2.scd2_inc(dim_full(spark, sf, PRODUCT), fx.stage_delta(spark, sf, "product"), PRODUCT,
+    return scd2.scd2_inc(dim_base(spark, sf, PRODUCT), fx.stage_delta(spark, sf, "product"), PRODUCT,
                          chain_compare=True)
 
 
@@ -302,9 +367,9 @@ def q_first_change(spark, sf):
     return scd2.first_change(_changed(spark, sf, PRODUCT), PRODUCT)
 
 
-@register("scd2_close_out", O.close_out_sql(dim_full_sql(VENDOR), _changed_sql(VENDOR), VENDOR))
+@register("scd2_close_out", O.close_out_sql(dim_base_sql(VENDOR), _changed_sql(VENDOR), VENDOR))
 def q_close_out(spark, sf):
-    target = dim_full(spark, sf, VENDOR)
+    target = dim_base(spark, sf, VENDOR)
     first = scd2.first_change(_changed(spark, sf, VENDOR), VENDOR)
     return scd2.close_out(target.filter(F.col("IsCurrent")), first, VENDOR)
 
@@ -318,9 +383,9 @@ def q_next_watermark(spark, sf):
         .select(F.lit("CUSTOMER").alias("TABLENAME"), "NEXT_WATERMARK")
 
 
-@register("scd2_timeline", O.timeline_sql(O.stage_full_sql("vendor"), VENDOR))
+@register("scd2_timeline", O.timeline_sql(O.stage_sql("vendor"), VENDOR))
 def q_timeline(spark, sf):
-    return scd2.scd2_timeline(fx.stage_full(spark, sf, "vendor"), VENDOR)
+    return scd2.scd2_timeline(fx.stage_vendor(spark, sf), VENDOR)
 
 
 # --- W1: dense keys ------------------------------------------------------------------------------
@@ -336,52 +401,59 @@ def q_dense_key(spark, sf):
 
 # --- V1-V3, V5: quality checks -------------------------------------------------------------------
 
+# A vendor history whose '/N' rows lost their change date: several open versions per vendor.
+_UNDATED_SQL = O.scd2_full_sql(
+    f"SELECT VendorID, VendorName, CASE WHEN VendorName NOT LIKE '%/N' THEN ModifiedDate END AS ModifiedDate "
+    f"FROM ({O.stage_sql('vendor')}) v", VENDOR)
+
+
+def _undated_vendors(spark, sf) -> DataFrame:
+    rows = fx.stage_vendor(spark, sf)
+    return scd2.scd2_full(rows.withColumn("ModifiedDate", F.when(~F.col("VendorName").like("%/N"), F.col("ModifiedDate"))), VENDOR)
+
+
 @register("check_unique_bk",
-          f"SELECT CustomerID, COUNT(*) AS rows_per_key FROM ({dim_inc_sql(CUSTOMER)}) d WHERE IsCurrent "
-          f"GROUP BY CustomerID HAVING COUNT(*) > 1")
+          f"SELECT VendorID, COUNT(*) AS rows_per_key FROM ({_UNDATED_SQL}) d WHERE IsCurrent "
+          f"GROUP BY VendorID HAVING COUNT(*) > 1")
 def q_check_unique_bk(spark, sf):
     from .operators.quality import check_unique_bk
-    return check_unique_bk(dim_inc(spark, sf, CUSTOMER), CUSTOMER)
+    return check_unique_bk(_undated_vendors(spark, sf), VENDOR)
 
 
-_NN = ["TripID", "EmployeeID", "DriverID", "TruckID", "CustomerID", "ProductID", "VendorID"]
+_NN = ["TruckID", "TruckNumber", "ModifiedDate"]
 
 
 @register("check_not_null",
           "SELECT *, COALESCE(" + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in _NN)
-          + f") AS failed_column FROM ({O.stage_sql('facttrip')}) s WHERE "
+          + f") AS failed_column FROM ({O.stage_sql('truck')}) s WHERE "
           + " OR ".join(f"{c} IS NULL" for c in _NN))
 def q_check_not_null(spark, sf):
     from .operators.quality import check_not_null
-    return check_not_null(fx.stage_facttrip(spark, sf), _NN)
+    return check_not_null(fx.stage_truck(spark, sf), _NN)
 
 
-def _check_fk_sql():
-    parts = []
-    dims = dims_for_fact_full_sql()
-    for _, d in FACTTRIP.lookups:
-        parts.append(f"SELECT f.TripFactKey, '{d.table}' AS dimension, f.{d.sk} AS missing_key FROM fact f "
-                     f"WHERE NOT EXISTS (SELECT 1 FROM ({dims[d.table]}) x WHERE x.{d.sk} = f.{d.sk})")
-    return f"WITH fact AS ({fact_full_sql()}) " + " UNION ALL ".join(parts)
+# The raw trips against their employees, by business key: trips of employees nobody knows.
+_RAW_EMPLOYEE = replace(EMPLOYEE, sk="EmployeeID")
+_RAW_TRIP = replace(FACTTRIP, sk="TripID", lookups=(("EmployeeID", _RAW_EMPLOYEE),))
 
 
-@register("check_fk", _check_fk_sql())
+@register("check_fk",
+          f"SELECT s.TripID, 'EMPLOYEE' AS dimension, s.EmployeeID AS missing_key FROM ({O.stage_sql('facttrip')}) s "
+          f"WHERE NOT EXISTS (SELECT 1 FROM ({dim_full_sql(EMPLOYEE)}) x WHERE x.EmployeeID = s.EmployeeID)")
 def q_check_fk(spark, sf):
     from .operators.quality import check_fk
-    dims = dims_for_fact_full(spark, sf)
-    f = fact_ops.fact_full(fx.stage_full(spark, sf, "facttrip"), dims, FACTTRIP, fx.LOAD_TS)
-    return check_fk(f, dims, FACTTRIP)
+    return check_fk(fx.stage_facttrip(spark, sf), {"EMPLOYEE": dim_full(spark, sf, EMPLOYEE)}, _RAW_TRIP)
 
 
 @register("check_overlap",
-          f"SELECT CustomerKey, CustomerID, RowStartDateTime, RowEndDateTime, next_key, next_start FROM ("
-          f"SELECT *, LEAD(RowStartDateTime) OVER w AS next_start, LEAD(CustomerKey) OVER w AS next_key "
-          f"FROM ({dim_inc_sql(CUSTOMER)}) d WINDOW w AS (PARTITION BY CustomerID ORDER BY "
-          f"RowStartDateTime ASC NULLS FIRST, CustomerKey ASC NULLS FIRST)) x "
+          f"SELECT VendorKey, VendorID, RowStartDateTime, RowEndDateTime, next_key, next_start FROM ("
+          f"SELECT *, LEAD(RowStartDateTime) OVER w AS next_start, LEAD(VendorKey) OVER w AS next_key "
+          f"FROM ({_UNDATED_SQL}) d WINDOW w AS (PARTITION BY VendorID ORDER BY "
+          f"RowStartDateTime ASC NULLS FIRST, VendorKey ASC NULLS FIRST)) x "
           f"WHERE next_start IS NOT NULL AND next_start <= COALESCE(RowEndDateTime, {O.ts(OPEN_END)})")
 def q_check_overlap(spark, sf):
     from .operators.quality import check_overlap
-    return check_overlap(dim_inc(spark, sf, CUSTOMER), CUSTOMER)
+    return check_overlap(_undated_vendors(spark, sf), VENDOR)
 
 
 # --- multi-star marts (S5-S7, C8-C11, G2, D4-D10, T3-T5) -------------------------------------
@@ -736,22 +808,19 @@ def q_licence_expiry_check(spark, sf):
 from .plans import loads as L  # noqa: E402
 from .plans import publish as P  # noqa: E402
 
-# Per-table cutoffs of the fixture runs.  The bulk run loads employees up to the end of the
-# event stream (the fact's full load joins employees built from all events).
-BULK_CUTOFFS = {"EMPLOYEE": fx.EMP_DELTA_HI, **{t: fx.FULL_CUTOFF for t in
+# Per-table cutoffs of the fixture runs: the watermarks they leave.
+BULK_CUTOFFS = {"EMPLOYEE": fx.EMP_FULL_CUTOFF, **{t: fx.FULL_CUTOFF for t in
                 ("DRIVER", "TRUCK", "CUSTOMER", "PRODUCT", "VENDOR", "FACTTRIP")}}
 INC_CUTOFFS = {"EMPLOYEE": fx.EMP_DELTA_HI, **{t: fx.DELTA_HI for t in
                ("DRIVER", "TRUCK", "CUSTOMER", "PRODUCT", "VENDOR", "FACTTRIP")}}
 
 
-def fixture_extractor(spark, sf) -> L.Extractor:
-    """Bind the staging fixtures to the runner's ``extract(name, lo, hi)`` contract.
-
-    Full loads (``lo is None``) of the truck fixture take every row: its dates are NULL and
-    a bounded window would drop them all."""
+def fixture_extractor(spark, sf, base: bool = False) -> L.Extractor:
+    """Bind the staging fixtures to the runner's ``extract(name, lo, hi)`` contract; with
+    ``base`` the source is in its state beneath the increment when a full load reads it."""
     def extract(name, lo, hi):
-        if name == "truck" and lo is None:
-            return fx.stage_truck(spark, sf)
+        if base and lo is None and hi is None:
+            return fx.stage_full(spark, sf, name)
         return fx.STAGERS[name](spark, sf, lo, hi)
     return extract
 
@@ -765,27 +834,47 @@ def _warehouse(spark):
 def q_bulk_load_all(spark, sf):
     """Full run of all seven tables through the control table; returns the published fact."""
     root = _warehouse(spark)
-    L.bulk_load_all(spark, fixture_extractor(spark, sf), root, BULK_CUTOFFS, fx.LOAD_TS)
+    L.bulk_load_all(spark, fixture_extractor(spark, sf), root, INC_CUTOFFS, fx.LOAD_TS)
     return P.read_table(spark, root, "FACTTRIP")
 
 
-@register("incremental_load_all",
-          O.fact_inc_sql(fact_full_sql(), O.stage_delta_sql("facttrip"),
-                         {**dims_after_inc_sql(), "EMPLOYEE": dims_for_fact_full_sql()["EMPLOYEE"]}))
-def q_incremental_load_all(spark, sf):
-    """Full run, then the incremental run from the stored watermarks; returns the fact."""
+def _run_both(spark, sf) -> str:
     root = _warehouse(spark)
-    ex = fixture_extractor(spark, sf)
+    ex = fixture_extractor(spark, sf, base=True)
     L.bulk_load_all(spark, ex, root, BULK_CUTOFFS, fx.LOAD_TS)
     L.incremental_load_all(spark, ex, root, INC_CUTOFFS, fx.LOAD_TS)
-    return P.read_table(spark, root, "FACTTRIP")
+    return root
+
+
+_INC_FACT_SQL = O.fact_inc_sql(fact_base_sql(), O.stage_delta_sql("facttrip"), dims_after_inc_sql())
+
+
+@register("incremental_load_all", _INC_FACT_SQL)
+def q_incremental_load_all(spark, sf):
+    """Full run, then the incremental run from the stored watermarks; returns the fact."""
+    return P.read_table(spark, _run_both(spark, sf), "FACTTRIP")
+
+
+@register("incremental_load_tables", " UNION ALL ".join(
+    f"SELECT '{t}' AS TABLENAME, COUNT(*) AS Row_Count, CAST(SUM({k}) AS BIGINT) AS Key_Sum, "
+    f"CAST(SUM({v}) AS BIGINT) AS Id_Sum FROM ({q}) x"
+    for t, k, v, q in [*((d.table, d.sk, d.bk, dim_inc_sql(d)) for d in SCD1_DIMS + SCD2_DIMS),
+                       ("FACTTRIP", FACTTRIP.sk, FACTTRIP.id_col, _INC_FACT_SQL)]))
+def q_incremental_load_tables(spark, sf):
+    """Rows, surrogate key sum and id sum of all seven tables after both runs."""
+    root, out = _run_both(spark, sf), None
+    for t, k, v in [*((d.table, d.sk, d.bk) for d in SCD1_DIMS + SCD2_DIMS), ("FACTTRIP", FACTTRIP.sk, FACTTRIP.id_col)]:
+        one = P.read_table(spark, root, t).agg(F.count(F.lit(1)).alias("Row_Count"), F.sum(k).alias("Key_Sum"),
+                                               F.sum(v).alias("Id_Sum")).withColumn("TABLENAME", F.lit(t))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @register("publish", dim_inc_sql(CUSTOMER))
 def q_publish(spark, sf):
     """Publish a full SCD2 version, then an increment (history append-only), read back."""
     root = _warehouse(spark)
-    P.publish_scd2_full(dim_full(spark, sf, CUSTOMER), root, CUSTOMER, fx.FULL_CUTOFF, fx.LOAD_TS)
+    P.publish_scd2_full(dim_base(spark, sf, CUSTOMER), root, CUSTOMER, fx.FULL_CUTOFF, fx.LOAD_TS)
     target = P.read_table(spark, root, "CUSTOMER")
     closed, inserted = scd2.scd2_inc_parts(target, fx.stage_delta(spark, sf, "customer"), CUSTOMER,
                                            base=P.read_manifest(spark, root, "CUSTOMER")["max_key"])
@@ -794,15 +883,17 @@ def q_publish(spark, sf):
 
 
 @register("watermark_advance",
-          f"SELECT 'CUSTOMER' AS TABLENAME, {O.ts(fx.DELTA_HI)} AS LAST_WATERMARK_DATE, "
-          f"{O.ts(fx.LOAD_TS)} AS LAST_UPDATETIME FROM (SELECT COUNT(*) FROM ({O.stage_delta_sql('customer')}) s) x")
+          f"SELECT 'CUSTOMER' AS TABLENAME, MAX(ModifiedDate) AS LAST_WATERMARK_DATE, "
+          f"{O.ts(fx.LOAD_TS)} AS LAST_UPDATETIME FROM ({O.stage_sql('customer')}) s")
 def q_watermark_advance(spark, sf):
-    """Full load then increment of CUSTOMER; the watermark table afterwards."""
+    """Full load, then an increment up to the newest change in the source; the watermark table."""
+    from .plans.control import next_watermark
     root = _warehouse(spark)
-    ex = fixture_extractor(spark, sf)
+    ex = fixture_extractor(spark, sf, base=True)
     row = {"TABLENAME": "CUSTOMER", "STAGINGTABLENAME": "customer", "LOADTYPE": "SCD2"}
     L.full_load_table(spark, row, ex, root, fx.FULL_CUTOFF, fx.LOAD_TS)
-    L.inc_load_table(spark, row, ex, root, fx.DELTA_HI, fx.LOAD_TS)
+    newest = next_watermark(fx.stage_customer(spark, sf, fx.FULL_CUTOFF), "ModifiedDate", fx.LOAD_TS).first()[0]
+    L.inc_load_table(spark, row, ex, root, str(newest), fx.LOAD_TS)
     return P.read_watermarks(spark, root, ["CUSTOMER"])
 
 
@@ -817,7 +908,7 @@ def _year_window(y):
 
 
 def _streamed_sql(spec):
-    q = dim_full_sql(spec)
+    q = dim_base_sql(spec)
     for y in LANDING_YEARS:
         lo, hi = _year_window(y)
         q = O.scd2_inc_sql(q, O.stage_sql(spec.staging, lo, hi), spec)
@@ -826,18 +917,18 @@ def _streamed_sql(spec):
 
 @register("streaming_scd2_increments", _streamed_sql(CUSTOMER))
 def q_streaming_scd2_increments(spark, sf):
-    """Full load, then the delta landed as one file set per year and applied by a
-    Structured Streaming query (one micro-batch per file set, in arrival order)."""
+    """Full load, then the delta landed as one file set per year; each arrival is one run of
+    the Structured Streaming query, which goes on from its checkpoint."""
     from .session import scratch_dir
     from .streaming.landing import dimension_batch_loader, run_landing_stream
     root = _warehouse(spark)
-    landing = scratch_dir(spark, "landing")
-    P.publish_scd2_full(dim_full(spark, sf, CUSTOMER), root, CUSTOMER, fx.FULL_CUTOFF, fx.LOAD_TS)
-    for y in LANDING_YEARS:             # the daily landing: one file per arrival, written in order
+    landing, checkpoint = scratch_dir(spark, "landing"), scratch_dir(spark, "stream-ckpt")
+    P.publish_scd2_full(dim_base(spark, sf, CUSTOMER), root, CUSTOMER, fx.FULL_CUTOFF, fx.LOAD_TS)
+    load = dimension_batch_loader(root, CUSTOMER, fx.LOAD_TS, stream_id=checkpoint)
+    for y in LANDING_YEARS:
         lo, hi = _year_window(y)
-        fx.stage_customer(spark, sf, lo, hi).coalesce(1).write.parquet(f"{landing}/arrival_{y}")
-    run_landing_stream(spark, landing, CUSTOMER.staging_schema(), dimension_batch_loader(root, CUSTOMER, fx.LOAD_TS),
-                       scratch_dir(spark, "stream-ckpt"), max_files_per_trigger=1)
+        fx.stage_customer(spark, sf, lo, hi).write.parquet(f"{landing}/arrival_{y}")
+        run_landing_stream(spark, landing, CUSTOMER.staging_schema(), load, checkpoint)
     return P.read_table(spark, root, "CUSTOMER")
 
 
@@ -861,15 +952,21 @@ def _unknown_sql():
         tail = ("CAST(NULL AS TIMESTAMP) AS RowStartDateTime, CAST(NULL AS TIMESTAMP) AS RowEndDateTime, "
                 "CAST(NULL AS BOOLEAN) AS IsCurrent") if s.scd == 1 else "RowStartDateTime, RowEndDateTime, IsCurrent"
         parts.append(f"SELECT '{s.table}' AS Dimension, {s.sk} AS SurrogateKey, {s.bk} AS BusinessKey, "
-                     f"{s.attr_names[0]} AS Name, {tail} FROM ({dim_full_sql(s)}) d WHERE {s.sk} = -1")
-    return " UNION ALL ".join(parts)
+                     f"{s.attr_names[0]} AS Name, {tail}, (SELECT COUNT(*) FROM fact f WHERE f.{s.sk} = -1) AS Orphan_Facts "
+                     f"FROM ({dim_full_sql(s)}) d WHERE {s.sk} = -1")
+    return f"WITH fact AS ({fact_full_sql()}) " + " UNION ALL ".join(parts)
 
 
 @register("unknown_member", _unknown_sql())
 def q_unknown_member(spark, sf):
-    """The -1 member of every dimension after its full load from the given tables."""
+    """The -1 member of every dimension after its full load, with the fact rows that fell to it."""
+    specs = SCD1_DIMS + SCD2_DIMS
+    dims = dims_for_fact_full(spark, sf)
+    fact = fact_ops.resolve_keys(fx.stage_facttrip(spark, sf), dims, FACTTRIP, fx.LOAD_TS)
+    orphans = fact.agg(F.array(*[F.struct(F.lit(s.table).alias("Dimension"), F.count(F.when(F.col(s.sk) == -1, 1))
+                                          .alias("Orphan_Facts")) for s in specs]).alias("o")).select(F.inline("o"))
     out = None
-    for s in SCD1_DIMS + SCD2_DIMS:
-        rows = dim_full(spark, sf, s).filter(F.col(s.sk) == -1).select(*_unknown_cols(s))
+    for s in specs:
+        rows = dims[s.table].filter(F.col(s.sk) == -1).select(*_unknown_cols(s))
         out = rows if out is None else out.unionByName(rows)
-    return out
+    return out.join(orphans, "Dimension")

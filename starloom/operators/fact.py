@@ -8,7 +8,7 @@ from ..functions.scalars import ts_lit
 from ..schemas import FactSpec
 from .keys import dense_key, next_key_base
 from .lookup import star_lookup
-from .sizing import BROADCAST_MAX_ROWS, broadcast_if_small
+from .sizing import BROADCAST_MAX_BYTES, broadcast_if_small
 
 
 def fact_key_order(spec: FactSpec) -> list[Column]:
@@ -33,14 +33,14 @@ def fact_full(stg: DataFrame, dims: dict[str, DataFrame], spec: FactSpec, load_t
 
 
 def delete_matching(target: DataFrame, stg: DataFrame, spec: FactSpec,
-                    max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                    max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Drop every target row whose trip id appears in staging (all its rows, by id only).
 
     The distinct ids are a semi-join side: broadcast when measured small, else shuffled.
     A NULL id never matches, as in the DELETE ... INNER JOIN.
     """
     ids = stg.select(F.col(spec.id_col).alias("__id")).filter(F.col("__id").isNotNull()).distinct()
-    ids, _ = broadcast_if_small(ids, max_broadcast_rows)
+    ids, _ = broadcast_if_small(ids, max_broadcast_bytes)
     return target.join(ids, target[spec.id_col] == ids["__id"], "left_anti")
 
 

@@ -1,7 +1,7 @@
 """Surrogate-key lookups: SCD1 equality, SCD2 current and point-in-time, and the star chain.
 
 Every lookup side is projected to (business key, surrogate key[, start, end]) before it is
-joined.  Its size is measured first: within the bound it is broadcast and the fact is never
+joined.  Its bytes are measured first: within the bound it is broadcast and the fact is never
 shuffled; beyond it the join is a shuffle join that AQE can still split for skew.
 
 Point-in-time lookups check how many versions the hottest key has.  A fact row probes every
@@ -23,12 +23,15 @@ from pyspark.sql import types as T
 from ..functions.scalars import ts_lit
 from ..schemas import OPEN_END, UNKNOWN_KEY, DimSpec
 from .ordered import cache_deterministic
-from .sizing import BROADCAST_MAX_ROWS, broadcast_if_small
+from .sizing import BROADCAST_MAX_BYTES, broadcast_if_small
 
 # Above this many versions for one key, point-in-time lookups use the month-bucketed plan.
 PIT_MAX_VERSIONS_PER_KEY = 64
 
 
+# Bytes of a row of a point-in-time side: key, surrogate key, start, end, bucket.
+PIT_ROW_BYTES = 48
+
 # Largest day-bucketed lookup side the bucketed plan will build (rows after copying).
 DAY_BUCKET_MAX_ROWS = 200_000_000
 
@@ -41,27 +44,27 @@ def _day_index(c):
     return F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast(T.IntegerType())
 
 
-def prepare_scd1_side(dim: DataFrame, spec: DimSpec, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def prepare_scd1_side(dim: DataFrame, spec: DimSpec, max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """The (key, surrogate key) lookup side, broadcast when measured small."""
     side = cache_deterministic(dim.select(F.col(spec.bk).alias("__lk"), F.col(spec.sk).alias("__lsk")))
-    side, _ = broadcast_if_small(side, max_broadcast_rows)
+    side, _ = broadcast_if_small(side, max_broadcast_bytes)
     return side
 
 
 def lookup_scd1(fact: DataFrame, dim: DataFrame, fact_bk: str, spec: DimSpec,
-                max_broadcast_rows: int = BROADCAST_MAX_ROWS, side: DataFrame | None = None) -> DataFrame:
+                max_broadcast_bytes: int = BROADCAST_MAX_BYTES, side: DataFrame | None = None) -> DataFrame:
     """LEFT join on the business key; a miss becomes -1."""
     if side is None:
-        side = prepare_scd1_side(dim, spec, max_broadcast_rows)
+        side = prepare_scd1_side(dim, spec, max_broadcast_bytes)
     j = fact.join(side, fact[fact_bk] == side["__lk"], "left")
     return j.withColumn(spec.sk, F.coalesce(F.col("__lsk"), F.lit(UNKNOWN_KEY).cast("bigint"))) \
             .drop("__lk", "__lsk")
 
 
 def lookup_scd2_current(fact: DataFrame, dim: DataFrame, fact_bk: str, spec: DimSpec,
-                        max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                        max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """LEFT join to the current version only (IsCurrent); a miss becomes -1."""
-    return lookup_scd1(fact, dim.filter(F.col("IsCurrent")), fact_bk, spec, max_broadcast_rows)
+    return lookup_scd1(fact, dim.filter(F.col("IsCurrent")), fact_bk, spec, max_broadcast_bytes)
 
 
 def _pit_side(dim: DataFrame, spec: DimSpec) -> DataFrame:
@@ -89,7 +92,7 @@ def prepare_pit_side(dim: DataFrame, spec: DimSpec):
 
 
 def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str, spec: DimSpec,
-                    strategy: str = "auto", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+                    strategy: str = "auto", max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
                     max_versions_per_key: int = PIT_MAX_VERSIONS_PER_KEY, bounds=None,
                     half_open: bool = False, bucket: str = "auto", prepared=None) -> DataFrame:
     """LEFT join on key and ``start <= t <= ISNULL(end, 9999-12-31 23:59:59)``; a miss is -1.
@@ -106,18 +109,20 @@ def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str
         strategy = "bucketed" if mx > max_versions_per_key else "equi"
     t = F.col(time_col)
     if strategy == "equi":
-        if rows <= max_broadcast_rows:
+        if rows * PIT_ROW_BYTES <= max_broadcast_bytes:
             side = F.broadcast(side)
         cond = (fact[fact_bk] == side["__lk"]) & (t >= side["__ls"]) & _before_end(t, side["__le"], half_open)
         j = fact.join(side, cond, "left")
         drop = ["__lk", "__lsk", "__ls", "__le"]
     else:
-        lo, hi = bounds if bounds is not None else time_bounds(fact, time_col)
+        lo, hi = (time_bounds(fact, time_col) if bounds is None else bounds() if callable(bounds) else bounds)
         if lo is None:                 # no fact row has a time: nothing can match
             return fact.withColumn(spec.sk, F.lit(UNKNOWN_KEY).cast("bigint"))
         def explode(index):
             first = F.greatest(index(F.col("__ls")), index(ts_lit(lo.isoformat(sep=" "))))
-            last = F.least(index(F.col("__le")), index(ts_lit(hi.isoformat(sep=" "))))
+            # The last instant a version matches lies in its last bucket.
+            end = F.col("__le") + F.expr("INTERVAL 1 SECOND") if half_open else F.col("__le")
+            last = F.least(index(end), index(ts_lit(hi.isoformat(sep=" "))))
             spans = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
             return side.withColumn("__lb", F.explode(spans)), F.greatest(last - first + 1, F.lit(0))
 
@@ -133,7 +138,7 @@ def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str
                 index, exploded, span = _day_index, day_ex, day_span
         # Proven bound (sum of spans) before broadcasting: the fact is then not shuffled at all.
         n_exploded = side.agg(F.sum(span)).first()[0] or 0
-        if n_exploded <= max_broadcast_rows:
+        if n_exploded * PIT_ROW_BYTES <= max_broadcast_bytes:
             exploded = F.broadcast(exploded)
         f = fact.withColumn("__fb", index(t))
         cond = ((f[fact_bk] == exploded["__lk"]) & (f["__fb"] == exploded["__lb"])
@@ -144,7 +149,7 @@ def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str
 
 
 def star_lookup(fact: DataFrame, dims: dict[str, DataFrame], lookups, time_col: str,
-                pit_strategy: str = "auto", max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                pit_strategy: str = "auto", max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Swap every business key for its surrogate key: SCD1 by equality, SCD2 point in time.
 
     ``dims`` maps table name -> gold DataFrame; ``lookups`` is ``[(fact_bk, DimSpec), ...]``.
@@ -157,11 +162,14 @@ def star_lookup(fact: DataFrame, dims: dict[str, DataFrame], lookups, time_col:
             bounds.append(time_bounds(fact, time_col))
         return bounds[0]
 
+    # All sides together stay within the bound.
+    max_broadcast_bytes //= max(1, len(lookups))
+
     # The side checks are independent small jobs: submit them together.
     def prepare(item):
         _, spec = item
         dim = dims[spec.table]
-        return (prepare_scd1_side(dim, spec, max_broadcast_rows) if spec.scd == 1
+        return (prepare_scd1_side(dim, spec, max_broadcast_bytes) if spec.scd == 1
                 else prepare_pit_side(dim, spec))
     with cf.ThreadPoolExecutor(max_workers=max(1, len(lookups))) as ex:
         prepared = list(ex.map(prepare, lookups))
@@ -169,19 +177,9 @@ def star_lookup(fact: DataFrame, dims: dict[str, DataFrame], lookups, time_col:
     for (fact_bk, spec), prep in zip(lookups, prepared):
         dim = dims[spec.table]
         if spec.scd == 1:
-            out = lookup_scd1(out, dim, fact_bk, spec, max_broadcast_rows, side=prep)
+            out = lookup_scd1(out, dim, fact_bk, spec, max_broadcast_bytes, side=prep)
         else:
-            out = lookup_scd2_pit(out, dim, fact_bk, time_col, spec, pit_strategy, max_broadcast_rows,
-                                  bounds=_Lazy(fact_bounds), prepared=prep)
+            out = lookup_scd2_pit(out, dim, fact_bk, time_col, spec, pit_strategy, max_broadcast_bytes,
+                                  bounds=fact_bounds, prepared=prep)
     return out
 
-
-class _Lazy(tuple):
-    """A (lo, hi) pair computed on first use."""
-    def __new__(cls, fn):
-        obj = super().__new__(cls)
-        obj._fn = fn
-        return obj
-
-    def __iter__(self):
-        return iter(self._fn())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import isnull_default, minus_one_second, ts_lit
 from ..schemas import EPOCH, DimSpec
 from .keys import next_key_base, with_unknown
-from .ordered import expand_copies, lead_in_key, range_layout
+from .ordered import cache_deterministic, expand_copies, lead_in_key, range_layout
 from .sizing import broadcast_if_small
 
 
@@ -130,7 +130,18 @@ def scd2_inc_parts(target: DataFrame, stg: DataFrame, spec: DimSpec, base: int |
     Only current versions are read and joined.  ``base`` is the highest key ever issued (the
     publish manifest stores it); without it ``greatest(max(key), 0)`` is computed.
     """
-    delta = changed_rows(stg, target, spec, collation, chain_compare)
+    return scd2_apply(target, changed_delta(stg, target, spec, collation, chain_compare), spec, base)
+
+
+def changed_delta(stg: DataFrame, target: DataFrame, spec: DimSpec, collation: str | None = None,
+                  chain_compare: bool = False) -> DataFrame:
+    """``changed_rows``, computed once for all that an increment does with them."""
+    return cache_deterministic(changed_rows(stg, target, spec, collation, chain_compare))
+
+
+def scd2_apply(target: DataFrame, delta: DataFrame, spec: DimSpec,
+               base: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(former current versions, closed or not; new versions) of a filtered delta."""
     current = target.filter(F.col("IsCurrent"))
     closed = close_out(current, first_change(delta, spec), spec)
     if base is None:

@@ -1,26 +1,36 @@
-"""Size-checked broadcast: broadcast a side only after measuring it, else keep the shuffle join."""
+"""Size-checked broadcast: broadcast a side only after measuring its bytes, else keep the
+shuffle join."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Default ceiling for a broadcast lookup side, in rows.  Lookup sides are projected to a key,
-# a surrogate key and at most two timestamps (< 40 bytes a row), so 16M rows stay well under
-# Spark's 8 GB broadcast limit and inside executor memory.
-BROADCAST_MAX_ROWS = 16_000_000
+# Ceiling of a broadcast side in bytes of rows.  The built hash relation takes about twice
+# that, on the driver and on every executor.
+BROADCAST_MAX_BYTES = 256 << 20
 
 
-def bounded_count(df: DataFrame, bound: int) -> int:
-    """Count rows, stopping at ``bound + 1``: proves ``rows <= bound`` without a full count."""
-    return df.limit(bound + 1).count()
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows: row count times the fixed widths plus the text's own bytes, as one
+    aggregate (a partial row per task, so no task reads the rows of another)."""
+    fixed, text = 8, []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            fixed += 16
+            text.append(F.sum(F.octet_length(f.name)))
+        else:
+            fixed += 24 if isinstance(f.dataType, T.DecimalType) else 8
+    counted = df.agg(F.count(F.lit(1)), *text).first()
+    return counted[0] * fixed + sum(n or 0 for n in counted[1:])
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(broadcast(df), True)`` if it has at most ``max_rows`` rows, else ``(df, False)``.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """Return ``(broadcast(df), True)`` if its rows take at most ``max_bytes``, else ``(df, False)``.
 
     Beyond the bound the join stays a shuffle join (AQE may still convert it at runtime from
     measured shuffle sizes, and splits skewed partitions).
     """
-    if bounded_count(df, max_rows) <= max_rows:
+    if measured_bytes(df) <= max_bytes:
         return F.broadcast(df), True
     return df, False

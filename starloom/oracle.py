@@ -45,9 +45,11 @@ def stage_sql(name: str, lo: str | None = None, hi: str | None = None, keep_modi
                 f"FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE {window_sql('l_shipdate', lo, hi)}")
     if name == "truck":
         q = ("SELECT CAST(p_partkey AS INTEGER) AS TruckID, p_brand || '-' || CAST(p_partkey AS VARCHAR) AS TruckNumber, "
-             "p_type AS Model, CAST(NULL AS TIMESTAMP) AS ModifiedDate FROM part")
+             "p_type AS Model, CASE WHEN p_partkey % 2 = 1 THEN TIMESTAMP '1997-01-01 00:00:00' "
+             "+ to_days(CAST(p_size * 40 AS INTEGER)) END AS ModifiedDate FROM part")
         if lo is not None or hi is not None:
-            q = f"SELECT * FROM ({q}) WHERE {window_sql('ModifiedDate', lo, hi)}"
+            undated = " OR ModifiedDate IS NULL" if lo is None else ""
+            q = f"SELECT * FROM ({q}) WHERE {window_sql('ModifiedDate', lo, hi)}{undated}"
         return q
     if name == "customer":
         return (f"SELECT CAST(o_custkey AS INTEGER) AS CustomerID, c_name AS CustomerName, "
@@ -85,6 +87,11 @@ def stage_full_sql(name: str) -> str:
     return stage_sql(name, *fx.full_window(name))
 
 
+def stage_merge_sql(name: str) -> tuple[str, str]:
+    base, delta = fx.merge_windows(name)
+    return stage_sql(name, *base), stage_sql(name, *delta)
+
+
 def stage_delta_sql(name: str) -> str:
     return stage_sql(name, *fx.delta_window(name))
 

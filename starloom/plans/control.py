@@ -6,6 +6,7 @@ The control tables are a handful of rows; they drive a driver-side loop over *ta
 from __future__ import annotations
 
 import concurrent.futures as cf
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +56,7 @@ def control_active_tier(control: DataFrame, tier: int) -> DataFrame:
 def watermark_lookup(watermarks: DataFrame, table: str):
     """Last watermark of one table (first row), or the epoch when none is stored."""
     row = watermarks.filter(F.col("TABLENAME") == table).select("LAST_WATERMARK_DATE").head()
-    return row[0] if row else None
+    return row[0] if row else dt.datetime.fromisoformat(EPOCH)
 
 
 def next_watermark(delta: DataFrame, date_col: str, now: str) -> DataFrame:

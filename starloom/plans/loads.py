@@ -6,6 +6,8 @@ its watermark atomically.  Each load is one table's Spark job; dispatch is on LO
 """
 from __future__ import annotations
 
+import contextlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +17,12 @@ from ..operators import fact as fact_ops
 from ..operators import scd1, scd2
 from ..operators.keys import dense_key
 from ..operators.quality import assert_empty, check_not_null
-from ..schemas import DIMS, FACTTRIP, DimSpec
+from ..schemas import DIMS, EPOCH, FACTTRIP, DimSpec
 from . import publish as P
 from .control import control_seed, run_tiers
 
-# extract(staging_name, lo, hi) -> staging DataFrame for the window (lo, hi]
+# extract(staging_name, lo, hi) -> staging DataFrame for the window (lo, hi]; without bounds the
+# whole source, rows without a change date included
 Extractor = Callable[[str, str | None, str | None], DataFrame]
 
 
@@ -27,7 +30,7 @@ def _cutoff(cutoffs: dict[str, str] | str, table: str) -> str:
     return cutoffs if isinstance(cutoffs, str) else cutoffs[table]
 
 
-def _check_keys(stg: DataFrame, cols: list[str], table: str, root: str | None = None,
+def check_keys(stg: DataFrame, cols: list[str], table: str, root: str | None = None,
                 on_null_key: str = "fail") -> DataFrame:
     """NOT NULL business keys.  ``fail``: a NULL key fails the load, as the gold table would
     refuse it.  ``quarantine``: the offending rows are written under ``<root>/_quarantine``
@@ -50,62 +53,85 @@ def _advance_watermark_only(spark, root, table, old, cutoff, now) -> dict:
     return m
 
 
-def full_load_table(spark: SparkSession, row: dict, extract: Extractor, root: str, cutoff: str, now: str,
-                    on_null_key: str = "fail") -> dict:
-    table, kind = row["TABLENAME"], row["LOADTYPE"]
-    stg = extract(row["STAGINGTABLENAME"], None, cutoff)
-    if kind == "SCD1":
-        spec = DIMS[table]
-        stg = _check_keys(stg, [spec.bk], table, root, on_null_key)
-        return P.publish_full(scd1.scd1_full(stg, spec), root, table, spec.sk, cutoff, now)
-    if kind == "SCD2":
-        spec = DIMS[table]
-        stg = _check_keys(stg, [spec.bk], table, root, on_null_key)
-        return P.publish_scd2_full(scd2.scd2_full(stg, spec), root, spec, cutoff, now)
+@contextlib.contextmanager
+def staged(extract_rows: DataFrame, root: str, table: str):
+    """Freeze an extract in the staging folder, so that everything a load does reads the same
+    rows; the folder is emptied when the load is over."""
+    spark = extract_rows.sparkSession
+    path = f"{root.rstrip('/')}/_staging/{table}/{uuid.uuid4().hex}"
+    extract_rows.write.parquet(path)
+    try:
+        yield spark.read.schema(extract_rows.schema).parquet(path)
+    finally:
+        P.delete_path(spark, path)
+
+
+def _load_all_rows(spark, kind: str, table: str, stg: DataFrame, root, cutoff, now, on_null_key) -> dict:
     if kind == "FACT":
         dims = {s.table: P.read_table(spark, root, s.table) for _, s in FACTTRIP.lookups}
-        stg = _check_keys(stg, [FACTTRIP.id_col], table, root, on_null_key)
-        f = fact_ops.fact_full(stg, dims, FACTTRIP, now)
-        return P.publish_fact_full(f, root, FACTTRIP, cutoff, now)
-    raise ValueError(f"unknown LOADTYPE {kind!r} for {table}")
+        stg = check_keys(stg, [FACTTRIP.id_col], table, root, on_null_key)
+        return P.publish_fact_full(fact_ops.fact_full(stg, dims, FACTTRIP, now), root, FACTTRIP, cutoff, now)
+    if kind not in ("SCD1", "SCD2"):
+        raise ValueError(f"unknown LOADTYPE {kind!r} for {table}")
+    spec = DIMS[table]
+    stg = check_keys(stg, [spec.bk], table, root, on_null_key)
+    if kind == "SCD1":
+        return P.publish_full(scd1.scd1_full(stg, spec), root, table, spec.sk, cutoff, now)
+    return P.publish_scd2_full(scd2.scd2_full(stg, spec), root, spec, cutoff, now)
+
+
+def full_load_table(spark: SparkSession, row: dict, extract: Extractor, root: str, cutoff: str, now: str,
+                    on_null_key: str = "fail") -> dict:
+    """TRUNCATE + load of everything the source holds (no date bound, so rows without a change
+    date are in); ``cutoff`` is the watermark the next increment starts from."""
+    table = row["TABLENAME"]
+    with staged(extract(row["STAGINGTABLENAME"], None, None), root, table) as stg:
+        return _load_all_rows(spark, row["LOADTYPE"], table, stg, root, cutoff, now, on_null_key)
 
 
 def inc_load_table(spark: SparkSession, row: dict, extract: Extractor, root: str, cutoff: str, now: str,
                    on_null_key: str = "fail") -> dict:
+    """Increment of the window (watermark, cutoff].  A table that was never published starts
+    from the epoch, as the procedures do on an empty target."""
     table, kind = row["TABLENAME"], row["LOADTYPE"]
     old = P.read_manifest(spark, root, table)
-    lo = old["watermark"] if old else None
-    stg = extract(row["STAGINGTABLENAME"], lo, cutoff)
-    if old is not None and stg.isEmpty():
-        return _advance_watermark_only(spark, root, table, old, cutoff, now)
-    if kind in ("SCD1", "SCD2"):
-        spec: DimSpec = DIMS[table]
-        stg = _check_keys(stg, [spec.bk], table, root, on_null_key)
-        target = P.read_table(spark, root, table)
-        if kind == "SCD1":
-            merged = scd1.scd1_merge(target, stg, spec, base=old["max_key"])
-            return P.publish_full(merged, root, table, spec.sk, cutoff, now)
-        closed, inserted = scd2.scd2_inc_parts(target, stg, spec, base=old["max_key"])
-        return P.publish_scd2_increment(closed, inserted, root, spec, cutoff, now)
-    if kind == "FACT":
-        dims = {s.table: P.read_table(spark, root, s.table) for _, s in FACTTRIP.lookups}
-        stg = _check_keys(stg, [FACTTRIP.id_col], table, root, on_null_key)
-        base = old["max_key"]
-        rows = fact_ops.resolve_keys(stg, dims, FACTTRIP, now)
-        new = dense_key(rows, FACTTRIP.sk, fact_ops.fact_key_order(FACTTRIP), start=base, cache_input=True)
-        return P.publish_fact_increment(stg, new.select(*FACTTRIP.gold_columns()), root, FACTTRIP, cutoff, now)
-    raise ValueError(f"unknown LOADTYPE {kind!r} for {table}")
-
-
-def bulk_load_all(spark: SparkSession, extract: Extractor, root: str, cutoffs, now: str,
-                  max_parallel: int = 3, on_null_key: str = "fail") -> list[dict]:
-    control = control_seed(spark, "full")
+    with staged(extract(row["STAGINGTABLENAME"], old["watermark"] if old else EPOCH, cutoff), root, table) as stg:
+        if old is None:
+            return _load_all_rows(spark, kind, table, stg, root, cutoff, now, on_null_key)
+        if stg.isEmpty():
+            return _advance_watermark_only(spark, root, table, old, cutoff, now)
+        if kind in ("SCD1", "SCD2"):
+            spec: DimSpec = DIMS[table]
+            stg = check_keys(stg, [spec.bk], table, root, on_null_key)
+            target = P.read_table(spark, root, table)
+            if kind == "SCD1":
+                merged = scd1.scd1_merge(target, stg, spec, base=old["max_key"])
+                return P.publish_full(merged, root, table, spec.sk, cutoff, now)
+            delta = scd2.changed_delta(stg, target, spec)
+            if delta.isEmpty():                  # nothing but unchanged rows
+                return _advance_watermark_only(spark, root, table, old, cutoff, now)
+            closed, inserted = scd2.scd2_apply(target, delta, spec, base=old["max_key"])
+            return P.publish_scd2_increment(closed, inserted, root, spec, cutoff, now)
+        if kind == "FACT":
+            dims = {s.table: P.read_table(spark, root, s.table) for _, s in FACTTRIP.lookups}
+            stg = check_keys(stg, [FACTTRIP.id_col], table, root, on_null_key)
+            rows = fact_ops.resolve_keys(stg, dims, FACTTRIP, now)
+            new = dense_key(rows, FACTTRIP.sk, fact_ops.fact_key_order(FACTTRIP), start=old["max_key"], cache_input=True)
+            return P.publish_fact_increment(stg, new.select(*FACTTRIP.gold_columns()), root, FACTTRIP, cutoff, now)
+        raise ValueError(f"unknown LOADTYPE {kind!r} for {table}")
+
+
+def bulk_load_all(spark: SparkSession, extract: Extractor, root: str, cutoffs, now: str, max_parallel: int = 3,
+                  on_null_key: str = "fail", control: DataFrame | None = None) -> list[dict]:
+    """Full loads of the active rows of ``control`` (the seeded control table if not given)."""
+    control = control if control is not None else control_seed(spark, "full")
     return run_tiers(control, lambda r: full_load_table(spark, r, extract, root, _cutoff(cutoffs, r["TABLENAME"]),
                                                         now, on_null_key), max_parallel)
 
 
-def incremental_load_all(spark: SparkSession, extract: Extractor, root: str, cutoffs, now: str,
-                         max_parallel: int = 3, on_null_key: str = "fail") -> list[dict]:
-    control = control_seed(spark, "incremental")
+def incremental_load_all(spark: SparkSession, extract: Extractor, root: str, cutoffs, now: str, max_parallel: int = 3,
+                         on_null_key: str = "fail", control: DataFrame | None = None) -> list[dict]:
+    """Increments of the active rows of ``control`` (the seeded control table if not given)."""
+    control = control if control is not None else control_seed(spark, "incremental")
     return run_tiers(control, lambda r: inc_load_table(spark, r, extract, root, _cutoff(cutoffs, r["TABLENAME"]),
                                                        now, on_null_key), max_parallel)

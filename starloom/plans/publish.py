@@ -23,58 +23,58 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.sizing import broadcast_if_small
 from ..schemas import WATERMARK_SCHEMA, DimSpec, FactSpec
 
 MANIFEST = "_manifest.json"
 MONTH_COL = "__month"
+CURRENT_COL = "__current"
 
 
-# --- storage primitives (local paths or any Hadoop file system) ---------------------------
+# --- storage primitives (any Hadoop file system; a path without a scheme is the default one's) --
 
-def _is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def _fs(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path qualified by it."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(hpath)
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    if _is_local(path):
-        p = _local(path)
+    """Replace a small file as a whole: readers see the old text or the new one."""
+    fs, hpath = _fs(spark, path)
+    if fs.getScheme() == "file":
+        p = hpath.toUri().getPath()
         os.makedirs(os.path.dirname(p), exist_ok=True)
         tmp = f"{p}.tmp-{uuid.uuid4().hex}"
         with open(tmp, "w") as f:
             f.write(text)
         os.replace(tmp, p)                       # atomic rename on a POSIX file system
         return
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = fs.create(hpath, True)                 # one PUT on object stores: atomic replace
+    jvm = spark._jvm
+    renames = fs.getScheme() in ("hdfs", "viewfs")
+    target = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex}") if renames else hpath
+    out = fs.create(target, True)                # one PUT on object stores: atomic replace
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    if renames:
+        overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(hpath.toUri(), spark._jsc.hadoopConfiguration()) \
+            .rename(target, hpath, overwrite)
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:
-    if _is_local(path):
-        p = _local(path)
-        if not os.path.exists(p):
-            return None
-        with open(p) as f:
-            return f.read()
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _fs(spark, path)
     if not fs.exists(hpath):
         return None
     stream = fs.open(hpath)
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
         lines = []
         line = reader.readLine()
         while line is not None:
@@ -85,6 +85,17 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``."""
+    fs, hpath = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()] if fs.exists(hpath) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
 # --- manifests ---------------------------------------------------------------------------
 
 def table_dir(root: str, table: str) -> str:
@@ -111,6 +122,8 @@ def read_table(spark: SparkSession, root: str, table: str, schema=None) -> DataF
     if m is None:
         raise FileNotFoundError(f"table {table} has no published version under {root}")
     paths = m["paths"] if isinstance(m["paths"], list) else list(m["paths"].values())
+    if not paths:                                # a published table without a row
+        return spark.createDataFrame([], T.StructType.fromJson(json.loads(m["schema"])))
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
@@ -128,8 +141,14 @@ def read_watermarks(spark: SparkSession, root: str, tables) -> DataFrame:
     return spark.createDataFrame(rows, WATERMARK_SCHEMA)
 
 
-def _manifest(table, version, paths, columns, watermark, now, max_key, **extra) -> dict:
-    return {"table": table, "version": version, "paths": paths, "columns": columns,
+def _manifest(old, table, version, paths, schema, watermark, now, max_key, extra=None) -> dict:
+    """The next manifest.  ``extra["streams"]`` holds the last batch applied per stream; those
+    of the manifest before are carried on by every publish."""
+    extra = dict(extra or {})
+    streams = {**(old or {}).get("streams", {}), **extra.pop("streams", {})}
+    if streams:
+        extra["streams"] = streams
+    return {"table": table, "version": version, "paths": paths, "columns": schema.names, "schema": schema.json(),
             "watermark": watermark, "updated_at": now, "max_key": max_key, **extra}
 
 
@@ -150,20 +169,29 @@ def publish_full(df: DataFrame, root: str, table: str, key: str, watermark: str,
         w = w.partitionBy(*partition_by)
     w.parquet(version)
     written = spark.read.parquet(version)
-    m = _manifest(table, version, [version], df.columns, watermark, now, _max_key(written, key), **(extra or {}))
+    m = _manifest(read_manifest(spark, root, table), table, version, [version], df.schema, watermark, now,
+                  _max_key(written, key), extra)
     write_manifest(spark, root, table, m)
     return m
 
 
-def publish_scd2_full(dim: DataFrame, root: str, spec: DimSpec, watermark: str, now: str) -> dict:
+def _write_by_currency(rows: DataFrame, version: str) -> tuple[str | None, str | None]:
+    """Write versions once, ended and current ones in a folder each (None: no such row)."""
+    rows.withColumn(CURRENT_COL, F.col("IsCurrent")).write.mode("errorifexists").partitionBy(CURRENT_COL).parquet(version)
+    written = set(_folders(rows.sparkSession, version))
+    return tuple(f"{version}/{name}" if name in written else None
+                 for name in (f"{CURRENT_COL}=false", f"{CURRENT_COL}=true"))
+
+
+def publish_scd2_full(dim: DataFrame, root: str, spec: DimSpec, watermark: str, now: str,
+                      extra: dict | None = None) -> dict:
     """Full SCD2 publish, split into history (ended versions) and the current set."""
     spark = dim.sparkSession
     version = new_version(root, spec.table)
-    hist, cur = f"{version}/hist", f"{version}/cur"
-    dim.filter(~F.col("IsCurrent")).write.mode("errorifexists").parquet(hist)
-    dim.filter(F.col("IsCurrent")).write.mode("errorifexists").parquet(cur)
-    mk = _max_key(spark.read.parquet(hist, cur), spec.sk)
-    m = _manifest(spec.table, version, {"hist0": hist, "cur": cur}, dim.columns, watermark, now, mk)
+    hist, cur = _write_by_currency(dim, version)
+    paths = {k: v for k, v in (("hist0", hist), ("cur", cur)) if v}
+    mk = _max_key(spark.read.parquet(*paths.values()), spec.sk) if paths else 0
+    m = _manifest(read_manifest(spark, root, spec.table), spec.table, version, paths, dim.schema, watermark, now, mk, extra)
     write_manifest(spark, root, spec.table, m)
     return m
 
@@ -180,13 +208,11 @@ def publish_scd2_increment(closed: DataFrame, inserted: DataFrame, root: str, sp
     old = read_manifest(spark, root, spec.table)
     old_hist = {k: v for k, v in old["paths"].items() if k.startswith("hist")}
     version = new_version(root, spec.table)
-    hist, cur = f"{version}/hist", f"{version}/cur"
     rows = closed.unionByName(inserted)
-    rows.filter(~F.col("IsCurrent")).write.mode("errorifexists").parquet(hist)
-    rows.filter(F.col("IsCurrent")).write.mode("errorifexists").parquet(cur)
-    mk = max(_max_key(inserted, spec.sk), old.get("max_key", 0))
-    paths = {**old_hist, f"hist{len(old_hist)}": hist, "cur": cur}
-    m = _manifest(spec.table, version, paths, old["columns"], watermark, now, mk, **(extra or {}))
+    hist, cur = _write_by_currency(rows, version)
+    new = {k: v for k, v in ((f"hist{len(old_hist)}", hist), ("cur", cur)) if v}
+    mk = max(_max_key(spark.read.parquet(*new.values()), spec.sk) if new else 0, old.get("max_key", 0))
+    m = _manifest(old, spec.table, version, {**old_hist, **new}, rows.schema, watermark, now, mk, extra)
     write_manifest(spark, root, spec.table, m)
     return m
 
@@ -196,10 +222,9 @@ def _with_month(df: DataFrame, time_col: str) -> DataFrame:
 
 
 def _month_dirs(spark: SparkSession, version: str) -> dict[str, str]:
-    """Month -> folder for the months a version wrote (listed from the written data)."""
-    months = [r[0] for r in spark.read.parquet(version).select(MONTH_COL).distinct().collect()]
-    return {str(mo): f"{version}/{MONTH_COL}={'__HIVE_DEFAULT_PARTITION__' if mo is None else mo}"
-            for mo in months}
+    """Month -> folder for the months a version wrote (none, if it had no row)."""
+    months = [f.split("=", 1)[1] for f in _folders(spark, version) if f.startswith(f"{MONTH_COL}=")]
+    return {"None" if m == "__HIVE_DEFAULT_PARTITION__" else m: f"{version}/{MONTH_COL}={m}" for m in months}
 
 
 def publish_fact_full(fact: DataFrame, root: str, spec: FactSpec, watermark: str, now: str) -> dict:
@@ -208,8 +233,8 @@ def publish_fact_full(fact: DataFrame, root: str, spec: FactSpec, watermark: str
     version = new_version(root, spec.table)
     _with_month(fact, spec.time_col).write.mode("errorifexists").partitionBy(MONTH_COL).parquet(version)
     months = _month_dirs(spark, version)
-    mk = _max_key(spark.read.parquet(version), spec.sk)
-    m = _manifest(spec.table, version, months, fact.columns, watermark, now, mk)
+    mk = _max_key(spark.read.parquet(*months.values()), spec.sk) if months else 0
+    m = _manifest(read_manifest(spark, root, spec.table), spec.table, version, months, fact.schema, watermark, now, mk)
     write_manifest(spark, root, spec.table, m)
     return m
 
@@ -228,7 +253,9 @@ def publish_fact_increment(stg: DataFrame, new_rows: DataFrame, root: str, spec:
     current = read_table(spark, root, spec.table)
     ids = stg.select(F.col(spec.id_col).alias("__id")).filter(F.col("__id").isNotNull()).distinct()
     ids, _ = broadcast_if_small(ids)          # measured; else a shuffle semi join
-    hit = current.join(ids, current[spec.id_col] == ids["__id"], "left_semi")
+    span = ids.agg(F.min("__id"), F.max("__id")).first()
+    near = current.where(F.col(spec.id_col).between(span[0], span[1]))      # skips row groups
+    hit = near.join(ids, near[spec.id_col] == ids["__id"], "left_semi")
     hit_months = {r[0] for r in _with_month(hit, spec.time_col).select(MONTH_COL).distinct().collect()}
     new_months = {r[0] for r in _with_month(new_rows, spec.time_col).select(MONTH_COL).distinct().collect()}
     affected = hit_months | new_months
@@ -246,7 +273,7 @@ def publish_fact_increment(stg: DataFrame, new_rows: DataFrame, root: str, spec:
     written = _month_dirs(spark, version)
     paths = {k: v for k, v in old_paths.items() if k not in keys}
     paths.update(written)
-    mk = max(_max_key(spark.read.parquet(version), spec.sk), old.get("max_key", 0))
-    m = _manifest(spec.table, version, paths, old["columns"], watermark, now, mk)
+    mk = max(_max_key(spark.read.parquet(*written.values()), spec.sk) if written else 0, old.get("max_key", 0))
+    m = _manifest(old, spec.table, version, paths, new_rows.select(*old["columns"]).schema, watermark, now, mk)
     write_manifest(spark, root, spec.table, m)
     return m

@@ -5,6 +5,8 @@ Parquet scan (row-group skipping) and prunes every column the staging projection
 """
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,10 +56,27 @@ def extract_delta(df: DataFrame, date_col: str, lo: str, hi: str | None = None)
     return df.filter(window_predicate(date_col, lo, hi))
 
 
-def year_slices(first_year: int, last_year: int) -> list[tuple[str, str]]:
-    """Half-open ``(lo, hi]`` bounds covering whole calendar years."""
-    return [(f"{y - 1}-12-31 23:59:59.999999", f"{y}-12-31 23:59:59.999999")
-            for y in range(first_year, last_year + 1)]
+@dataclass(frozen=True)
+class LakeSource:
+    """A file set of the lake: where it is, how it is read, and its change date (if it has one)."""
+    path: str
+    fmt: str = "parquet"
+    schema: T.StructType | None = None
+    date_col: str | None = "ModifiedDate"
+
+
+def lake_extractor(spark: SparkSession, sources: dict[str, LakeSource]):
+    """``extract(name, lo, hi)`` over the lake, as the load runner takes it: without bounds a
+    full copy, else the rows changed in ``(lo, hi]``."""
+    def extract(name: str, lo: str | None, hi: str | None) -> DataFrame:
+        s = sources[name]
+        df = read_source(spark, s.path, s.fmt, s.schema)
+        if lo is None:
+            return extract_full(df, s.date_col, hi)
+        if s.date_col is None:
+            return df                            # no change date: every increment sees all rows
+        return extract_delta(df, s.date_col, lo, hi)
+    return extract
 
 
 def backfill_by_year(df: DataFrame, date_col: str) -> DataFrame:

@@ -61,9 +61,11 @@ def stage_truck(spark, sf_dir, lo=None, hi=None) -> DataFrame:
         F.col("p_partkey").cast(INT).alias("TruckID"),
         F.concat(F.col("p_brand"), F.lit("-"), F.col("p_partkey").cast(STR)).alias("TruckNumber"),
         F.col("p_type").alias("Model"),
-        F.lit(None).cast(TS).alias("ModifiedDate"))
-    if lo is not None or hi is not None:          # NULL dates never pass a delta bound
-        out = out.filter(_window(lo, hi, "ModifiedDate"))
+        F.when(F.col("p_partkey") % 2 == 1,
+               F.date_add(F.lit("1997-01-01").cast("date"), F.col("p_size") * 40).cast(TS)).alias("ModifiedDate"))
+    if lo is not None or hi is not None:          # NULL dates never pass a delta bound ...
+        rows = _window(lo, hi, "ModifiedDate")    # ... but are in the source from the start
+        out = out.filter(rows if lo is not None else rows | F.col("ModifiedDate").isNull())
     return out
 
 
@@ -149,11 +151,22 @@ STAGERS = {
 
 
 def full_window(name: str) -> tuple[str | None, str | None]:
-    if name == "employee":
-        return None, EMP_FULL_CUTOFF
-    if name == "truck":
-        return None, None
-    return None, FULL_CUTOFF
+    """The state of a source when the full load beneath an increment ran."""
+    return None, EMP_FULL_CUTOFF if name == "employee" else FULL_CUTOFF
+
+
+# (base up to, delta from, delta to) of the SCD1 merges: the delta overlaps the base, so it holds
+# new keys, newer rows and stale ones.
+MERGE_WINDOWS = {
+    "employee": ("2024-01-01 12:00:00", "2024-01-01 06:00:00", "2024-01-01 18:00:00"),
+    "driver": ("1995-01-06 00:00:00", "1995-01-03 00:00:00", "1995-01-09 00:00:00"),
+    "truck": (FULL_CUTOFF, "1998-01-01 00:00:00", DELTA_HI),
+}
+
+
+def merge_windows(name: str):
+    base_hi, lo, hi = MERGE_WINDOWS[name]
+    return (None, base_hi), (lo, hi)
 
 
 def delta_window(name: str) -> tuple[str, str]:

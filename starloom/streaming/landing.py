@@ -2,7 +2,7 @@
 ``foreachBatch(increment + publish)`` with ``trigger(availableNow=True)``.
 
 Each micro-batch is one increment of a dimension, in file arrival order.  The manifest records
-the last applied batch id, so a batch replayed after a failure (foreachBatch is at-least-once)
+the last applied batch id of each stream, so a batch replayed after a failure (foreachBatch is at-least-once)
 is skipped: the table and its watermark change exactly once per batch.  The stream's own
 checkpoint (``checkpoint_location``, on shared storage) remembers which files were consumed.
 """
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from ..operators import scd1, scd2
 from ..operators.ordered import release_materialized
 from ..plans import publish as P
+from ..plans.loads import check_keys
 from ..schemas import DimSpec
 
 
@@ -35,27 +36,34 @@ def run_landing_stream(spark: SparkSession, landing: str, schema: T.StructType,
     query.awaitTermination()
 
 
-def dimension_batch_loader(root: str, spec: DimSpec, now: str) -> Callable[[DataFrame, int], None]:
+def dimension_batch_loader(root: str, spec: DimSpec, now: str, stream_id: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: apply the batch as an increment of ``spec`` and publish it.
 
-    The watermark advances to the batch's newest change date (kept when the batch has none).
+    ``stream_id`` names the stream that the batch ids belong to (its checkpoint location, say):
+    a stream that starts anew counts from 0 again and is another stream.  The watermark advances
+    to the batch's newest change date and never goes back.
     """
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         old = P.read_manifest(spark, root, spec.table)
         if old is None:
             raise RuntimeError(f"{spec.table}: publish a full load before streaming increments")
-        if old.get("last_batch", -1) >= epoch_id:
+        if old.get("streams", {}).get(stream_id, -1) >= epoch_id:
             return                                  # replay of an applied batch
-        newest = batch.agg(F.max(spec.date_col)).first()[0]
-        watermark = str(newest) if newest is not None else old["watermark"]
-        target = P.read_table(spark, root, spec.table)
-        extra = {"last_batch": epoch_id}
-        if spec.scd == 2:
-            closed, inserted = scd2.scd2_inc_parts(target, batch, spec, base=old["max_key"])
-            P.publish_scd2_increment(closed, inserted, root, spec, watermark, now, extra)
-        else:
-            P.publish_full(scd1.scd1_merge(target, batch, spec, base=old["max_key"]), root, spec.table, spec.sk,
-                           watermark, now, extra=extra)
-        release_materialized()
+        batch = batch.persist()                     # landed files are read once
+        try:
+            batch = check_keys(batch, [spec.bk], spec.table)
+            newest = batch.agg(F.max(spec.date_col)).first()[0]
+            watermark = max(old["watermark"], str(newest)) if newest is not None else old["watermark"]
+            target = P.read_table(spark, root, spec.table)
+            extra = {"streams": {stream_id: epoch_id}}
+            if spec.scd == 2:
+                closed, inserted = scd2.scd2_inc_parts(target, batch, spec, base=old["max_key"])
+                P.publish_scd2_increment(closed, inserted, root, spec, watermark, now, extra)
+            else:
+                P.publish_full(scd1.scd1_merge(target, batch, spec, base=old["max_key"]), root, spec.table, spec.sk,
+                               watermark, now, extra=extra)
+        finally:
+            batch.unpersist()
+            release_materialized()
     return apply

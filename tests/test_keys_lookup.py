@@ -83,6 +83,15 @@ def test_pit_half_open_option(spark):
         assert [r.CustomerKey for r in out.collect()] == [1]
 
 
+def test_pit_half_open_over_the_end_of_a_month(spark):
+    facts = spark.createDataFrame([(1, 1, ts("2024-02-01 00:00:00.200000")), (2, 1, ts("2024-02-01 00:00:01.200000"))],
+                                  "TripID int, CustomerID int, TripDate timestamp_ntz")
+    dim = _dim(spark).filter("CustomerKey = 1").withColumn("RowEndDateTime", F.lit("2024-01-31 23:59:59.5").cast("timestamp_ntz"))
+    for kwargs in ({"strategy": "equi"}, {"strategy": "bucketed", "bucket": "month"}, {"strategy": "bucketed", "bucket": "day"}):
+        out = lookup.lookup_scd2_pit(facts, dim, "CustomerID", "TripDate", CUSTOMER, half_open=True, **kwargs)
+        assert {r.TripID: r.CustomerKey for r in out.collect()} == {1: 1, 2: -1}, kwargs
+
+
 def test_group_of_copies_is_chunked_and_exact(spark, monkeypatch):
     """A third of the rows are copies of one row: keys and timelines stay exact when the copies
     are re-created in chunks (chunk size lowered so the chunked path runs)."""
