@@ -504,25 +504,20 @@ def q_dim_date(spark, sf):
 _NODES_SQL = ("SELECT 'R' || CAST(r_regionkey AS VARCHAR) AS Branch_ID, r_name AS Branch_Name, "
               "CAST(NULL AS VARCHAR) AS Parent_Branch_ID, 'HUB' AS Branch_Level FROM region UNION ALL "
               "SELECT 'N' || CAST(n_nationkey AS VARCHAR), n_name, 'R' || CAST(n_regionkey AS VARCHAR), "
-              "'SUB_LOCATION' FROM nation")
-
-
-@register("dim_geography",
-          f"WITH nodes AS ({_NODES_SQL}) SELECT CAST(ROW_NUMBER() OVER (ORDER BY c.Branch_ID ASC NULLS FIRST) "
-          f"AS BIGINT) AS Location_SKey, c.Branch_ID, c.Branch_Name, c.Branch_Level, c.Parent_Branch_ID, "
-          f"p.Branch_Name AS Parent_Branch_Name, COALESCE(p.Branch_Name, c.Branch_Name) AS Hub_Name "
-          f"FROM nodes c LEFT JOIN nodes p ON c.Parent_Branch_ID = p.Branch_ID")
+              "'SUB_LOCATION' FROM nation UNION ALL "
+              "SELECT 'S' || CAST(s_suppkey AS VARCHAR), s_name, 'N' || CAST(s_nationkey AS VARCHAR), 'SITE' FROM supplier")
+_GEO_SQL = (f"WITH RECURSIVE nodes AS ({_NODES_SQL}), climb AS ("
+            f"SELECT Branch_ID, Branch_Name AS Hub_Name FROM nodes WHERE Parent_Branch_ID IS NULL UNION ALL "
+            f"SELECT n.Branch_ID, c.Hub_Name FROM nodes n JOIN climb c ON n.Parent_Branch_ID = c.Branch_ID) "
+            f"SELECT CAST(ROW_NUMBER() OVER (ORDER BY c.Branch_ID ASC NULLS FIRST) AS BIGINT) AS Location_SKey, "
+            f"c.Branch_ID, c.Branch_Name, c.Branch_Level, c.Parent_Branch_ID, p.Branch_Name AS Parent_Branch_Name, "
+            f"h.Hub_Name FROM nodes c LEFT JOIN nodes p ON c.Parent_Branch_ID = p.Branch_ID "
+            f"JOIN climb h ON h.Branch_ID = c.Branch_ID")
+
+
+@register("dim_geography", _GEO_SQL)
 def q_dim_geography(spark, sf):
-    r = fx.table(spark, sf, "region").select(
-        F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("Branch_ID"),
-        F.col("r_name").alias("Branch_Name"), F.lit(None).cast("string").alias("Parent_Branch_ID"),
-        F.lit("HUB").alias("Branch_Level"))
-    n = fx.table(spark, sf, "nation").select(
-        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("Branch_ID"),
-        F.col("n_name").alias("Branch_Name"),
-        F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("Parent_Branch_ID"),
-        F.lit("SUB_LOCATION").alias("Branch_Level"))
-    return M.dim_geography(r, n)
+    return M.dim_geography(fx.branch_nodes(spark, sf))
 
 
 def _derived_sql(expr, src, name, key):
@@ -552,8 +547,7 @@ _CUST_ENT_SQL = ("SELECT CAST(ROW_NUMBER() OVER (ORDER BY Customer_ID ASC NULLS
 
 
 def _cust_ent(spark, sf):
-    return M.dim_customer_enterprise(fx.table(spark, sf, "customer"), fx.table(spark, sf, "nation"),
-                                     fx.table(spark, sf, "region"))
+    return M.dim_customer_enterprise(*fx.customer_parts(spark, sf))
 
 
 @register("dim_customer_enterprise", _CUST_ENT_SQL)
@@ -567,8 +561,7 @@ def q_dim_customer_enterprise(spark, sf):
           f"CAST(p_retailprice AS DECIMAL(18,2)) AS Insured_Value FROM ({dim_full_sql(TRUCK)}) t "
           f"LEFT JOIN part ON TruckID = p_partkey")
 def q_dim_fleet_asset(spark, sf):
-    return M.dim_fleet_asset(dim_full(spark, sf, TRUCK),
-                             fx.table(spark, sf, "part").select("p_partkey", "p_size", "p_brand", "p_retailprice"))
+    return M.dim_fleet_asset(dim_full(spark, sf, TRUCK), fx.permits(spark, sf))
 
 
 _DRV_COMP_SQL = (f"SELECT DriverKey AS Driver_SKey, DriverID AS Driver_ID, DriverName AS Driver_Name, "
@@ -578,8 +571,7 @@ _DRV_COMP_SQL = (f"SELECT DriverKey AS Driver_SKey, DriverID AS Driver_ID, Drive
 
 
 def _drv_comp(spark, sf):
-    return M.dim_driver_compliance(dim_full(spark, sf, DRIVER),
-                                   fx.table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"))
+    return M.dim_driver_compliance(dim_full(spark, sf, DRIVER), fx.roster(spark, sf))
 
 
 @register("dim_driver_compliance", _DRV_COMP_SQL)
@@ -635,11 +627,15 @@ _RUN = _scaled(f"LEAST({_div_half_up('CAST(Distance_KM_Daily * 100 AS BIGINT)',
 _UTIL_SQL = (f"SELECT Date_SKey, Vehicle_ID, Trips_Count_Daily, Distance_KM_Daily, {_RUN} AS Running_Hours, "
              f"CAST(CAST(24 AS DECIMAL(10,2)) - {_RUN} AS DECIMAL(10,2)) AS Idle_Hours, "
              f"{_ratio('load', f'Trips_Count_Daily * {M.CAPACITY_TONS}')} AS Load_Factor_Ratio FROM ("
-             f"SELECT CAST(l_suppkey AS INTEGER) AS Vehicle_ID, {_dk('l_shipdate')} AS Date_SKey, "
-             f"COUNT(*) AS Trips_Count_Daily, "
-             f"CAST(SUM(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS Distance_KM_Daily, "
+             f"SELECT c.Vehicle_ID, {_dk('c.d')} AS Date_SKey, COALESCE(n, 0) AS Trips_Count_Daily, "
+             f"COALESCE(km, CAST(0 AS DECIMAL(18,2))) AS Distance_KM_Daily, COALESCE(load, CAST(0 AS DECIMAL(18,2))) AS load FROM ("
+             f"SELECT Vehicle_ID, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM ("
+             f"SELECT CAST(l_suppkey AS INTEGER) AS Vehicle_ID, CAST(CAST(MIN(l_shipdate) AS DATE) AS TIMESTAMP) AS lo, "
+             f"CAST(CAST(MAX(l_shipdate) AS DATE) AS TIMESTAMP) AS hi FROM lineitem GROUP BY 1) v) c LEFT JOIN ("
+             f"SELECT CAST(l_suppkey AS INTEGER) AS Vehicle_ID, CAST(l_shipdate AS DATE) AS d, COUNT(*) AS n, "
+             f"CAST(SUM(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS km, "
              f"CAST(SUM(CAST(l_quantity AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS load "
-             f"FROM lineitem GROUP BY 1, 2) g")
+             f"FROM lineitem GROUP BY 1, 2) g ON c.Vehicle_ID = g.Vehicle_ID AND c.d = g.d) x")
 
 
 def _util(spark, sf):
@@ -665,29 +661,68 @@ def q_uptime_ratio(spark, sf):
 
 _P = "CAST(l_extendedprice AS DECIMAL(18,2))"
 _Q = "CAST(l_quantity AS DECIMAL(10,2))"
-_COSTS_SQL = (f"SELECT l_orderkey, CAST(SUM({_P} * CAST(l_tax AS DECIMAL(4,2))) AS DECIMAL(18,2)) AS Fuel_Cost_INR, "
-              f"CAST(SUM({_P} * CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2)) AS Driver_Cost_INR, "
-              f"CAST(SUM({_Q} * CAST({M.MAINTENANCE_PER_TON} AS DECIMAL(6,2))) AS DECIMAL(18,2)) AS Maintenance_Cost_INR, "
-              f"CAST(COUNT(*) * CAST({M.TOLL_PER_STOP} AS DECIMAL(6,2)) AS DECIMAL(18,2)) AS Toll_Cost_INR, "
-              f"CAST(SUM({_Q} * CAST({M.HANDLING_PER_TON} AS DECIMAL(6,2))) AS DECIMAL(18,2)) AS Other_Cost_INR "
-              f"FROM lineitem GROUP BY l_orderkey")
+_LINE_COSTS = {
+    "Fuel_Cost_INR": f"{_P} * CAST(l_tax AS DECIMAL(4,2))", "Driver_Cost_INR": f"{_P} * CAST(l_discount AS DECIMAL(4,2))",
+    "Maintenance_Cost_INR": f"{_Q} * CAST({M.MAINTENANCE_PER_TON} AS DECIMAL(6,2))",
+    "Toll_Cost_INR": f"CAST({M.TOLL_PER_STOP} AS DECIMAL(6,2))",
+    "Other_Cost_INR": f"{_Q} * CAST({M.HANDLING_PER_TON} AS DECIMAL(6,2))"}
+_TOTALS_SQL = ("SELECT l_orderkey, " + ", ".join(f"CAST(SUM({v}) AS DECIMAL(18,2)) AS {k}" for k, v in _LINE_COSTS.items())
+               + f", CAST(SUM({_Q}) AS DECIMAL(18,2)) AS Weight, "
+               f"CAST(SUM(CAST({_P} * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS Distance, "
+               f"MAX(l_shipdate) AS Delivered, MAX(CASE WHEN rn = 1 THEN CAST(l_partkey AS INTEGER) END) AS Vehicle_ID, "
+               f"MAX(CASE WHEN rn = 1 THEN CAST(l_suppkey AS INTEGER) END) AS Driver_ID, "
+               f"MAX(CASE WHEN rn = 1 THEN p_type END) AS Commodity FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey "
+               f"ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem LEFT JOIN part ON l_partkey = p_partkey) l "
+               f"GROUP BY l_orderkey")
 _Z = "CAST(0 AS DECIMAL(18,2))"
-_PROFIT_SQL = (f"SELECT *, CAST(Gross_Revenue_INR - (" + " + ".join(M.COST_COLS) + ") AS DECIMAL(18,2)) AS Net_Profit_INR "
-               f"FROM (SELECT o_orderkey AS DD_Trip_ID, {_dk('o_orderdate')} AS Date_SKey, "
-               f"CAST(o_custkey AS INTEGER) AS Customer_ID, CAST(o_totalprice AS DECIMAL(18,2)) AS Gross_Revenue_INR, "
-               + ", ".join(f"COALESCE(c.{c}, {_Z}) AS {c}" for c in M.COST_COLS)
-               + f" FROM orders LEFT JOIN ({_COSTS_SQL}) c ON o_orderkey = c.l_orderkey) p")
-
-
-def _profit(spark, sf):
-    return M.fact_operational_profitability(
-        fx.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice"),
-        fx.table(spark, sf, "lineitem"))
-
-
-@register("fact_operational_profitability", _PROFIT_SQL)
+_FINANCE_SQL = (f"SELECT *, CAST(Gross_Revenue_INR - (" + " + ".join(M.COST_COLS) + ") AS DECIMAL(18,2)) AS Net_Profit_INR "
+                f"FROM (SELECT o_orderkey AS DD_Trip_ID, {_dk('o_orderdate')} AS Date_SKey, "
+                f"CAST(o_custkey AS INTEGER) AS Customer_ID, CAST(o_totalprice AS DECIMAL(18,2)) AS Gross_Revenue_INR, "
+                + ", ".join(f"COALESCE(c.{c}, {_Z}) AS {c}" for c in M.COST_COLS)
+                + f", o_orderdate AS Trip_Date, c.Vehicle_ID, c.Driver_ID, 'N' || CAST(c_nationkey AS VARCHAR) AS Branch_ID, c.Commodity "
+                f"FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN ({_TOTALS_SQL}) c ON o_orderkey = c.l_orderkey) p")
+
+# Key -> dimension SQL; a history dimension is joined at the trip's date.
+_KEY_DIMS_SQL = {
+    "Customer_SKey": _CUST_ENT_SQL, "Fleet_SKey": O.scd2_full_sql(O.stage_sql("fleet_asset"), FLEET_ASSET),
+    "Driver_SKey": O.scd2_full_sql(O.stage_sql("driver_history"), DRIVER_HISTORY), "Location_SKey": _GEO_SQL,
+    "Vendor_SKey": O.scd1_full_sql(O.stage_sql("vendor"), VENDOR_DOC), "Trip_Type_Key": _TRIP_TYPE_SQL,
+    "Commodity_Key": _COMMODITY_SQL}
+PROFIT_KEYS = ["Customer_SKey", "Fleet_SKey", "Driver_SKey", "Location_SKey", "Vendor_SKey", "Commodity_Key"]
+ACTIVITY_KEYS = ["Customer_SKey", "Fleet_SKey", "Driver_SKey", "Location_SKey", "Trip_Type_Key", "Commodity_Key"]
+
+
+def _keyed_sql(base: str, keys: list[str], drop: str) -> str:
+    cols, joins = [], []
+    for i, k in enumerate(keys):
+        column, spec = M.TRIP_KEYS[k]
+        at = (f" AND b.Trip_Date >= d{i}.RowStartDateTime AND b.Trip_Date <= COALESCE(d{i}.RowEndDateTime, {O.ts(OPEN_END)})"
+              if spec.scd == 2 else "")
+        cols.append(f"CAST(COALESCE(d{i}.{k}, -1) AS BIGINT) AS {k}")
+        joins.append(f"LEFT JOIN ({_KEY_DIMS_SQL[k]}) d{i} ON b.{column} = d{i}.{spec.bk}{at}")
+    return f"SELECT b.* EXCLUDE ({drop}), {', '.join(cols)} FROM ({base}) b " + " ".join(joins)
+
+
+def _key_dims(spark, sf, keys: list[str]) -> dict[str, DataFrame]:
+    make = {
+        "Customer_SKey": lambda: _cust_ent(spark, sf),
+        "Fleet_SKey": lambda: scd2.scd2_full(fx.stage_fleet_asset(spark, sf), FLEET_ASSET),
+        "Driver_SKey": lambda: scd2.scd2_full(fx.stage_driver_history(spark, sf), DRIVER_HISTORY),
+        "Location_SKey": lambda: q_dim_geography(spark, sf),
+        "Vendor_SKey": lambda: scd1.scd1_full(fx.stage_vendor(spark, sf), VENDOR_DOC),
+        "Trip_Type_Key": lambda: q_dim_trip_type(spark, sf),
+        "Commodity_Key": lambda: q_dim_commodity(spark, sf)}
+    return {k: make[k]() for k in keys}
+
+
+def _finance(spark, sf):
+    return M.trip_finance(fx.mart_trips(spark, sf), fx.mart_lines(spark, sf))
+
+
+@register("fact_operational_profitability",
+          _keyed_sql(_FINANCE_SQL, PROFIT_KEYS, "Trip_Date, Vehicle_ID, Driver_ID, Branch_ID, Commodity"))
 def q_fact_operational_profitability(spark, sf):
-    return _profit(spark, sf)
+    return M.fact_operational_profitability(fx.mart_trips(spark, sf), fx.mart_lines(spark, sf), _key_dims(spark, sf, PROFIT_KEYS))
 
 
 _OWN = "CASE WHEN l_linestatus = 'F' THEN 'OWN' ELSE 'VENDOR' END"
@@ -696,14 +731,12 @@ _OWN = "CASE WHEN l_linestatus = 'F' THEN 'OWN' ELSE 'VENDOR' END"
 @register("trip_profit_by",
           f"SELECT *, CAST(Revenue - Cost AS DECIMAL(18,2)) AS Margin, "
           f"{_ratio('CAST(Revenue - Cost AS DECIMAL(18,2))', 'Revenue')} AS Margin_Pct FROM ("
-          f"SELECT p_type AS Commodity, {_OWN} AS Ownership_Type, COUNT(*) AS Trips, "
-          f"CAST(SUM({_P}) AS DECIMAL(18,2)) AS Revenue, "
-          f"CAST(SUM({_P} * (CAST(l_discount AS DECIMAL(4,2)) + CAST(l_tax AS DECIMAL(4,2)))) AS DECIMAL(18,2)) AS Cost "
-          f"FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2) g")
+          f"SELECT p_type AS Commodity, {_OWN} AS Ownership_Type, o_orderpriority AS Trip_Type, "
+          f"COUNT(DISTINCT l_orderkey) AS Trips, CAST(SUM({_P}) AS DECIMAL(18,2)) AS Revenue, "
+          f"CAST(SUM({' + '.join(_LINE_COSTS.values())}) AS DECIMAL(18,2)) AS Cost "
+          f"FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3) g")
 def q_trip_profit_by(spark, sf):
-    li = fx.table(spark, sf, "lineitem")
-    pa = fx.table(spark, sf, "part").select("p_partkey", "p_type")
-    return M.trip_profit_by(li.join(pa, li.l_partkey == pa.p_partkey))
+    return M.trip_profit_by(fx.mart_lines(spark, sf), fx.mart_trips(spark, sf))
 
 
 def _li_orders(spark, sf):
@@ -741,43 +774,30 @@ def q_calendar_week_rollup(spark, sf):
           f"FROM ({_UTIL_SQL}) x GROUP BY 1) u FULL OUTER JOIN "
           f"(SELECT CAST(Date_SKey // 100 AS INTEGER) AS Month_Key, COUNT(*) AS Billed_Trips, "
           f"CAST(SUM(Gross_Revenue_INR) AS DECIMAL(18,2)) AS Gross_Revenue_INR, CAST(SUM(Net_Profit_INR) AS DECIMAL(18,2)) AS Net_Profit_INR "
-          f"FROM ({_PROFIT_SQL}) y GROUP BY 1) p ON u.Month_Key = p.Month_Key")
+          f"FROM ({_FINANCE_SQL}) y GROUP BY 1) p ON u.Month_Key = p.Month_Key")
 def q_drill_across(spark, sf):
-    return M.drill_across(_util(spark, sf), _profit(spark, sf))
+    return M.drill_across(_util(spark, sf), _finance(spark, sf))
 
 
 @register("volume_by_commodity",
           f"SELECT p_type AS Commodity, CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS Month_Key, "
-          f"CAST(SUM({_Q}) AS DECIMAL(18,2)) AS Tonnage, COUNT(*) AS Trips FROM lineitem JOIN part ON l_partkey = p_partkey "
-          f"GROUP BY 1, 2")
+          f"CAST(SUM({_Q}) AS DECIMAL(18,2)) AS Tonnage, COUNT(DISTINCT l_orderkey) AS Trips "
+          f"FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY 1, 2")
 def q_volume_by_commodity(spark, sf):
-    li = fx.table(spark, sf, "lineitem").select("l_partkey", "l_quantity", "l_shipdate")
-    pa = fx.table(spark, sf, "part").select("p_partkey", "p_type")
-    return M.volume_by_commodity(li.join(pa, li.l_partkey == pa.p_partkey), "l_shipdate")
+    return M.volume_by_commodity(fx.mart_lines(spark, sf))
 
 
-_DURATION = _scaled(_div_half_up("date_diff('second', o_orderdate, l_shipdate) * 100", 3600), 2)
-_LOGI_SQL = (f"SELECT l_orderkey AS DD_Trip_ID, l_linenumber AS Trip_Line, {_dk('o_orderdate')} AS Date_SKey, "
-             f"CAST(o_custkey AS INTEGER) AS Customer_ID, CAST(l_suppkey AS INTEGER) AS Vehicle_ID, "
-             f"{_Q} AS Cargo_Weight_Tons, CAST({_P} * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS Trip_Distance_KM, "
-             f"{_DURATION} AS Trip_Duration_Hours, "
-             f"CAST(COALESCE(ce.Customer_SKey, -1) AS BIGINT) AS Customer_SKey, "
-             f"CAST(COALESCE(tt.Trip_Type_Key, -1) AS BIGINT) AS Trip_Type_Key, "
-             f"CAST(COALESCE(cm.Commodity_Key, -1) AS BIGINT) AS Commodity_Key "
-             f"FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey "
-             f"LEFT JOIN ({_CUST_ENT_SQL}) ce ON CAST(o_custkey AS INTEGER) = ce.Customer_ID "
-             f"LEFT JOIN ({_TRIP_TYPE_SQL}) tt ON o_orderpriority = tt.Trip_Type "
-             f"LEFT JOIN ({_COMMODITY_SQL}) cm ON p_type = cm.Commodity")
+_DURATION = _scaled(_div_half_up("date_diff('second', o_orderdate, Delivered) * 100", 3600), 2)
+_ACTIVITY_SQL = (f"SELECT o_orderkey AS DD_Trip_ID, {_dk('o_orderdate')} AS Date_SKey, CAST(o_custkey AS INTEGER) AS Customer_ID, "
+                 f"t.Vehicle_ID, o_orderdate AS Trip_Date, t.Driver_ID, 'N' || CAST(c_nationkey AS VARCHAR) AS Branch_ID, "
+                 f"o_orderpriority AS Trip_Type, t.Commodity, t.Weight AS Cargo_Weight_Tons, t.Distance AS Trip_Distance_KM, "
+                 f"{_DURATION} AS Trip_Duration_Hours FROM orders JOIN ({_TOTALS_SQL}) t ON o_orderkey = t.l_orderkey "
+                 f"LEFT JOIN customer ON o_custkey = c_custkey")
+_LOGI_SQL = _keyed_sql(_ACTIVITY_SQL, ACTIVITY_KEYS, "Trip_Date, Driver_ID, Branch_ID, Trip_Type, Commodity")
 
 
 def _logistics(spark, sf):
-    return M.fact_logistics_operations(
-        fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                               "l_quantity", "l_extendedprice", "l_shipdate"),
-        fx.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_orderpriority"),
-        fx.table(spark, sf, "part").select("p_partkey", "p_type"),
-        _cust_ent(spark, sf).select("Customer_ID", "Customer_SKey"),
-        q_dim_trip_type(spark, sf), q_dim_commodity(spark, sf))
+    return M.fact_logistics_operations(fx.mart_trips(spark, sf), fx.mart_lines(spark, sf), _key_dims(spark, sf, ACTIVITY_KEYS))
 
 
 @register("fact_logistics_operations", _LOGI_SQL)
@@ -790,17 +810,20 @@ DRILL_TRIP_ID = 7   # the trip a drill-through report opens
 
 @register("trip_drill_through", f"SELECT * FROM ({_LOGI_SQL}) f WHERE DD_Trip_ID = {DRILL_TRIP_ID}")
 def q_trip_drill_through(spark, sf):
-    """Degenerate-dimension drill-through: every activity line of one trip."""
+    """Degenerate-dimension drill-through: the activity of one trip."""
     return _logistics(spark, sf).filter(F.col("DD_Trip_ID") == DRILL_TRIP_ID)
 
 
 @register("licence_expiry_check",
           f"SELECT s.TripID, s.DriverID, s.TripDate, d.License_Number, d.License_Expiry_Date "
-          f"FROM ({O.stage_sql('facttrip')}) s JOIN ({_DRV_COMP_SQL}) d ON s.DriverID = d.Driver_ID "
+          f"FROM ({O.stage_sql('facttrip')}) s JOIN ({_DRV_COMP_SQL.replace(dim_full_sql(DRIVER), dim_base_sql(DRIVER))}) d "
+          f"ON s.DriverID = d.Driver_ID "
           f"WHERE s.TripDate > d.License_Expiry_Date")
 def q_licence_expiry_check(spark, sf):
+    """All trips against the licences as they stood at the load beneath the increment."""
     from .operators.marts import licence_expiry_check
-    return licence_expiry_check(fx.stage_facttrip(spark, sf), _drv_comp(spark, sf))
+    drivers = M.dim_driver_compliance(dim_base(spark, sf, DRIVER), fx.roster(spark, sf))
+    return licence_expiry_check(fx.stage_facttrip(spark, sf), drivers)
 
 
 # --- W3-W5: publishing, watermarks, the tier runner ------------------------------------------

@@ -143,6 +143,72 @@ def stage_driver_history(spark, sf_dir, lo=None, hi=None) -> DataFrame:
         F.col("l_shipdate").cast(TS).alias("ModifiedDate"))
 
 
+# --- inputs of the documented marts, in neutral names ---------------------------------------
+
+def ownership_type(c="l_linestatus"):
+    """Closed lines ('F') ran on owned trucks, open lines on vendor trucks."""
+    return F.when(F.col(c) == "F", F.lit("OWN")).otherwise(F.lit("VENDOR"))
+
+
+def mart_lines(spark, sf_dir) -> DataFrame:
+    """Trip lines: what moved, on which vehicle, with which driver, at which rates."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus", "l_quantity", "l_extendedprice",
+        "l_tax", "l_discount", "l_shipdate")
+    pa = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    price = F.col("l_extendedprice").cast(DEC18_2)
+    return li.join(pa, li.l_partkey == pa.p_partkey, "left").select(
+        F.col("l_orderkey").alias("Trip_ID"), F.col("l_linenumber").alias("Line_No"),
+        F.col("l_partkey").cast(INT).alias("Vehicle_ID"), F.col("l_suppkey").cast(INT).alias("Driver_ID"),
+        F.col("p_type").alias("Commodity"), ownership_type().alias("Ownership_Type"),
+        F.col("l_quantity").cast(DEC10_2).alias("Weight"),
+        (price * F.lit("0.01").cast(T.DecimalType(3, 2))).cast(DEC10_2).alias("Distance"),
+        price.alias("Amount"), F.col("l_tax").cast(T.DecimalType(4, 2)).alias("Fuel_Rate"),
+        F.col("l_discount").cast(T.DecimalType(4, 2)).alias("Driver_Rate"), F.col("l_shipdate").cast(TS).alias("Delivered"))
+
+
+def mart_trips(spark, sf_dir) -> DataFrame:
+    """Trips: customer, type, billed amount and the customer's branch."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_orderpriority", "o_totalprice")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return o.join(c, o.o_custkey == c.c_custkey, "left").select(
+        F.col("o_orderkey").alias("Trip_ID"), F.col("o_orderdate").cast(TS).alias("Trip_Date"),
+        F.col("o_custkey").cast(INT).alias("Customer_ID"), F.col("o_orderpriority").alias("Trip_Type"),
+        F.col("o_totalprice").cast(DEC18_2).alias("Billed"),
+        F.concat(F.lit("N"), F.col("c_nationkey").cast(STR)).alias("Branch_ID"))
+
+
+def branch_nodes(spark, sf_dir) -> DataFrame:
+    """Parent/child list of branches on three levels: region, nation, supplier site."""
+    def node(name, prefix, key, label, parent, level):
+        return table(spark, sf_dir, name).select(
+            F.concat(F.lit(prefix), F.col(key).cast(STR)).alias("Branch_ID"), F.col(label).alias("Branch_Name"),
+            parent.cast(STR).alias("Parent_Branch_ID"), F.lit(level).alias("Branch_Level"))
+    return node("region", "R", "r_regionkey", "r_name", F.lit(None), "HUB") \
+        .unionByName(node("nation", "N", "n_nationkey", "n_name", F.concat(F.lit("R"), F.col("n_regionkey").cast(STR)), "SUB_LOCATION")) \
+        .unionByName(node("supplier", "S", "s_suppkey", "s_name", F.concat(F.lit("N"), F.col("s_nationkey").cast(STR)), "SITE"))
+
+
+def customer_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return (table(spark, sf_dir, "customer").select(
+                F.col("c_custkey").cast(INT).alias("Customer_ID"), F.col("c_name").alias("Customer_Name"),
+                F.col("c_mktsegment").alias("Customer_Type"), F.col("c_acctbal").cast(DEC18_2).alias("Credit_Limit"),
+                F.col("c_nationkey").alias("Nation_ID")),
+            table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("Nation_ID"), F.col("n_name").alias("Nation_Name"),
+                                                  F.col("n_regionkey").alias("Region_ID")),
+            table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("Region_ID"), F.col("r_name").alias("Region_Name")))
+
+
+def permits(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("Vehicle_ID"), F.col("p_size").cast(DEC10_2).alias("Capacity_Tons"),
+        F.col("p_brand").alias("Permit_Class"), F.col("p_retailprice").cast(DEC18_2).alias("Insured_Value"))
+
+
+def roster(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("Driver_ID"), F.col("s_nationkey").alias("Branch_Nation"))
+
+
 STAGERS = {
     "employee": stage_employee, "driver": stage_driver, "truck": stage_truck,
     "customer": stage_customer, "product": stage_product, "vendor": stage_vendor,
