@@ -171,11 +171,10 @@ def test_first_increment_own_control_and_empty_fact(spark, tmp_path):
     from starloom.schemas import VENDOR
     from starloom.sources.extract import LakeSource, lake_extractor
     lake, root = str(tmp_path / "lake"), str(tmp_path / "wh")
-    fx.stage_vendor(spark, SF).write.parquet(f"{lake}/vendor")
-    fx.stage_employee(spark, SF).write.option("header", "true").csv(f"{lake}/employee")
-    from starloom.schemas import EMPLOYEE
-    ex = lake_extractor(spark, {"vendor": LakeSource(f"{lake}/vendor"),
-                                "employee": LakeSource(f"{lake}/employee", "csv", EMPLOYEE.staging_schema())})
+    fx.stage_vendor(spark, SF).write.option("header", "true").csv(f"{lake}/vendor")
+    fx.stage_employee(spark, SF).write.parquet(f"{lake}/employee")
+    ex = lake_extractor(spark, {"vendor": LakeSource(f"{lake}/vendor", "csv", VENDOR.staging_schema()),
+                                "employee": LakeSource(f"{lake}/employee")})
     active = control.control_seed(spark, "incremental").withColumn("ISACTIVE", F.col("TABLENAME").isin("VENDOR", "EMPLOYEE"))
     done = L.incremental_load_all(spark, ex, root, "2024-01-15 00:00:00", fx.LOAD_TS, control=active)
     assert {r["TABLENAME"] for r in done} == {"VENDOR", "EMPLOYEE"}
