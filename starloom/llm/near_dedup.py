@@ -13,6 +13,9 @@ document over the table's width) at any number of documents.
 1. Equal texts form one node, named by their smallest doc_id.
 2. Each node gets ``BANDS * ROWS`` consistent weighted samples: two texts agree in one with
    probability equal to their weighted Jaccard similarity.  Bands of samples are bucket keys.
+   A band whose samples all are shingles that very many documents share would put all of these
+   in one bucket; it goes on with further samples, one more for every doubling of the number of
+   documents that share its rarest one.
 3. In each bucket the smallest node is compared with the others (a star, no pairs among the
    others): the exact weighted Jaccard similarity decides.  Links make components.
 4. Buckets that still hold several components: the smallest node of each component there is
@@ -46,6 +49,8 @@ from .components import components
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
+#: A band whose samples are all shared by more documents than this times 2**ROWS gets more rows.
+SHARED_BY = 16
 #: Width (a power of two) and slices of the table of document frequencies.
 DF_BITS, DF_SLICES = 18, 32
 #: Entries of the tables of random variates; shingles pick theirs by hash.
@@ -127,11 +132,20 @@ class Weights:
     n_docs: int
 
     def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        h, w, _ = self.with_rows(text)
+        return h, w
+
+    def with_rows(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shingles, weights, and the samples that a band of each shingle's kind needs."""
         h, tf = shingles(text)
         a, b = _cells(h)
         df = np.minimum(self.table[0][a], self.table[1][b])
         n = max(1, self.n_docs)
-        return h, tf * np.log1p(n / (df + n / 4)) / np.log(5)
+        # What other shingles add to a cell, and how much that varies, is no frequency.
+        others = self.table[0].mean()
+        surely = np.maximum(1, df - others - 4 * np.sqrt(others))
+        rows = np.ceil(np.log2(surely / SHARED_BY))
+        return h, tf * np.log1p(n / (df + n / 4)) / np.log(5), rows.astype(np.int64)
 
     def similarity(self, x: str | None, y: str | None) -> float:
         """Weighted Jaccard similarity of two texts."""
@@ -157,11 +171,12 @@ class Sampler:
         self.log_c = np.log(rng.gamma(2, 1, n)).astype(np.float32)
         self.odd = rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def bands(self, hashes: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    def bands(self, hashes: np.ndarray, weights: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Band keys (texts x BANDS) of texts whose shingles begin at ``starts``."""
         log_w = np.log(weights).astype(np.float32)
         place = np.arange(len(hashes), dtype=np.uint64)
-        keys = np.zeros((len(starts), BANDS), np.uint64)
+        samples = np.zeros((BANDS * ROWS, len(starts)), np.uint64)
+        needs = np.zeros((BANDS * ROWS, len(starts)), np.int64)
         for s, odd in enumerate(self.odd):
             pick = ((hashes * odd) >> np.uint64(64 - _VARIATES)).astype(np.int64)
             r, beta = self.r[pick], self.beta[pick]
@@ -172,13 +187,20 @@ class Sampler:
             order = np.where(bits < 0, ~bits, bits ^ np.int32(-2 ** 31)).view(np.uint32).astype(np.uint64)
             least = np.minimum.reduceat((order << np.uint64(32)) | place, starts) & np.uint64(0xFFFFFFFF)
             least = least.astype(np.int64)
-            sample = _mix(hashes[least] + t[least].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            band = s // ROWS
-            keys[:, band] = _mix(keys[:, band] + sample + np.uint64(s + 1))
+            samples[s] = _mix(hashes[least] + t[least].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            needs[s] = rows[least]
+        keys = np.zeros((len(starts), BANDS), np.uint64)
+        for band in range(BANDS):
+            first = band * ROWS
+            need = needs[first:first + ROWS].min(0)
+            for k in range(max(ROWS, need.max(initial=0))):
+                s = (first + k) % len(samples)
+                longer = _mix(keys[:, band] + samples[s] + np.uint64(first + k + 1))
+                keys[:, band] = longer if k < ROWS else np.where(k < need, longer, keys[:, band])
         return keys
 
 
-def _groups(found: list[tuple[int, np.ndarray, np.ndarray]]):
+def _groups(found: list[tuple]):
     """Texts' shingles in groups of about _TOGETHER."""
     group, size = [], 0
     for f in found:
@@ -201,12 +223,12 @@ def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
         sampler = Sampler()
         for texts in parts:
             bands, totals = [np.zeros(0, np.int64)] * len(texts), np.zeros(len(texts))
-            found = ((i, *shared.value.of(t)) for i, t in enumerate(texts))
+            found = ((i, *shared.value.with_rows(t)) for i, t in enumerate(texts))
             for group in _groups([f for f in found if len(f[1])]):
-                lengths = np.asarray([len(h) for _, h, _ in group])
-                keys = sampler.bands(np.concatenate([h for _, h, _ in group]), np.concatenate([w for _, _, w in group]),
+                lengths = np.asarray([len(f[1]) for f in group])
+                keys = sampler.bands(*(np.concatenate([f[c] for f in group]) for c in (1, 2, 3)),
                                      np.cumsum(lengths) - lengths).view(np.int64)
-                for (i, _, w), k in zip(group, keys):
+                for (i, _, w, _), k in zip(group, keys):
                     bands[i], totals[i] = k, w.sum()
             yield pd.DataFrame({"bands": bands, "weight": totals})
 

@@ -8,6 +8,15 @@ EXTRA = {"lang": "en", "source": "s", "n_chars": 1, "piece": 7, "length": 8, "ra
          "k1": 3, "mark": 1, "picked": 5, "block": 6, "sketch": "x", "key": "y", "h": 1, "score": 0.5}
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """These tests run many small jobs."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="session")
 def frame(spark):
     """Documents from (doc_id, text) pairs, with columns of clashing names."""

@@ -134,6 +134,23 @@ def test_near_dedup_chain_and_passage(spark, frame):
     assert len({got[i] for i in range(100, 140)}) == 40
 
 
+def test_a_common_passage_does_not_fill_buckets():
+    """Texts that share most of their words with very many others fall into different buckets;
+    their near copies still share some."""
+    rng = random.Random(12)
+    passage = " ".join(f"p{n}" for n in range(150))
+    texts = [f"{passage} " + " ".join(f"y{rng.randrange(10 ** 6)}" for _ in range(50)) for _ in range(60)]
+    table = np.zeros((2, 1 << near_dedup.DF_BITS), np.int64)
+    a, b = near_dedup._cells(near_dedup.shingles(passage)[0])
+    table[0][a] = table[1][b] = 20_000
+    w, sampler = near_dedup.Weights(table, 60_000), near_dedup.Sampler()
+    keys = np.concatenate([sampler.bands(*w.with_rows(t), np.asarray([0])) for t in texts])
+    sizes = [np.unique(keys[:, band], return_counts=True)[1].max() for band in range(near_dedup.BANDS)]
+    assert np.mean(sizes) < 6
+    near = sampler.bands(*w.with_rows(texts[0] + " one more word"), np.asarray([0]))
+    assert (near[0] == keys[0]).any()
+
+
 def test_near_dedup_of_nothing(frame):
     assert near_dedup.report(frame([])).count() == 0
     got = near_dedup.report(frame([(None, None), (4, ""), (9, None)])).collect()
@@ -148,8 +165,7 @@ def test_samples_estimate_weighted_similarity():
     sampler = near_dedup.Sampler()
     keys = []
     for t in (x, y):
-        h, v = w.of(t)
-        keys.append(sampler.bands(h, v, np.asarray([0])))
+        keys.append(sampler.bands(*w.with_rows(t), np.asarray([0])))
     true = w.similarity(x, y)
     assert abs((keys[0] == keys[1]).mean() - true ** near_dedup.ROWS) < 0.25
     assert true == pytest.approx(near_dedup.Weights(np.zeros((2, 1 << near_dedup.DF_BITS), np.int64), 10).similarity(x, y))
