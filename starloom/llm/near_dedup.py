@@ -33,6 +33,7 @@ other columns are ignored.
 """
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -57,6 +58,8 @@ DF_BITS, DF_SLICES = 18, 32
 _VARIATES = 16
 #: Word hashes kept per worker, and shingles sampled together.
 _KNOWN_WORDS, _TOGETHER = 500_000, 1 << 16
+#: Texts whose shingles a comparing task keeps.
+_KNOWN_TEXTS = 1024
 
 
 # --- shingles -----------------------------------------------------------------------------
@@ -147,9 +150,10 @@ class Weights:
         rows = np.ceil(np.log2(surely / SHARED_BY))
         return h, tf * np.log1p(n / (df + n / 4)) / np.log(5), rows.astype(np.int64)
 
-    def similarity(self, x: str | None, y: str | None) -> float:
-        """Weighted Jaccard similarity of two texts."""
-        (hx, wx), (hy, wy) = self.of(x), self.of(y)
+    def similarity(self, x: str | None, y: str | None, of=None) -> float:
+        """Weighted Jaccard similarity of two texts; ``of`` may be a cached form of that method."""
+        of = of or self.of
+        (hx, wx), (hy, wy) = of(x), of(y)
         if not len(hx) or not len(hy):
             return float(x == y)
         _, i, j = np.intersect1d(hx, hy, assume_unique=True, return_indices=True)
@@ -246,8 +250,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights, similarity:
     shared = pairs.sparkSession.sparkContext.broadcast(weights)
 
     @F.pandas_udf("double")
-    def jaccard(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.similarity(a, b) for a, b in zip(x, y)], dtype=float)
+    def jaccard(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        # Pairs come ordered by one of their texts, and a text stands in many pairs.
+        weights = shared.value
+        of = functools.lru_cache(_KNOWN_TEXTS)(weights.of)
+        for x, y in parts:
+            yield pd.Series([weights.similarity(a, b, of) for a, b in zip(x, y)], dtype=float)
 
     of = texts.select("node", "text")
     joined = pairs.join(of.withColumnsRenamed({"node": "a", "text": "text_a"}), "a") \
