@@ -16,12 +16,14 @@ document over the table's width) at any number of documents.
    A band whose samples all are shingles that very many documents share would put all of these
    in one bucket; it goes on with further samples, one more for every doubling of the number of
    documents that share its rarest one.
-3. In each bucket the smallest node is compared with the others (a star, no pairs among the
-   others): the exact weighted Jaccard similarity decides.  Links make components.
-4. Buckets that still hold several components: the smallest node of each component there is
-   compared with the nodes of the other components there, until no new link appears.  So a
-   group of near copies of any size costs a comparison or two a member, and unlike texts that
-   share a bucket are all compared.
+3. In each bucket one node is compared with the others (a star, no pairs among the others): the
+   exact weighted Jaccard similarity decides.  The center is drawn by a hash of node and bucket,
+   so the buckets of a large group have different centers.  Links make components.
+4. Buckets that still hold several components: small ones compare one node of each component
+   with the nodes of the other components there; large ones draw another center and compare it
+   with the nodes of other components.  This goes on until a round finds no link.  A group of
+   any size costs a few comparisons a member and round.  A link between two texts is lost only
+   if no bucket they share, and no center of these, connects them.
 
 A class is a component; its id is the smallest doc_id in it.
 
@@ -52,6 +54,8 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
 #: A band whose samples are all shared by more documents than this times 2**ROWS gets more rows.
 SHARED_BY = 16
+#: Nodes of a bucket in which one node of every component meets the others.
+SMALL_BUCKET = 8
 #: Width (a power of two) and slices of the table of document frequencies.
 DF_BITS, DF_SLICES = 18, 32
 #: Entries of the tables of random variates; shingles pick theirs by hash.
@@ -264,19 +268,36 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights, similarity:
         .where(F.col("similarity") >= similarity).select("a", "b")
 
 
-def _residual(members: DataFrame, comps: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of each component's smallest node in a bucket and the nodes of other components
-    there.  Total weights further apart than the similarity rule a pair out."""
-    own = members.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = own.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    own = own.join(mixed.select("bucket"), "bucket", "left_semi")
-    first = own.groupBy("bucket", "component").agg(F.min(F.struct("node", "weight")).alias("f")) \
-        .select("bucket", F.col("component").alias("other"), F.col("f.node").alias("center"), F.col("f.weight").alias("w"))
+def _centers(members: DataFrame, turn: int) -> DataFrame:
+    """One node of each bucket, another one (as a rule) in each turn."""
+    draw = F.xxhash64("node", "bucket", F.lit(turn))
+    return members.groupBy("bucket").agg(F.min(F.struct(draw.alias("d"), "node", "weight")).alias("f")) \
+        .select("bucket", F.col("f.node").alias("center"), F.col("f.weight").alias("w"))
+
+
+def _pairs(meet: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of nodes that meet a center.  Total weights further apart than the similarity rule
+    a pair out."""
     close = F.least("weight", "w") >= similarity * F.greatest("weight", "w") * (1 - 1e-9)
-    return own.join(first, "bucket").where((F.col("component") != F.col("other")) & close) \
+    return meet.where((F.col("node") != F.col("center")) & close) \
         .select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
 
 
+def _residual(members: DataFrame, comps: DataFrame, turn: int, similarity: float) -> DataFrame:
+    """Pairs to try in the buckets that still hold several components."""
+    own = members.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = own.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("x"),
+                                      F.max("component").alias("y")).where("x <> y").select("bucket", "size")
+    own = own.join(mixed, "bucket")
+    small, large = own.where(F.col("size") <= SMALL_BUCKET), own.where(F.col("size") > SMALL_BUCKET)
+    each = small.groupBy("bucket", "component").agg(F.min(F.struct("node", "weight")).alias("f")) \
+        .select("bucket", F.col("component").alias("other"), F.col("f.node").alias("center"), F.col("f.weight").alias("w"))
+    one = _centers(large, turn).join(comps.withColumnsRenamed({"node": "center", "component": "other"}), "center", "left") \
+        .select("bucket", F.coalesce("other", "center").alias("other"), "center", "w")
+    meet = small.join(each, "bucket").unionByName(large.join(one, "bucket"))
+    return _pairs(meet.where(F.col("component") != F.col("other")), similarity)
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, text key (k1, k2) and class_id of every row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -295,9 +316,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = stage(docs.withColumn("k1", F.xxhash64("text")).join(wanted, ["doc_id", "k1"])
                   .dropDuplicates(["doc_id", "k1"]).select(F.col("doc_id").alias("node"), "text"), "bucket-texts")
     members_only = members.select("bucket", "node", "weight")
-    centers = members_only.groupBy("bucket").agg(F.min("node").alias("a"))
-    pairs = members_only.join(centers, "bucket").where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    pairs = _pairs(members_only.join(_centers(members_only, 0), "bucket"), similarity)
     tried = links = comps = None
+    turn = 0
     while True:
         pairs = stage(pairs, "pairs")
         if pairs.isEmpty():
@@ -309,7 +330,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         if not first_round and new.isEmpty():
             break
         comps = stage(components(links), "components")
-        pairs = _residual(members_only, comps, similarity).join(tried, ["a", "b"], "left_anti")
+        turn += 1
+        pairs = _residual(members_only, comps, turn, similarity).join(tried, ["a", "b"], "left_anti")
     unstage(texts)
     named = nodes.select("k1", "k2", "node")
     if comps is None:
