@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import codec
-from .common import small_batches
+from .common import small_batches, stage
 
 #: Lengths of one block of the histogram.
 BLOCK = 4096
@@ -44,6 +44,8 @@ def histogram(lengths: DataFrame) -> DataFrame:
     """One row per length: its documents, those at most as long and longer, token totals, and
     the tokens that a context limit of this length keeps and loses."""
     h = lengths.groupBy("length").agg(F.count(F.lit(1)).alias("n_docs"))
+    # Used twice below: written once, so that no text is encoded again for its length.
+    h = stage(h, "length-histogram")
     h = (h.withColumn("n_tokens", F.col("n_docs") * F.col("length"))
           .withColumn("__block", F.floor(F.col("length") / BLOCK)))
     blocks = h.groupBy("__block").agg(F.sum("n_docs").alias("__d"), F.sum("n_tokens").alias("__t"))
