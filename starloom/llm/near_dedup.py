@@ -176,7 +176,8 @@ class Sampler:
         rng, n = np.random.default_rng(seed), 1 << _VARIATES
         self.r = rng.gamma(2, 1, n).astype(np.float32)
         self.beta = rng.random(n).astype(np.float32)
-        self.log_c = np.log(rng.gamma(2, 1, n)).astype(np.float32)
+        # ln c - r, lifted above 0 for every weight, so that floats order like their bits.
+        self.lifted = (np.log(rng.gamma(2, 1, n)) - self.r + 128).astype(np.float32)
         self.odd = rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def bands(self, hashes: np.ndarray, weights: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -189,12 +190,12 @@ class Sampler:
             pick = ((hashes * odd) >> np.uint64(64 - _VARIATES)).astype(np.int64)
             r, beta = self.r[pick], self.beta[pick]
             t = np.floor(log_w / r + beta)
-            a = self.log_c[pick] - r * (t - beta) - r
-            # Floats as integers in the same order, with the place in the low half.
-            bits = a.view(np.int32)
-            order = np.where(bits < 0, ~bits, bits ^ np.int32(-2 ** 31)).view(np.uint32).astype(np.uint64)
-            least = np.minimum.reduceat((order << np.uint64(32)) | place, starts) & np.uint64(0xFFFFFFFF)
-            least = least.astype(np.int64)
+            a = self.lifted[pick] - r * (t - beta)
+            # Positive floats order like their bits; the place goes into the low half.
+            order = a.view(np.uint32).astype(np.uint64)
+            order <<= np.uint64(32)
+            order |= place
+            least = (np.minimum.reduceat(order, starts) & np.uint64(0xFFFFFFFF)).astype(np.int64)
             samples[s] = _mix(hashes[least] + t[least].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             needs[s] = rows[least]
         keys = np.zeros((len(starts), BANDS), np.uint64)
