@@ -20,8 +20,8 @@ document over the table's width) at any number of documents.
    exact weighted Jaccard similarity decides.  The center is drawn by a hash of node and bucket,
    so the buckets of a large group have different centers.  Links make components.
 4. Buckets that still hold several components: small ones compare one node of each component
-   with the nodes of the other components there; large ones draw another center and compare it
-   with the nodes of other components.  This goes on until a round finds no link.  A group of
+   with the nodes of the other components there; large ones draw a few other centers and compare
+   them with the nodes of other components.  This goes on until a round finds no link.  A group of
    any size costs a few comparisons a member and round.  A link between two texts is lost only
    if no bucket they share, and no center of these, connects them.
 
@@ -56,6 +56,8 @@ BANDS, ROWS = 20, 5
 SHARED_BY = 16
 #: Nodes of a bucket in which one node of every component meets the others.
 SMALL_BUCKET = 8
+#: Centers of a larger bucket in each round after the first.
+CENTERS = 8
 #: Width (a power of two) and slices of the table of document frequencies.
 DF_BITS, DF_SLICES = 18, 32
 #: Entries of the tables of random variates; shingles pick theirs by hash.
@@ -269,10 +271,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights, similarity:
         .where(F.col("similarity") >= similarity).select("a", "b")
 
 
-def _centers(members: DataFrame, turn: int) -> DataFrame:
-    """One node of each bucket, another one (as a rule) in each turn."""
-    draw = F.xxhash64("node", "bucket", F.lit(turn))
-    return members.groupBy("bucket").agg(F.min(F.struct(draw.alias("d"), "node", "weight")).alias("f")) \
+def _centers(members: DataFrame, turn: int, n: int = 1) -> DataFrame:
+    """``n`` nodes of each bucket (fewer, if drawn twice), other ones as a rule in each turn."""
+    draws = [F.min(F.struct(F.xxhash64("node", "bucket", F.lit(turn * CENTERS + k)).alias("d"), "node", "weight"))
+             for k in range(n)]
+    return members.groupBy("bucket").agg(F.array(*draws).alias("f")) \
+        .select("bucket", F.explode(F.array_distinct(F.transform("f", lambda f: F.struct(f["node"], f["weight"])))).alias("f")) \
         .select("bucket", F.col("f.node").alias("center"), F.col("f.weight").alias("w"))
 
 
@@ -293,7 +297,7 @@ def _residual(members: DataFrame, comps: DataFrame, turn: int, similarity: float
     small, large = own.where(F.col("size") <= SMALL_BUCKET), own.where(F.col("size") > SMALL_BUCKET)
     each = small.groupBy("bucket", "component").agg(F.min(F.struct("node", "weight")).alias("f")) \
         .select("bucket", F.col("component").alias("other"), F.col("f.node").alias("center"), F.col("f.weight").alias("w"))
-    one = _centers(large, turn).join(comps.withColumnsRenamed({"node": "center", "component": "other"}), "center", "left") \
+    one = _centers(large, turn, CENTERS).join(comps.withColumnsRenamed({"node": "center", "component": "other"}), "center", "left") \
         .select("bucket", F.coalesce("other", "center").alias("other"), "center", "w")
     meet = small.join(each, "bucket").unionByName(large.join(one, "bucket"))
     return _pairs(meet.where(F.col("component") != F.col("other")), similarity)
