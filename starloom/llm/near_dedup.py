@@ -19,11 +19,14 @@ document over the table's width) at any number of documents.
 3. In each bucket one node is compared with the others (a star, no pairs among the others): the
    exact weighted Jaccard similarity decides.  The center is drawn by a hash of node and bucket,
    so the buckets of a large group have different centers.  Links make components.
-4. Buckets that still hold several components: small ones compare one node of each component
-   with the nodes of the other components there; large ones draw a few other centers and compare
-   them with the nodes of other components.  This goes on until a round finds no link.  A group of
-   any size costs a few comparisons a member and round.  A link between two texts is lost only
-   if no bucket they share, and no center of these, connects them.
+4. Nodes of buckets that still hold several components go into an exact join.
+   Each lists its rarest shingles, as many as hold 1 - s of its weight (and one more) for the
+   similarity s: two texts of at least s have one of these in common, and from the first one on
+   both have enough weight left.  In each list the nodes outside its largest component first meet
+   one node of that; then all nodes meet those of other components, but for pairs tried before.
+   Lists of one component cost nothing, so a group of any size costs a few comparisons a member.
+   A link is lost only if its texts share no bucket, and no path of other
+   links connects them.
 
 A class is a component; its id is the smallest doc_id in it.
 
@@ -54,10 +57,8 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
 #: A band whose samples are all shared by more documents than this times 2**ROWS gets more rows.
 SHARED_BY = 16
-#: Nodes of a bucket in which one node of every component meets the others.
-SMALL_BUCKET = 8
-#: Centers of a larger bucket in each round after the first.
-CENTERS = 8
+#: Nodes of a shingle's list that one task compares with the others.
+LIST_PART = 1024
 #: Width (a power of two) and slices of the table of document frequencies.
 DF_BITS, DF_SLICES = 18, 32
 #: Entries of the tables of random variates; shingles pick theirs by hash.
@@ -146,15 +147,29 @@ class Weights:
 
     def with_rows(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Shingles, weights, and the samples that a band of each shingle's kind needs."""
-        h, tf = shingles(text)
-        a, b = _cells(h)
-        df = np.minimum(self.table[0][a], self.table[1][b])
-        n = max(1, self.n_docs)
+        h, w, df = self._frequencies(text)
         # What other shingles add to a cell, and how much that varies, is no frequency.
         others = self.table[0].mean()
         surely = np.maximum(1, df - others - 4 * np.sqrt(others))
         rows = np.ceil(np.log2(surely / SHARED_BY))
-        return h, tf * np.log1p(n / (df + n / 4)) / np.log(5), rows.astype(np.int64)
+        return h, w, rows.astype(np.int64)
+
+    def _frequencies(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shingles, weights and document frequencies."""
+        h, tf = shingles(text)
+        a, b = _cells(h)
+        df = np.minimum(self.table[0][a], self.table[1][b])
+        n = max(1, self.n_docs)
+        return h, tf * np.log1p(n / (df + n / 4)) / np.log(5), df
+
+    def rarest(self, text: str | None, similarity: float) -> tuple[np.ndarray, np.ndarray, float]:
+        """The shingles of which a text of at least ``similarity`` must have one, rarest first, the
+        weight from each to the last of all, and the total weight."""
+        h, w, df = self._frequencies(text)
+        order = np.lexsort((h, df))
+        rest = np.cumsum(w[order][::-1])[::-1]
+        n = int((rest >= similarity * w.sum() * (1 - 1e-9)).sum())
+        return h[order[:n]], rest[:n], float(w.sum())
 
     def similarity(self, x: str | None, y: str | None, of=None) -> float:
         """Weighted Jaccard similarity of two texts; ``of`` may be a cached form of that method."""
@@ -271,12 +286,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights, similarity:
         .where(F.col("similarity") >= similarity).select("a", "b")
 
 
-def _centers(members: DataFrame, turn: int, n: int = 1) -> DataFrame:
-    """``n`` nodes of each bucket (fewer, if drawn twice), other ones as a rule in each turn."""
-    draws = [F.min(F.struct(F.xxhash64("node", "bucket", F.lit(turn * CENTERS + k)).alias("d"), "node", "weight"))
-             for k in range(n)]
-    return members.groupBy("bucket").agg(F.array(*draws).alias("f")) \
-        .select("bucket", F.explode(F.array_distinct(F.transform("f", lambda f: F.struct(f["node"], f["weight"])))).alias("f")) \
+def _centers(members: DataFrame) -> DataFrame:
+    """One node of each bucket."""
+    draw = F.min(F.struct(F.xxhash64("node", "bucket", F.lit(0)).alias("d"), "node", "weight"))
+    return members.groupBy("bucket").agg(draw.alias("f")) \
         .select("bucket", F.col("f.node").alias("center"), F.col("f.weight").alias("w"))
 
 
@@ -288,19 +301,82 @@ def _pairs(meet: DataFrame, similarity: float) -> DataFrame:
         .select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
 
 
-def _residual(members: DataFrame, comps: DataFrame, turn: int, similarity: float) -> DataFrame:
-    """Pairs to try in the buckets that still hold several components."""
-    own = members.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = own.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("x"),
-                                      F.max("component").alias("y")).where("x <> y").select("bucket", "size")
-    own = own.join(mixed, "bucket")
-    small, large = own.where(F.col("size") <= SMALL_BUCKET), own.where(F.col("size") > SMALL_BUCKET)
-    each = small.groupBy("bucket", "component").agg(F.min(F.struct("node", "weight")).alias("f")) \
-        .select("bucket", F.col("component").alias("other"), F.col("f.node").alias("center"), F.col("f.weight").alias("w"))
-    one = _centers(large, turn, CENTERS).join(comps.withColumnsRenamed({"node": "center", "component": "other"}), "center", "left") \
-        .select("bucket", F.coalesce("other", "center").alias("other"), "center", "w")
-    meet = small.join(each, "bucket").unionByName(large.join(one, "bucket"))
-    return _pairs(meet.where(F.col("component") != F.col("other")), similarity)
+def _with_components(nodes: DataFrame, comps: DataFrame | None) -> DataFrame:
+    if comps is None:
+        return nodes.withColumn("component", F.col("node"))
+    return nodes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _unsettled(members: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """(node, component) in buckets that still hold several components."""
+    own = _with_components(members.select("bucket", "node"), comps)
+    mixed = own.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")) \
+        .where("x <> y").select("bucket")
+    return own.join(mixed, "bucket").select("node", "component").distinct()
+
+
+def _lists(texts: DataFrame, weights: Weights, similarity: float) -> DataFrame:
+    """For the rarest shingles of each of ``texts`` (node, component, text): the weight ``rest`` from
+    that shingle on, and the total weight; without shingles that only one component lists."""
+    shared = texts.sparkSession.sparkContext.broadcast(weights)
+    kind = texts.schema["node"].dataType.simpleString()
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shared.value.rarest(t, similarity) for t in batch.column("text").to_pylist()]
+            sizes = [len(h) for h, _, _ in found]
+            at = pa.array(np.repeat(np.arange(len(found)), sizes))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([h for h, _, _ in found] or [np.zeros(0, np.uint64)]).view(np.int64)),
+                 batch.column("node").take(at), batch.column("component").take(at),
+                 pa.array(np.concatenate([r for _, r, _ in found] or [np.zeros(0)])),
+                 pa.array(np.repeat([w for _, _, w in found], sizes).astype(float))],
+                names=["shingle", "node", "component", "rest", "weight"])
+
+    rows = stage(texts.select("node", "component", "text").mapInArrow(
+        rarest, f"shingle long, node {kind}, component {kind}, rest double, weight double"), "rarest-shingles")
+    mixed = rows.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")) \
+        .where("x <> y").select("shingle")
+    lists = stage(rows.join(mixed, "shingle").drop("component"), "lists")
+    unstage(rows)
+    return lists
+
+
+def _with_largest(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """Rows of the lists that hold several components: their ``component``, the list's ``size``, its
+    largest component and a node of that."""
+    own = _with_components(lists, comps)
+    parts = own.groupBy("shingle", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "rest", "weight")).alias("f"))
+    most = parts.groupBy("shingle").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("parts"),
+                                        F.max(F.struct("n", "component", "f")).alias("m")).where("parts > 1")
+    return own.join(most.select("shingle", "size", F.col("m.component").alias("largest"), F.col("m.f").alias("f")), "shingle")
+
+
+def _enough(similarity: float) -> Column:
+    """From the shingle on, both texts have the weight that a pair of that similarity shares."""
+    return F.least("rest", "r") >= similarity / (1 + similarity) * (F.col("weight") + F.col("w")) * (1 - 1e-9)
+
+
+def _to_largest(lists: DataFrame, comps: DataFrame | None, similarity: float) -> DataFrame:
+    """Pairs of one node of a list's largest component and the list's nodes of other components."""
+    meet = _with_largest(lists, comps).where("component <> largest").select(
+        "node", "rest", "weight", F.col("f.node").alias("center"), F.col("f.rest").alias("r"), F.col("f.weight").alias("w"))
+    return _pairs(meet.where(_enough(similarity)), similarity)
+
+
+def _across(lists: DataFrame, comps: DataFrame | None, similarity: float) -> DataFrame:
+    """All pairs of nodes of different components that share a list.  Nodes outside the largest
+    component meet all: within components, no more pairs arise than across them."""
+    own = _with_largest(lists, comps).withColumn("parts", F.ceil(F.col("size") / LIST_PART).cast("int"))
+    few = own.where("component <> largest").select(
+        "shingle", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "component", "node", "rest", "weight")
+    every = own.select("shingle", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "largest",
+                       F.col("component").alias("other"), F.col("node").alias("center"), F.col("rest").alias("r"),
+                       F.col("weight").alias("w"))
+    meet = few.join(every, ["shingle", "part"]).where(
+        (F.col("component") != F.col("other")) & ((F.col("other") == F.col("largest")) | (F.col("component") < F.col("other"))))
+    return _pairs(meet.where(_enough(similarity)), similarity)
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -321,22 +397,18 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = stage(docs.withColumn("k1", F.xxhash64("text")).join(wanted, ["doc_id", "k1"])
                   .dropDuplicates(["doc_id", "k1"]).select(F.col("doc_id").alias("node"), "text"), "bucket-texts")
     members_only = members.select("bucket", "node", "weight")
-    pairs = _pairs(members_only.join(_centers(members_only, 0), "bucket"), similarity)
-    tried = links = comps = None
-    turn = 0
-    while True:
-        pairs = stage(pairs, "pairs")
-        if pairs.isEmpty():
-            break
+    tried = stage(_pairs(members_only.join(_centers(members_only), "bucket"), similarity), "pairs")
+    links = stage(_verified(tried, texts, weights, similarity), "links")
+    comps = None if links.isEmpty() else stage(components(links), "components")
+    unsettled = _unsettled(members_only, comps)
+    lists = _lists(texts.join(unsettled, "node"), weights, similarity)
+    for meeting in (_to_largest, _across):
+        pairs = stage(meeting(lists, comps, similarity).join(tried, ["a", "b"], "left_anti"), "pairs")
         new = stage(_verified(pairs, texts, weights, similarity), "links")
-        first_round = links is None
-        tried = pairs if first_round else tried.unionByName(pairs)
-        links = new if first_round else links.unionByName(new)
-        if not first_round and new.isEmpty():
-            break
-        comps = stage(components(links), "components")
-        turn += 1
-        pairs = _residual(members_only, comps, turn, similarity).join(tried, ["a", "b"], "left_anti")
+        tried, links = tried.unionByName(pairs), links.unionByName(new)
+        if not new.isEmpty():
+            comps = stage(components(links), "components")
+    unstage(lists)
     unstage(texts)
     named = nodes.select("k1", "k2", "node")
     if comps is None:

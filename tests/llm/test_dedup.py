@@ -151,6 +151,43 @@ def test_a_common_passage_does_not_fill_buckets():
     assert (near[0] == keys[0]).any()
 
 
+def near_pairs_among_unlike(seed, unlike, n_pairs, common, own, edits):
+    """Texts of a common passage and own words; of some texts there is a near copy."""
+    rng = random.Random(seed)
+
+    def words(n):
+        return [f"y{rng.randrange(10 ** 7)}" for _ in range(n)]
+    passage = [f"p{n}" for n in range(common)]
+    rows, planted = [], []
+    for i in range(unlike):
+        rows.append((i, " ".join(passage + words(own))))
+    for k in range(n_pairs):
+        text = words(own)
+        other = text[:]
+        other[-edits:] = words(edits)
+        planted.append((unlike + 2 * k, unlike + 2 * k + 1))
+        rows += [(i, " ".join(passage + t)) for i, t in zip(planted[-1], (text, other))]
+    return rows, planted
+
+
+def linked(frame, rows, planted):
+    """Near pairs by hand, and the pairs in one class; all other texts are unlike."""
+    w, texts = near_dedup.Weights(near_dedup.document_frequencies(frame(rows)), len(rows)), dict(rows)
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.report(frame(rows)).collect()}
+    near = {(a, b) for a, b in planted if w.similarity(texts[a], texts[b]) >= 0.8}
+    found = {(a, b) for a, b in planted if got[a] == got[b]}
+    assert len(set(got.values())) == len(rows) - len(found)
+    return near, found
+
+
+def test_near_pairs_in_large_mixed_buckets(frame):
+    """Every near pair is found in buckets that hold very many unlike texts."""
+    rows, planted = near_pairs_among_unlike(3, 360, 60, 190, 14, 8)
+    near, found = linked(frame, rows, planted)
+    assert len(near) > 50
+    assert found == near
+
+
 def test_near_dedup_of_nothing(frame):
     assert near_dedup.report(frame([])).count() == 0
     got = near_dedup.report(frame([(None, None), (4, ""), (9, None)])).collect()
