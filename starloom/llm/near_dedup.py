@@ -15,17 +15,17 @@ document over the table's width) at any number of documents.
    probability equal to their weighted Jaccard similarity.  Bands of samples are bucket keys.
    A band whose samples all are shingles that very many documents share would put all of these
    in one bucket; it goes on with further samples, one more for every doubling of the number of
-   documents that share its rarest one.
+   documents that share its rarest one.  Such a text is marked, because longer keys lose pairs.
 3. In each bucket one node is compared with the others (a star, no pairs among the others): the
    exact weighted Jaccard similarity decides.  The center is drawn by a hash of node and bucket,
    so the buckets of a large group have different centers.  Links make components.
-4. Nodes of buckets that still hold several components go into an exact join.
+4. Nodes of buckets that still hold several components, and marked nodes, go into an exact join.
    Each lists its rarest shingles, as many as hold 1 - s of its weight (and one more) for the
    similarity s: two texts of at least s have one of these in common, and from the first one on
    both have enough weight left.  In each list the nodes outside its largest component first meet
    one node of that; then all nodes meet those of other components, but for pairs tried before.
    Lists of one component cost nothing, so a group of any size costs a few comparisons a member.
-   A link is lost only if its texts share no bucket, and no path of other
+   A link is lost only if its texts share no bucket that five samples make, and no path of other
    links connects them.
 
 A class is a component; its id is the smallest doc_id in it.
@@ -199,6 +199,11 @@ class Sampler:
 
     def bands(self, hashes: np.ndarray, weights: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Band keys (texts x BANDS) of texts whose shingles begin at ``starts``."""
+        return self.bands_and_marks(hashes, weights, rows, starts)[0]
+
+    def bands_and_marks(self, hashes: np.ndarray, weights: np.ndarray, rows: np.ndarray,
+                        starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Band keys, and whether some band of a text has more than ``ROWS`` samples."""
         log_w = np.log(weights).astype(np.float32)
         place = np.arange(len(hashes), dtype=np.uint64)
         samples = np.zeros((BANDS * ROWS, len(starts)), np.uint64)
@@ -216,14 +221,16 @@ class Sampler:
             samples[s] = _mix(hashes[least] + t[least].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             needs[s] = rows[least]
         keys = np.zeros((len(starts), BANDS), np.uint64)
+        longer_keys = np.zeros(len(starts), bool)
         for band in range(BANDS):
             first = band * ROWS
             need = needs[first:first + ROWS].min(0)
+            longer_keys |= need > ROWS
             for k in range(max(ROWS, need.max(initial=0))):
                 s = (first + k) % len(samples)
                 longer = _mix(keys[:, band] + samples[s] + np.uint64(first + k + 1))
                 keys[:, band] = longer if k < ROWS else np.where(k < need, longer, keys[:, band])
-        return keys
+        return keys, longer_keys
 
 
 def _groups(found: list[tuple]):
@@ -240,25 +247,25 @@ def _groups(found: list[tuple]):
 
 
 def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
-    """``docs`` with the band keys and the total weight of each text."""
+    """``docs`` with the band keys, the total weight and the mark of each text."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
-    @F.pandas_udf("bands array<long>, weight double")
+    @F.pandas_udf("bands array<long>, weight double, marked boolean")
     def signature(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         sampler = Sampler()
         for texts in parts:
-            bands, totals = [np.zeros(0, np.int64)] * len(texts), np.zeros(len(texts))
+            bands, totals, marks = [np.zeros(0, np.int64)] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
             found = ((i, *shared.value.with_rows(t)) for i, t in enumerate(texts))
             for group in _groups([f for f in found if len(f[1])]):
                 lengths = np.asarray([len(f[1]) for f in group])
-                keys = sampler.bands(*(np.concatenate([f[c] for f in group]) for c in (1, 2, 3)),
-                                     np.cumsum(lengths) - lengths).view(np.int64)
-                for (i, _, w, _), k in zip(group, keys):
-                    bands[i], totals[i] = k, w.sum()
-            yield pd.DataFrame({"bands": bands, "weight": totals})
+                keys, longer = sampler.bands_and_marks(*(np.concatenate([f[c] for f in group]) for c in (1, 2, 3)),
+                                                       np.cumsum(lengths) - lengths)
+                for (i, _, w, _), k, m in zip(group, keys.view(np.int64), longer):
+                    bands[i], totals[i], marks[i] = k, w.sum(), m
+            yield pd.DataFrame({"bands": bands, "weight": totals, "marked": marks})
 
-    return docs.withColumn("s", signature("text")).select(*docs.columns, "s.bands", "s.weight")
+    return docs.withColumn("s", signature("text")).select(*docs.columns, "s.bands", "s.weight", "s.marked")
 
 
 # --- classes ------------------------------------------------------------------------------
@@ -307,12 +314,13 @@ def _with_components(nodes: DataFrame, comps: DataFrame | None) -> DataFrame:
     return nodes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _unsettled(members: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """(node, component) in buckets that still hold several components."""
+def _unsettled(members: DataFrame, marked: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """(node, component) of marked nodes and of buckets that still hold several components."""
     own = _with_components(members.select("bucket", "node"), comps)
     mixed = own.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")) \
         .where("x <> y").select("bucket")
-    return own.join(mixed, "bucket").select("node", "component").distinct()
+    return own.join(mixed, "bucket").select("node", "component") \
+        .unionByName(_with_components(marked, comps).select("node", "component")).distinct()
 
 
 def _lists(texts: DataFrame, weights: Weights, similarity: float) -> DataFrame:
@@ -387,20 +395,21 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     signed = signatures(docs.select("doc_id", "text", *_text_key(F.col("text"))), weights).drop("text")
     signed = stage(signed, "signatures")
     nodes = signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"),
-                                           F.first("weight").alias("weight"))
+                                           F.first("weight").alias("weight"), F.first("marked").alias("marked"))
     nodes = nodes.where(F.col("node").isNotNull())
     keys = nodes.select("node", "k1", "weight", F.explode("bands").alias("bucket"))
     shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     members = stage(keys.join(shared, "bucket").distinct(), "bucket-members")
-    # Texts of the nodes that share a bucket, found once for all rounds.
-    wanted = members.select(F.col("node").alias("doc_id"), "k1").distinct()
+    # Texts of the nodes that share a bucket or are marked, found once for all rounds.
+    marked = nodes.where("marked").select("node", "k1")
+    wanted = members.select("node", "k1").unionByName(marked).withColumnRenamed("node", "doc_id").distinct()
     texts = stage(docs.withColumn("k1", F.xxhash64("text")).join(wanted, ["doc_id", "k1"])
                   .dropDuplicates(["doc_id", "k1"]).select(F.col("doc_id").alias("node"), "text"), "bucket-texts")
     members_only = members.select("bucket", "node", "weight")
     tried = stage(_pairs(members_only.join(_centers(members_only), "bucket"), similarity), "pairs")
     links = stage(_verified(tried, texts, weights, similarity), "links")
     comps = None if links.isEmpty() else stage(components(links), "components")
-    unsettled = _unsettled(members_only, comps)
+    unsettled = _unsettled(members_only, marked.select("node"), comps)
     lists = _lists(texts.join(unsettled, "node"), weights, similarity)
     for meeting in (_to_largest, _across):
         pairs = stage(meeting(lists, comps, similarity).join(tried, ["a", "b"], "left_anti"), "pairs")

@@ -188,6 +188,14 @@ def test_near_pairs_in_large_mixed_buckets(frame):
     assert found == near
 
 
+def test_near_pairs_under_longer_keys(frame):
+    """Texts whose samples are shingles of very many texts lose no near pair to longer keys."""
+    rows, planted = near_pairs_among_unlike(4, 3600, 60, 190, 20, 9)
+    near, found = linked(frame, rows, planted)
+    assert len(near) > 50
+    assert found == near
+
+
 def test_near_dedup_of_nothing(frame):
     assert near_dedup.report(frame([])).count() == 0
     got = near_dedup.report(frame([(None, None), (4, ""), (9, None)])).collect()
