@@ -20,7 +20,3 @@ def _release():
     from starloom.operators.ordered import release_materialized
     release_materialized()
 
-
-def ts(v):
-    import datetime as dt
-    return None if v is None else dt.datetime.fromisoformat(v)

@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from conftest import ts
+from support import ts
 from starloom.operators import lookup
 from starloom.operators.keys import dense_key
 from starloom.schemas import CUSTOMER

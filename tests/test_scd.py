@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import ts
+from support import ts
 from starloom.operators import scd1, scd2
 from starloom.schemas import CUSTOMER, EMPLOYEE, PRODUCT, VENDOR
 
