@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, language, line_dedup, lm, near_dedup, packing, quality, token_counts, topk
+from . import (bpe, fingerprints, hard_negatives, language, line_dedup, lm, merkle, near_dedup, packing, quality,
+               token_counts, topk)
 from .common import id_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +123,98 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = token_counts.encoded_lengths(
         table(spark, sf_dir, "documents"), byte_ranks(), public_tokenizers.PATTERN)
     return token_counts.histogram(lengths)
+
+
+@register
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+negatives AS (
+  SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5
+"""
+
+
+@register
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    return "sha256(concat(" + ", ".join(
+        f"coalesce(strlen({f}::VARCHAR)::VARCHAR || ':' || {f}::VARCHAR, '-')" for f in fields) + "))"
+
+
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE
+crc32_table AS (
+  SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+  FROM (SELECT range::BIGINT AS b FROM range(256))),
+rows AS (
+  SELECT doc_id, source, {_leaf_sql("text")} AS leaf, {_leaf_sql("replace(text, chr(10), '')")} AS stripped,
+         xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+           string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+           lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) % 2 = 0 AS tampered
+  FROM documents, crc32_table),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n
+  FROM rows),
+up AS (
+  SELECT source, 0 AS lvl, idx, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT source, lvl + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM up
+  WHERE n > 1 GROUP BY source, lvl, n, idx // 3),
+subroots AS (
+  SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS n
+  FROM up WHERE n = 1),
+above AS (
+  SELECT 0 AS lvl, idx, n, subroot AS h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM above
+  WHERE n > 1 GROUP BY lvl, n, idx // 3),
+steps AS (
+  SELECT l.doc_id, u.lvl, string_agg(u.h, '' ORDER BY u.idx) FILTER (WHERE u.idx < l.idx // power(3, u.lvl)::BIGINT) AS before,
+         string_agg(u.h, '' ORDER BY u.idx) FILTER (WHERE u.idx > l.idx // power(3, u.lvl)::BIGINT) AS after
+  FROM leaves l JOIN up u ON l.source IS NOT DISTINCT FROM u.source AND u.n > 1
+    AND u.idx // 3 = l.idx // power(3, u.lvl + 1)::BIGINT GROUP BY 1, 2
+  UNION ALL
+  SELECT l.doc_id, 1000 + u.lvl, string_agg(u.h, '' ORDER BY u.idx) FILTER (WHERE u.idx < s.idx // power(3, u.lvl)::BIGINT),
+         string_agg(u.h, '' ORDER BY u.idx) FILTER (WHERE u.idx > s.idx // power(3, u.lvl)::BIGINT)
+  FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source JOIN above u ON u.n > 1
+    AND u.idx // 3 = s.idx // power(3, u.lvl + 1)::BIGINT GROUP BY 1, 2),
+paths AS (
+  SELECT doc_id, list([coalesce(before, ''), coalesce(after, '')] ORDER BY lvl) AS path,
+         string_agg(coalesce(before, '') || coalesce(after, ''), '' ORDER BY lvl) AS siblings FROM steps GROUP BY 1),
+fold AS (
+  SELECT doc_id, 1 AS k, CASE WHEN tampered THEN stripped ELSE leaf END AS h FROM leaves
+  UNION ALL
+  SELECT f.doc_id, k + 1, sha256(path[k][1] || h || path[k][2]) FROM fold f JOIN paths p ON f.doc_id = p.doc_id
+  WHERE k <= len(path))
+SELECT l.doc_id, leaf, subroot, r.h AS root, sha256(coalesce(siblings, '')) AS proof_sha256, f.h AS folded_root,
+       f.h = r.h AS verified
+FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source
+JOIN (SELECT h FROM above WHERE n = 1) r ON TRUE
+LEFT JOIN paths p ON l.doc_id = p.doc_id
+JOIN fold f ON l.doc_id = f.doc_id AND f.k = coalesce(len(path), 0) + 1
+"""
