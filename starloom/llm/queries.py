@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe, fingerprints, hard_negatives, language, line_dedup, lm, merkle, near_dedup, packing, quality,
-               token_counts, topk)
+               recompression, token_counts, topk)
 from .common import id_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,3 +218,27 @@ JOIN (SELECT h FROM above WHERE n = 1) r ON TRUE
 LEFT JOIN paths p ON l.doc_id = p.doc_id
 JOIN fold f ON l.doc_id = f.doc_id AND f.k = coalesce(len(path), 0) + 1
 """
+
+
+@register
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.remove_repeats(table(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op13_substring_dedup"] = r"""
+WITH texts AS (
+  SELECT doc_id, [w FOR w IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS words FROM documents),
+starts AS (
+  SELECT doc_id, i, words[i:i + 12] AS win FROM (
+    SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM texts)),
+earliest AS (SELECT win, min(doc_id) AS least FROM starts GROUP BY win),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM starts JOIN earliest USING (win) WHERE doc_id > least),
+words AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM texts),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS kept FROM words ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id)
+SELECT t.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
+"""
