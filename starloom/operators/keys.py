@@ -14,32 +14,19 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import ts_lit
 from ..schemas import EPOCH, LONG, UNKNOWN_END, UNKNOWN_KEY, DimSpec
-from .ordered import expand_copies, number_rows, range_layout, release_materialized, rows_before  # noqa: F401
+from .ordered import number_rows, range_layout
 
 
 def dense_key(df: DataFrame, key_col: str, order: list[Column], start: int = 0,
-              num_partitions: int | None = None, materialize: str = "checkpoint",
-              cache_input: bool = False, unique: bool = False) -> DataFrame:
+              num_partitions: int | None = None) -> DataFrame:
     """Add ``key_col`` = start + row number in ``order`` (1-based), as bigint.
 
-    Rows identical in every column cannot be split by a range partitioner, so unless the
-    caller knows rows are distinct (``unique=True``), copies are first counted per distinct
-    row (partial aggregation map side, so a group of copies holding a third of the data is
-    reduced before the shuffle), distinct rows are numbered with their multiplicities, and the
-    copies are re-created in chunks spread over tasks.
+    One shuffle of the rows: the range layout.  Copies of a row are told apart by the number
+    they were written with, so they spread over tasks like other rows.
     """
     cols = [c for c in df.columns if c != key_col]
-    if unique:
-        layout = range_layout(df, order, num_partitions=num_partitions, materialize=materialize,
-                              cache_input=cache_input)
-        return number_rows(layout, key_col, start).select(key_col, *cols)
-    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__sl_n"))
-    layout = range_layout(distinct, order, num_partitions=num_partitions, materialize=materialize,
-                          cache_input=cache_input, weight_col="__sl_n")
-    before = rows_before(layout, "__sl_n", "__sl_before")
-    copies = expand_copies(before.select(*cols, "__sl_n", "__sl_before"), "__sl_n", layout.max_weight, "__sl_i")
-    key = (F.lit(start).cast(LONG) + F.col("__sl_before") + F.col("__sl_i") + 1).alias(key_col)
-    return copies.select(key, *cols)
+    return number_rows(range_layout(df.select(*cols), order, num_partitions=num_partitions), key_col, start) \
+        .select(F.col(key_col).cast(LONG).alias(key_col), *cols)
 
 
 def next_key_base(target: DataFrame, key_col: str) -> int:

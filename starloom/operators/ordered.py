@@ -3,26 +3,26 @@ key land in a single task.
 
 ``range_layout`` range-partitions rows on a sort order (Spark samples the whole sort key, so a
 value that holds a third of the rows is split across partitions by the following columns),
-sorts inside each partition, tags rows with (partition id, position) and materialises that
-layout once.  Per-partition facts (row count, first row) are one small aggregate whose size is
-bounded by the number of partitions, not by the data.  On top of it:
-
-* ``number_rows``   - global row numbers (dense surrogate keys);
+sorts inside each partition, tags rows with (partition id, position) and writes that layout
+once.  The last column of every order is a number that was written with the rows, so even rows
+alike in every column, a third of the table maybe, are split like any others.  Per-partition
+facts (row count, first row) are one small aggregate whose size is bounded by the number of
+partitions, not by the data.  On top of it:
+
+* ``number_rows``   - global row numbers (dense surrogate keys): arithmetic on the position and
+  the partition's offset, no further shuffle;
 * ``lead_in_key``   - ``LEAD(col) OVER (PARTITION BY key ORDER BY ...)``: a window per range
   partition (so every window group is one balanced partition), plus a fix-up for the last row
   of a partition whose key continues in the next non-empty partition.
 
-Materialisation is a reliable ``checkpoint`` into ``spark.checkpoint.dir`` by default (the
-layout is cached first, so writing it does not recompute the shuffle, and the cache is
-dropped right after).  The partition ids the offsets refer to then live in files: whatever
-the consumer does later - re-running the result, losing executors - it re-reads the same rows
-in the same partitions, so counts and numbering always agree.  ``materialize="persist"``
-keeps the layout in the cache only (faster; correct under executor loss because a lost block
-is recomputed through the same physical range partitioner, but the caller must not
-``release_materialized()`` before its last action on the result).
+Both the numbered rows and the layout are Parquet files in ``spark.checkpoint.dir``.  The
+partition ids that the offsets refer to live in those files: whatever the consumer does later -
+re-running the result, losing executors - it re-reads the same rows with the same numbers, so
+counts and numbering always agree.
 """
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -33,14 +33,28 @@ from ..session import ensure_checkpoint_dir
 
 PID, POS = "__sl_pid", "__sl_pos"
 
-# DataFrames persisted by range_layout; released with ``release_materialized`` after the
-# consumer (a publish, a bench run) has written its result.
+# A written row number: the last column of every layout's order.
+TIE = "__sl_tie"
+
+# What was persisted or written on the way to a result; released after its consumer (a publish,
+# a bench run) is done.
 _MATERIALIZED: list[DataFrame] = []
+_WRITTEN: list[tuple] = []
+
 
+def materialized_mark() -> tuple[int, int]:
+    """What is materialised by now, for ``release_materialized(since=...)``."""
+    return len(_MATERIALIZED), len(_WRITTEN)
 
-def release_materialized() -> None:
-    while _MATERIALIZED:
+
+def release_materialized(since: tuple[int, int] = (0, 0)) -> None:
+    """Drop caches and written rows (those after ``since``).  DataFrames that read them must
+    have been consumed."""
+    while len(_MATERIALIZED) > since[0]:
         _MATERIALIZED.pop().unpersist()
+    while len(_WRITTEN) > since[1]:
+        fs, path = _WRITTEN.pop()
+        fs.delete(path, True)
 
 
 def cache_deterministic(df: DataFrame) -> DataFrame:
@@ -52,37 +66,44 @@ def cache_deterministic(df: DataFrame) -> DataFrame:
     return df
 
 
+def written(df: DataFrame, name: str, tie: bool = False) -> DataFrame:
+    """Write ``df`` once into the shared checkpoint folder and read it back.  With ``tie`` rows
+    carry ``TIE``, a number of their own that is part of what was written: later passes over the
+    rows, and tasks that are run again, see the same numbers.
+
+    ``release_materialized`` deletes the folder, else the driver's end does."""
+    spark = df.sparkSession
+    target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    rows = df.withColumn(TIE, F.monotonically_increasing_id()) if tie else df
+    rows.write.parquet(target)
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.deleteOnExit(path)
+    _WRITTEN.append((fs, path))
+    return spark.read.schema(rows.schema).parquet(target)
+
+
 @dataclass
 class RangeLayout:
     rows: DataFrame            # input columns + PID + POS, sorted by the order inside PID
-    offsets: DataFrame         # PID, rows (or weight) before this partition, next partition's first row
+    offsets: DataFrame         # PID, rows before this partition, next partition's first row
     first_cols: list[str]
-    max_weight: int = 1        # largest per-row weight (copies of one row), when weighted
 
 
 def range_layout(df: DataFrame, order: list[Column], first_cols: list[str] | None = None,
-                 num_partitions: int | None = None, materialize: str = "checkpoint",
-                 cache_input: bool = False, weight_col: str | None = None) -> RangeLayout:
-    """``cache_input``: the range partitioner's sampling pass computes the whole input once
-    more; cache an expensive input (joins upstream) so that pass reads the cache."""
-    if cache_input:
-        df = cache_deterministic(df)
+                 num_partitions: int | None = None) -> RangeLayout:
+    """Rows in ``order``.  They are written first, with ``TIE`` (unless ``df`` has that column and
+    so is ``written`` already): the range partitioner's sampling pass and the shuffle itself then
+    read files, and don't compute what is upstream twice."""
+    df = df if TIE in df.columns else written(df, "rows", tie=True)
+    order = [*order, F.col(TIE).asc()]
     ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
               else df.repartitionByRange(*order))
-    tagged = (ranged.sortWithinPartitions(*order)
-                    .withColumn(PID, F.spark_partition_id())
-                    .withColumn(POS, F.monotonically_increasing_id()))
-    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-    if materialize == "checkpoint":
-        ensure_checkpoint_dir(df.sparkSession)
-        cached = tagged
-        tagged = tagged.checkpoint(eager=True)      # written from the cache, not recomputed
-        cached.unpersist()
-    else:
-        _MATERIALIZED.append(tagged)
+    tagged = written(ranged.sortWithinPartitions(*order)
+                     .withColumn(PID, F.spark_partition_id())
+                     .withColumn(POS, F.monotonically_increasing_id()), "layout")
     first_cols = first_cols or []
-    aggs = ([F.sum(weight_col).alias("__n"), F.max(weight_col).alias("__w")] if weight_col
-            else [F.count(F.lit(1)).alias("__n")])
+    aggs = [F.count(F.lit(1)).alias("__n")]
     if first_cols:
         aggs.append(F.min_by(F.struct(*[F.col(c) for c in first_cols]), F.col(POS)).alias("__first"))
     per_part = tagged.groupBy(PID).agg(*aggs).collect()     # one row per non-empty partition
@@ -96,27 +117,27 @@ def range_layout(df: DataFrame, order: list[Column], first_cols: list[str] | Non
     dtypes = dict(df.dtypes)
     schema += [f"`__nf_{c}` {dtypes[c]}" for c in first_cols]
     offsets = df.sparkSession.createDataFrame(rows, ", ".join(schema))
-    max_w = max((int(r["__w"]) for r in per_part), default=1) if weight_col else 1
-    return RangeLayout(tagged, offsets, first_cols, max_w)
+    return RangeLayout(tagged, offsets, first_cols)
+
+
+def _row_number() -> Column:
+    """1-based row number from a partition's offset and the position in it."""
+    return F.col("__off") + F.col(POS) - F.shiftleft(F.col(PID).cast("long"), 33) + 1
 
 
-def number_rows(layout: RangeLayout, key_col: str, start: int = 0, rank_in_partition: Column | None = None) -> DataFrame:
+def number_rows(layout: RangeLayout, key_col: str, start: int = 0) -> DataFrame:
     """Global 1-based row number in the layout's order, plus ``start``."""
-    local = rank_in_partition if rank_in_partition is not None else (
-        F.col(POS) - F.shiftleft(F.col(PID).cast("long"), 33) + 1)
     j = layout.rows.join(F.broadcast(layout.offsets), PID)
-    return j.withColumn(key_col, F.lit(start).cast("long") + F.col("__off") + local)
+    return j.withColumn(key_col, F.lit(start).cast("long") + _row_number())
 
 
-def lead_in_key(layout: RangeLayout, key: str, value: str, out: str, with_row_number: str | None = None,
-                weight_col: str | None = None) -> DataFrame:
+def lead_in_key(layout: RangeLayout, key: str, value: str, out: str, with_row_number: str | None = None) -> DataFrame:
     """``LEAD(value) OVER (PARTITION BY key ORDER BY <layout order>)`` as column ``out``.
 
     The layout must have been built with ``first_cols=[key, value]``.  The window runs per
     range partition (bounded, balanced groups); the last row of a partition takes the first
     row of the next non-empty partition when that row has the same key (null-safe, as SQL
-    groups NULL keys together).  ``with_row_number`` also adds the global row number; with
-    ``weight_col`` it is instead the number of weighted rows *before* this one (exclusive).
+    groups NULL keys together).  ``with_row_number`` also adds the global row number.
     """
     w = Window.partitionBy(PID).orderBy(POS)
     j = layout.rows.join(F.broadcast(layout.offsets), PID)
@@ -126,39 +147,4 @@ def lead_in_key(layout: RangeLayout, key: str, value: str, out: str, with_row_nu
     lead = (F.when(has_next, F.when(nk.eqNullSafe(F.col(key)), nv))
              .otherwise(F.when(cross, F.col(f"__nf_{value}"))))
     res = j.withColumn(out, lead)
-    if with_row_number and weight_col:
-        before = F.sum(weight_col).over(w.rowsBetween(Window.unboundedPreceding, -1))
-        res = res.withColumn(with_row_number, F.col("__off") + F.coalesce(before, F.lit(0)))
-    elif with_row_number:
-        res = res.withColumn(with_row_number, F.col("__off") + F.row_number().over(w))
-    return res
-
-
-def rows_before(layout: RangeLayout, weight_col: str, out: str) -> DataFrame:
-    """Weighted rows before each row in the layout's order (exclusive prefix sum)."""
-    w = (Window.partitionBy(PID).orderBy(POS).rowsBetween(Window.unboundedPreceding, -1))
-    j = layout.rows.join(F.broadcast(layout.offsets), PID)
-    return j.withColumn(out, F.col("__off") + F.coalesce(F.sum(weight_col).over(w), F.lit(0)))
-
-
-# Copies of one row are re-created in chunks of this many; a chunk is one output task's work.
-COPY_CHUNK = 1 << 16
-
-
-def expand_copies(df: DataFrame, n_col: str, max_n: int, out: str = "__copy",
-                  chunk: int | None = None) -> DataFrame:
-    """Turn each row with multiplicity ``n`` back into ``n`` rows numbered 0..n-1 in ``out``.
-
-    When some row has more than ``chunk`` copies, it is first split into chunk rows that are
-    spread over the cluster (hash on the row and chunk number), so a group of copies holding a
-    third of all rows is re-created by many tasks, not one."""
-    chunk = chunk or COPY_CHUNK
-    n = F.col(n_col)
-    if max_n <= chunk:
-        return df.withColumn(out, F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
-    n_chunks = F.ceil(n / F.lit(chunk)).cast("long")
-    parts = df.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1)))
-    parts = parts.repartition(*[F.col(c) for c in df.columns if not c.startswith("__sl_")], F.col("__chunk"))
-    lo = F.col("__chunk") * chunk
-    hi = F.least(lo + chunk, n) - 1
-    return parts.withColumn(out, F.explode(F.sequence(lo, hi))).drop("__chunk")
+    return res.withColumn(with_row_number, _row_number()) if with_row_number else res

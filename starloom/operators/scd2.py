@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import isnull_default, minus_one_second, ts_lit
 from ..schemas import EPOCH, DimSpec
 from .keys import next_key_base, with_unknown
-from .ordered import cache_deterministic, expand_copies, lead_in_key, range_layout
+from .ordered import cache_deterministic, lead_in_key, range_layout
 from .sizing import broadcast_if_small
 
 
@@ -24,33 +24,24 @@ def scd2_timeline(rows: DataFrame, spec: DimSpec, key_start: int | None = None)
     both stay current (kept on purpose; ``check_unique_bk`` reports it).  Equal dates give
     end = start - 1 s (kept).
 
-    Runs on one range layout of (key, date NULLS FIRST, attributes) over *distinct* rows with
-    their number of copies (counted with partial aggregation, so a group of copies holding a
-    third of the data is reduced map side): the LEAD is a window per range partition with a
-    boundary fix-up (a key with a third of all rows is spread over many tasks), and keys are
-    positions in the same order.  Of ``n`` copies of a row, the first ``n - 1`` are followed by
-    an equal row (end = date - 1 s, or open when the date is NULL) and the last by the next
-    distinct row; the last takes the highest key of the run.  Copies are re-created in chunks
-    spread over tasks.
+    Runs on one range layout of (key, date NULLS FIRST, attributes): the LEAD is a window per
+    range partition with a boundary fix-up (a key with a third of all rows is spread over many
+    tasks, and so are copies of one row), and keys are positions in the same order.  Of ``n``
+    copies of a row, the first ``n - 1`` are followed by an equal row (end = date - 1 s, or open
+    when the date is NULL) and the last by the next distinct row; the last takes the highest key
+    of the run.
     """
-    cols = [spec.bk, *spec.attr_names, spec.date_col]
-    distinct = rows.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-    layout = range_layout(distinct, [F.col(spec.bk).asc_nulls_first()] + timeline_order(spec),
-                          first_cols=[spec.bk, spec.date_col], cache_input=True, weight_col="__n")
-    with_lead = lead_in_key(layout, spec.bk, spec.date_col, "__next_distinct",
-                            with_row_number="__before", weight_col="__n")
-    copies = expand_copies(with_lead.select(*cols, "__n", "__next_distinct", "__before"), "__n",
-                           layout.max_weight, "__i")
-    last = F.col("__i") == F.col("__n") - 1
-    nxt = F.when(last, F.col("__next_distinct")).otherwise(F.col(spec.date_col))
+    layout = range_layout(rows.select(spec.bk, *spec.attr_names, spec.date_col),
+                          [F.col(spec.bk).asc_nulls_first()] + timeline_order(spec), first_cols=[spec.bk, spec.date_col])
+    versions = lead_in_key(layout, spec.bk, spec.date_col, "__next", with_row_number="__number")
+    nxt = F.col("__next")
     out = [spec.bk, *spec.attr_names,
            F.coalesce(F.col(spec.date_col), ts_lit(EPOCH)).alias("RowStartDateTime"),
            F.when(nxt.isNull(), F.lit(None)).otherwise(minus_one_second(nxt)).alias("RowEndDateTime"),
            nxt.isNull().alias("IsCurrent")]
     if key_start is None:
-        return copies.select(*out)
-    key = (F.lit(key_start).cast("long") + F.col("__before") + F.col("__i") + 1).alias(spec.sk)
-    return copies.select(key, *out)
+        return versions.select(*out)
+    return versions.select((F.lit(key_start).cast("long") + F.col("__number")).alias(spec.sk), *out)
 
 
 def scd2_full(stg: DataFrame, spec: DimSpec, add_unknown: bool = True) -> DataFrame:

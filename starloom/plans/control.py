@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ts_lit
-from ..operators.ordered import release_materialized
+from ..operators.ordered import materialized_mark, release_materialized
 from ..schemas import CONTROL_SCHEMA, EPOCH, WATERMARK_SCHEMA
 
 # Seed rows of the two control tables (fixed values of the contract):
@@ -73,7 +73,7 @@ def run_tiers(control: DataFrame, load: Callable[[dict], object], max_parallel:
     done = []
     for tier in load_tiers(control):
         rows = [r.asDict() for r in control_active_tier(control, tier).orderBy("TABLENAME").collect()]
-        errors = []
+        errors, mark = [], materialized_mark()
 
         def run_one(row, tier=tier):
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{pool_prefix}{tier}")
@@ -90,7 +90,7 @@ def run_tiers(control: DataFrame, load: Callable[[dict], object], max_parallel:
                     done.append(futs[fut])
                 except Exception as e:  # noqa: BLE001
                     errors.append((futs[fut]["TABLENAME"], e))
-        release_materialized()          # no load of this tier is running any more
+        release_materialized(mark)      # no load of this tier is running any more
         if errors:
             name, err = errors[0]
             raise RuntimeError(f"load of {name} failed in tier {tier}: {err}") from err

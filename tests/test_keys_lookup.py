@@ -92,13 +92,12 @@ def test_pit_half_open_over_the_end_of_a_month(spark):
         assert {r.TripID: r.CustomerKey for r in out.collect()} == {1: 1, 2: -1}, kwargs
 
 
-def test_group_of_copies_is_chunked_and_exact(spark, monkeypatch):
-    """A third of the rows are copies of one row: keys and timelines stay exact when the copies
-    are re-created in chunks (chunk size lowered so the chunked path runs)."""
+def test_group_of_copies_is_spread_and_exact(spark):
+    """A third of the rows are copies of one row: keys and timelines stay exact, and no range
+    partition gets them all."""
     import datetime as dt
     from starloom.operators import ordered, scd2
     from starloom.schemas import VENDOR
-    monkeypatch.setattr(ordered, "COPY_CHUNK", 50)
     rows = [(7, 7)] * 1000 + [(i % 50, i % 7) for i in range(2000)]
     df = spark.createDataFrame(rows, "a int, b int").repartition(5)
     out = dense_key(df, "k", [F.col("a").asc_nulls_first(), F.col("b").asc_nulls_first()]).collect()
@@ -106,6 +105,9 @@ def test_group_of_copies_is_chunked_and_exact(spark, monkeypatch):
     assert [g[0] for g in got] == list(range(1, len(rows) + 1))
     assert [(g[1], g[2]) for g in got] == sorted(rows)
 
+    layout = ordered.range_layout(df, [F.col("a").asc_nulls_first(), F.col("b").asc_nulls_first()], num_partitions=10)
+    assert max(r["count"] for r in layout.rows.groupBy(ordered.PID).count().collect()) < 600
+
     stg = [(1, "x", dt.datetime(2020, 1, 1))] * 300 + [(1, "y", dt.datetime(2020, 2, 1))] + [(1, "x", None)] * 120
     v = scd2.scd2_timeline(spark.createDataFrame(stg, VENDOR.staging_schema()), VENDOR, key_start=0).collect()
     by_key = {r.VendorKey: r for r in v}
