@@ -11,6 +11,9 @@ row goes to its own month, and the join is on (key, month) plus the interval.  T
 are exactly those of the plain join (a version covering an instant overlaps that instant's
 month), but a fact row only probes the versions of one month, and the hot key's rows are
 spread over many join keys.
+
+Where those copies are too many to broadcast and no two versions of a key overlap, the lookup
+becomes a merge in time order (``operators.asof``): linear in versions plus facts, no copies.
 """
 from __future__ import annotations
 
@@ -22,6 +25,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import ts_lit
 from ..schemas import OPEN_END, UNKNOWN_KEY, DimSpec
+from .asof import merge_as_of, versions_overlap
 from .ordered import cache_deterministic
 from .sizing import BROADCAST_MAX_BYTES, broadcast_if_small
 
@@ -32,9 +36,6 @@ PIT_MAX_VERSIONS_PER_KEY = 64
 # Bytes of a row of a point-in-time side: key, surrogate key, start, end, bucket.
 PIT_ROW_BYTES = 48
 
-# Largest day-bucketed lookup side the bucketed plan will build (rows after copying).
-DAY_BUCKET_MAX_ROWS = 200_000_000
-
 
 def _month_index(c):
     return (F.year(c) * 12 + F.month(c) - 1).cast(T.IntegerType())
@@ -91,23 +92,62 @@ def prepare_pit_side(dim: DataFrame, spec: DimSpec):
     return side, int(stats.rows or 0), int(stats.mx or 0)
 
 
+def _bucketed(side: DataFrame, index, lo, hi, half_open: bool) -> tuple[DataFrame, object]:
+    """Each version copied into the buckets (months or days) of [lo, hi] that it overlaps, and
+    the number of its copies."""
+    first = F.greatest(index(F.col("__ls")), index(ts_lit(lo.isoformat(sep=" "))))
+    # The last instant a version matches lies in its last bucket.
+    end = F.col("__le") + F.expr("INTERVAL 1 SECOND") if half_open else F.col("__le")
+    last = F.least(index(end), index(ts_lit(hi.isoformat(sep=" "))))
+    spans = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    return side.withColumn("__lb", F.explode(spans)), F.greatest(last - first + 1, F.lit(0))
+
+
+def _choose_buckets(side: DataFrame, lo, hi, half_open: bool, bucket: str, max_versions: int):
+    """(index function, copied side, its number of rows): months, or days where one key crowds
+    more than ``max_versions`` versions into a month."""
+    index = _day_index if bucket == "day" else _month_index
+    copies, span = _bucketed(side, index, lo, hi, half_open)
+    if bucket == "auto":
+        crowd = copies.groupBy("__lk", "__lb").count().agg(F.max("count")).first()[0] or 0
+        if crowd > max_versions:
+            index = _day_index
+            copies, span = _bucketed(side, index, lo, hi, half_open)
+    return index, copies, int(side.agg(F.sum(span)).first()[0] or 0)
+
+
 def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str, spec: DimSpec,
                     strategy: str = "auto", max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
                     max_versions_per_key: int = PIT_MAX_VERSIONS_PER_KEY, bounds=None,
                     half_open: bool = False, bucket: str = "auto", prepared=None) -> DataFrame:
     """LEFT join on key and ``start <= t <= ISNULL(end, 9999-12-31 23:59:59)``; a miss is -1.
 
-    Overlapping versions multiply the fact row, as the SQL join does.  ``strategy`` is
-    ``"equi"`` (key join + interval residual), ``"bucketed"`` or ``"auto"``.  A time between
-    a version's end (next start - 1 s) and the next start matches nothing; ``half_open=True``
-    matches it to the earlier version (``t < end + 1 s``).  ``bucket`` (month / day / auto)
-    is the time unit of the bucketed plan; auto uses days when one key crowds more than
-    ``max_versions_per_key`` versions into a month and the day-copied side stays bounded.
+    Overlapping versions multiply the fact row, as the SQL join does.  A time between a
+    version's end (next start - 1 s) and the next start matches nothing; ``half_open=True``
+    matches it to the earlier version (``t < end + 1 s``).  ``strategy`` is
+
+    * ``"equi"``: key join with the interval as residual;
+    * ``"bucketed"``: versions copied into the months or days (``bucket``) they overlap, join on
+      key and bucket;
+    * ``"merge"``: versions and facts in one time order, each fact takes the last version before
+      it.  Versions of a key must not overlap (``versions_overlap``);
+    * ``"auto"``: equi while no key has more than ``max_versions_per_key`` versions; bucketed
+      where the copies can be broadcast (the fact is not shuffled) or versions overlap; else merge.
     """
     side, rows, mx = prepared if prepared is not None else prepare_pit_side(dim, spec)
     if strategy == "auto":
-        strategy = "bucketed" if mx > max_versions_per_key else "equi"
+        strategy = "hot" if mx > max_versions_per_key else "equi"
     t = F.col(time_col)
+    if strategy in ("bucketed", "hot"):
+        lo, hi = (time_bounds(fact, time_col) if bounds is None else bounds() if callable(bounds) else bounds)
+        if lo is None:                 # no fact row has a time: nothing can match
+            return fact.withColumn(spec.sk, F.lit(UNKNOWN_KEY).cast("bigint"))
+        index, copies, n_copies = _choose_buckets(side, lo, hi, half_open, bucket, max_versions_per_key)
+        small = n_copies * PIT_ROW_BYTES <= max_broadcast_bytes
+        if strategy == "hot" and not small and not versions_overlap(side, half_open):
+            strategy = "merge"
+    if strategy == "merge":
+        return merge_as_of(fact, side, fact_bk, time_col, spec.sk, half_open)
     if strategy == "equi":
         if rows * PIT_ROW_BYTES <= max_broadcast_bytes:
             side = F.broadcast(side)
@@ -115,35 +155,11 @@ def lookup_scd2_pit(fact: DataFrame, dim: DataFrame, fact_bk: str, time_col: str
         j = fact.join(side, cond, "left")
         drop = ["__lk", "__lsk", "__ls", "__le"]
     else:
-        lo, hi = (time_bounds(fact, time_col) if bounds is None else bounds() if callable(bounds) else bounds)
-        if lo is None:                 # no fact row has a time: nothing can match
-            return fact.withColumn(spec.sk, F.lit(UNKNOWN_KEY).cast("bigint"))
-        def explode(index):
-            first = F.greatest(index(F.col("__ls")), index(ts_lit(lo.isoformat(sep=" "))))
-            # The last instant a version matches lies in its last bucket.
-            end = F.col("__le") + F.expr("INTERVAL 1 SECOND") if half_open else F.col("__le")
-            last = F.least(index(end), index(ts_lit(hi.isoformat(sep=" "))))
-            spans = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-            return side.withColumn("__lb", F.explode(spans)), F.greatest(last - first + 1, F.lit(0))
-
-        index = _month_index
-        exploded, span = explode(index)
-        # Versions of one key crowded into one month: day buckets, if their total size is
-        # measured and stays bounded (open-ended versions span every day of the fact's range).
-        crowd = exploded.groupBy("__lk", "__lb").count().agg(F.max("count")).first()[0] or 0
-        if bucket == "day" or (bucket == "auto" and crowd > max_versions_per_key):
-            day_ex, day_span = explode(_day_index)
-            day_rows = side.agg(F.sum(day_span)).first()[0] or 0
-            if bucket == "day" or day_rows <= DAY_BUCKET_MAX_ROWS:
-                index, exploded, span = _day_index, day_ex, day_span
-        # Proven bound (sum of spans) before broadcasting: the fact is then not shuffled at all.
-        n_exploded = side.agg(F.sum(span)).first()[0] or 0
-        if n_exploded * PIT_ROW_BYTES <= max_broadcast_bytes:
-            exploded = F.broadcast(exploded)
+        copies = F.broadcast(copies) if small else copies
         f = fact.withColumn("__fb", index(t))
-        cond = ((f[fact_bk] == exploded["__lk"]) & (f["__fb"] == exploded["__lb"])
-                & (t >= exploded["__ls"]) & _before_end(t, exploded["__le"], half_open))
-        j = f.join(exploded, cond, "left")
+        cond = ((f[fact_bk] == copies["__lk"]) & (f["__fb"] == copies["__lb"])
+                & (t >= copies["__ls"]) & _before_end(t, copies["__le"], half_open))
+        j = f.join(copies, cond, "left")
         drop = ["__lk", "__lsk", "__ls", "__le", "__lb", "__fb"]
     return j.withColumn(spec.sk, F.coalesce(F.col("__lsk"), F.lit(UNKNOWN_KEY).cast("bigint"))).drop(*drop)
 
