@@ -47,8 +47,8 @@ def check_keys(stg: DataFrame, cols: list[str], table: str, root: str | None = N
 
 
 def _advance_watermark_only(spark, root, table, old, cutoff, now) -> dict:
-    """An empty delta publishes no data: only the watermark moves (the EXISTS gate)."""
-    m = dict(old, watermark=cutoff, updated_at=now)
+    """An empty delta publishes no data: only the watermark moves, and never back (the EXISTS gate)."""
+    m = dict(old, watermark=P.later(old["watermark"], cutoff), updated_at=now)
     P.write_manifest(spark, root, table, m)
     return m
 
@@ -116,7 +116,7 @@ def inc_load_table(spark: SparkSession, row: dict, extract: Extractor, root: str
             dims = {s.table: P.read_table(spark, root, s.table) for _, s in FACTTRIP.lookups}
             stg = check_keys(stg, [FACTTRIP.id_col], table, root, on_null_key)
             rows = fact_ops.resolve_keys(stg, dims, FACTTRIP, now)
-            new = dense_key(rows, FACTTRIP.sk, fact_ops.fact_key_order(FACTTRIP), start=old["max_key"], cache_input=True)
+            new = dense_key(rows, FACTTRIP.sk, fact_ops.fact_key_order(FACTTRIP), start=old["max_key"])
             return P.publish_fact_increment(stg, new.select(*FACTTRIP.gold_columns()), root, FACTTRIP, cutoff, now)
         raise ValueError(f"unknown LOADTYPE {kind!r} for {table}")
 

@@ -141,9 +141,19 @@ def read_watermarks(spark: SparkSession, root: str, tables) -> DataFrame:
     return spark.createDataFrame(rows, WATERMARK_SCHEMA)
 
 
+def later(a: str, b: str) -> str:
+    """The later of two dates given as ISO text."""
+    return max(a, b, key=_dt.datetime.fromisoformat)
+
+
 def _manifest(old, table, version, paths, schema, watermark, now, max_key, extra=None) -> dict:
     """The next manifest.  ``extra["streams"]`` holds the last batch applied per stream; those
-    of the manifest before are carried on by every publish."""
+    of the manifest before are carried on by every publish.
+
+    The watermark never goes back: a run with an older cutoff leaves it where it is, so the next
+    increment does not apply rows again.  (To load an older state of a source, drop the table's
+    manifest first.)"""
+    watermark = later(old["watermark"], watermark) if old else watermark
     extra = dict(extra or {})
     streams = {**(old or {}).get("streams", {}), **extra.pop("streams", {})}
     if streams:
@@ -152,6 +162,11 @@ def _manifest(old, table, version, paths, schema, watermark, now, max_key, extra
             "watermark": watermark, "updated_at": now, "max_key": max_key, **extra}
 
 
+def _ledger(old: dict) -> dict:
+    """The backfill ledger goes on through increments (a full load starts without one)."""
+    return {"backfill": old["backfill"]} if "backfill" in old else {}
+
+
 def _max_key(df: DataFrame, key: str) -> int:
     v = df.agg(F.max(key)).first()[0]
     return max(int(v or 0), 0)
@@ -212,7 +227,7 @@ def publish_scd2_increment(closed: DataFrame, inserted: DataFrame, root: str, sp
     hist, cur = _write_by_currency(rows, version)
     new = {k: v for k, v in ((f"hist{len(old_hist)}", hist), ("cur", cur)) if v}
     mk = max(_max_key(spark.read.parquet(*new.values()), spec.sk) if new else 0, old.get("max_key", 0))
-    m = _manifest(old, spec.table, version, {**old_hist, **new}, rows.schema, watermark, now, mk, extra)
+    m = _manifest(old, spec.table, version, {**old_hist, **new}, rows.schema, watermark, now, mk, {**_ledger(old), **(extra or {})})
     write_manifest(spark, root, spec.table, m)
     return m
 
@@ -227,53 +242,81 @@ def _month_dirs(spark: SparkSession, version: str) -> dict[str, str]:
     return {"None" if m == "__HIVE_DEFAULT_PARTITION__" else m: f"{version}/{MONTH_COL}={m}" for m in months}
 
 
-def publish_fact_full(fact: DataFrame, root: str, spec: FactSpec, watermark: str, now: str) -> dict:
+def _month_stats(spark: SparkSession, version: str, spec: FactSpec) -> tuple[int, dict[str, list]]:
+    """(highest key, month -> [lowest, highest id]) of what a version wrote: one row per month."""
+    rows = spark.read.parquet(version).groupBy(MONTH_COL).agg(
+        F.max(spec.sk), F.min(spec.id_col), F.max(spec.id_col)).collect()
+    return max([max(int(r[1] or 0), 0) for r in rows], default=0), {str(r[0]): [r[2], r[3]] for r in rows}
+
+
+def months_that_may_hold(manifest: dict, ids: DataFrame) -> list[str]:
+    """Months of a published fact whose id range holds some id of ``ids`` (column __id): one
+    aggregate with a flag per month.  Months without a recorded range may hold any id."""
+    ranges = manifest.get("ids", {})
+    unknown = [k for k in manifest["paths"] if k not in ranges]
+    known = [k for k in manifest["paths"] if k in ranges and ranges[k][0] is not None]
+    if not known:
+        return unknown
+    hit = ids.agg(*[F.max(F.col("__id").between(*ranges[k])).alias(f"m{i}") for i, k in enumerate(known)]).first()
+    return unknown + [k for i, k in enumerate(known) if hit[i]]
+
+
+def publish_fact_full(fact: DataFrame, root: str, spec: FactSpec, watermark: str, now: str,
+                      extra: dict | None = None) -> dict:
     """Full fact publish laid out by month of the event time."""
     spark = fact.sparkSession
     version = new_version(root, spec.table)
     _with_month(fact, spec.time_col).write.mode("errorifexists").partitionBy(MONTH_COL).parquet(version)
     months = _month_dirs(spark, version)
-    mk = _max_key(spark.read.parquet(*months.values()), spec.sk) if months else 0
-    m = _manifest(read_manifest(spark, root, spec.table), spec.table, version, months, fact.schema, watermark, now, mk)
+    mk, ids = _month_stats(spark, version, spec) if months else (0, {})
+    m = _manifest(read_manifest(spark, root, spec.table), spec.table, version, months, fact.schema, watermark, now, mk,
+                  {**(extra or {}), "ids": ids})
     write_manifest(spark, root, spec.table, m)
     return m
 
 
-def publish_fact_increment(stg: DataFrame, new_rows: DataFrame, root: str, spec: FactSpec,
-                           watermark: str, now: str) -> dict:
-    """Delete-by-id + insert, rewriting only the affected months.
+def publish_fact_increment(stg: DataFrame | None, new_rows: DataFrame, root: str, spec: FactSpec,
+                           watermark: str, now: str, extra: dict | None = None) -> dict:
+    """Delete-by-id + insert, rewriting only the affected months; without ``stg`` only an insert.
 
-    Affected months are found with a semi join of the current fact against the staged ids
-    (the event time can change between versions of a trip, so they are *not* taken from the
-    batch) plus the months of the new rows.  Their number is bounded by the calendar span, so
-    the list is collected to the driver; rows are never collected.
+    The manifest knows the id range of every month, so only months that may hold a staged id are
+    opened.  Affected are those of them that do (a semi join against the staged ids: the event
+    time can change between versions of a trip, so months are *not* taken from the batch) and the
+    months of the new rows.  Their number is bounded by the calendar span, so the list is
+    collected to the driver; rows are never collected.
     """
-    spark = stg.sparkSession
+    spark = new_rows.sparkSession
     old = read_manifest(spark, root, spec.table)
-    current = read_table(spark, root, spec.table)
-    ids = stg.select(F.col(spec.id_col).alias("__id")).filter(F.col("__id").isNotNull()).distinct()
-    ids, _ = broadcast_if_small(ids)          # measured; else a shuffle semi join
-    span = ids.agg(F.min("__id"), F.max("__id")).first()
-    near = current.where(F.col(spec.id_col).between(span[0], span[1]))      # skips row groups
-    hit = near.join(ids, near[spec.id_col] == ids["__id"], "left_semi")
-    hit_months = {r[0] for r in _with_month(hit, spec.time_col).select(MONTH_COL).distinct().collect()}
-    new_months = {r[0] for r in _with_month(new_rows, spec.time_col).select(MONTH_COL).distinct().collect()}
-    affected = hit_months | new_months
-    keys = {str(m) for m in affected}
     old_paths = old["paths"]
-    kept_dirs = [old_paths[k] for k in keys if k in old_paths]
+    opened, hit_months, ids = [], set(), None
+    if stg is not None:
+        ids = stg.select(F.col(spec.id_col).alias("__id")).filter(F.col("__id").isNotNull()).distinct()
+        ids, _ = broadcast_if_small(ids)      # measured; else a shuffle semi join
+        opened = months_that_may_hold(old, ids)
+    if opened:
+        span = ids.agg(F.min("__id"), F.max("__id")).first()
+        current = spark.read.parquet(*[old_paths[k] for k in opened]).select(*old["columns"])
+        near = current.where(F.col(spec.id_col).between(span[0], span[1]))      # skips row groups
+        hit = near.join(ids, near[spec.id_col] == ids["__id"], "left_semi")
+        hit_months = {r[0] for r in _with_month(hit, spec.time_col).select(MONTH_COL).distinct().collect()}
+    new_months = {r[0] for r in _with_month(new_rows, spec.time_col).select(MONTH_COL).distinct().collect()}
+    keys = {str(m) for m in hit_months | new_months}
+    kept_dirs = [old_paths[k] for k in sorted(keys) if k in old_paths]
     version = new_version(root, spec.table)
+    rewrite = new_rows.select(*old["columns"])
     if kept_dirs:
-        rewrite = spark.read.parquet(*kept_dirs).select(*old["columns"])
-        rewrite = rewrite.join(ids, rewrite[spec.id_col] == ids["__id"], "left_anti")
-        rewrite = rewrite.unionByName(new_rows.select(*old["columns"]))
-    else:
-        rewrite = new_rows.select(*old["columns"])
+        kept = spark.read.parquet(*kept_dirs).select(*old["columns"])
+        if ids is not None:
+            kept = kept.join(ids, kept[spec.id_col] == ids["__id"], "left_anti")
+        rewrite = kept.unionByName(rewrite)
     _with_month(rewrite, spec.time_col).write.mode("errorifexists").partitionBy(MONTH_COL).parquet(version)
     written = _month_dirs(spark, version)
     paths = {k: v for k, v in old_paths.items() if k not in keys}
     paths.update(written)
-    mk = max(_max_key(spark.read.parquet(*written.values()), spec.sk) if written else 0, old.get("max_key", 0))
-    m = _manifest(old, spec.table, version, paths, new_rows.select(*old["columns"]).schema, watermark, now, mk)
+    mk, ranges = _month_stats(spark, version, spec) if written else (0, {})
+    ranges = {**{k: v for k, v in old.get("ids", {}).items() if k in paths}, **ranges}
+    m = _manifest(old, spec.table, version, paths, new_rows.select(*old["columns"]).schema, watermark, now,
+                  max(mk, old.get("max_key", 0)),
+                  {**_ledger(old), **(extra or {}), "ids": ranges, "increment": {"opened": sorted(opened), "rewritten": sorted(keys)}})
     write_manifest(spark, root, spec.table, m)
     return m

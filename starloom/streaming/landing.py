@@ -1,7 +1,7 @@
 """Daily landing files applied as a stream: file-source ``readStream`` ->
 ``foreachBatch(increment + publish)`` with ``trigger(availableNow=True)``.
 
-Each micro-batch is one increment of a dimension, in file arrival order.  The manifest records
+Each micro-batch is one increment of a dimension or of the fact, in file arrival order.  The manifest records
 the last applied batch id of each stream, so a batch replayed after a failure (foreachBatch is at-least-once)
 is skipped: the table and its watermark change exactly once per batch.  The stream's own
 checkpoint (``checkpoint_location``, on shared storage) remembers which files were consumed.
@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import fact as fact_ops
 from ..operators import scd1, scd2
-from ..operators.ordered import release_materialized
+from ..operators.keys import dense_key
+from ..operators.ordered import materialized_mark, release_materialized
 from ..plans import publish as P
 from ..plans.loads import check_keys
-from ..schemas import DimSpec
+from ..schemas import DimSpec, FactSpec
 
 
 def run_landing_stream(spark: SparkSession, landing: str, schema: T.StructType,
@@ -44,7 +46,7 @@ def dimension_batch_loader(root: str, spec: DimSpec, now: str, stream_id: str) -
     to the batch's newest change date and never goes back.
     """
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, mark = batch.sparkSession, materialized_mark()
         old = P.read_manifest(spark, root, spec.table)
         if old is None:
             raise RuntimeError(f"{spec.table}: publish a full load before streaming increments")
@@ -54,7 +56,7 @@ def dimension_batch_loader(root: str, spec: DimSpec, now: str, stream_id: str) -
         try:
             batch = check_keys(batch, [spec.bk], spec.table)
             newest = batch.agg(F.max(spec.date_col)).first()[0]
-            watermark = max(old["watermark"], str(newest)) if newest is not None else old["watermark"]
+            watermark = P.later(old["watermark"], str(newest)) if newest is not None else old["watermark"]
             target = P.read_table(spark, root, spec.table)
             extra = {"streams": {stream_id: epoch_id}}
             if spec.scd == 2:
@@ -65,5 +67,33 @@ def dimension_batch_loader(root: str, spec: DimSpec, now: str, stream_id: str) -
                                watermark, now, extra=extra)
         finally:
             batch.unpersist()
-            release_materialized()
+            release_materialized(mark)
+    return apply
+
+
+def fact_batch_loader(root: str, spec: FactSpec, now: str, stream_id: str,
+                      date_col: str | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: trips of the batch replace those of the same id, with keys looked up
+    in the published dimensions.  ``date_col`` is the landing files' change date: the watermark
+    advances to its newest value and never goes back (without it, the watermark stays)."""
+    def apply(batch: DataFrame, epoch_id: int) -> None:
+        spark, mark = batch.sparkSession, materialized_mark()
+        old = P.read_manifest(spark, root, spec.table)
+        if old is None:
+            raise RuntimeError(f"{spec.table}: publish a full load before streaming increments")
+        if old.get("streams", {}).get(stream_id, -1) >= epoch_id:
+            return                                  # replay of an applied batch
+        batch = batch.persist()                     # landed files are read once
+        try:
+            batch = check_keys(batch, [spec.id_col], spec.table)
+            newest = batch.agg(F.max(date_col)).first()[0] if date_col else None
+            dims = {d.table: P.read_table(spark, root, d.table) for _, d in spec.lookups}
+            rows = fact_ops.resolve_keys(batch, dims, spec, now)
+            new = dense_key(rows, spec.sk, fact_ops.fact_key_order(spec), start=old["max_key"])
+            P.publish_fact_increment(batch, new.select(*spec.gold_columns()), root, spec,
+                                     str(newest) if newest is not None else old["watermark"], now,
+                                     {"streams": {stream_id: epoch_id}})
+        finally:
+            batch.unpersist()
+            release_materialized(mark)
     return apply
