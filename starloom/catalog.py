@@ -209,6 +209,13 @@ def q_pit_bucketed(spark, sf):
                                   CUSTOMER, strategy="bucketed")
 
 
+@register("lookup_scd2_pit_merge", _lookup_one_sql(VENDOR))
+def q_pit_merge(spark, sf):
+    """The as-of merge, forced, on the vendors: few keys with very many versions and trips."""
+    return lookup.lookup_scd2_pit(fx.stage_facttrip(spark, sf), dim_full(spark, sf, VENDOR), "VendorID", "TripDate",
+                                  VENDOR, strategy="merge")
+
+
 _HALF_OPEN_SQL = _lookup_one_sql(PRODUCT).replace(
     f"s.TripDate <= COALESCE(d.RowEndDateTime, {O.ts(OPEN_END)})",
     f"s.TripDate < COALESCE(d.RowEndDateTime, {O.ts(OPEN_END)}) + INTERVAL 1 SECOND")
@@ -539,11 +546,13 @@ def q_dim_commodity(spark, sf):
     return M.derived_dimension(fx.table(spark, sf, "part"), "p_type", "Commodity", "Commodity_Key")
 
 
-_CUST_ENT_SQL = ("SELECT CAST(ROW_NUMBER() OVER (ORDER BY Customer_ID ASC NULLS FIRST) AS BIGINT) AS Customer_SKey, * "
-                 "FROM (SELECT CAST(c_custkey AS INTEGER) AS Customer_ID, c_name AS Customer_Name, "
-                 "c_mktsegment AS Customer_Type, CAST(c_acctbal AS DECIMAL(18,2)) AS Credit_Limit, "
-                 "n_name AS Nation_Name, r_name AS Region_Name FROM customer "
-                 "LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey) c")
+_SITE = "CAST(o_custkey * 10 + CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS INTEGER)"
+_CUST_ENT_SQL = (f"SELECT CAST(ROW_NUMBER() OVER (ORDER BY Customer_ID ASC NULLS FIRST, Address_ID ASC NULLS FIRST) AS BIGINT) AS Customer_SKey, * "
+                 f"FROM (SELECT CAST(c_custkey AS INTEGER) AS Customer_ID, Address_ID, c_name AS Customer_Name, "
+                 f"c_mktsegment AS Customer_Type, CAST(c_acctbal AS DECIMAL(18,2)) AS Credit_Limit, Site_Name, "
+                 f"n_name AS Nation_Name, r_name AS Region_Name FROM customer LEFT JOIN (SELECT DISTINCT o_custkey, {_SITE} AS Address_ID, "
+                 f"'GATE ' || o_orderpriority AS Site_Name FROM orders) a ON c_custkey = o_custkey "
+                 f"LEFT JOIN nation ON Address_ID % 25 = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey) c")
 
 
 def _cust_ent(spark, sf):
@@ -566,12 +575,12 @@ def q_dim_fleet_asset(spark, sf):
 
 _DRV_COMP_SQL = (f"SELECT DriverKey AS Driver_SKey, DriverID AS Driver_ID, DriverName AS Driver_Name, "
                  f"LicenseNumber AS License_Number, s_nationkey AS Branch_Nation, "
-                 f"ModifiedDate + INTERVAL 2 YEAR AS License_Expiry_Date FROM ({dim_full_sql(DRIVER)}) d "
+                 f"TIMESTAMP '1994-01-01 00:00:00' + to_days(CAST(s_nationkey * 100 AS INTEGER)) AS License_Expiry_Date FROM ({dim_full_sql(DRIVER)}) d "
                  f"JOIN supplier ON DriverID = s_suppkey")
 
 
 def _drv_comp(spark, sf):
-    return M.dim_driver_compliance(dim_full(spark, sf, DRIVER), fx.roster(spark, sf))
+    return M.dim_driver_compliance(dim_full(spark, sf, DRIVER), fx.licences(spark, sf))
 
 
 @register("dim_driver_compliance", _DRV_COMP_SQL)
@@ -621,32 +630,104 @@ def q_scd1_customer_doc(spark, sf):
     return _doc_scd1(spark, sf, CUSTOMER_DOC)
 
 
+# How the marts' facts find their conformed keys: key -> (the fact's column, the dimension).
+# A vehicle is a supplier's truck, so the vehicle's id also finds the vendor.
+TRIP_KEYS = {
+    "Customer_SKey": ("Address_ID", M.conformed("CUSTOMER_ENTERPRISE", "Address_ID", "Customer_SKey")),
+    "Fleet_SKey": ("Vehicle_ID", M.conformed("FLEET_ASSET", "Vehicle_ID", "Fleet_SKey", 2)),
+    "Driver_SKey": ("Driver_ID", M.conformed("DRIVER_COMPLIANCE", "Driver_ID", "Driver_SKey", 2)),
+    "Location_SKey": ("Branch_ID", M.conformed("LOGISTICS_GEOGRAPHY", "Branch_ID", "Location_SKey")),
+    "Vendor_SKey": ("Vehicle_ID", M.conformed("VENDOR_DOC", "VendorID", "Vendor_SKey")),
+    "Trip_Type_Key": ("Trip_Type", M.conformed("TRIP_TYPE", "Trip_Type", "Trip_Type_Key")),
+    "Commodity_Key": ("Commodity", M.conformed("COMMODITY", "Commodity", "Commodity_Key")),
+}
+# Key -> dimension SQL; a history dimension is joined at the fact's time.
+_FLEET_SQL = O.scd2_full_sql(O.stage_sql("fleet_asset"), FLEET_ASSET)
+_KEY_DIMS_SQL = {
+    "Customer_SKey": _CUST_ENT_SQL, "Fleet_SKey": _FLEET_SQL,
+    "Driver_SKey": O.scd2_full_sql(O.stage_sql("driver_history"), DRIVER_HISTORY), "Location_SKey": _GEO_SQL,
+    "Vendor_SKey": O.scd1_full_sql(O.stage_sql("vendor"), VENDOR_DOC), "Trip_Type_Key": _TRIP_TYPE_SQL,
+    "Commodity_Key": _COMMODITY_SQL}
+SNAPSHOT_KEYS = ["Fleet_SKey", "Driver_SKey", "Location_SKey"]
+PROFIT_KEYS = ["Customer_SKey", "Fleet_SKey", "Driver_SKey", "Location_SKey", "Vendor_SKey", "Commodity_Key"]
+ACTIVITY_KEYS = ["Customer_SKey", "Fleet_SKey", "Driver_SKey", "Location_SKey", "Trip_Type_Key", "Commodity_Key"]
+
+
+def _keyed_sql(base: str, keys: list[str], drop: str, time: str = "Trip_Date") -> str:
+    cols, joins = [], []
+    for i, k in enumerate(keys):
+        column, spec = TRIP_KEYS[k]
+        at = (f" AND b.{time} >= d{i}.RowStartDateTime AND b.{time} <= COALESCE(d{i}.RowEndDateTime, {O.ts(OPEN_END)})"
+              if spec.scd == 2 else "")
+        cols.append(f"CAST(COALESCE(d{i}.{k}, -1) AS BIGINT) AS {k}")
+        joins.append(f"LEFT JOIN ({_KEY_DIMS_SQL[k]}) d{i} ON b.{column} = d{i}.{spec.bk}{at}")
+    return f"SELECT b.* EXCLUDE ({drop}), {', '.join(cols)} FROM ({base}) b " + " ".join(joins)
+
+
+def _fleet_dim(spark, sf):
+    return scd2.scd2_full(fx.stage_fleet_asset(spark, sf), FLEET_ASSET)
+
+
+def _key_dims(spark, sf, keys: list[str]) -> dict[str, DataFrame]:
+    """The dimensions of a star, built concurrently."""
+    make = {
+        "Customer_SKey": lambda: _cust_ent(spark, sf),
+        "Fleet_SKey": lambda: _fleet_dim(spark, sf),
+        "Driver_SKey": lambda: scd2.scd2_full(fx.stage_driver_history(spark, sf), DRIVER_HISTORY),
+        "Location_SKey": lambda: q_dim_geography(spark, sf),
+        "Vendor_SKey": lambda: scd1.scd1_full(fx.stage_vendor(spark, sf), VENDOR_DOC),
+        "Trip_Type_Key": lambda: q_dim_trip_type(spark, sf),
+        "Commodity_Key": lambda: q_dim_commodity(spark, sf)}
+    with cf.ThreadPoolExecutor(max_workers=len(keys)) as ex:
+        return dict(zip(keys, ex.map(lambda k: make[k](), keys)))
+
+
 # D4 / D10 / D5 / D6 / D7 / D8 / D9
 
+_KM = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(10,2))"
 _RUN = _scaled(f"LEAST({_div_half_up('CAST(Distance_KM_Daily * 100 AS BIGINT)', M.AVG_SPEED_KMH)}, 2400)", 2, 10)
-_UTIL_SQL = (f"SELECT Date_SKey, Vehicle_ID, Trips_Count_Daily, Distance_KM_Daily, {_RUN} AS Running_Hours, "
+_UTIL_SQL = (f"SELECT Date_SKey, Vehicle_ID, Driver_ID, 'N' || CAST(c_nationkey AS VARCHAR) AS Branch_ID, "
+             f"CAST(d AS TIMESTAMP) + INTERVAL 1 DAY - INTERVAL 1 SECOND AS Snapshot_Time, "
+             f"Trips_Count_Daily, Distance_KM_Daily, {_RUN} AS Running_Hours, "
              f"CAST(CAST(24 AS DECIMAL(10,2)) - {_RUN} AS DECIMAL(10,2)) AS Idle_Hours, "
              f"{_ratio('load', f'Trips_Count_Daily * {M.CAPACITY_TONS}')} AS Load_Factor_Ratio FROM ("
-             f"SELECT c.Vehicle_ID, {_dk('c.d')} AS Date_SKey, COALESCE(n, 0) AS Trips_Count_Daily, "
-             f"COALESCE(km, CAST(0 AS DECIMAL(18,2))) AS Distance_KM_Daily, COALESCE(load, CAST(0 AS DECIMAL(18,2))) AS load FROM ("
+             f"SELECT c.Vehicle_ID, c.d, {_dk('c.d')} AS Date_SKey, COALESCE(n, 0) AS Trips_Count_Daily, "
+             f"COALESCE(km, CAST(0 AS DECIMAL(18,2))) AS Distance_KM_Daily, COALESCE(load, CAST(0 AS DECIMAL(18,2))) AS load, "
+             f"LAST_VALUE(driver IGNORE NULLS) OVER w AS Driver_ID, LAST_VALUE(trip IGNORE NULLS) OVER w AS trip FROM ("
              f"SELECT Vehicle_ID, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM ("
              f"SELECT CAST(l_suppkey AS INTEGER) AS Vehicle_ID, CAST(CAST(MIN(l_shipdate) AS DATE) AS TIMESTAMP) AS lo, "
              f"CAST(CAST(MAX(l_shipdate) AS DATE) AS TIMESTAMP) AS hi FROM lineitem GROUP BY 1) v) c LEFT JOIN ("
-             f"SELECT CAST(l_suppkey AS INTEGER) AS Vehicle_ID, CAST(l_shipdate AS DATE) AS d, COUNT(*) AS n, "
-             f"CAST(SUM(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS km, "
-             f"CAST(SUM(CAST(l_quantity AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS load "
-             f"FROM lineitem GROUP BY 1, 2) g ON c.Vehicle_ID = g.Vehicle_ID AND c.d = g.d) x")
+             f"SELECT Vehicle_ID, d, COUNT(*) AS n, CAST(SUM({_KM}) AS DECIMAL(18,2)) AS km, "
+             f"CAST(SUM(CAST(l_quantity AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS load, "
+             f"MAX(CASE WHEN rn = 1 THEN CAST(l_partkey AS INTEGER) END) AS driver, MAX(CASE WHEN rn = 1 THEN l_orderkey END) AS trip "
+             f"FROM (SELECT *, CAST(l_suppkey AS INTEGER) AS Vehicle_ID, CAST(l_shipdate AS DATE) AS d, ROW_NUMBER() OVER ("
+             f"PARTITION BY l_suppkey, CAST(l_shipdate AS DATE) ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, "
+             f"l_partkey DESC) AS rn FROM lineitem) l GROUP BY 1, 2) g ON c.Vehicle_ID = g.Vehicle_ID AND c.d = g.d "
+             f"WINDOW w AS (PARTITION BY c.Vehicle_ID ORDER BY c.d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) x "
+             f"LEFT JOIN orders ON trip = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey")
+_SNAPSHOT_SQL = ("SELECT CAST(Vehicle_ID AS VARCHAR) || '-' || CAST(Date_SKey AS VARCHAR) AS DD_Snapshot_ID, * FROM ("
+                 + _keyed_sql(_UTIL_SQL, SNAPSHOT_KEYS, "Driver_ID, Branch_ID, Snapshot_Time", "Snapshot_Time") + ") k")
 
 
 def _util(spark, sf):
-    li = fx.table(spark, sf, "lineitem")
-    km = F.col("l_extendedprice").cast("decimal(18,2)") * F.lit("0.01").cast("decimal(3,2)")
-    return M.fact_fleet_utilization(li, "l_suppkey", "l_shipdate", km, F.col("l_quantity"))
+    return M.daily_snapshot(fx.mart_lines(spark, sf), fx.mart_trips(spark, sf))
 
 
-@register("fact_fleet_utilization", _UTIL_SQL)
+@register("fact_fleet_utilization", _SNAPSHOT_SQL)
 def q_fact_fleet_utilization(spark, sf):
-    return _util(spark, sf)
+    return M.fact_fleet_utilization(fx.mart_lines(spark, sf), fx.mart_trips(spark, sf),
+                                    _key_dims(spark, sf, SNAPSHOT_KEYS), TRIP_KEYS)
+
+
+@register("hours_by_ownership",
+          f"SELECT Ownership_Type, CAST(Date_SKey // 100 AS INTEGER) AS Month_Key, COUNT(*) AS Vehicle_Days, "
+          f"CAST(SUM(Running_Hours) AS DECIMAL(18,2)) AS Running_Hours, CAST(SUM(Idle_Hours) AS DECIMAL(18,2)) AS Idle_Hours "
+          f"FROM ({_SNAPSHOT_SQL}) u LEFT JOIN ({_FLEET_SQL}) f ON u.Fleet_SKey = f.Fleet_SKey GROUP BY 1, 2")
+def q_hours_by_ownership(spark, sf):
+    """Idle and running time, owned against vendor fleet, through the snapshot's fleet key."""
+    dims = _key_dims(spark, sf, SNAPSHOT_KEYS)
+    util = M.fact_fleet_utilization(fx.mart_lines(spark, sf), fx.mart_trips(spark, sf), dims, TRIP_KEYS)
+    return M.hours_by_ownership(util, dims["Fleet_SKey"])
 
 
 @register("uptime_ratio",
@@ -661,68 +742,80 @@ def q_uptime_ratio(spark, sf):
 
 _P = "CAST(l_extendedprice AS DECIMAL(18,2))"
 _Q = "CAST(l_quantity AS DECIMAL(10,2))"
+
+
+def _allocated_sql(rows: str, costs: str, period: str, weight: str, order: str, out: str) -> str:
+    """Largest remainder: ``costs`` (period columns, amount) over ``rows`` by ``weight``."""
+    w = f"PARTITION BY {period}"
+    return (f"SELECT * EXCLUDE (amount, w, whole, part, cents, rest, rk, remaining), "
+            f"CAST(sign(amount) * (cents + CASE WHEN rk <= remaining THEN 1 ELSE 0 END) AS DECIMAL(18,0)) * CAST('0.01' AS DECIMAL(3,2)) AS {out} "
+            f"FROM (SELECT *, ROW_NUMBER() OVER ({w} ORDER BY rest DESC, {order}) AS rk, "
+            f"ABS(amount) - SUM(cents) OVER ({w}) AS remaining FROM (SELECT *, part // whole AS cents, part % whole AS rest FROM ("
+            f"SELECT *, CASE WHEN SUM(w) OVER ({w}) = 0 THEN COUNT(*) OVER ({w}) ELSE SUM(w) OVER ({w}) END::HUGEINT AS whole, "
+            f"ABS(amount) * CASE WHEN SUM(w) OVER ({w}) = 0 THEN 1 ELSE w END AS part FROM ("
+            f"SELECT r.*, CAST(c.amount * 100 AS HUGEINT) AS amount, CAST({weight} * 100 AS HUGEINT) AS w "
+            f"FROM ({rows}) r JOIN ({costs}) c USING ({period})) a) b) c) d")
+
+
+_ROW_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_linestatus"
+_MONTHS = "(SELECT DISTINCT {k}, CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS mk FROM lineitem)"
+_BILLS_SQL = (f"SELECT l_suppkey, mk, CAST(ABS(CAST(s_acctbal AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS amount "
+              f"FROM {_MONTHS.format(k='l_suppkey')} m JOIN supplier ON l_suppkey = s_suppkey")
+_PAY_SQL = (f"SELECT l_partkey, mk, CAST(p_retailprice AS DECIMAL(18,2)) AS amount "
+            f"FROM {_MONTHS.format(k='l_partkey')} m JOIN part ON l_partkey = p_partkey")
+_LINES_SQL = _allocated_sql(
+    _allocated_sql("SELECT *, CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS mk FROM lineitem",
+                   _BILLS_SQL, "l_suppkey, mk", _KM, _ROW_ORDER, "maintenance"),
+    _PAY_SQL, "l_partkey, mk", _Q, _ROW_ORDER, "base_pay")
 _LINE_COSTS = {
-    "Fuel_Cost_INR": f"{_P} * CAST(l_tax AS DECIMAL(4,2))", "Driver_Cost_INR": f"{_P} * CAST(l_discount AS DECIMAL(4,2))",
-    "Maintenance_Cost_INR": f"{_Q} * CAST({M.MAINTENANCE_PER_TON} AS DECIMAL(6,2))",
+    "Fuel_Cost_INR": f"{_P} * CAST(l_tax AS DECIMAL(4,2))",
+    "Driver_Cost_INR": f"{_P} * CAST(l_discount AS DECIMAL(4,2)) + base_pay",
+    "Maintenance_Cost_INR": "maintenance",
     "Toll_Cost_INR": f"CAST({M.TOLL_PER_STOP} AS DECIMAL(6,2))",
     "Other_Cost_INR": f"{_Q} * CAST({M.HANDLING_PER_TON} AS DECIMAL(6,2))"}
-_TOTALS_SQL = ("SELECT l_orderkey, " + ", ".join(f"CAST(SUM({v}) AS DECIMAL(18,2)) AS {k}" for k, v in _LINE_COSTS.items())
-               + f", CAST(SUM({_Q}) AS DECIMAL(18,2)) AS Weight, "
+_COSTS_SQL = ("SELECT l_orderkey, " + ", ".join(f"CAST(SUM({v}) AS DECIMAL(18,2)) AS {k}" for k, v in _LINE_COSTS.items())
+              + f" FROM ({_LINES_SQL}) l GROUP BY l_orderkey")
+_TOTALS_SQL = (f"SELECT l_orderkey, CAST(SUM({_Q}) AS DECIMAL(18,2)) AS Weight, "
                f"CAST(SUM(CAST({_P} * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS Distance, "
-               f"MAX(l_shipdate) AS Delivered, MAX(CASE WHEN rn = 1 THEN CAST(l_partkey AS INTEGER) END) AS Vehicle_ID, "
-               f"MAX(CASE WHEN rn = 1 THEN CAST(l_suppkey AS INTEGER) END) AS Driver_ID, "
+               f"MAX(l_shipdate) AS Delivered, MAX(CASE WHEN rn = 1 THEN CAST(l_suppkey AS INTEGER) END) AS Vehicle_ID, "
+               f"MAX(CASE WHEN rn = 1 THEN CAST(l_partkey AS INTEGER) END) AS Driver_ID, "
                f"MAX(CASE WHEN rn = 1 THEN p_type END) AS Commodity FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey "
-               f"ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem LEFT JOIN part ON l_partkey = p_partkey) l "
+               f"ORDER BY l_linenumber, l_suppkey, l_partkey) AS rn FROM lineitem LEFT JOIN part ON l_partkey = p_partkey) l "
                f"GROUP BY l_orderkey")
 _Z = "CAST(0 AS DECIMAL(18,2))"
 _FINANCE_SQL = (f"SELECT *, CAST(Gross_Revenue_INR - (" + " + ".join(M.COST_COLS) + ") AS DECIMAL(18,2)) AS Net_Profit_INR "
                 f"FROM (SELECT o_orderkey AS DD_Trip_ID, {_dk('o_orderdate')} AS Date_SKey, "
-                f"CAST(o_custkey AS INTEGER) AS Customer_ID, CAST(o_totalprice AS DECIMAL(18,2)) AS Gross_Revenue_INR, "
-                + ", ".join(f"COALESCE(c.{c}, {_Z}) AS {c}" for c in M.COST_COLS)
+                f"CAST(o_custkey AS INTEGER) AS Customer_ID, {_SITE} AS Address_ID, CAST(o_totalprice AS DECIMAL(18,2)) AS Gross_Revenue_INR, "
+                + ", ".join(f"COALESCE(k.{c}, {_Z}) AS {c}" for c in M.COST_COLS)
                 + f", o_orderdate AS Trip_Date, c.Vehicle_ID, c.Driver_ID, 'N' || CAST(c_nationkey AS VARCHAR) AS Branch_ID, c.Commodity "
-                f"FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN ({_TOTALS_SQL}) c ON o_orderkey = c.l_orderkey) p")
+                f"FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN ({_TOTALS_SQL}) c ON o_orderkey = c.l_orderkey "
+                f"LEFT JOIN ({_COSTS_SQL}) k ON o_orderkey = k.l_orderkey) p")
 
-# Key -> dimension SQL; a history dimension is joined at the trip's date.
-_KEY_DIMS_SQL = {
-    "Customer_SKey": _CUST_ENT_SQL, "Fleet_SKey": O.scd2_full_sql(O.stage_sql("fleet_asset"), FLEET_ASSET),
-    "Driver_SKey": O.scd2_full_sql(O.stage_sql("driver_history"), DRIVER_HISTORY), "Location_SKey": _GEO_SQL,
-    "Vendor_SKey": O.scd1_full_sql(O.stage_sql("vendor"), VENDOR_DOC), "Trip_Type_Key": _TRIP_TYPE_SQL,
-    "Commodity_Key": _COMMODITY_SQL}
-PROFIT_KEYS = ["Customer_SKey", "Fleet_SKey", "Driver_SKey", "Location_SKey", "Vendor_SKey", "Commodity_Key"]
-ACTIVITY_KEYS = ["Customer_SKey", "Fleet_SKey", "Driver_SKey", "Location_SKey", "Trip_Type_Key", "Commodity_Key"]
 
-
-def _keyed_sql(base: str, keys: list[str], drop: str) -> str:
-    cols, joins = [], []
-    for i, k in enumerate(keys):
-        column, spec = M.TRIP_KEYS[k]
-        at = (f" AND b.Trip_Date >= d{i}.RowStartDateTime AND b.Trip_Date <= COALESCE(d{i}.RowEndDateTime, {O.ts(OPEN_END)})"
-              if spec.scd == 2 else "")
-        cols.append(f"CAST(COALESCE(d{i}.{k}, -1) AS BIGINT) AS {k}")
-        joins.append(f"LEFT JOIN ({_KEY_DIMS_SQL[k]}) d{i} ON b.{column} = d{i}.{spec.bk}{at}")
-    return f"SELECT b.* EXCLUDE ({drop}), {', '.join(cols)} FROM ({base}) b " + " ".join(joins)
-
-
-def _key_dims(spark, sf, keys: list[str]) -> dict[str, DataFrame]:
-    make = {
-        "Customer_SKey": lambda: _cust_ent(spark, sf),
-        "Fleet_SKey": lambda: scd2.scd2_full(fx.stage_fleet_asset(spark, sf), FLEET_ASSET),
-        "Driver_SKey": lambda: scd2.scd2_full(fx.stage_driver_history(spark, sf), DRIVER_HISTORY),
-        "Location_SKey": lambda: q_dim_geography(spark, sf),
-        "Vendor_SKey": lambda: scd1.scd1_full(fx.stage_vendor(spark, sf), VENDOR_DOC),
-        "Trip_Type_Key": lambda: q_dim_trip_type(spark, sf),
-        "Commodity_Key": lambda: q_dim_commodity(spark, sf)}
-    return {k: make[k]() for k in keys}
+def _costed_lines(spark, sf):
+    return M.with_allocated_costs(fx.mart_lines(spark, sf), fx.maintenance_bills(spark, sf), fx.base_pay(spark, sf))
 
 
 def _finance(spark, sf):
-    return M.trip_finance(fx.mart_trips(spark, sf), fx.mart_lines(spark, sf))
+    return M.trip_finance(fx.mart_trips(spark, sf), _costed_lines(spark, sf))
 
 
 @register("fact_operational_profitability",
-          _keyed_sql(_FINANCE_SQL, PROFIT_KEYS, "Trip_Date, Vehicle_ID, Driver_ID, Branch_ID, Commodity"))
+          _keyed_sql(_FINANCE_SQL, PROFIT_KEYS, "Trip_Date, Address_ID, Vehicle_ID, Driver_ID, Branch_ID, Commodity"))
 def q_fact_operational_profitability(spark, sf):
-    return M.fact_operational_profitability(fx.mart_trips(spark, sf), fx.mart_lines(spark, sf), _key_dims(spark, sf, PROFIT_KEYS))
+    return M.fact_operational_profitability(fx.mart_trips(spark, sf), _costed_lines(spark, sf),
+                                            _key_dims(spark, sf, PROFIT_KEYS), TRIP_KEYS)
+
+
+@register("allocated_costs",
+          f"SELECT l_orderkey AS Trip_ID, l_linenumber AS Line_No, CAST(l_suppkey AS INTEGER) AS Vehicle_ID, "
+          f"CAST(l_partkey AS INTEGER) AS Driver_ID, mk AS Month_Key, maintenance AS Maintenance_Share, base_pay AS Base_Pay_Share "
+          f"FROM ({_LINES_SQL}) l")
+def q_allocated_costs(spark, sf):
+    """Monthly maintenance by kilometres and base pay by tons, to the cent, on every trip line."""
+    return _costed_lines(spark, sf).select(
+        "Trip_ID", "Line_No", "Vehicle_ID", "Driver_ID", (F.year("Delivered") * 100 + F.month("Delivered")).alias("Month_Key"),
+        "Maintenance_Share", "Base_Pay_Share")
 
 
 _OWN = "CASE WHEN l_linestatus = 'F' THEN 'OWN' ELSE 'VENDOR' END"
@@ -734,9 +827,9 @@ _OWN = "CASE WHEN l_linestatus = 'F' THEN 'OWN' ELSE 'VENDOR' END"
           f"SELECT p_type AS Commodity, {_OWN} AS Ownership_Type, o_orderpriority AS Trip_Type, "
           f"COUNT(DISTINCT l_orderkey) AS Trips, CAST(SUM({_P}) AS DECIMAL(18,2)) AS Revenue, "
           f"CAST(SUM({' + '.join(_LINE_COSTS.values())}) AS DECIMAL(18,2)) AS Cost "
-          f"FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3) g")
+          f"FROM ({_LINES_SQL}) l LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3) g")
 def q_trip_profit_by(spark, sf):
-    return M.trip_profit_by(fx.mart_lines(spark, sf), fx.mart_trips(spark, sf))
+    return M.trip_profit_by(_costed_lines(spark, sf), fx.mart_trips(spark, sf))
 
 
 def _li_orders(spark, sf):
@@ -787,17 +880,96 @@ def q_volume_by_commodity(spark, sf):
     return M.volume_by_commodity(fx.mart_lines(spark, sf))
 
 
+_VOLUME_SQL = ORACLE["volume_by_commodity"]
+
+
+@register("seasonal_demand",
+          f"WITH v AS ({_VOLUME_SQL}), m AS (SELECT Commodity, (Month_Key // 100) * 12 + Month_Key % 100 - 1 AS m, Tonnage FROM v), "
+          f"spine AS (SELECT Commodity, unnest(range((SELECT MIN(m) FROM m), (SELECT MAX(m) FROM m) + 1)) AS m "
+          f"FROM (SELECT DISTINCT Commodity FROM m) c), "
+          f"dense AS (SELECT s.Commodity, s.m, COALESCE(m.Tonnage, CAST(0 AS DECIMAL(18,2))) AS Tonnage FROM spine s "
+          f"LEFT JOIN m ON s.Commodity IS NOT DISTINCT FROM m.Commodity AND s.m = m.m), "
+          f"trend AS (SELECT *, CASE WHEN COUNT(*) OVER wide = 13 THEN CAST(SUM(Tonnage) OVER wide + SUM(Tonnage) OVER narrow "
+          f"AS DECIMAL(18,2)) END AS t24 FROM dense WINDOW wide AS (PARTITION BY Commodity ORDER BY m RANGE BETWEEN 6 PRECEDING AND 6 FOLLOWING), "
+          f"narrow AS (PARTITION BY Commodity ORDER BY m RANGE BETWEEN 5 PRECEDING AND 5 FOLLOWING)), "
+          f"ratio AS (SELECT *, CASE WHEN t24 IS NOT NULL THEN {_scaled(_div_half_up('CAST(t24 * 100 AS BIGINT)', 24), 2)} END AS Trend, "
+          f"{_ratio('Tonnage * 24', 't24')} AS Ratio FROM trend), "
+          f"raw AS (SELECT Commodity, m % 12 + 1 AS moy, CASE WHEN COUNT(Ratio) > 0 THEN "
+          f"{_scaled(_div_half_up('CAST(SUM(Ratio) * 10000 AS BIGINT)', 'COUNT(Ratio)'), 4)} END AS raw FROM ratio GROUP BY 1, 2), "
+          f"idx AS (SELECT *, CASE WHEN SUM(raw) OVER w > 0 AND raw IS NOT NULL THEN "
+          f"{_scaled(_div_half_up('CAST(raw * 10000 AS BIGINT) * COUNT(raw) OVER w * 10000', 'CAST(SUM(raw) OVER w * 10000 AS BIGINT)'), 4)} "
+          f"END AS Seasonal_Index FROM raw WINDOW w AS (PARTITION BY Commodity)) "
+          f"SELECT r.Commodity, CAST((r.m // 12) * 100 + r.m % 12 + 1 AS INTEGER) AS Month_Key, Tonnage, Trend, Ratio, Seasonal_Index "
+          f"FROM ratio r JOIN idx i ON r.Commodity IS NOT DISTINCT FROM i.Commodity AND r.m % 12 + 1 = i.moy")
+def q_seasonal_demand(spark, sf):
+    """Monthly tonnage against its centred trend, and the seasonal index of each calendar month."""
+    return M.seasonal_demand(M.volume_by_commodity(fx.mart_lines(spark, sf)))
+
+
+def _hours_sql(us):
+    return _scaled(_div_half_up(f"(CAST({us} AS BIGINT) // 1000000) * 100", 3600), 2)
+
+
+_TRIP_ENDS_SQL = ("SELECT o_orderkey, o_orderdate AS a, MAX(l_shipdate) AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey "
+                  "GROUP BY 1, 2")
+# Every trip cut at 06:00, 18:00 and midnight: a row for each stretch of a day it touches.
+_PIECES_SQL = (f"SELECT o_orderkey, d, shift, date_diff('microsecond', GREATEST(a, lo), LEAST(b, hi)) AS us FROM ("
+               f"SELECT *, CAST(d AS TIMESTAMP) + to_hours(h) AS lo, CAST(d AS TIMESTAMP) + to_hours(k) AS hi FROM ("
+               f"SELECT *, CAST(unnest(generate_series(CAST(CAST(a AS DATE) AS TIMESTAMP), CAST(CAST(b AS DATE) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d "
+               f"FROM ({_TRIP_ENDS_SQL}) t WHERE a <= b) e, (VALUES (0, 6, 'NIGHT'), (6, 18, 'DAY'), (18, 24, 'NIGHT')) s(h, k, shift)) p "
+               f"WHERE lo < b AND hi > a")
+
+
+@register("trip_shift_hours",
+          f"SELECT o_orderkey AS DD_Trip_ID, {_dk('a')} AS Date_SKey, Total_Hours, Day_Hours, "
+          f"CAST(Total_Hours - Day_Hours AS DECIMAL(18,2)) AS Night_Hours FROM (SELECT t.o_orderkey, a, "
+          f"CASE WHEN a <= b THEN {_hours_sql('date_diff(' + chr(39) + 'microsecond' + chr(39) + ', a, b)')} END AS Total_Hours, "
+          f"CASE WHEN a <= b THEN {_hours_sql('COALESCE(day_us, 0)')} END AS Day_Hours FROM ({_TRIP_ENDS_SQL}) t LEFT JOIN ("
+          f"SELECT o_orderkey, SUM(us) AS day_us FROM ({_PIECES_SQL}) x WHERE shift = 'DAY' GROUP BY 1) y ON t.o_orderkey = y.o_orderkey) z")
+def q_trip_shift_hours(spark, sf):
+    """How each trip's hours divide into day and night."""
+    return M.trip_shift_hours(fx.mart_trips(spark, sf), fx.mart_lines(spark, sf))
+
+
+@register("calendar_shift_rollup",
+          f"SELECT Fiscal_Year, Fiscal_Quarter, Month_Key, Full_Date, Shift, "
+          f"GROUPING(Fiscal_Year, Fiscal_Quarter, Month_Key, Full_Date, Shift) AS Grouping_Level, {_hours_sql('SUM(us)')} AS Trip_Hours "
+          f"FROM (SELECT {_fy('d')} AS Fiscal_Year, {_fq('d')} AS Fiscal_Quarter, CAST(year(d) * 100 + month(d) AS INTEGER) AS Month_Key, "
+          f"d AS Full_Date, shift AS Shift, COALESCE(us, 0) AS us FROM (SELECT c.d, c.shift, x.us FROM (SELECT * FROM ("
+          f"SELECT CAST(unnest(generate_series((SELECT MIN(CAST(CAST(a AS DATE) AS TIMESTAMP)) FROM ({_TRIP_ENDS_SQL}) t WHERE a <= b), "
+          f"(SELECT MAX(CAST(CAST(b AS DATE) AS TIMESTAMP)) FROM ({_TRIP_ENDS_SQL}) t WHERE a <= b), INTERVAL 1 DAY)) AS DATE) AS d) e "
+          f"CROSS JOIN (VALUES ('DAY'), ('NIGHT')) v(shift)) c LEFT JOIN ({_PIECES_SQL}) x ON c.d = x.d AND c.shift = x.shift) y) z "
+          f"GROUP BY ROLLUP(Fiscal_Year, Fiscal_Quarter, Month_Key, Full_Date, Shift)")
+def q_calendar_shift_rollup(spark, sf):
+    """Hours on the road down to day and night of every date."""
+    from .operators import shifts
+    lines = fx.mart_lines(spark, sf).groupBy("Trip_ID").agg(F.max("Delivered").alias("Delivered"))
+    trips = fx.mart_trips(spark, sf).select("Trip_ID", "Trip_Date").join(lines, "Trip_ID")
+    return shifts.calendar_shift_rollup(shifts.shift_hours(trips, "Trip_Date", "Delivered"))
+
+
+@register("dim_date_shift",
+          f"SELECT CAST({_dk('d')} AS BIGINT) * 10 + n AS Shift_SKey, {_dk('d')} AS Date_SKey, shift AS Shift, "
+          f"CAST(d AS TIMESTAMP) + to_hours(h) AS Starts_At, CAST(d AS TIMESTAMP) + to_hours(k) AS Ends_At "
+          f"FROM (SELECT DISTINCT Full_Date AS d FROM ({ORACLE['dim_date']}) x) y, "
+          f"(VALUES (1, 0, 6, 'NIGHT'), (2, 6, 18, 'DAY'), (3, 18, 24, 'NIGHT')) s(n, h, k, shift)")
+def q_dim_date_shift(spark, sf):
+    from .operators import shifts
+    return shifts.dim_date_shift(q_dim_date(spark, sf))
+
+
 _DURATION = _scaled(_div_half_up("date_diff('second', o_orderdate, Delivered) * 100", 3600), 2)
 _ACTIVITY_SQL = (f"SELECT o_orderkey AS DD_Trip_ID, {_dk('o_orderdate')} AS Date_SKey, CAST(o_custkey AS INTEGER) AS Customer_ID, "
-                 f"t.Vehicle_ID, o_orderdate AS Trip_Date, t.Driver_ID, 'N' || CAST(c_nationkey AS VARCHAR) AS Branch_ID, "
+                 f"{_SITE} AS Address_ID, t.Vehicle_ID, o_orderdate AS Trip_Date, t.Driver_ID, 'N' || CAST(c_nationkey AS VARCHAR) AS Branch_ID, "
                  f"o_orderpriority AS Trip_Type, t.Commodity, t.Weight AS Cargo_Weight_Tons, t.Distance AS Trip_Distance_KM, "
                  f"{_DURATION} AS Trip_Duration_Hours FROM orders JOIN ({_TOTALS_SQL}) t ON o_orderkey = t.l_orderkey "
                  f"LEFT JOIN customer ON o_custkey = c_custkey")
-_LOGI_SQL = _keyed_sql(_ACTIVITY_SQL, ACTIVITY_KEYS, "Trip_Date, Driver_ID, Branch_ID, Trip_Type, Commodity")
+_LOGI_SQL = _keyed_sql(_ACTIVITY_SQL, ACTIVITY_KEYS, "Trip_Date, Address_ID, Driver_ID, Branch_ID, Trip_Type, Commodity")
 
 
 def _logistics(spark, sf):
-    return M.fact_logistics_operations(fx.mart_trips(spark, sf), fx.mart_lines(spark, sf), _key_dims(spark, sf, ACTIVITY_KEYS))
+    return M.fact_logistics_operations(fx.mart_trips(spark, sf), fx.mart_lines(spark, sf),
+                                       _key_dims(spark, sf, ACTIVITY_KEYS), TRIP_KEYS)
 
 
 @register("fact_logistics_operations", _LOGI_SQL)
@@ -816,14 +988,12 @@ def q_trip_drill_through(spark, sf):
 
 @register("licence_expiry_check",
           f"SELECT s.TripID, s.DriverID, s.TripDate, d.License_Number, d.License_Expiry_Date "
-          f"FROM ({O.stage_sql('facttrip')}) s JOIN ({_DRV_COMP_SQL.replace(dim_full_sql(DRIVER), dim_base_sql(DRIVER))}) d "
+          f"FROM ({O.stage_sql('facttrip')}) s JOIN ({_DRV_COMP_SQL}) d "
           f"ON s.DriverID = d.Driver_ID "
           f"WHERE s.TripDate > d.License_Expiry_Date")
 def q_licence_expiry_check(spark, sf):
-    """All trips against the licences as they stood at the load beneath the increment."""
-    from .operators.marts import licence_expiry_check
-    drivers = M.dim_driver_compliance(dim_base(spark, sf, DRIVER), fx.roster(spark, sf))
-    return licence_expiry_check(fx.stage_facttrip(spark, sf), drivers)
+    """All trips against the licences of all drivers."""
+    return M.licence_expiry_check(fx.stage_facttrip(spark, sf), _drv_comp(spark, sf))
 
 
 # --- W3-W5: publishing, watermarks, the tier runner ------------------------------------------
@@ -920,6 +1090,32 @@ def q_watermark_advance(spark, sf):
     return P.read_watermarks(spark, root, ["CUSTOMER"])
 
 
+# Without surrogate keys, which a backfill gives out slice by slice.
+@register("backfill_scd2_history",
+          f"SELECT * EXCLUDE (CustomerKey) FROM ({dim_full_sql(CUSTOMER)}) d")
+def q_backfill_scd2_history(spark, sf):
+    """The customer history loaded a year at a time, in three runs that go on from each other."""
+    from .plans.backfill import backfill_table
+    root, row = _warehouse(spark), {"TABLENAME": "CUSTOMER", "LOADTYPE": "SCD2"}
+    for n in (2, 3, None):
+        backfill_table(spark, row, fx.stage_customer(spark, sf), root, fx.DELTA_HI, fx.LOAD_TS, max_slices=n)
+    return P.read_table(spark, root, "CUSTOMER").drop("CustomerKey")
+
+
+@register("backfill_fact_history", f"SELECT * EXCLUDE (TripFactKey) FROM ({fact_full_sql()}) f")
+def q_backfill_fact_history(spark, sf):
+    """The trip fact loaded a year of change dates at a time, over fully loaded dimensions."""
+    from .plans.backfill import backfill_table
+    from .plans.control import control_seed
+    root, row = _warehouse(spark), {"TABLENAME": "FACTTRIP", "LOADTYPE": "FACT"}
+    L.bulk_load_all(spark, fixture_extractor(spark, sf), root, INC_CUTOFFS, fx.LOAD_TS,
+                    control=control_seed(spark, "full").where("LOADTYPE <> 'FACT'"))
+    source = fx.stage_facttrip(spark, sf, keep_modified=True)
+    for n in (4, None):
+        backfill_table(spark, row, source, root, fx.DELTA_HI, fx.LOAD_TS, max_slices=n)
+    return P.read_table(spark, root, "FACTTRIP").drop("TripFactKey")
+
+
 # --- streaming form of the increments (file landing -> foreachBatch) --------------------------
 
 LANDING_YEARS = (1999, 2000, 2001)
@@ -955,6 +1151,33 @@ def q_streaming_scd2_increments(spark, sf):
     return P.read_table(spark, root, "CUSTOMER")
 
 
+def _fact_arrivals():
+    return [(fx.FULL_CUTOFF, "1999-12-31 23:59:59.999999"), ("1999-12-31 23:59:59.999999", fx.DELTA_HI)]
+
+
+def _streamed_fact_sql():
+    q = fact_base_sql()
+    for lo, hi in _fact_arrivals():
+        q = O.fact_inc_sql(q, O.stage_sql("facttrip", lo, hi), dims_for_fact_base_sql())
+    return q
+
+
+@register("streaming_fact_increments", _streamed_fact_sql())
+def q_streaming_fact_increments(spark, sf):
+    """Full loads, then trips landing in two arrivals, each an increment of the fact."""
+    from .session import scratch_dir
+    from .streaming.landing import fact_batch_loader, run_landing_stream
+    root = _warehouse(spark)
+    landing, checkpoint = scratch_dir(spark, "landing"), scratch_dir(spark, "stream-ckpt")
+    L.bulk_load_all(spark, fixture_extractor(spark, sf, base=True), root, BULK_CUTOFFS, fx.LOAD_TS)
+    load = fact_batch_loader(root, FACTTRIP, fx.LOAD_TS, stream_id=checkpoint, date_col="ModifiedDate")
+    for i, (lo, hi) in enumerate(_fact_arrivals()):
+        rows = fx.stage_facttrip(spark, sf, lo, hi, keep_modified=True)
+        rows.write.parquet(f"{landing}/arrival_{i}")
+        run_landing_stream(spark, landing, rows.schema, load, checkpoint)
+    return P.read_table(spark, root, "FACTTRIP")
+
+
 # --- W2: unknown members as loaded ------------------------------------------------------------
 
 def _unknown_cols(spec):

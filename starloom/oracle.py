@@ -72,14 +72,14 @@ def stage_sql(name: str, lo: str | None = None, hi: str | None = None, keep_modi
                 f"CAST(l_extendedprice AS DECIMAL(18,2)) AS Revenue, o_orderdate AS TripDate{extra} "
                 f"FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE {window_sql('l_shipdate', lo, hi)}")
     if name == "fleet_asset":
-        return (f"SELECT CAST(l_partkey AS INTEGER) AS Vehicle_ID, p_type AS Model, "
+        return (f"SELECT CAST(l_suppkey AS INTEGER) AS Vehicle_ID, 'MODEL-' || CAST(s_nationkey AS VARCHAR) AS Model, "
                 f"CASE WHEN l_linestatus = 'F' THEN 'OWN' ELSE 'VENDOR' END AS Ownership_Type, "
-                f"l_shipdate AS ModifiedDate FROM lineitem JOIN part ON l_partkey = p_partkey "
+                f"l_shipdate AS ModifiedDate FROM lineitem JOIN supplier ON l_suppkey = s_suppkey "
                 f"WHERE {window_sql('l_shipdate', lo, hi)}")
     if name == "driver_history":
-        return (f"SELECT CAST(l_suppkey AS INTEGER) AS Driver_ID, 'LIC-' || l_returnflag || l_linestatus AS License_Number, "
-                f"'NATION-' || CAST(s_nationkey AS VARCHAR) AS Branch, l_shipdate AS ModifiedDate "
-                f"FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE {window_sql('l_shipdate', lo, hi)}")
+        return (f"SELECT CAST(l_partkey AS INTEGER) AS Driver_ID, 'LIC-' || l_returnflag || l_linestatus AS License_Number, "
+                f"'BRANCH-' || p_brand AS Branch, l_shipdate AS ModifiedDate "
+                f"FROM lineitem JOIN part ON l_partkey = p_partkey WHERE {window_sql('l_shipdate', lo, hi)}")
     raise KeyError(name)
 
 

@@ -122,24 +122,26 @@ def stage_facttrip(spark, sf_dir, lo=None, hi=None, keep_modified=False) -> Data
 
 
 def stage_fleet_asset(spark, sf_dir, lo=None, hi=None) -> DataFrame:
-    """Vehicle history (documented SCD2 fleet dimension): model and ownership per change."""
-    li = _lineitem(spark, sf_dir, lo, hi, ["l_partkey", "l_linestatus", "l_shipdate"])
-    pa = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    return li.join(pa, li.l_partkey == pa.p_partkey).select(
-        F.col("l_partkey").cast(INT).alias("Vehicle_ID"),
-        F.col("p_type").alias("Model"),
-        F.when(F.col("l_linestatus") == "F", F.lit("OWN")).otherwise(F.lit("VENDOR")).alias("Ownership_Type"),
+    """Vehicle history (documented SCD2 fleet dimension): model and ownership per change.  The
+    marts' vehicles are the suppliers' trucks."""
+    li = _lineitem(spark, sf_dir, lo, hi, ["l_suppkey", "l_linestatus", "l_shipdate"])
+    su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return li.join(su, li.l_suppkey == su.s_suppkey).select(
+        F.col("l_suppkey").cast(INT).alias("Vehicle_ID"),
+        F.concat(F.lit("MODEL-"), F.col("s_nationkey").cast(STR)).alias("Model"),
+        ownership_type().alias("Ownership_Type"),
         F.col("l_shipdate").cast(TS).alias("ModifiedDate"))
 
 
 def stage_driver_history(spark, sf_dir, lo=None, hi=None) -> DataFrame:
-    """Driver history (documented SCD2 driver dimension): licence and branch per change."""
-    li = _lineitem(spark, sf_dir, lo, hi, ["l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate"])
-    su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return li.join(su, li.l_suppkey == su.s_suppkey).select(
-        F.col("l_suppkey").cast(INT).alias("Driver_ID"),
+    """Driver history (documented SCD2 driver dimension): licence and branch per change.  The
+    marts' drivers are the parts' handlers."""
+    li = _lineitem(spark, sf_dir, lo, hi, ["l_partkey", "l_returnflag", "l_linestatus", "l_shipdate"])
+    pa = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    return li.join(pa, li.l_partkey == pa.p_partkey).select(
+        F.col("l_partkey").cast(INT).alias("Driver_ID"),
         F.concat(F.lit("LIC-"), F.col("l_returnflag"), F.col("l_linestatus")).alias("License_Number"),
-        F.concat(F.lit("NATION-"), F.col("s_nationkey").cast(STR)).alias("Branch"),
+        F.concat(F.lit("BRANCH-"), F.col("p_brand")).alias("Branch"),
         F.col("l_shipdate").cast(TS).alias("ModifiedDate"))
 
 
@@ -159,7 +161,7 @@ def mart_lines(spark, sf_dir) -> DataFrame:
     price = F.col("l_extendedprice").cast(DEC18_2)
     return li.join(pa, li.l_partkey == pa.p_partkey, "left").select(
         F.col("l_orderkey").alias("Trip_ID"), F.col("l_linenumber").alias("Line_No"),
-        F.col("l_partkey").cast(INT).alias("Vehicle_ID"), F.col("l_suppkey").cast(INT).alias("Driver_ID"),
+        F.col("l_suppkey").cast(INT).alias("Vehicle_ID"), F.col("l_partkey").cast(INT).alias("Driver_ID"),
         F.col("p_type").alias("Commodity"), ownership_type().alias("Ownership_Type"),
         F.col("l_quantity").cast(DEC10_2).alias("Weight"),
         (price * F.lit("0.01").cast(T.DecimalType(3, 2))).cast(DEC10_2).alias("Distance"),
@@ -173,11 +175,33 @@ def mart_trips(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return o.join(c, o.o_custkey == c.c_custkey, "left").select(
         F.col("o_orderkey").alias("Trip_ID"), F.col("o_orderdate").cast(TS).alias("Trip_Date"),
-        F.col("o_custkey").cast(INT).alias("Customer_ID"), F.col("o_orderpriority").alias("Trip_Type"),
+        F.col("o_custkey").cast(INT).alias("Customer_ID"), _site_id().alias("Address_ID"), F.col("o_orderpriority").alias("Trip_Type"),
         F.col("o_totalprice").cast(DEC18_2).alias("Billed"),
         F.concat(F.lit("N"), F.col("c_nationkey").cast(STR)).alias("Branch_ID"))
 
 
+def _months_run(spark, sf_dir, key: str) -> DataFrame:
+    """Every month in which a vehicle or driver had a line."""
+    li = table(spark, sf_dir, "lineitem").select(key, "l_shipdate")
+    return li.select(key, (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("Month_Key")).distinct()
+
+
+def maintenance_bills(spark, sf_dir) -> DataFrame:
+    """The workshop's bill of each vehicle and month it ran: a sum set per truck."""
+    su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    m = _months_run(spark, sf_dir, "l_suppkey")
+    return m.join(su, m.l_suppkey == su.s_suppkey).select(
+        F.col("l_suppkey").cast(INT).alias("Vehicle_ID"), "Month_Key", F.abs(F.col("s_acctbal").cast(DEC18_2)).cast(DEC18_2).alias("Amount"))
+
+
+def base_pay(spark, sf_dir) -> DataFrame:
+    """Base pay of each driver and month driven."""
+    pa = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    m = _months_run(spark, sf_dir, "l_partkey")
+    return m.join(pa, m.l_partkey == pa.p_partkey).select(
+        F.col("l_partkey").cast(INT).alias("Driver_ID"), "Month_Key", F.col("p_retailprice").cast(DEC18_2).alias("Amount"))
+
+
 def branch_nodes(spark, sf_dir) -> DataFrame:
     """Parent/child list of branches on three levels: region, nation, supplier site."""
     def node(name, prefix, key, label, parent, level):
@@ -189,11 +213,19 @@ def branch_nodes(spark, sf_dir) -> DataFrame:
         .unionByName(node("supplier", "S", "s_suppkey", "s_name", F.concat(F.lit("N"), F.col("s_nationkey").cast(STR)), "SITE"))
 
 
-def customer_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _site_id():
+    """A customer's delivery site: one for each kind of order the customer places."""
+    return (F.col("o_custkey") * 10 + F.substring("o_orderpriority", 1, 1).cast(INT)).cast(INT)
+
+
+def customer_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Customers, their delivery sites, nations and regions.  A site's nation follows from its id."""
+    sites = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast(INT).alias("Customer_ID"), _site_id().alias("Address_ID"),
+                                                  F.concat(F.lit("GATE "), F.col("o_orderpriority")).alias("Site_Name")).distinct()
     return (table(spark, sf_dir, "customer").select(
                 F.col("c_custkey").cast(INT).alias("Customer_ID"), F.col("c_name").alias("Customer_Name"),
-                F.col("c_mktsegment").alias("Customer_Type"), F.col("c_acctbal").cast(DEC18_2).alias("Credit_Limit"),
-                F.col("c_nationkey").alias("Nation_ID")),
+                F.col("c_mktsegment").alias("Customer_Type"), F.col("c_acctbal").cast(DEC18_2).alias("Credit_Limit")),
+            sites.withColumn("Nation_ID", F.col("Address_ID") % 25),
             table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("Nation_ID"), F.col("n_name").alias("Nation_Name"),
                                                   F.col("n_regionkey").alias("Region_ID")),
             table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("Region_ID"), F.col("r_name").alias("Region_Name")))
@@ -205,8 +237,11 @@ def permits(spark, sf_dir) -> DataFrame:
         F.col("p_brand").alias("Permit_Class"), F.col("p_retailprice").cast(DEC18_2).alias("Insured_Value"))
 
 
-def roster(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("Driver_ID"), F.col("s_nationkey").alias("Branch_Nation"))
+def licences(spark, sf_dir) -> DataFrame:
+    """A licence per driver; when it expires follows from the branch's nation."""
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("Driver_ID"), F.col("s_nationkey").alias("Branch_Nation"),
+        F.date_add(F.lit("1994-01-01").cast("date"), (F.col("s_nationkey") * 100).cast(INT)).cast(TS).alias("License_Expiry_Date"))
 
 
 STAGERS = {
@@ -221,18 +256,18 @@ def full_window(name: str) -> tuple[str | None, str | None]:
     return None, EMP_FULL_CUTOFF if name == "employee" else FULL_CUTOFF
 
 
-# (base up to, delta from, delta to) of the SCD1 merges: the delta overlaps the base, so it holds
-# new keys, newer rows and stale ones.
+# (base up to, delta from) of the SCD1 merges: the delta overlaps the base, so it holds stale rows
+# beside new keys and newer rows, and goes on to the end of the source.
 MERGE_WINDOWS = {
-    "employee": ("2024-01-01 12:00:00", "2024-01-01 06:00:00", "2024-01-01 18:00:00"),
-    "driver": ("1995-01-06 00:00:00", "1995-01-03 00:00:00", "1995-01-09 00:00:00"),
-    "truck": (FULL_CUTOFF, "1998-01-01 00:00:00", DELTA_HI),
+    "employee": ("2024-01-01 12:00:00", "2024-01-01 06:00:00"),
+    "driver": ("1995-01-06 00:00:00", "1995-01-03 00:00:00"),
+    "truck": (FULL_CUTOFF, "1998-01-01 00:00:00"),
 }
 
 
 def merge_windows(name: str):
-    base_hi, lo, hi = MERGE_WINDOWS[name]
-    return (None, base_hi), (lo, hi)
+    base_hi, lo = MERGE_WINDOWS[name]
+    return (None, base_hi), (lo, None)
 
 
 def delta_window(name: str) -> tuple[str, str]:
