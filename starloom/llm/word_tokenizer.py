@@ -3,8 +3,9 @@
 White space never enters a token of this tokenizer and is dropped, so the ids of a text are
 those of its chunks in order, and a chunk is encoded once per worker.  A new chunk of plain
 Latin characters goes through the vocabulary's merges (run by the byte-pair encoder of the
-tiktoken library, with the word end as a byte of its own that merges first); any other chunk
-goes through the tokenizers library itself, which also owns normalisation.
+tiktoken library, with the word end as a byte of its own that merges first); any other chunk,
+and one that holds the text of an added token, goes through the tokenizers library itself, which
+also owns normalisation.
 """
 from __future__ import annotations
 
@@ -48,7 +49,6 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self._full = Tokenizer.from_file(path)
-        self._full.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
@@ -66,6 +66,8 @@ class WordTokenizer:
             a, b = merge if isinstance(merge, list) else merge.split(" ")
             ranks.setdefault(raw(a) + raw(b), len(ranks))
         special = {t["content"] for t in spec["added_tokens"]}
+        # No text holds what this finds if nothing was added.
+        self._added = regex.compile("|".join(regex.escape(t.lower()) for t in sorted(special)) or "(?!)")
         id_of = {raw(t): i for t, i in vocab.items() if t not in special}
         zero = np.zeros(1, dtype="<u4").tobytes()
         self._ids = [zero] * (max(ranks.values()) + 1)
@@ -78,9 +80,10 @@ class WordTokenizer:
 
     def _chunk(self, chunk: str) -> bytes:
         if _PLAIN.fullmatch(chunk):
-            ids = self._ids
-            return b"".join([ids[r] for piece in self._split.findall(chunk.lower())
-                             for r in self._pieces(piece.encode() + _END)])
+            ids, lowered = self._ids, chunk.lower()
+            if not self._added.search(lowered):
+                return b"".join([ids[r] for piece in self._split.findall(lowered)
+                                 for r in self._pieces(piece.encode() + _END)])
         return np.asarray(self._full.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:

@@ -34,9 +34,7 @@ def word_tokenizer():
 
 @pytest.fixture(scope="module")
 def word_library():
-    t = Tokenizer.from_file(WORD_BPE)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(WORD_BPE)          # as it is, added tokens included
 
 
 def test_tree_equals_library_at_any_leaf(library, small_leaves, corpus):
@@ -106,7 +104,9 @@ def test_word_tokenizer_equals_library(word_tokenizer, word_library, corpus):
     rng = random.Random(4)
     letters = [chr(c) for c in [*range(33, 127), *range(160, 256), 0x300, 0x3a3, 0x130, 0x2003, 0x1c, 9, 10, 32]]
     texts = [t or "" for _, t in corpus] + ["".join(rng.choice(letters) for _ in range(rng.randrange(40))) for _ in range(1500)]
-    texts += ["a <|endoftext|> b", "ΟΔΟΣ ΟΔΟΣ. İstanbul", "don't I'LL 12345 &&&"]
+    texts += ["a <|endoftext|> b", "ΟΔΟΣ ΟΔΟΣ. İstanbul", "don't I'LL 12345 &&&", "x<|endoftext|>y", "<|EndOfText|>", "<|startoftext|>",
+              "<|startoftext|><|endoftext|>", "<|endoftext|", "é<|endoftext|>\n<|endoftext|>", "pre<|StartOfText|>post"]
+    assert word_library.encode("a <|endoftext|> b", add_special_tokens=False).ids[1] == word_library.token_to_id("<|endoftext|>")
     for t in texts:
         assert np.frombuffer(word_tokenizer.encode(t), "<u4").tolist() == word_library.encode(t, add_special_tokens=False).ids
 
