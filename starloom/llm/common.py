@@ -33,9 +33,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     staged = df.sparkSession.read.schema(df.schema).parquet(path)
     staged._staged_at = path
+    fs, hpath = _file_system(df.sparkSession, path)
+    fs.deleteOnExit(hpath)                       # unless ``unstage`` comes first
     return staged
 
 
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
+
+
+def lowest_hashes(n: int, wanted: int) -> int:
+    """A bound of a 64-bit hash of ids below which more than ``wanted`` of ``n`` ids lie (all of
+    them if there are no more), though not many more."""
+    share = min(1.0, (1.5 * wanted + 100) / max(n, 1))
+    return 2 ** 63 - 1 if share == 1 else int(-2 ** 63 + share * 2 ** 64)
+
+
 def id_bucket(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (null ids: bucket of the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus
@@ -71,6 +85,5 @@ def text_chunks(texts: list[str], limit: int = 1 << 20, overlap: int = 0):
 
 def unstage(df: DataFrame) -> None:
     """Delete a staged table that no later job reads."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(df._staged_at)
-    path.getFileSystem(conf).delete(path, True)
+    fs, path = _file_system(df.sparkSession, df._staged_at)
+    fs.delete(path, True)

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import code_points, small_batches, text_chunks
+from .common import code_points, lowest_hashes, small_batches, text_chunks
 
 #: Hashed dimensions of the n-grams; one more, of weight 0, takes what is not an n-gram.
 DIMS = 1 << 15
@@ -231,24 +231,34 @@ def learn(docs: DataFrame, usable: Column, sample_rows: int = SAMPLE_ROWS) -> La
     docs = docs.select("doc_id", "lang", "text")
     labelled = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()) \
         .select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-    n_langs = labelled.select("lang").distinct().count()
-    if not n_langs:
+    counts = labelled.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()    # a row per language
+    if not counts:
         return LanguageModel([], {}, [], {})
-    per_lang = max(20, sample_rows // n_langs)
+    per_lang = max(20, sample_rows // len(counts))
+    # Ids beyond these hashes can't be among the lowest: what is ranked is bounded, however often
+    # an id is repeated.
+    bound = F.lit(None).cast("long")
+    for r in counts:
+        bound = F.when(F.col("lang") == r["lang"], lowest_hashes(r["n"], per_lang)).otherwise(bound)
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    picked = labelled.withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_lang) \
-        .select(F.col("doc_id").alias("picked"), F.col("lang").alias("as_lang")).distinct()
+    picked = labelled.where(F.col("h") <= bound).distinct().withColumn("r", F.row_number().over(first)) \
+        .where(F.col("r") <= per_lang).select(F.col("doc_id").alias("picked"), F.col("lang").alias("as_lang"))
 
-    @F.pandas_udf("at array<int>, share array<double>")
+    @F.pandas_udf("at binary, share binary")
     def ngram_shares(texts: pd.Series) -> pd.DataFrame:
         found = [features(t) if has_letter(t) else (np.zeros(0, np.int64), np.zeros(0)) for t in texts]
-        return pd.DataFrame({"at": [a.astype(np.int32) for a, _ in found], "share": [v for _, v in found]})
+        return pd.DataFrame({"at": [a.astype(np.int32).tobytes() for a, _ in found], "share": [v.tobytes() for _, v in found]})
 
-    # At most sample_rows ids: a broadcast of bounded size.
+    # At most sample_rows ids: a broadcast of bounded size.  Of rows with the same id and language
+    # one is learned from, that of the lowest hash of the text.
     rows = docs.join(F.broadcast(picked), (F.col("doc_id") == F.col("picked")) & (F.col("lang") == F.col("as_lang"))) \
-        .select("doc_id", "lang", ngram_shares("text").alias("f")).collect()
-    rows = sorted((r for r in rows if r["f"]["at"]), key=lambda r: (r["lang"], r["doc_id"]))
-    return LanguageModel.train([(r["lang"], (np.asarray(r["f"]["at"]), np.asarray(r["f"]["share"]))) for r in rows])
+        .groupBy("doc_id", "lang").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("t")) \
+        .select("doc_id", "lang", ngram_shares("t.text").alias("f")).select("doc_id", "lang", "f.at", "f.share").toArrow()
+    order = sorted(zip(rows["lang"].to_pylist(), rows["doc_id"].to_pylist(), range(rows.num_rows)))
+    at, share = rows["at"].combine_chunks(), rows["share"].combine_chunks()
+    learned = [(lang, (np.frombuffer(at[k].as_buffer(), np.int32), np.frombuffer(share[k].as_buffer(), np.float64)))
+               for lang, _, k in order if at[k].as_buffer().size]
+    return LanguageModel.train(learned)
 
 
 def predict(docs: DataFrame, model: LanguageModel, out: str = "lang_id") -> DataFrame:

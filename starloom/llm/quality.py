@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import code_points, small_batches
+from .common import code_points, lowest_hashes, small_batches
 
 #: Labelled rows to learn from.
 SAMPLE_ROWS = 12_000
@@ -217,16 +217,22 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qual
     the id.  An id labelled both ways counts for either."""
     small_batches(docs.sparkSession)
     marks = labels.select("doc_id", F.col(label).alias("mark")).where(F.col("mark").isin(0, 1)).distinct()
-    ids = docs.select("doc_id").where(usable).join(marks, "doc_id")
-    picked = ids.orderBy(F.xxhash64("doc_id"), "doc_id", "mark").limit(sample_rows).distinct()
+    ids = docs.select("doc_id").where(usable).join(marks, "doc_id").select("doc_id", "mark", F.xxhash64("doc_id").alias("h"))
+    # Ids beyond this hash can't be among the lowest: what is sorted is bounded, however often an
+    # id is repeated.
+    n = ids.agg(F.approx_count_distinct(F.struct("doc_id", "mark"))).first()[0]
+    picked = ids.where(F.col("h") <= lowest_hashes(n, sample_rows)).distinct().orderBy("h", "doc_id", "mark").limit(sample_rows) \
+        .select("doc_id", "mark")
 
     @F.pandas_udf("array<double>")
     def shape(texts: pd.Series) -> pd.Series:
         return pd.Series([text_features(t) for t in texts])
 
-    # At most sample_rows ids: a broadcast of bounded size.
+    # At most sample_rows ids: a broadcast of bounded size.  Of rows with the same id one is learned
+    # from for each label, that of the lowest hash of the text.
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id") \
-        .select("doc_id", "mark", shape("text").alias("x")).collect()
+        .groupBy("doc_id", "mark").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("t")) \
+        .select("doc_id", "mark", shape("t.text").alias("x")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["mark"], r["x"]))
     return train(np.asarray([r["x"] for r in rows], float).reshape(len(rows), len(FEATURES)),
                  np.asarray([r["mark"] for r in rows], float))
