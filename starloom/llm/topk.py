@@ -6,6 +6,9 @@ of the means).  Summed over the segments, this bounds the score from above, that
 negative as a distance from below, by a product of short vectors.  Levels go from few segments
 to many: a query's best candidates by the coarse bound are scored exactly and set a threshold;
 who stays under it at some level is out; survivors of the finest level are scored exactly.
+Where a level leaves most pairs of a block in, as it does on vectors whose energy is spread
+evenly over their components, the next step is one product for the whole block instead of one
+per pair, and only what reaches a query's ``k``-th score is sorted.
 
 Queries and candidates meet in blocks: a grid of query blocks and candidate blocks is joined
 by cell, each cell keeps every query's ``k`` best, and the best of those follow by a ranking
@@ -16,8 +19,8 @@ below 2**53, whole numbers of any size beyond; results saturate at 64 bits).
 
 Defined cases: a vector that is null or empty or has a null or non-finite component takes no
 part; vectors only meet vectors of their own length; ties go to the smaller vec_id; a query
-with fewer candidates returns them all; a repeated candidate row counts as often as it occurs,
-a repeated query row once; rows without a vec_id take no part; an empty table gives no rows;
+with fewer candidates returns them all; a repeated candidate row counts as often as it occurs (copies
+beyond the ``k``-th can't be among the ``k`` best), a repeated query row once; rows without a vec_id take no part; an empty table gives no rows;
 other columns are ignored.
 """
 from __future__ import annotations
@@ -33,6 +36,8 @@ LEVELS = (4, 16)
 QUERY_BLOCK, ROW_BLOCK = 2048, 4096
 #: Queries that go through the levels together.
 _TOGETHER = 256
+#: Above this share of a block's pairs, one product for all is cheaper than one per pair.
+MOST = 0.1
 
 
 def segment_stats(v: np.ndarray, segments: int) -> np.ndarray:
@@ -43,9 +48,7 @@ def segment_stats(v: np.ndarray, segments: int) -> np.ndarray:
 
 
 def _pair_products(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """a[i] . b[j] for many pairs; as a whole product where most pairs are wanted."""
-    if len(i) > 0.2 * len(a) * len(b):
-        return (a @ b.T)[i, j]
+    """a[i] . b[j] for many pairs."""
     out = np.empty(len(i), dtype=np.result_type(a, b))
     for lo in range(0, len(i), 100_000):
         s = slice(lo, lo + 100_000)
@@ -53,6 +56,21 @@ def _pair_products(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -
     return out
 
 
+def _kth(values: np.ndarray, k: int) -> np.ndarray:
+    """Each row's k-th largest value (the least, if there are fewer)."""
+    return np.partition(values, max(values.shape[1] - k, 0), axis=1)[:, max(values.shape[1] - k, 0)]
+
+
+def _survivors(q, x, keep: np.ndarray, k: int, exact: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, candidate, score) of the pairs in ``keep`` that can be among a row's ``k`` best."""
+    if not exact or keep.mean() <= MOST:
+        i, j = np.nonzero(keep)
+        return i, j, _pair_products(q, x, i, j)
+    score = np.where(keep, q @ x.T, -np.inf)
+    i, j = np.nonzero(keep & (score >= _kth(score, k)[:, None]))
+    return i, j, score[i, j]
+
+
 def best_of_block(q_ids, q, x_ids, x, k: int, levels=LEVELS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, candidate row, score) of each query's ``k`` best candidates."""
     largest = max(np.abs(q).max(initial=0), np.abs(x).max(initial=0))
@@ -63,27 +81,27 @@ def best_of_block(q_ids, q, x_ids, x, k: int, levels=LEVELS) -> tuple[np.ndarray
     found = []
     for lo in range(0, len(q), _TOGETHER):
         part = slice(lo, lo + _TOGETHER)
-        bound = q_stats[0][part] @ x_stats[0].T
-        bound[q_ids[part][:, None] == x_ids[None, :]] = -np.inf
-        n = len(bound)
-        seeds = min(len(x), 2 * k)
+        other = q_ids[part][:, None] != x_ids[None, :]
+        bound = np.where(other, q_stats[0][part] @ x_stats[0].T, -np.inf)
+        n, seeds = len(bound), min(len(x), 2 * k)
         top = np.argpartition(-bound, seeds - 1, axis=1)[:, :seeds]
-        i = np.repeat(np.arange(n), seeds)
-        first = _pair_products(qe[part], xe, i, top.ravel()).astype(float).reshape(n, seeds)
-        first[np.isneginf(np.take_along_axis(bound, top, 1))] = -np.inf
-        limit = np.sort(first, axis=1)[:, -k] if seeds >= k else np.full(n, -np.inf)
-        limit = limit - slack
-        i, j = np.nonzero((bound >= limit[:, None]) & ~np.isneginf(bound))
+        first = _pair_products(qe[part], xe, np.repeat(np.arange(n), seeds), top.ravel()).astype(float).reshape(n, seeds)
+        first[~np.take_along_axis(other, top, 1)] = -np.inf
+        limit = (_kth(first, k) if seeds >= k else np.full(n, -np.inf)) - slack
+        keep = other & (bound >= limit[:, None])
         for qs, xs in zip(q_stats[1:], x_stats[1:]):
-            keep = _pair_products(qs[part], xs, i, j) >= limit[i]
-            i, j = i[keep], j[keep]
-        score = _pair_products(qe[part], xe, i, j)
+            if keep.mean() > MOST:
+                keep &= qs[part] @ xs.T >= limit[:, None]
+            else:
+                i, j = np.nonzero(keep)
+                keep[i, j] = _pair_products(qs[part], xs, i, j) >= limit[i]
+        i, j, score = _survivors(qe[part], xe, keep, k, exact)
         order = np.lexsort((x_ids[j], -score.astype(float), i)) if exact else \
             np.asarray(sorted(range(len(i)), key=lambda t: (i[t], -score[t], x_ids[j[t]])), dtype=np.int64)
         i, j, score = i[order], j[order], score[order]
         rank = np.arange(len(i)) - np.searchsorted(i, i, side="left")
-        keep = rank < k
-        found.append((i[keep] + lo, j[keep], score[keep]))
+        best = rank < k
+        found.append((i[best] + lo, j[best], score[best]))
     return tuple(np.concatenate([f[c] for f in found]) for c in range(3))
 
 
@@ -102,8 +120,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64) -
     usable = vectors.select("vec_id", e.alias("e")).where(
         F.col("vec_id").isNotNull() & (F.size("e") > 0)
         & F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))))
-    rows = usable.select("vec_id", F.size("e").alias("length"), "e", F.xxhash64("vec_id", "e").alias("h"))
-    queries = rows.where(is_query).dropDuplicates(["vec_id", "e"])
+    # Equal rows are one row that counts n times (counted map side first): copies never fill a block.
+    rows = usable.groupBy("vec_id", "e").agg(F.count(F.lit(1)).alias("n")) \
+        .select("vec_id", F.size("e").alias("length"), "e", "n", F.xxhash64("vec_id", "e").alias("h"))
+    queries = rows.where(is_query)
     n_rows, n_queries = rows.agg(F.count(F.lit(1)), F.sum(is_query.cast("long"))).first()
     across = max(1, -(-(n_rows or 0) // ROW_BLOCK))
     down = max(1, -(-(n_queries or 0) // QUERY_BLOCK))
@@ -111,7 +131,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64) -
     def blocks(df, own, n_own, other, n_other):
         return (df.withColumn(own, F.pmod("h", F.lit(n_own)).cast("int"))
                   .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
-                  .select("row", "col", "vec_id", "h", "length",
+                  .select("row", "col", "vec_id", "h", "length", "n",
                           F.transform("e", lambda x: F.lit(float(scale)) * x).alias("v")))
 
     def cell(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
@@ -122,12 +142,15 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64) -
             qh = q.loc[q["length"] == length, "h"].to_numpy()
             i, j, score = best_of_block(qi, np.floor(qv), xi, np.floor(xv), k)
             score = np.asarray([min(max(int(s), -2 ** 63), 2 ** 63 - 1) for s in score], dtype=np.int64)
-            out.append(pd.DataFrame({"query_id": qi[i], "h": qh[i], "vec_id": xi[j], "score": score}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "h": [], "vec_id": [], "score": []}, dtype="int64")
+            xn = x.loc[x["length"] == length, "n"].to_numpy()
+            out.append(pd.DataFrame({"query_id": qi[i], "h": qh[i], "vec_id": xi[j], "score": score, "n": xn[j]}))
+        return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("query_id", "h", "vec_id", "score", "n")}, dtype="int64")
 
     left = blocks(queries, "row", down, "col", across).groupBy("row", "col")
     right = blocks(rows, "col", across, "row", down).groupBy("row", "col")
-    best = left.cogroup(right).applyInPandas(cell, "query_id long, h long, vec_id long, score long")
+    best = left.cogroup(right).applyInPandas(cell, "query_id long, h long, vec_id long, score long, n long")
     order = Window.partitionBy("query_id", "h").orderBy(F.col("score").desc(), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
+    best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    copies = best.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))))
+    return copies.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")

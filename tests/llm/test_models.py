@@ -44,6 +44,20 @@ def test_language_edge_cases(frame):
     assert language.predict(frame([]).select("doc_id", "text"), model).count() == 0
 
 
+def test_language_learns_from_repeated_ids(spark):
+    """One id on most rows, also under two languages and with many texts, is one row a language."""
+    docs = [(k, f"the house and the water {k}", "en") for k in range(40)] + [(k, f"das haus und der garten {k}", "de") for k in range(40, 80)]
+    many = [(1000, "the house of one id", "en")] * 5000 + [(1000, f"das haus einer id {k}", "de") for k in range(3000)]
+    schema = "doc_id long, text string, lang string"
+    few = language.learn(spark.createDataFrame(docs + [many[0]], schema), F.lit(True))
+    model = language.learn(spark.createDataFrame(docs + many, schema), F.lit(True), sample_rows=60)
+    for m in (few, model):
+        assert m.predict(["the water and the house", "der garten und das haus"])[0] == ["en", "de"]
+    every = spark.createDataFrame(docs, schema)
+    assert np.array_equal(language.learn(every, F.lit(True)).within["Germanic"][0].weights,
+                          language.learn(every.unionByName(every), F.lit(True)).within["Germanic"][0].weights)
+
+
 def test_prediction_does_not_depend_on_the_batch():
     rows = [("en", language.features("the house and the water")), ("fr", language.features("la maison et les eaux"))] * 4
     model = language.LanguageModel.train(rows)
@@ -79,6 +93,19 @@ def test_quality_edge_cases(spark, frame, corpus):
     assert quality.score(frame([]), model).count() == 0
 
 
+def test_quality_learns_from_repeated_ids(spark):
+    """An id repeated 20,000 times, with one text or many, is one row."""
+    good = [(k, " ".join(f"a sentence of words number {k} here." for _ in range(20))) for k in range(60)]
+    bad = [(k, "$$$ 999 ### " * (k % 7 + 1)) for k in range(100, 160)]
+    labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad] + [(7777, 0)], "doc_id long, quality int")
+    plain = spark.createDataFrame(good + bad, "doc_id long, text string")
+    hot = plain.unionByName(spark.range(20_000).select(F.lit(7777).alias("doc_id"), F.concat(F.lit("### 1 "), (F.col("id") % 50).cast("string")).alias("text")))
+    for docs in (plain, hot):
+        model = quality.learn(docs, labels, F.lit(True), sample_rows=500)
+        scores = model.score(np.asarray([quality.text_features(good[3][1]), quality.text_features(bad[3][1])]))
+        assert scores[0] > 0.9 and scores[1] < 0.1
+
+
 def test_features_do_not_depend_on_segments():
     rng = random.Random(2)
     text = "".join(rng.choice("aB1 \n!|.&é") for _ in range(500))
@@ -199,3 +226,20 @@ def test_bounds_hold():
     exact = a @ b.T
     for s in (1, 4, 16, 50, 99):
         assert (topk.segment_stats(a, s) @ topk.segment_stats(b, s).T >= exact - 1e-9).all()
+
+
+def test_top_k_with_clashing_columns_and_many_copies(spark, monkeypatch):
+    """Copies of one row fill no block, other columns are ignored, and evenly spread vectors (which
+    no level rules out) go through whole products."""
+    monkeypatch.setattr(topk, "ROW_BLOCK", 64)
+    rng = random.Random(6)
+    v = {i: [rng.randrange(-64, 64) / 64 for _ in range(16)] for i in range(200)}
+    rows = [(i, v[i], 1, 2, 3, "v", 4, 5, 6) for i in range(200)] + [(7, v[7], 1, 2, 3, "v", 4, 5, 6)] * 900
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, h int, length int, row int, e string, n int, rank int, copy int")
+    got = sorted(tuple(r) for r in topk.search(df, F.col("vec_id") % 20 == 0, k=20).collect())
+    want = []
+    for q in range(0, 200, 20):
+        score = lambda i: sum(math.floor(64 * a) * math.floor(64 * b) for a, b in zip(v[q], v[i]))
+        every = sorted([(-score(i), i) for i in range(200) if i != q] + [(-score(7), 7)] * 900)
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(every[:20])]
+    assert got == sorted(want)
