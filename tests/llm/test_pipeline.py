@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
 
 
@@ -70,6 +70,38 @@ def test_run_and_registered_queries(spark):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def run_on(spark, tmp_path, rows):
+    """The whole pipeline on a small ``documents`` table with columns of clashing names."""
+    names = "doc_id long, text string, lang string, source string, n_chars long, node long, length int, h long, key string, score double"
+    spark.createDataFrame([(i, t, lang, "s", None if t is None else len(t), 1, 2, 3, "k", 0.5) for i, t, lang in rows], names) \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i, _, _ in rows if i is not None] + [(None, 1, None)], "doc_id long, quality int, toxic int") \
+        .write.parquet(f"{tmp_path}/labels.parquet")
+    return corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    text = " ".join(f"word{i} and the house" for i in range(60))
+    rows = [(1, text, "en"), (2, text, "en"), (2, text, "en"), (3, None, "en"), (4, "", None), (5, "12 34 !?", "en"),
+            (6, "das haus und der garten " * 40, "de"), (7, "x" * 300_000 + " long", None), (None, "a text without an id", "en")]
+    kept = {r["doc_id"] for r in run_on(spark, tmp_path, rows)}
+    # All lines of 2 stand in 1: it goes on with an empty text, and the empty texts are one class.
+    assert kept == {1, 2, 6, 7, None}
+
+
+def test_pipeline_on_nothing(spark, tmp_path):
+    assert run_on(spark, tmp_path, []) == []
+
+
+def test_run_leaves_only_what_its_result_reads(spark):
+    import os
+    base = spark.sparkContext._jsc.sc().getCheckpointDir().get().replace("file:", "")
+    before = set(os.listdir(base))
+    assert corpus_pipeline.run(spark, SF).count() > 0
+    left = {f.rsplit("-", 1)[0] for f in set(os.listdir(base)) - before}
+    assert not left & {name for name, _ in corpus_pipeline.STAGES[:3]}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_equal_their_sql(spark, name):
     import duckdb
