@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import language, line_dedup, near_dedup, packing, quality
-from starloom.llm.common import id_bucket, stage, table
+from starloom.llm.common import id_bucket, stage, table, unstage
 from starloom.llm.queries import CONTEXT, QUALITY_THRESHOLD
 
 #: The models, similarities and token ids of the stages are beyond SQL.
@@ -55,7 +55,10 @@ STAGES = [("language_id", identify_language), ("quality", classify_quality), ("l
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, f in STAGES[:-1]:
         docs = stage(f(spark, docs, sf_dir), name)
+        if before is not None:
+            unstage(before)                      # what the stage kept is written
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
