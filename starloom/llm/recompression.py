@@ -15,7 +15,7 @@ words that one document alone holds rules all its windows out.  Two exchanges fo
    get back a bit per key: whether another block has it;
 2. verify: windows of shared keys are named whole (names of pairs of pairs, 96 bits) and sent
    with the smallest doc_id of the block that holds them; the answer is a bit per name: whether
-   a smaller doc_id holds it elsewhere.
+   a smaller doc_id holds it elsewhere.  Which windows they are goes along, a bit per window.
 
 A block sends a key or name once, however often it holds it, so a passage that stands in a
 third of all documents is a few rows.  Blocks are dealt by row, so copies of one row spread.
@@ -33,7 +33,7 @@ when a task is repeated).
 """
 from __future__ import annotations
 
-from itertools import chain, compress
+import functools
 
 import numpy as np
 import pyarrow as pa
@@ -50,13 +50,14 @@ WINDOW = 13
 ROUNDS = 6
 #: Bytes of text of a block, and of the text that sends its keys to one bucket.
 BLOCK_BYTES, BUCKET_BYTES = 6 << 20, 24 << 20
+#: A task works on this many blocks, one after the other.
+BLOCKS_OF_A_TASK = 8
 #: Blocks and buckets of small inputs hold at least this much text.
 LEAST_BYTES = 1 << 18
 
 _KEY_BYTES = 5
 _KEY_MASK = np.uint64((1 << 8 * _KEY_BYTES) - 1)
 _KEY_BITS = np.uint64(8 * _KEY_BYTES)
-_NO_ID = np.iinfo(np.int64).min
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -71,28 +72,99 @@ def named(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
     return _mixed(a * np.uint64(0x9FB21C651E98DF25) + _mixed(b + np.uint64(salt)))
 
 
+# White space between words.
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_FOLDED = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+
+
+#: Words are hashed in stretches of so many bytes; longer words than _LONG go to xxhash.
+_STRETCH, _LONG = 1 << 17, 64
+
+
+class _WordHash:
+    """64-bit hashes of all words of a byte array at once: a word is a polynomial in an odd base,
+    with a random number for each byte value as coefficient, taken from running sums."""
+
+    def __init__(self, seed: int):
+        rng = np.random.default_rng(seed)
+        self.of_byte = rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        base = int(rng.integers(1 << 62)) * 8 + 3
+        self.power, self.inverse = (np.full(_STRETCH, b % (1 << 64), dtype=np.uint64) for b in (base, pow(base, -1, 1 << 64)))
+        for p in (self.power, self.inverse):
+            p[0] = 1
+            np.multiply.accumulate(p, out=p)
+
+    def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        out, length = np.zeros(len(start), np.uint64), end - start
+        k = 0
+        while k < len(start):
+            m = max(k + 1, int(np.searchsorted(end, start[k] + _STRETCH, side="right")))
+            a, b = start[k:m] - start[k], end[k:m] - start[k]
+            if b[-1] <= _STRETCH:
+                sums = np.zeros(b[-1] + 1, np.uint64)
+                np.cumsum(self.of_byte[data[start[k]:end[m - 1]]] * self.power[:b[-1]], out=sums[1:])
+                out[k:m] = (sums[b] - sums[a]) * self.inverse[a]
+            k = m
+        out = _mixed(out + length.astype(np.uint64) * self.of_byte[0])
+        for k in np.flatnonzero(length > _LONG):
+            out[k] = xxhash.xxh3_64_intdigest(data[start[k]:end[k]].tobytes(), seed=int(self.of_byte[1]))
+        return out
+
+
+_HASHES = functools.cache(lambda lane: _WordHash(131 + lane))
+
+
+def _binary(offsets: np.ndarray, data: np.ndarray) -> pa.Array:
+    return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1,
+                                       [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 class Block:
     """The documents of a block as one row of word names."""
 
-    def __init__(self, docs: pa.Table, window: int):
-        self.window = window
-        self.texts = [(t or b"").split() for t in docs.column("text").to_pylist()]
-        self.doc_ids = docs.column("doc_id").to_numpy() if not docs.column("doc_id").null_count else \
-            np.array([_NO_ID if i is None else i for i in docs.column("doc_id").to_pylist()], dtype=np.int64)
-        self.has_id = docs.column("doc_id").is_valid().to_numpy()
-        self.lengths = np.array([len(t) for t in self.texts], dtype=np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
-        n = int(self.starts[-1])
-        words = pa.array(chain.from_iterable(self.texts), type=pa.binary(), size=n).dictionary_encode()
-        words = words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words
-        names = b"".join(xxhash.xxh3_128_digest(w) for w in words.dictionary.to_pylist())
-        names = np.frombuffer(names, np.uint64).reshape(-1, 2)
-        at = words.indices.to_numpy()
-        self.name, self.other_name = names[at, 0], names[at, 1]
-        self.doc = np.repeat(np.arange(len(self.texts)), self.lengths)
+    def __init__(self, docs: pa.Table, window: int, fold: bool = False):
+        self.window, self.n_docs = window, docs.num_rows
+        text = pa.concat_arrays(pc.fill_null(docs.column("text"), b"").cast(pa.binary()).chunks)
+        _, offsets, data = text.buffers()
+        offsets = np.frombuffer(offsets, np.int32)[text.offset:text.offset + self.n_docs + 1]
+        data = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data else np.zeros(0, np.uint8)
+        data = _FOLDED[data] if fold else data           # A-Z in lower case
+        self.data, self.offsets = data, (offsets - offsets[0]).astype(np.int64)
+        ids = docs.column("doc_id")
+        self.has_id, self.doc_ids = ids.is_valid().to_numpy(), pc.fill_null(ids, 0).to_numpy()
+        # A word starts after white space or where a document starts, and ends alike.
+        self.space = _SPACE[data]
+        start, end = ~self.space, ~self.space
+        start[1:] &= self.space[:-1]
+        end[:-1] &= self.space[1:]
+        border = self.offsets[1:-1]
+        first, last = border[border < len(data)], border[border > 0] - 1
+        start[first] = ~self.space[first]
+        end[last] = ~self.space[last]
+        self.word_start, self.word_end = np.flatnonzero(start), np.flatnonzero(end) + 1
+        self.starts = np.searchsorted(self.word_start, self.offsets)      # each document's first word
+        self.lengths = np.diff(self.starts)
+        n = len(self.word_start)
+        self.name = self.word_names(0)
+        self.doc = np.repeat(np.arange(self.n_docs, dtype=np.int32), self.lengths)
         # Where windows start: within one document.
-        first = np.arange(max(0, n - window + 1))
-        self.at = first[self.doc[first] == self.doc[first + window - 1]]
+        first = np.arange(max(0, n - window + 1), dtype=np.int32)
+        self.at = first[self.doc[:len(first)] == self.doc[window - 1:]] if len(first) else first
+
+    def word_names(self, lane: int) -> np.ndarray:
+        return _HASHES(lane)(self.data, self.word_start, self.word_end)
+
+    def kept(self, gone: np.ndarray) -> pa.Array:
+        """Each document's words that are not ``gone``, joined by one space."""
+        stay = np.flatnonzero(~gone)
+        followed = np.zeros(len(stay), dtype=bool)       # by another word that stays
+        followed[:-1] = self.doc[stay[1:]] == self.doc[stay[:-1]]
+        edge = np.zeros(len(self.data) + 1, dtype=np.int8)
+        edge[self.word_start[stay]] += 1
+        edge[self.word_end[stay] + followed] -= 1        # with the white space after the word
+        mask = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+        return _binary(np.concatenate([[0], np.cumsum(mask)])[self.offsets], np.where(self.space, 0x20, self.data).astype(np.uint8)[mask])
 
     def keys(self) -> np.ndarray:
         """Each window's key: the outermost of the symbols that its words alone settle."""
@@ -106,7 +178,7 @@ class Block:
             new = np.ones(len(symbol), dtype=bool)       # symbols that start one of the next round
             if r == 0:
                 new[1:] = (symbol[1:] != symbol[:-1]) | (doc[1:] != doc[:-1])
-                place = np.cumsum(new) - 1
+                place = np.cumsum(new, dtype=np.int32) - 1
                 size = np.diff(np.append(np.flatnonzero(new), len(symbol)))
                 following = symbol[new]
                 runs = size > 1
@@ -117,7 +189,7 @@ class Block:
                 right = (_mixed(symbol + np.uint64(r)) >> np.uint64(63)).astype(bool)
                 pair = np.flatnonzero(~right[:-1] & right[1:] & (doc[1:] == doc[:-1]))
                 new[pair + 1] = False
-                place = np.cumsum(new) - 1
+                place = np.cumsum(new, dtype=np.int32) - 1
                 following = symbol[new]
                 following[place[pair]] = named(symbol[pair], symbol[pair + 1], r)
                 # A right symbol at the left end, or a left one at the right end, can pair outside.
@@ -134,7 +206,7 @@ class Block:
     def names(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Names of the windows that start at ``at``, 64 and 32 bits."""
         out = []
-        for lane, name in enumerate((self.name, self.other_name)):
+        for lane, name in enumerate((self.name, self.word_names(1))):
             span = 1
             while 2 * span <= self.window:               # name[i]: the span words from i on
                 name = named(name[:-span], name[span:], 128 + 2 * span + lane)
@@ -149,21 +221,26 @@ class Block:
         return keys, np.searchsorted(keys >> _KEY_BITS, np.arange(n_buckets + 1, dtype=np.uint64)), of
 
 
-class Suspects:
-    """The windows of a block whose keys other documents share, one row per distinct name."""
+def suspects(block: Block, n_buckets: int, answers: dict) -> np.ndarray:
+    """Which windows have a key that another document shares."""
+    keys, at, of = block.distinct_keys(n_buckets)
+    shared = np.zeros(len(keys), dtype=bool)
+    for bucket, bits in answers.items():
+        lo, hi = at[bucket], at[bucket + 1]
+        shared[lo:hi] = np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo)
+    doc = block.doc[block.at]
+    first, last = np.full(len(keys), block.n_docs), np.full(len(keys), -1)
+    np.minimum.at(first, of, doc)
+    np.maximum.at(last, of, doc)
+    shared |= first < last
+    return shared[of] & block.has_id[doc]
 
-    def __init__(self, block: Block, n_buckets: int, answers: dict):
-        keys, at, of = block.distinct_keys(n_buckets)
-        shared = np.zeros(len(keys), dtype=bool)
-        for bucket, bits in answers.items():
-            lo, hi = at[bucket], at[bucket + 1]
-            shared[lo:hi] = np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo)
-        doc = block.doc[block.at]
-        first, last = np.full(len(keys), len(block.texts)), np.full(len(keys), -1)
-        np.minimum.at(first, of, doc)
-        np.maximum.at(last, of, doc)
-        shared |= first < last
-        self.at = block.at[shared[of] & block.has_id[doc]]
+
+class Names:
+    """The suspect windows of a block, one row per distinct name."""
+
+    def __init__(self, block: Block, suspect: np.ndarray, n_buckets: int):
+        self.at = block.at[suspect]
         self.doc_id = block.doc_ids[block.doc[self.at]]
         long_name, short_name = block.names(self.at)
         order = np.lexsort((self.doc_id, short_name, long_name))
@@ -194,6 +271,8 @@ def _answered(answers: pa.Table, kind: int) -> dict:
     return dict(zip(rows.column("bucket").to_pylist(), rows.column("bits").to_pylist()))
 
 
+# What an answer's bits are about: distinct keys, distinct names, windows.
+_OF_KEYS, _OF_NAMES, _OF_WINDOWS = 1, 2, 3
 _KEYS = "block long, bucket int, keys binary"
 _NAMES = "block long, bucket int, long_names binary, short_names binary, least binary"
 _ANSWER = "kind int, block long, bucket int, bits binary"
@@ -230,28 +309,41 @@ def _share_keys(requests: pa.Table) -> pa.Table:
     wide = np.zeros((len(sent), 8), dtype=np.uint8)
     wide[:, :_KEY_BYTES] = sent
     _, of, count = np.unique(wide.view("<u8").ravel(), return_inverse=True, return_counts=True)
-    return _answers(requests, 1, [len(p) // _KEY_BYTES for p in parts], count[of] > 1)
+    return _answers(requests, _OF_KEYS, [len(p) // _KEY_BYTES for p in parts], count[of] > 1)
 
 
 def _send_names(window: int, n_buckets: int):
     def send(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        s = Suspects(Block(docs, window), n_buckets, _answered(answers, 1))
-        return _rows(docs, s.bucket_at, long_names=s.long_name, short_names=s.short_name, least=s.least)
+        b, block = Block(docs.sort_by("row"), window), docs.column("block")[0].as_py()
+        suspect = suspects(b, n_buckets, _answered(answers, _OF_KEYS))
+        s = Names(b, suspect, n_buckets)
+        rows = _rows(docs, s.bucket_at, long_names=s.long_name, short_names=s.short_name, least=s.least)
+        # Which windows these are goes along, in buckets past those of names, to where words are removed.
+        return pa.concat_tables([rows, pa.table({
+            "block": pa.array([block], pa.int64()), "bucket": pa.array([n_buckets + block % n_buckets], pa.int32()),
+            "long_names": pa.array([np.packbits(suspect).tobytes()], pa.binary()),
+            "short_names": pa.array([b""], pa.binary()), "least": pa.array([b""], pa.binary())})])
     return send
 
 
-def _share_names(requests: pa.Table) -> pa.Table:
+def _share_names(n_buckets: int):
     """Whether a smaller doc_id came with the same name."""
-    parts = requests.column("least").to_pylist()
-    a, b, i = (np.frombuffer(b"".join(requests.column(c).to_pylist()), kind)
-               for c, kind in (("long_names", np.uint64), ("short_names", np.uint32), ("least", np.int64)))
-    order = np.lexsort((i, b, a))
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
-    least = i[order][new][np.cumsum(new) - 1]
-    smaller = np.empty(len(order), dtype=bool)
-    smaller[order] = least < i[order]
-    return _answers(requests, 2, [len(p) // 8 for p in parts], smaller)
+    def share(requests: pa.Table) -> pa.Table:
+        n = requests.num_rows
+        if requests.column("bucket")[0].as_py() >= n_buckets:
+            return pa.table({"kind": pa.array([_OF_WINDOWS] * n, pa.int32()), "block": requests.column("block"),
+                             "bucket": requests.column("bucket"), "bits": requests.column("long_names")})
+        parts = requests.column("least").to_pylist()
+        a, b, i = (np.frombuffer(b"".join(requests.column(c).to_pylist()), kind)
+                   for c, kind in (("long_names", np.uint64), ("short_names", np.uint32), ("least", np.int64)))
+        order = np.lexsort((i, b, a))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+        least = i[order][new][np.cumsum(new) - 1]
+        smaller = np.empty(len(order), dtype=bool)
+        smaller[order] = least < i[order]
+        return _answers(requests, _OF_NAMES, [len(p) // 8 for p in parts], smaller)
+    return share
 
 
 _RESULT = "doc_id long, n_words long, n_removed long, kept binary, removed array<struct<start:long,stop:long>>"
@@ -260,15 +352,17 @@ _SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
 
 def _remove(window: int, n_buckets: int):
     def remove(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        docs = docs.sort_by("row")
         b = Block(docs, window)
-        at = Suspects(b, n_buckets, _answered(answers, 1)).repeats(_answered(answers, 2))
+        bits, = _answered(answers, _OF_WINDOWS).values()
+        suspect = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(b.at)).astype(bool)
+        at = Names(b, suspect, n_buckets).repeats(_answered(answers, _OF_NAMES))
         edge = np.zeros(int(b.starts[-1]) + 1, dtype=np.int64)
         np.add.at(edge, at, 1)
         np.add.at(edge, at + window, -1)
         gone = np.cumsum(edge)[:-1] > 0
         before = np.concatenate([[0], np.cumsum(gone)])
         n_removed = before[b.starts[1:]] - before[b.starts[:-1]]
-        kept = [b" ".join(compress(t, ~gone[lo:lo + len(t)]) if n else t) for t, lo, n in zip(b.texts, b.starts, n_removed)]
         inner = np.ones(len(gone), dtype=bool)           # a span never goes on into the next document
         inner[b.starts[:-1][b.lengths > 0]] = False
         start = np.flatnonzero(gone & ~(np.concatenate([[False], gone[:-1]]) & inner))
@@ -280,7 +374,7 @@ def _remove(window: int, n_buckets: int):
         offsets = np.searchsorted(start, b.starts).astype(np.int32)
         return pa.table({
             "doc_id": docs.column("doc_id"), "n_words": pa.array(b.lengths, pa.int64()),
-            "n_removed": pa.array(n_removed, pa.int64()), "kept": pa.array(kept, pa.binary()),
+            "n_removed": pa.array(n_removed, pa.int64()), "kept": b.kept(gone),
             "removed": pa.ListArray.from_arrays(pa.array(offsets), spans)})
     return remove
 
@@ -294,12 +388,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLO
     parts = min(shuffle_partitions(docs.sparkSession), -(-size // LEAST_BYTES))
     n_blocks = max(1, parts, -(-size // block_bytes))
     n_buckets = max(1, parts, -(-size // bucket_bytes))
-    dealt = docs.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_blocks)).cast("long").alias("block"),
-                        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    n_tasks = max(shuffle_partitions(docs.sparkSession), -(-n_blocks // BLOCKS_OF_A_TASK))
+    dealt = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                        F.col("text").cast("binary").alias("text")) \
+        .withColumn("block", F.pmod(F.xxhash64("row"), F.lit(n_blocks)).cast("long")).repartition(n_tasks, "block")
     keys = dealt.groupBy("block").applyInArrow(_send_keys(window, n_buckets), _KEYS)
     shared = keys.groupBy("bucket").applyInArrow(_share_keys, _ANSWER)
     names = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_send_names(window, n_buckets), _NAMES)
-    verified = names.groupBy("bucket").applyInArrow(_share_names, _ANSWER)
-    answers = shared.unionByName(verified)
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_remove(window, n_buckets), _RESULT) \
+    verified = names.groupBy("bucket").applyInArrow(_share_names(n_buckets), _ANSWER)
+    return dealt.groupBy("block").cogroup(verified.groupBy("block")).applyInArrow(_remove(window, n_buckets), _RESULT) \
         .withColumn("kept", F.col("kept").cast("string"))

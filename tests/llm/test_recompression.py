@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from starloom.llm.recompression import Block, remove_repeats
+from starloom.llm.recompression import _HASHES, Block, remove_repeats
 
 from repeats import removed_by_hand
 
@@ -39,7 +39,7 @@ def test_keys_depend_on_the_window_alone(window, size):
     texts = texts_of(rng, [f"w{i}" for i in range(size)], 60)
     b = block(texts, window)
     keys, names = b.keys(), list(zip(*b.names(b.at)))
-    words = [w for t in b.texts for w in t]
+    words = [w for t in texts for w in t.split()]
     of_key, of_name = {}, {}
     for at, key, name in zip(b.at, keys, names):
         content = tuple(words[at:at + window])
@@ -48,6 +48,18 @@ def test_keys_depend_on_the_window_alone(window, size):
     assert len(set(of_name.values())) == len(of_name)
 
 
+def test_word_hashes_tell_words_apart():
+    rng = random.Random(8)
+    words = list({bytes(rng.choice(b"abcXY\xc3\xa9") for _ in range(rng.randrange(1, 12))) for _ in range(20_000)}
+                 | {b"a" * n for n in range(1, 300)} | {b"ab" * n + b"c" for n in range(1, 300)} | {b"z" * 300_000, b"z" * 300_001})
+    data = np.frombuffer(b" ".join(words + words), np.uint8)
+    end = np.cumsum([len(w) + 1 for w in words + words]) - 1
+    start = end - [len(w) for w in words + words]
+    for lane in (0, 1):
+        h = _HASHES(lane)(data, start, end)
+        assert (h[:len(words)] == h[len(words):]).all() and len(set(h.tolist())) == len(words)
+
+
 def test_keys_are_few_and_telling():
     rng = random.Random(3)
     b = block([" ".join(f"w{rng.randrange(3000)}" for _ in range(4000)) for _ in range(20)], 13)
