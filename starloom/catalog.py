@@ -51,10 +51,15 @@ def dim_inc(spark, sf, spec: DimSpec, target: DataFrame | None = None) -> DataFr
     return scd1.scd1_merge(target, delta, spec) if spec.scd == 1 else scd2.scd2_inc(target, delta, spec)
 
 
+def at_once(*work):
+    """Results of independent pieces of work, whose Spark jobs run side by side."""
+    with cf.ThreadPoolExecutor(max_workers=len(work)) as ex:
+        return [f.result() for f in [ex.submit(w) for w in work]]
+
+
 def _build_all(fn, specs) -> dict[str, DataFrame]:
     """Build independent dimensions concurrently (each is its own Spark jobs)."""
-    with cf.ThreadPoolExecutor(max_workers=len(specs)) as ex:
-        return dict(zip([s.table for s in specs], ex.map(fn, specs)))
+    return dict(zip([s.table for s in specs], at_once(*[lambda s=s: fn(s) for s in specs])))
 
 
 def dims_for_fact_full(spark, sf) -> dict[str, DataFrame]:
@@ -158,9 +163,8 @@ def q_fact_full(spark, sf):
 @register("fact_inc", O.fact_inc_sql(fact_base_sql(), O.stage_delta_sql("facttrip"), dims_after_inc_sql()))
 def q_fact_inc(spark, sf):
     dims = dims_for_fact_base(spark, sf)
-    target = fact_base_df(spark, sf, dims)
-    return fact_ops.fact_inc(target, fx.stage_delta(spark, sf, "facttrip"),
-                             dims_after_inc(spark, sf, dims), FACTTRIP, fx.LOAD_TS)
+    target, dims = at_once(lambda: fact_base_df(spark, sf, dims), lambda: dims_after_inc(spark, sf, dims))
+    return fact_ops.fact_inc(target, fx.stage_delta(spark, sf, "facttrip"), dims, FACTTRIP, fx.LOAD_TS)
 
 
 @register("fact_delete_matching",
@@ -678,8 +682,7 @@ def _key_dims(spark, sf, keys: list[str]) -> dict[str, DataFrame]:
         "Vendor_SKey": lambda: scd1.scd1_full(fx.stage_vendor(spark, sf), VENDOR_DOC),
         "Trip_Type_Key": lambda: q_dim_trip_type(spark, sf),
         "Commodity_Key": lambda: q_dim_commodity(spark, sf)}
-    with cf.ThreadPoolExecutor(max_workers=len(keys)) as ex:
-        return dict(zip(keys, ex.map(lambda k: make[k](), keys)))
+    return dict(zip(keys, at_once(*[make[k] for k in keys])))
 
 
 # D4 / D10 / D5 / D6 / D7 / D8 / D9
@@ -803,8 +806,8 @@ def _finance(spark, sf):
 @register("fact_operational_profitability",
           _keyed_sql(_FINANCE_SQL, PROFIT_KEYS, "Trip_Date, Address_ID, Vehicle_ID, Driver_ID, Branch_ID, Commodity"))
 def q_fact_operational_profitability(spark, sf):
-    return M.fact_operational_profitability(fx.mart_trips(spark, sf), _costed_lines(spark, sf),
-                                            _key_dims(spark, sf, PROFIT_KEYS), TRIP_KEYS)
+    lines, dims = at_once(lambda: _costed_lines(spark, sf), lambda: _key_dims(spark, sf, PROFIT_KEYS))
+    return M.fact_operational_profitability(fx.mart_trips(spark, sf), lines, dims, TRIP_KEYS)
 
 
 @register("allocated_costs",
