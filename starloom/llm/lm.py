@@ -77,11 +77,12 @@ class Block:
         before[1:], before[self.first] = hashes[:-1], _END
         pair = named(before, hashes, 2)
         triple = named(np.concatenate([pair[:1], pair[:-1]]), hashes, 3)
+        triple[self.first] = pair[self.first]            # a text's first token has one word before it, the end
         grams, gram = np.unique(self._keys(np.concatenate([pair, triple]), n_ranges), return_inverse=True)
         self.grams, self.gram_at = grams, np.searchsorted(grams >> _GRAM_BITS, np.arange(n_ranges + 1, dtype=np.uint64))
         self.pair, self.triple = gram[:len(pair)], gram[len(pair):]
         self.has_triple = np.ones(len(pair), dtype=bool)
-        self.has_triple[self.first] = False              # the first token has one word before it, the end
+        self.has_triple[self.first] = False
 
     @staticmethod
     def _keys(hashes: np.ndarray, n_ranges: int) -> np.ndarray:
@@ -240,8 +241,8 @@ def score(docs: DataFrame, held_out: Column, mu: tuple[float, float] = MU, floor
     answers = asked.groupBy("range").applyInArrow(_answers, _ANSWER)
     # One row: tokens and different words of all training texts.
     totals = answers.groupBy("range").agg(F.max("n_tokens").alias("t"), F.max("n_words").alias("w")) \
-        .agg(F.sum("t").alias("all_tokens"), F.sum("w").alias("all_words"), F.lit(0).alias("same"))
-    answers = answers.withColumn("same", F.lit(0)).join(F.broadcast(totals), "same")
+        .agg(F.sum("t").alias("all_tokens"), F.sum("w").alias("all_words"), (F.min("range") * 0).alias("same"))
+    answers = answers.withColumn("same", F.col("range") * 0).join(F.broadcast(totals), "same")
     schema = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, "
               "n_known long, train_tokens long, base_score double, score double")
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scorer(n_ranges, mu, floor), schema)

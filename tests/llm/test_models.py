@@ -188,6 +188,15 @@ def lm_block(texts, n_ranges=3):
                     n_ranges)
 
 
+def test_block_does_not_depend_on_the_order_of_texts():
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(9))) for _ in range(40)]
+    a, b = lm_block(texts), lm_block(texts[::-1])
+    assert np.array_equal(a.grams, b.grams) and np.array_equal(a.words, b.words)
+    half = np.asarray([k % 2 == 0 for k in range(40)])
+    assert all(np.array_equal(x, y) for x, y in zip(a.training(half), b.training(half[::-1])))
+
+
 def test_probabilities_of_a_state_sum_to_one():
     """Every text that goes on from a state with a known word, the end or an unknown word."""
     train = ["a b a c", "b a a", "c", "a b b"]
