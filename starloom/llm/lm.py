@@ -24,7 +24,7 @@ that its texts can reach.  The number of blocks and ranges follows from the byte
 Everything is one Spark plan that shuffles the texts once.
 
 Tokens: A-Z in lower case, split at space and U+0009 to U+000D, then one end token per text.
-Words are told apart by 64-bit hashes, pairs and triples by 40 bits within a range.
+Words are told apart by 64-bit hashes, pairs and triples by 38 bits within a range of about 5 million.
 
 Defined cases: null text counts as empty (the end token only); with no training text every
 count is 0; repeated rows count as often as they occur; ids play no part in scores; an empty
@@ -33,6 +33,9 @@ in the same order again when a task is repeated).
 """
 from __future__ import annotations
 
+import math
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -47,15 +50,48 @@ from .recompression import named
 MU, FLOOR = (40.0, 0.3), (0.6, 0.2)
 #: Bytes of text of a block, and of the text that asks one range of hashes.
 BLOCK_BYTES, RANGE_BYTES = 8 << 20, 24 << 20
-#: Blocks and ranges of small inputs stand for at least this much text; blocks of a task.
-LEAST_BYTES, BLOCKS_OF_A_TASK = 1 << 18, 8
+#: Blocks and ranges of small inputs stand for at least this much text.
+LEAST_BYTES = 1 << 18
+#: A task works on this many blocks, or ranges, one after the other.
+BLOCKS_OF_A_TASK, RANGES_OF_A_TASK = 8, 2
 #: Tokens that are traversed one after the other.
 SEGMENT = 512
 
 _END = np.uint64(0x51A7E0FACADE0001)               # the end token's hash
-_GRAM_BYTES = 5
-_GRAM_BITS = np.uint64(8 * _GRAM_BYTES)
-_GRAM_MASK = np.uint64((1 << 8 * _GRAM_BYTES) - 1)
+_GRAM_BITS = np.uint64(38)                         # of an n-gram's hash, beside its range
+_GRAM_MASK = np.uint64((1 << 38) - 1)
+
+
+def packed(keys: np.ndarray) -> bytes:
+    """Ascending whole numbers as gaps of as few bytes as most of them need, longer gaps apart."""
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    mean = max(1.0, float(keys[-1]) / len(keys)) if len(keys) else 1.0
+    width = min(range(1, 6), key=lambda w: w + 8 * math.exp(-2.0 ** (8 * w) / mean))
+    mark = np.uint64((1 << 8 * width) - 1)
+    short = np.minimum(gaps, mark).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + len(keys).to_bytes(4, "little") + short.tobytes() + gaps[gaps >= mark].astype("<u8").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    width, n = data[0], int.from_bytes(data[1:5], "little")
+    wide = np.zeros((n, 8), dtype=np.uint8)
+    wide[:, :width] = np.frombuffer(data, np.uint8, n * width, 5).reshape(-1, width)
+    gaps = wide.view("<u8").ravel()
+    gaps[gaps == np.uint64((1 << 8 * width) - 1)] = np.frombuffer(data[5 + n * width:], "<u8")
+    return np.cumsum(gaps)
+
+
+def coded(counts: np.ndarray) -> bytes:
+    """Counts, most of them small, as compressed bytes; 255 and more apart."""
+    small = np.minimum(counts, 255).astype(np.uint8)
+    return len(small).to_bytes(4, "little") + zlib.compress(small.tobytes() + counts[counts >= 255].astype("<i8").tobytes(), 1)
+
+
+def uncoded(data: bytes) -> np.ndarray:
+    n, raw = int.from_bytes(data[:4], "little"), zlib.decompress(data[4:])
+    counts = np.frombuffer(raw, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(raw[n:], "<i8")
+    return counts
 
 
 class Block:
@@ -107,39 +143,31 @@ def _requests(n_ranges: int):
         b = Block(docs, n_ranges)
         words, grams = b.training(docs.column("in_training").to_numpy().astype(bool))
         asked = np.flatnonzero(np.diff(b.word_at) + np.diff(b.gram_at))
-        keys = np.ascontiguousarray((b.grams & _GRAM_MASK).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_GRAM_BYTES])
 
-        def cut(values, at):
-            return pa.array([values[at[k]:at[k + 1]].tobytes() for k in asked], pa.binary())
+        def cut(made, values, at):
+            return pa.array([made(values[at[k]:at[k + 1]]) for k in asked], pa.binary())
 
         return pa.table({
             "range": pa.array(asked, pa.int32()), "block": pa.array([docs.column("block")[0].as_py()] * len(asked), pa.int64()),
-            "words": cut(b.words, b.word_at), "word_counts": cut(words.astype(np.int64), b.word_at),
-            "grams": cut(keys, b.gram_at), "gram_counts": cut(grams.astype(np.int32), b.gram_at)})
+            "words": cut(np.ndarray.tobytes, b.words, b.word_at), "word_counts": cut(coded, words, b.word_at),
+            "grams": cut(packed, b.grams & _GRAM_MASK, b.gram_at), "gram_counts": cut(coded, grams, b.gram_at)})
     return ask
 
 
-def _added(keys: list[np.ndarray], counts: list[bytes], kind) -> tuple[list[bytes], np.ndarray]:
+def _added(keys: list[np.ndarray], counts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     """What the other requests add to each request's counts, and the totals of all keys."""
     distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-    own = np.frombuffer(b"".join(counts), kind).astype(np.int64)
+    own = np.concatenate([uncoded(c) for c in counts])
     totals = np.bincount(at, weights=own, minlength=len(distinct)).astype(np.int64)
-    more = (totals[at] - own).astype(kind)
+    more = totals[at] - own
     ends = np.cumsum([0, *map(len, keys)])
-    return [more[lo:hi].tobytes() for lo, hi in zip(ends, ends[1:])], totals
-
-
-def _wide(key: bytes) -> np.ndarray:
-    narrow = np.frombuffer(key, np.uint8).reshape(-1, _GRAM_BYTES)
-    wide = np.zeros((len(narrow), 8), dtype=np.uint8)
-    wide[:, :_GRAM_BYTES] = narrow
-    return wide.view("<u8").ravel()
+    return [coded(more[lo:hi]) for lo, hi in zip(ends, ends[1:])], totals
 
 
 def _answers(requests: pa.Table) -> pa.Table:
     col = {c: requests.column(c).to_pylist() for c in ("words", "word_counts", "grams", "gram_counts")}
-    words, totals = _added([np.frombuffer(k, np.uint64) for k in col["words"]], col["word_counts"], np.int64)
-    grams, _ = _added([_wide(k) for k in col["grams"]], col["gram_counts"], np.int32)
+    words, totals = _added([np.frombuffer(k, np.uint64) for k in col["words"]], col["word_counts"])
+    grams, _ = _added([unpacked(k) for k in col["grams"]], col["gram_counts"])
     n = requests.num_rows
     return pa.table({
         "block": requests.column("block"), "range": requests.column("range"),
@@ -209,8 +237,8 @@ def _scorer(n_ranges: int, mu, floor):
         words, grams = b.training(docs.column("in_training").to_numpy().astype(bool))
         for r in answers.to_pylist():
             k = r["range"]
-            words[b.word_at[k]:b.word_at[k + 1]] += np.frombuffer(r["words"], np.int64)
-            grams[b.gram_at[k]:b.gram_at[k + 1]] += np.frombuffer(r["grams"], np.int32)
+            words[b.word_at[k]:b.word_at[k + 1]] += uncoded(r["words"])
+            grams[b.gram_at[k]:b.gram_at[k + 1]] += uncoded(r["grams"])
         n_tokens, n_words = answers.column("all_tokens")[0].as_py(), answers.column("all_words")[0].as_py()
         model = Automaton(b, words, grams, n_tokens, n_words, mu, floor)
         return pa.table({
@@ -237,7 +265,8 @@ def score(docs: DataFrame, held_out: Column, mu: tuple[float, float] = MU, floor
                          held.alias("held_out"), (~held).alias("in_training")) \
         .withColumn("block", F.pmod(F.xxhash64("row"), F.lit(n_blocks)).cast("long")) \
         .repartition(max(partitions, -(-n_blocks // BLOCKS_OF_A_TASK)), "block")
-    asked = blocks.groupBy("block").applyInArrow(_requests(n_ranges), _REQUEST)
+    asked = blocks.groupBy("block").applyInArrow(_requests(n_ranges), _REQUEST) \
+        .repartition(max(partitions, -(-n_ranges // RANGES_OF_A_TASK)), "range")
     answers = asked.groupBy("range").applyInArrow(_answers, _ANSWER)
     # One row: tokens and different words of all training texts.
     totals = answers.groupBy("range").agg(F.max("n_tokens").alias("t"), F.max("n_words").alias("w")) \

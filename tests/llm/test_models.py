@@ -188,6 +188,17 @@ def lm_block(texts, n_ranges=3):
                     n_ranges)
 
 
+def test_packed_keys_and_coded_counts_come_back():
+    rng = np.random.default_rng(4)
+    for n, top in ((0, 1), (1, 1), (1, 1 << 38), (5, 6), (1000, 1 << 38), (1000, 70_000), (3, 1 << 38), (70_000, 1 << 30)):
+        keys = np.unique(rng.integers(0, top, n, dtype=np.uint64))
+        assert np.array_equal(lm.unpacked(lm.packed(keys)), keys)
+    dense = np.concatenate([np.arange(5000, dtype=np.uint64), np.asarray([1 << 37, (1 << 38) - 1], np.uint64)])
+    assert np.array_equal(lm.unpacked(lm.packed(dense)), dense) and len(lm.packed(dense)) < 4.1 * 5000
+    for counts in ([], [0], [254, 255, 256, 10 ** 12], [0, 1, 1, 0, 2, 1] * 1000):
+        assert lm.uncoded(lm.coded(np.asarray(counts, np.int64))).tolist() == counts
+
+
 def test_block_does_not_depend_on_the_order_of_texts():
     rng = random.Random(9)
     texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(9))) for _ in range(40)]
