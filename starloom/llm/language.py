@@ -15,11 +15,13 @@ gives no rows; other columns are ignored, and never inputs.
 from __future__ import annotations
 
 import itertools
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -250,15 +252,21 @@ def learn(docs: DataFrame, usable: Column, sample_rows: int = SAMPLE_ROWS) -> La
         return pd.DataFrame({"at": [a.astype(np.int32).tobytes() for a, _ in found], "share": [v.tobytes() for _, v in found]})
 
     # At most sample_rows ids: a broadcast of bounded size.  Of rows with the same id and language
-    # one is learned from, that of the lowest hash of the text.
+    # one is learned from, that of the lowest hash of the text.  One task trains on them, so the
+    # driver only gets the model.
     rows = docs.join(F.broadcast(picked), (F.col("doc_id") == F.col("picked")) & (F.col("lang") == F.col("as_lang"))) \
         .groupBy("doc_id", "lang").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("t")) \
-        .select("doc_id", "lang", ngram_shares("t.text").alias("f")).select("doc_id", "lang", "f.at", "f.share").toArrow()
+        .select("doc_id", "lang", ngram_shares("t.text").alias("f")).select(F.lit(0).alias("all"), "doc_id", "lang", "f.at", "f.share")
+    trained = rows.groupBy("all").applyInArrow(_trained, "model binary").first()
+    return pickle.loads(trained["model"]) if trained else LanguageModel([], {}, [], {})
+
+
+def _trained(rows: pa.Table) -> pa.Table:
+    at, share = (rows[c].combine_chunks() for c in ("at", "share"))
     order = sorted(zip(rows["lang"].to_pylist(), rows["doc_id"].to_pylist(), range(rows.num_rows)))
-    at, share = rows["at"].combine_chunks(), rows["share"].combine_chunks()
     learned = [(lang, (np.frombuffer(at[k].as_buffer(), np.int32), np.frombuffer(share[k].as_buffer(), np.float64)))
                for lang, _, k in order if at[k].as_buffer().size]
-    return LanguageModel.train(learned)
+    return pa.table({"model": pa.array([pickle.dumps(LanguageModel.train(learned))], pa.binary())})
 
 
 def predict(docs: DataFrame, model: LanguageModel, out: str = "lang_id") -> DataFrame:
