@@ -1,10 +1,12 @@
 """Line dedup, near-dedup, fingerprints and components."""
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from starloom.llm import fingerprints, line_dedup, near_dedup
 from starloom.llm.components import components
@@ -248,6 +250,41 @@ def test_fingerprints(frame, corpus):
     assert all(len(prints) == 1 for prints in texts.values())
 
 
+def sketch_by_hand(text):
+    """Spark's xxhash64 (seed 42, columns chained) of every five words, upper 31 bits, those below a
+    quarter of the range or else the smallest."""
+    def h(data, seed):
+        return xxhash.xxh64_intdigest(data, seed=seed)
+
+    def chained(values):
+        seed = 42
+        for v in values:
+            seed = h(v.to_bytes(8, "little"), seed)
+        return seed >> 33
+    words = [h(w.encode(), 42) for w in re.split("[\x20\x09-\x0d]+", text or "") if w]
+    n = fingerprints.WORDS
+    shingles = [chained(words[i:i + n]) for i in range(len(words) - n + 1)] if len(words) >= n else [chained(words)] if words else []
+    return sorted({x for x in shingles if x < 2 ** 31 // 4}) or ([min(shingles)] if shingles else [])
+
+
+def likeness_by_hand(a, b):
+    least = min(len(a), len(b))
+    return len(set(a) & set(b)) / least if least else float(len(a) == len(b))
+
+
+def test_sketches_by_hand(frame, corpus):
+    rows = sorted(dict((i, t) for i, t in corpus if i is not None).items(), reverse=True)
+    got = {r["doc_id"]: r for r in fingerprints.report(frame(rows)).collect()}
+    for (i, t), (_, following) in zip(rows, rows[1:] + rows[:1]):
+        t, following = t or "", following or ""
+        own, other = sketch_by_hand(t), sketch_by_hand(following)
+        edited = sketch_by_hand(t[:len(t) - len(t) // 3] + following[:len(t) // 3])
+        assert got[i]["fingerprint"] == ",".join(map(str, own))
+        assert got[i]["edited_fingerprint"] == ",".join(map(str, edited))
+        assert got[i]["near_edited"] == pytest.approx(likeness_by_hand(own, edited))
+        assert got[i]["near_next"] == pytest.approx(likeness_by_hand(own, other))
+
+
 def shingle_sets(text):
     words = text.strip(SPACE).split()
     n = fingerprints.WORDS
