@@ -11,3 +11,21 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "TripFactKey" in df.columns
+
+
+def test_entry_without_the_text_operators(tmp_path):
+    """With the llm folders and the pipeline gone, or what they need missing, the rest is there."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    copy = tmp_path / "repo"
+    os.mkdir(copy)
+    shutil.copy(f"{top}/__spark_entry__.py", copy)
+    shutil.copytree(f"{top}/starloom", copy / "starloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    check = ("import __spark_entry__ as e; q = e.queries(); assert 'fact_full' in q and 'pipeline' not in q; "
+             "assert not any(n.startswith('op') for n in q); assert set(e.oracle_sql()) <= set(q)")
+    subprocess.run([sys.executable, "-c", check], cwd=copy, check=True, timeout=120)
+    blocked = "import sys; sys.modules['xxhash'] = None; " + check
+    subprocess.run([sys.executable, "-c", blocked], cwd=top, check=True, timeout=120)
