@@ -46,12 +46,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches, stage, unstage
 from .components import components
+from .recompression import hashed_words
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
@@ -63,40 +63,41 @@ LIST_PART = 1024
 DF_BITS, DF_SLICES = 18, 32
 #: Entries of the tables of random variates; shingles pick theirs by hash.
 _VARIATES = 16
-#: Word hashes kept per worker, and shingles sampled together.
-_KNOWN_WORDS, _TOGETHER = 500_000, 1 << 16
+#: Shingles sampled together.
+_TOGETHER = 1 << 16
 #: Texts whose shingles a comparing task keeps.
 _KNOWN_TEXTS = 1024
 
 
 # --- shingles -----------------------------------------------------------------------------
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_words = _WordHashes()
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of a text, ascending, and their counts."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if len(_words) > _KNOWN_WORDS:
-        _words.clear()
-    w = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    n = len(w) - WORDS + 1 if len(w) >= WORDS else min(1, len(w))
-    h = np.zeros(n, np.uint64)
-    for k in range(min(WORDS, len(w))):
+def _chained(w: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of every ``size`` words that follow each other."""
+    n = len(w) - size + 1
+    h = np.zeros(max(n, 0), np.uint64)
+    for k in range(size if n > 0 else 0):
         h = _mix(h + w[k:k + n] + np.uint64(k + 1))
-    return np.unique(h, return_counts=True)
+    return h
+
+
+def shingles_of(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct shingle hashes of each text, ascending, and their counts."""
+    raw = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
+    w, start = hashed_words(b"\n".join(raw))
+    first = np.searchsorted(start, np.cumsum([0, *(len(r) + 1 for r in raw)]))
+    h = _chained(w, WORDS)
+    return [np.unique(h[lo:hi - WORDS + 1] if hi - lo >= WORDS else _chained(w[lo:hi], max(hi - lo, 1)), return_counts=True)
+            for lo, hi in zip(first, first[1:])]
+
+
+def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    return shingles_of([text])[0]
 
 
 # --- document frequencies -----------------------------------------------------------------
@@ -112,7 +113,7 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width, np.int64)
         for batch in batches:
-            cells = [_cells(shingles(t)[0]) for t in batch.column(0).to_pylist()]
+            cells = [_cells(h) for h, _ in shingles_of(batch.column(0).to_pylist())]
             for row in (0, 1):
                 total[row << DF_BITS:(row + 1) << DF_BITS] += np.bincount(
                     np.concatenate([c[row] for c in cells] or [np.zeros(0, np.int64)]), minlength=1 << DF_BITS)
@@ -141,31 +142,35 @@ class Weights:
     table: np.ndarray
     n_docs: int
 
+    @functools.cached_property
+    def _others(self) -> float:
+        return self.table[0].mean()
+
     def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        h, w, _ = self.with_rows(text)
+        h, w, _ = self._frequencies(text)
         return h, w
 
-    def with_rows(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def with_rows(self, text: str | None, found=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Shingles, weights, and the samples that a band of each shingle's kind needs."""
-        h, w, df = self._frequencies(text)
+        h, w, df = self._frequencies(text, found)
         # What other shingles add to a cell, and how much that varies, is no frequency.
-        others = self.table[0].mean()
+        others = self._others
         surely = np.maximum(1, df - others - 4 * np.sqrt(others))
         rows = np.ceil(np.log2(surely / SHARED_BY))
         return h, w, rows.astype(np.int64)
 
-    def _frequencies(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Shingles, weights and document frequencies."""
-        h, tf = shingles(text)
+    def _frequencies(self, text: str | None, found=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shingles, weights and document frequencies; ``found``: the text's shingles and counts."""
+        h, tf = found or shingles(text)
         a, b = _cells(h)
         df = np.minimum(self.table[0][a], self.table[1][b])
         n = max(1, self.n_docs)
         return h, tf * np.log1p(n / (df + n / 4)) / np.log(5), df
 
-    def rarest(self, text: str | None, similarity: float) -> tuple[np.ndarray, np.ndarray, float]:
+    def rarest(self, text: str | None, similarity: float, found=None) -> tuple[np.ndarray, np.ndarray, float]:
         """The shingles of which a text of at least ``similarity`` must have one, rarest first, the
         weight from each to the last of all, and the total weight."""
-        h, w, df = self._frequencies(text)
+        h, w, df = self._frequencies(text, found)
         order = np.lexsort((h, df))
         rest = np.cumsum(w[order][::-1])[::-1]
         n = int((rest >= similarity * w.sum() * (1 - 1e-9)).sum())
@@ -193,7 +198,7 @@ class Sampler:
         rng, n = np.random.default_rng(seed), 1 << _VARIATES
         self.r = rng.gamma(2, 1, n).astype(np.float32)
         self.beta = rng.random(n).astype(np.float32)
-        # ln c - r, lifted above 0 for every weight, so that floats order like their bits.
+        # ln c - r, lifted by a constant, which changes no order.
         self.lifted = (np.log(rng.gamma(2, 1, n)) - self.r + 128).astype(np.float32)
         self.odd = rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -204,20 +209,25 @@ class Sampler:
     def bands_and_marks(self, hashes: np.ndarray, weights: np.ndarray, rows: np.ndarray,
                         starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Band keys, and whether some band of a text has more than ``ROWS`` samples."""
-        log_w = np.log(weights).astype(np.float32)
-        place = np.arange(len(hashes), dtype=np.uint64)
+        log_w, n = np.log(weights).astype(np.float32), len(hashes)
+        lengths = np.diff(np.append(starts, n))
         samples = np.zeros((BANDS * ROWS, len(starts)), np.uint64)
         needs = np.zeros((BANDS * ROWS, len(starts)), np.int64)
+        # Every step writes into the same few arrays.
+        pick, (r, beta, t, a) = np.empty(n, np.uint64), np.empty((4, n), np.float32)
+        at = pick.view(np.intp)
         for s, odd in enumerate(self.odd):
-            pick = ((hashes * odd) >> np.uint64(64 - _VARIATES)).astype(np.int64)
-            r, beta = self.r[pick], self.beta[pick]
-            t = np.floor(log_w / r + beta)
-            a = self.lifted[pick] - r * (t - beta)
-            # Positive floats order like their bits; the place goes into the low half.
-            order = a.view(np.uint32).astype(np.uint64)
-            order <<= np.uint64(32)
-            order |= place
-            least = (np.minimum.reduceat(order, starts) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            np.multiply(hashes, odd, out=pick)
+            np.right_shift(pick, np.uint64(64 - _VARIATES), out=pick)
+            for table, out in ((self.r, r), (self.beta, beta), (self.lifted, a)):
+                np.take(table, at, out=out, mode="clip")
+            np.divide(log_w, r, out=t)
+            np.floor(np.add(t, beta, out=t), out=t)
+            np.subtract(t, beta, out=beta)
+            np.subtract(a, np.multiply(beta, r, out=beta), out=a)
+            # The first place of each text's least value.
+            hits = np.flatnonzero(a == np.repeat(np.minimum.reduceat(a, starts), lengths))
+            least = hits[np.searchsorted(hits, starts)]
             samples[s] = _mix(hashes[least] + t[least].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             needs[s] = rows[least]
         keys = np.zeros((len(starts), BANDS), np.uint64)
@@ -256,7 +266,7 @@ def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
         sampler = Sampler()
         for texts in parts:
             bands, totals, marks = [np.zeros(0, np.int64)] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
-            found = ((i, *shared.value.with_rows(t)) for i, t in enumerate(texts))
+            found = ((i, *shared.value.with_rows(None, f)) for i, f in enumerate(shingles_of(list(texts))))
             for group in _groups([f for f in found if len(f[1])]):
                 lengths = np.asarray([len(f[1]) for f in group])
                 keys, longer = sampler.bands_and_marks(*(np.concatenate([f[c] for f in group]) for c in (1, 2, 3)),
@@ -331,7 +341,7 @@ def _lists(texts: DataFrame, weights: Weights, similarity: float) -> DataFrame:
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.rarest(t, similarity) for t in batch.column("text").to_pylist()]
+            found = [shared.value.rarest(None, similarity, f) for f in shingles_of(batch.column("text").to_pylist())]
             sizes = [len(h) for h, _, _ in found]
             at = pa.array(np.repeat(np.arange(len(found)), sizes))
             yield pa.RecordBatch.from_arrays(

@@ -115,6 +115,14 @@ class _WordHash:
 _HASHES = functools.cache(lambda lane: _WordHash(131 + lane))
 
 
+def hashed_words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of a text's words, in their order, and where they start."""
+    data = np.frombuffer(text, np.uint8)
+    edge = np.diff(np.concatenate([[True], _SPACE[data], [True]]).view(np.int8))
+    start = np.flatnonzero(edge == -1)
+    return _HASHES(0)(data, start, np.flatnonzero(edge == 1)), start
+
+
 def _binary(offsets: np.ndarray, data: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1,
                                        [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
