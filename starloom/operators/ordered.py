@@ -97,8 +97,10 @@ def range_layout(df: DataFrame, order: list[Column], first_cols: list[str] | Non
     read files, and don't compute what is upstream twice."""
     df = df if TIE in df.columns else written(df, "rows", tie=True)
     order = [*order, F.col(TIE).asc()]
-    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
-              else df.repartitionByRange(*order))
+    # A stated number: adaptive execution would merge ranges up to its target size, and what
+    # follows a layout works by range.
+    num_partitions = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(num_partitions, *order)
     tagged = written(ranged.sortWithinPartitions(*order)
                      .withColumn(PID, F.spark_partition_id())
                      .withColumn(POS, F.monotonically_increasing_id()), "layout")
