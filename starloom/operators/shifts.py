@@ -10,7 +10,8 @@ touches, hundreds for a long trip, so nothing here makes those pieces:
   sums in every task) and then along the calendar, the ones give the number of trips that cover
   a stretch whole.
 
-Times are counted in microseconds, so the pieces of a trip sum to its duration exactly.
+Times are counted in microseconds, so the pieces of a trip sum to its duration exactly.  Sums over
+trips are decimals: the microseconds of some hundred thousand long trips are beyond a long.
 """
 from __future__ import annotations
 
@@ -27,6 +28,8 @@ DAY_START, NIGHT_START = 6, 18
 _HOUR = 3_600_000_000                   # microseconds
 _DAY = 24 * _HOUR
 
+_WIDE = T.DecimalType(20, 0)            # its sums are decimal(30, 0)
+
 
 def micros(t) -> Column:
     """Microseconds since 1970-01-01 of a timestamp_ntz."""
@@ -76,7 +79,7 @@ def _slot_of(us: Column, day_start: int, night_start: int) -> Column:
 
 def shift_hours(trips: DataFrame, start: str, end: str, by: list[str] | None = None, day_start: int = DAY_START,
                 night_start: int = NIGHT_START) -> DataFrame:
-    """(by..., Full_Date, Shift, Micros): time of all trips [start, end) in the day and night
+    """(by..., Full_Date, Shift, Micros decimal): time of all trips [start, end) in the day and night
     hours of each calendar day between the first and the last.  Trips without both times, or that
     end before they start, take no part.
 
@@ -100,7 +103,7 @@ def shift_hours(trips: DataFrame, start: str, end: str, by: list[str] | None = N
     events = t.select(*by, F.inline(F.concat(days, F.when(one, F.array(event(F.col("__first"), F.col("__b") - F.col("__a"), 0))).otherwise(F.array(
         event(F.col("__first"), next_start - F.col("__a"), 0), event(F.col("__last"), F.col("__b") - last_start, 0),
         event(F.col("__first") + 1, zero, 1), event(F.col("__last"), zero, -1))))))
-    slots = events.groupBy(*by, "slot").agg(F.sum("us").alias("us"), F.sum("whole").alias("whole"))
+    slots = events.groupBy(*by, "slot").agg(F.sum(F.col("us").cast(_WIDE)).alias("us"), F.sum("whole").alias("whole"))
     w = Window.partitionBy(*[F.col(c) for c in by] or [F.lit(0)]).orderBy("slot")
     running = F.sum("whole").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     following = F.coalesce(F.lead("slot").over(w), F.col("slot") + 1)
@@ -108,11 +111,11 @@ def shift_hours(trips: DataFrame, start: str, end: str, by: list[str] | None = N
     every = slots.withColumns({"__n": running, "__to": following}).select(
         *by, F.col("slot").alias("__from"), "us", "__n", F.explode(F.sequence(F.col("slot"), F.col("__to") - 1)).alias("slot"))
     length = _slot_start(F.col("slot") + 1, day_start, night_start) - _slot_start(F.col("slot"), day_start, night_start)
-    spent = F.col("__n") * length + F.when(F.col("slot") == F.col("__from"), F.col("us")).otherwise(0)
+    spent = F.col("__n").cast(_WIDE) * length.cast(T.DecimalType(12, 0)) + F.when(F.col("slot") == F.col("__from"), F.col("us")).otherwise(0)
     nth = F.pmod("slot", F.lit(3))
     day = F.date_add(F.lit("1970-01-01").cast("date"), F.call_function("div", F.col("slot") - nth, F.lit(3)).cast(INT))
     return every.groupBy(*by, day.alias("Full_Date"), F.when(nth == 1, "DAY").otherwise("NIGHT").alias("Shift")) \
-        .agg(F.sum(spent).alias("Micros"))
+        .agg(F.sum(spent).cast("decimal(38,0)").alias("Micros"))
 
 
 def calendar_shift_rollup(hours: DataFrame, fy_start_month: int = 4) -> DataFrame:

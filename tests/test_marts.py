@@ -230,3 +230,11 @@ def test_customer_sites(spark):
     rows = M.dim_customer_enterprise(customers, sites, nations, regions).orderBy("Customer_SKey").collect()
     assert [(r.Customer_SKey, r.Customer_ID, r.Address_ID, r.Nation_Name, r.Region_Name) for r in rows] == [
         (1, 1, 11, "IN", "ASIA"), (2, 1, 12, None, None), (3, 2, None, None, None)]
+
+
+def test_shift_rollup_of_more_microseconds_than_a_long_holds(spark):
+    """2000 trips of two centuries: 1.3e19 microseconds in all."""
+    from starloom.operators import shifts
+    trips = spark.range(2000).select(F.expr("TIMESTAMP_NTZ'1900-01-01 00:00:00'").alias("a"), F.expr("TIMESTAMP_NTZ'2100-01-01 00:00:00'").alias("b"))
+    total = shifts.calendar_shift_rollup(shifts.shift_hours(trips, "a", "b")).where("Grouping_Level = 31").first()
+    assert total.Trip_Hours == D(2000 * 73049 * 24)
