@@ -99,3 +99,20 @@ def test_nothing(spark):
     assert lookup.lookup_scd2_pit(fact, dim, "VendorID", "t", VENDOR, strategy="merge").count() == 0
     some = spark.createDataFrame([(1, 1, START, "x")], FACT)
     assert [r["VendorKey"] for r in lookup.lookup_scd2_pit(some, dim, "VendorID", "t", VENDOR, strategy="merge").collect()] == [-1]
+
+
+def test_merge_without_a_hot_key_writes_nothing(spark, monkeypatch):
+    """By key or on a range layout: the same rows, keys and times of any type."""
+    from starloom.operators import ordered
+    rng = random.Random(6)
+    versions = [v for k in range(5) for v in history(rng, k, rng.choice([1, 90]), 1000 * k)]
+    facts = trips(rng, 400, [0, 0, 1, 2, 3, 4, 9, None])
+    dim, fact = spark.createDataFrame(versions, DIM), spark.createDataFrame(facts, FACT).withColumn("VendorID", F.col("VendorID").cast("long"))
+    written, real = [], ordered.written
+    monkeypatch.setattr(ordered, "written", lambda *a, **k: written.append(a[1]) or real(*a, **k))
+    for most in (1 << 20, 10):
+        monkeypatch.setattr(ordered, "KEY_MAX_ROWS", most, raising=False)
+        got = lookup.lookup_scd2_pit(fact, dim, "VendorID", "t", VENDOR, max_broadcast_bytes=100)
+        assert got.columns == [*fact.columns, "VendorKey"] and got.schema["VendorID"].dataType == fact.schema["VendorID"].dataType
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == by_hand(facts, versions, False)
+        assert bool(written) == (most == 10)

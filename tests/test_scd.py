@@ -186,3 +186,23 @@ def test_empty_deltas_change_nothing(spark):
     f = fact_ops.fact_full(fx.stage_full(spark, sf, "facttrip"), dims, FACTTRIP, fx.LOAD_TS)
     out = fact_ops.fact_inc(f, spark.createDataFrame([], STAGING_FACT_SCHEMA), dims, FACTTRIP, fx.LOAD_TS)
     assert out.count() == f.count()
+
+
+def test_timeline_writes_its_rows_once_and_is_that_of_a_layout(spark, monkeypatch):
+    """Without a hot key rows are written once, and no layout of them; with one the result is the same."""
+    from starloom.operators import ordered, scd2
+    rows = spark.range(4000).select(
+        F.when(F.col("id") % 40 > 0, F.col("id") % 40).cast("int").alias("VendorID"), F.concat(F.lit("v"), F.col("id") % 3).alias("VendorName"),
+        F.when(F.col("id") % 7 > 0, F.expr("TIMESTAMP_NTZ'2020-01-01 00:00:00' + make_dt_interval(cast(id % 90 as int))")).alias("ModifiedDate"))
+    written, real = [], ordered.written
+
+    def count(df, name, tie=False):
+        out = real(df, name, tie)
+        written.append(out.count())
+        return out
+    monkeypatch.setattr(ordered, "written", count)
+    monkeypatch.setattr(scd2, "written", count, raising=False)
+    want = sorted(map(repr, scd2.scd2_full(rows, VENDOR).collect()))
+    assert len(want) == 4001 and sum(written) == 4000 + 2 * 40
+    monkeypatch.setattr(ordered, "KEY_MAX_ROWS", 10)
+    assert sorted(map(repr, scd2.scd2_full(rows, VENDOR).collect())) == want
