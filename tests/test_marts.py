@@ -7,7 +7,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 from starloom.operators import marts as M
-from starloom.operators import shifts
+from starloom.operators import ordered, shifts
 from starloom.operators.allocation import allocate, unallocated
 from support import ts
 
@@ -166,6 +166,31 @@ def test_allocation_is_largest_remainder(spark):
     assert [tuple(r) for r in unallocated(p, c, ["period"]).collect()] == [("nobody", D("9.99"))]
 
 
+def test_allocation_writes_nothing_unless_a_period_is_hot(spark, monkeypatch):
+    rng = random.Random(6)
+    parts = [(i, rng.choice([1, 2, None]), rng.choice([None, 202001, 202002]), D(rng.randrange(-100, 10 ** 4)) / 100) for i in range(300)]
+    p = spark.createDataFrame(parts, "i int, k int, m int, w decimal(10,2)")
+    for kind in ("int", "long"):                     # keys of another type are compared, not cast
+        c = spark.createDataFrame([(1, 202001, D("77.77")), (None, 202002, D("-0.05")), (2, None, None), (9, 202001, D("1.00"))],
+                                  f"k {kind}, m {kind}, Amount decimal(18,2)")
+        got = []
+        for most in (1 << 20, 10):
+            monkeypatch.setattr(ordered, "KEY_MAX_ROWS", most)
+            mark = ordered.materialized_mark()
+            shares = allocate(p, c, ["k", "m"], "w", ["i"], "share")
+            assert (ordered.materialized_mark() == mark) == (kind == "int" and most > 10)
+            assert shares.dtypes == p.dtypes + [("share", "decimal(18,2)")]
+            got.append({r.i: r.share for r in shares.collect()})
+        assert got[0] == got[1] == by_largest_remainder([(i, (k, m), w) for i, k, m, w in parts],
+                                                        [((1, 202001), D("77.77")), ((None, 202002), D("-0.05"))])
+
+
+def test_most_rows_of_several_keys(spark):
+    df = spark.createDataFrame([(1, None, 5), (1, None, 5), (1, 2, 5), (None, 2, 5)], "a int, b int, c int")
+    assert ordered.most_rows_of(df, ["a", "c"], ["b"], ["a", "b"]) == [3, 2, 2]
+    assert ordered.most_rows_of(df, ["c"], ["c"]) == [4, 4] and ordered.most_rows_of(df.limit(0), ["a"], ["b"]) == [0, 0]
+
+
 def test_allocation_of_nothing(spark):
     p, c = spark.createDataFrame([], "i int, period string, w decimal(10,2)"), spark.createDataFrame([], "period string, Amount decimal(18,2)")
     assert allocate(p, c, ["period"], "w", ["i"], "share").count() == 0
