@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from support import ts
 from starloom.operators import lookup
 from starloom.operators.keys import dense_key
-from starloom.schemas import CUSTOMER
+from starloom.schemas import CUSTOMER, VENDOR
 
 
 def test_dense_key_equals_row_number_with_hot_value(spark):
@@ -140,3 +140,21 @@ def test_pit_day_buckets_match_equi(spark):
     for bucket in ("auto", "day", "month"):
         b = lookup.lookup_scd2_pit(facts, dim, "CustomerID", "TripDate", CUSTOMER, "bucketed", bucket=bucket)
         assert {r.TripID: r.CustomerKey for r in b.collect()} == a, bucket
+
+
+def test_hot_lookup_counts_the_facts_in_one_pass(spark, monkeypatch):
+    def no_pass(*_):
+        raise AssertionError("the facts were read for their times alone")
+    day = lambda i: dt.datetime(2020, 1, 1) + dt.timedelta(days=i)
+    dim = spark.createDataFrame([(i, 1, f"v{i}", day(i), day(i + 1) - dt.timedelta(seconds=1) if i < 79 else None, i == 79) for i in range(80)]
+                                + [(100, 2, "w", day(3), None, True)], "VendorKey long, VendorID int, VendorName string, "
+                                "RowStartDateTime timestamp_ntz, RowEndDateTime timestamp_ntz, IsCurrent boolean")
+    facts = spark.createDataFrame([(i, 1, day(i - 1)) for i in range(90)] + [(200, 2, day(1)), (201, 2, day(9)), (202, None, day(9)), (203, 2, None)],
+                                  "TripID int, VendorID int, TripDate timestamp_ntz")
+    lookups = [("VendorID", VENDOR)]
+    want = sorted(map(tuple, lookup.star_lookup(facts, {"VENDOR": dim}, lookups, "TripDate", "equi").collect()), key=str)
+    rows = lookup.FactRows(facts, "TripDate")
+    assert rows.bounds() == (day(-1), day(88)) and rows.most("VendorID") == 90 and rows.bounds("VendorID") == (day(-1), day(88))
+    monkeypatch.setattr(lookup, "time_bounds", no_pass)
+    got = lookup.star_lookup(facts, {"VENDOR": dim}, lookups, "TripDate", max_broadcast_bytes=0)
+    assert sorted(map(tuple, got.collect()), key=str) == want

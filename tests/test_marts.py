@@ -6,9 +6,11 @@ from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
+from starloom import catalog
 from starloom.operators import marts as M
 from starloom.operators import ordered, shifts
 from starloom.operators.allocation import allocate, unallocated
+from starloom.operators.keys import unknown_member
 from support import ts
 
 LINES = ("Trip_ID long, Line_No int, Vehicle_ID int, Driver_ID int, Commodity string, Ownership_Type string, Weight decimal(10,2), "
@@ -208,6 +210,43 @@ def test_finance_carries_the_period_costs(spark):
     assert sums[0] == 6 * D("333.33") and sums[1] == 2 * D("1000.01") + 20 * D("10.00")
 
 
+# --- what is read more than once is written -------------------------------------------------
+
+def test_activity_is_made_once_for_its_lookups(spark, monkeypatch):
+    seen = []
+    with_keys = M.with_keys
+    monkeypatch.setattr(M, "with_keys", lambda fact, *a: seen.append(fact) or with_keys(fact, *a))
+    lines = spark.createDataFrame([line(1, 1, 7, 70, "2020-01-02"), line(1, 2, 8, 71, "2020-01-03"), line(9, 1, 7, 70, "2020-01-02")], LINES)
+    places = spark.createDataFrame([(5, "A")], "Location_SKey long, Branch_ID string")
+    keys = {"Location_SKey": ("Branch_ID", M.conformed("PLACE", "Branch_ID", "Location_SKey"))}
+    rows = M.fact_logistics_operations(spark.createDataFrame([trip(1, "A"), trip(2, "A")], TRIPS), lines, {"Location_SKey": places}, keys).collect()
+    assert [(r.DD_Trip_ID, r.Vehicle_ID, r.Location_SKey, r.Cargo_Weight_Tons, r.Trip_Duration_Hours) for r in rows] == \
+        [(1, 7, 5, D("10.00"), D("48.00"))]
+    assert seen[0].inputFiles()
+
+
+def test_histories_read_twice_are_written(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(catalog, "dim_full", lambda spark, sf, s: unknown_member(spark, s).distinct())
+    monkeypatch.setattr(catalog.fx, "stage_facttrip", lambda spark, sf: spark.range(3))
+
+    def resolve(stg, dims, spec, load_ts):
+        seen.update(dims)
+        return stg.select(*[F.when(F.col("id") > 0, -1).otherwise(1).alias(d.sk) for _, d in spec.lookups])
+    monkeypatch.setattr(catalog.fact_ops, "resolve_keys", resolve)
+    rows = catalog.QUERIES["unknown_member"](spark, "").collect()
+    assert sorted((r.Dimension, r.Orphan_Facts) for r in rows) == sorted((t, 2) for t in seen)
+    assert {t for t, d in seen.items() if d.inputFiles()} == {"CUSTOMER", "PRODUCT", "VENDOR"}
+    fleet = spark.createDataFrame([(1, "OWN")], "Fleet_SKey long, Ownership_Type string")
+    for name in ("mart_lines", "mart_trips"):
+        monkeypatch.setattr(catalog.fx, name, lambda spark, sf: None)
+    monkeypatch.setattr(catalog, "_key_dims", lambda spark, sf, keys: {"Fleet_SKey": fleet})
+    monkeypatch.setattr(catalog.M, "fact_fleet_utilization", lambda lines, trips, dims, keys: None)
+    monkeypatch.setattr(catalog.M, "hours_by_ownership", lambda util, dim: dim)
+    read = catalog.QUERIES["hours_by_ownership"](spark, "")
+    assert read.inputFiles() and [tuple(r) for r in read.collect()] == [(1, "OWN")]
+
+
 # --- seasons ------------------------------------------------------------------------------
 
 def test_season_counts_gaps_as_nothing(spark):
